@@ -162,3 +162,45 @@ def with_fixtures(sql: str) -> str:
     if re.match(r"(?is)^with\s", body):
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"
+
+
+# Columns of the fixtures that the completeness scores read, with the
+# floating-point ones (NaN counts as missing) marked.
+FIXTURE_COLUMNS = {
+    "deliveries": ("delivery_id courier_id parcel_id parcel_type city receive_datetime issue_datetime "
+                   "delivery_duration_minutes delivery_date success").split(),
+    "departments": ("department_id department_type city parcel_type transport_type monthly_volume "
+                    "avg_processing_time_minutes month daily_processed queue_length").split(),
+    "transport": ("transport_type parcel_type fleet_size monthly_deliveries avg_distance_per_delivery "
+                  "total_distance_km fuel_consumption_liters utilization_rate month").split(),
+    "feedback": ("feedback_id delivery_id customer_id city delivery_type satisfaction_score feedback_text "
+                 "sentiment delivery_time_actual delivery_time_promised on_time_delivery feedback_date "
+                 "language").split(),
+    "routes": ("route_id order_id delivery_type sender_department receiver_department sender_location "
+               "receiver_location is_valid_route estimated_distance_km estimated_time_minutes validation_date "
+               "processing_time_ms").split(),
+}
+FIXTURE_DOUBLES = {
+    "departments": {"avg_processing_time_minutes"},
+    "transport": {"avg_distance_per_delivery", "total_distance_km", "fuel_consumption_liters", "utilization_rate"},
+}
+
+
+def completeness_sql(fixture: str) -> str:
+    """Present cells / all cells * 100 over a fixture, as a DuckDB expression."""
+    cols = FIXTURE_COLUMNS[fixture]
+    doubles = FIXTURE_DOUBLES.get(fixture, set())
+    terms = []
+    for c in cols:
+        cond = f'"{c}" IS NOT NULL' + (f' AND NOT isnan("{c}")' if c in doubles else "")
+        terms.append(f"sum(CASE WHEN {cond} THEN 1 ELSE 0 END)")
+    return f"({' + '.join(terms)}) / nullif(count(*) * {len(cols)}, 0) * 100.0E0"
+
+
+def sql_case(expr: str, mapping: dict, numeric: bool = False) -> str:
+    """``CASE expr WHEN k THEN v ... END`` from a fixed lookup dict."""
+    def lit(v):
+        return f"{float(v)!r}E0".replace("e", "E") if numeric and "e" not in repr(float(v)) else (
+            repr(float(v)) if numeric else "'" + str(v).replace("'", "''") + "'")
+    whens = " ".join(f"WHEN '{k}' THEN {lit(v)}" for k, v in mapping.items())
+    return f"CASE {expr} {whens} END"
