@@ -217,8 +217,7 @@ def alert_counts(*anomaly_frames: DataFrame) -> DataFrame:
 def top_performers(courier_months: DataFrame, k: int = 10) -> DataFrame:
     """Best k couriers by efficiency in the latest month, ties by id.
     ``orderBy().limit()`` plans a per-partition top-k and a k-row merge."""
-    latest = courier_months.agg(F.max("month").alias("month"))
-    cur = courier_months.join(latest, "month")
+    cur = courier_months.where(F.col("month") == courier_months.agg(F.max("month")).scalar())
     return (cur.where(F.col("efficiency_score").isNotNull())
             .orderBy(F.desc("efficiency_score"), F.asc("courier_id")).limit(k)
             .select("month", "courier_id", "efficiency_score", "deliveries_completed"))
@@ -240,8 +239,7 @@ def operations_kpis(deliveries: DataFrame, departments: DataFrame, transport: Da
 
 def courier_insights(courier_months: DataFrame) -> DataFrame:
     """Latest month: improving / declining / stable couriers, mean change."""
-    latest = courier_months.agg(F.max("month").alias("month"))
-    cur = courier_months.join(latest, "month")
+    cur = courier_months.where(F.col("month") == courier_months.agg(F.max("month")).scalar())
     return cur.groupBy("month").agg(
         F.count_if(F.col("performance_trend") == "improving").alias("improving_couriers"),
         F.count_if(F.col("performance_trend") == "declining").alias("declining_couriers"),
