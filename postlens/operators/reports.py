@@ -63,14 +63,14 @@ def report_lines(report: DataFrame) -> DataFrame:
     the text report shows them (thousands separators, one-decimal %)."""
     r = report
     items = [
-        ("quality", "Overall quality score", F.format_string("%.1f%%", F.col("overall_quality_score"))),
+        ("quality", "Overall quality score", F.format_string("%.1f%%", np_round("overall_quality_score", 1))),
         ("quality", "Status", F.col("quality_status")),
         ("business", "Total deliveries", F.format_number(F.col("total_deliveries"), 0)),
         ("business", "Revenue", F.concat(F.lit("$"), F.format_number(F.col("total_revenue_estimated"), 2))),
         ("business", "Operational cost", F.concat(F.lit("$"), F.format_number(F.col("operational_cost_estimated"), 2))),
-        ("business", "Profit margin", F.format_string("%.1f%%", F.col("profit_margin_percent"))),
-        ("business", "On-time delivery rate", F.format_string("%.1f%%", F.col("on_time_delivery_rate") * 100.0)),
-        ("business", "Average satisfaction", F.format_string("%.2f", F.col("customer_satisfaction_avg"))),
+        ("business", "Profit margin", F.format_string("%.1f%%", np_round("profit_margin_percent", 1))),
+        ("business", "On-time delivery rate", F.format_string("%.1f%%", np_round(F.col("on_time_delivery_rate") * 100.0, 1))),
+        ("business", "Average satisfaction", F.format_string("%.2f", np_round("customer_satisfaction_avg", 2))),
         ("operations", "Active couriers", F.col("active_couriers").cast("string")),
         ("operations", "Active departments", F.col("active_departments").cast("string")),
         ("operations", "Cities covered", F.col("cities_covered").cast("string")),

@@ -15,7 +15,7 @@ S = "2.5"
 CLIP_120 = "CASE WHEN {c} IS NULL THEN NULL ELSE greatest(0.0E0, least({c}, 120.0E0)) END"
 
 
-@register("courier_performance_view", section=S, oracle=f"""
+COURIER_VIEW_SQL = f"""
 SELECT city, courier_id, avg_delivery_time, total_deliveries, success_rate, DATE '{P.RUN_DS}' AS "date",
        round_even(success_rate * 0.6E0 + (120.0E0 - {CLIP_120.format(c='avg_delivery_time')}) / 120.0E0 * 0.4E0, 3)
          AS efficiency_score
@@ -24,7 +24,10 @@ FROM (SELECT city, courier_id,
              count(delivery_duration_minutes) AS total_deliveries,
              round_even(avg(cast(success AS double)), 2) AS success_rate
       FROM deliveries WHERE city IS NOT NULL AND courier_id IS NOT NULL
-      GROUP BY city, courier_id) g""")
+      GROUP BY city, courier_id) g"""
+
+
+@register("courier_performance_view", section=S, oracle=COURIER_VIEW_SQL)
 def q_courier_performance_view(spark, sf):
     return views.courier_performance_view(load(spark, sf, "deliveries"), P.RUN_DS)
 

@@ -84,7 +84,7 @@ SELECT (SELECT count(*) FROM (SELECT DISTINCT city, courier_id FROM deliveries
        AS total_view_records"""
 
 
-@register("assemble_report", section=S, oracle=f"""
+ASSEMBLE_SQL = f"""
 SELECT q.execution_date, q.overall_quality_score, q.status AS quality_status,
        b.total_deliveries, b.total_revenue_estimated, b.operational_cost_estimated,
        b.customer_satisfaction_avg, b.on_time_delivery_rate, b.active_couriers, b.active_departments,
@@ -92,7 +92,10 @@ SELECT q.execution_date, q.overall_quality_score, q.status AS quality_status,
        round_even((b.total_revenue_estimated - b.operational_cost_estimated)
                   / nullif(b.total_revenue_estimated, 0) * 100.0E0, 1) AS profit_margin_percent,
        v.total_view_records
-FROM ({QUALITY_REPORT_SQL}) q, ({BUSINESS_METRICS_SQL}) b, ({VIEW_COUNTS_SQL}) v""")
+FROM ({QUALITY_REPORT_SQL}) q, ({BUSINESS_METRICS_SQL}) b, ({VIEW_COUNTS_SQL}) v"""
+
+
+@register("assemble_report", section=S, oracle=ASSEMBLE_SQL)
 def q_assemble_report(spark, sf):
     from postlens.operators.reports import daily_report
     return daily_report(spark, sf, P.RUN_DS)

@@ -41,7 +41,7 @@ def q_courier_facts(spark, sf):
     return W.courier_facts(load(spark, sf, "deliveries"))
 
 
-@register("department_facts", section="2.5", oracle=f"""
+DEPT_FACTS_SQL = f"""
 SELECT DATE '{P.TRANSPORT_DS}' AS snapshot_date, department_id, department_type, parcel_type, transport_type,
        monthly_volume, round_even(avg_proc, 1) AS avg_processing_time_minutes,
        round_even(monthly_volume / nullif(cast(max(monthly_volume) OVER (PARTITION BY department_id) AS double), 0), 2)
@@ -49,7 +49,10 @@ SELECT DATE '{P.TRANSPORT_DS}' AS snapshot_date, department_id, department_type,
 FROM (SELECT department_id, department_type, parcel_type, transport_type,
              cast(sum(monthly_volume) AS BIGINT) AS monthly_volume, avg(avg_processing_time_minutes) AS avg_proc
       FROM departments WHERE month = substr('{P.TRANSPORT_DS}', 1, 7)
-      GROUP BY department_id, department_type, parcel_type, transport_type) g""")
+      GROUP BY department_id, department_type, parcel_type, transport_type) g"""
+
+
+@register("department_facts", section="2.5", oracle=DEPT_FACTS_SQL)
 def q_department_facts(spark, sf):
     return W.department_facts(load(spark, sf, "departments"), P.TRANSPORT_DS)
 

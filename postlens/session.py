@@ -64,3 +64,10 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     on a cluster, since that directory is the cluster's shared one)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint directory for one run of
+    a job that writes and reads back (unique per call, never reused)."""
+    import uuid
+    return shared_path(spark, "postlens-runs", f"{name}-{uuid.uuid4().hex[:12]}")
