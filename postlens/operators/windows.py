@@ -34,6 +34,9 @@ def split_lag(df: DataFrame, entity: str, order: list[str], value: str, out: str
     d = df.withColumn("_bucket", bucket)
     w = Window.partitionBy(entity, "_bucket").orderBy(*order)
     d = d.withColumn(out, F.lag(value).over(w)).withColumn("_first", F.row_number().over(w) == 1)
+    # Last value per (entity, bucket) as an aggregate: partial aggregation
+    # before the shuffle moves one row per bucket and map task, so this
+    # second pass over the (column-pruned) input is cheap.
     key = F.struct(*[F.col(c) for c in order])
     last = (d.groupBy(entity, "_bucket").agg(F.max_by(F.col(value), key).alias("_last"))
             .withColumn("_carry", F.lag("_last").over(Window.partitionBy(entity).orderBy("_bucket")))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.functions.semantics import month_key, padded_id
-from postlens.sources.tables import dimension, table
+from postlens.sources.tables import broadcast_if_small, dimension, table
 
 
 def _dept_type(key) -> F.Column:
@@ -28,13 +28,14 @@ def _dept_type(key) -> F.Column:
 def _supplier_city(spark: SparkSession, sf: str) -> DataFrame:
     nation = dimension(spark, sf, "nation", "n_nationkey", "n_name")
     sup = table(spark, sf, "supplier", "s_suppkey", "s_nationkey")
-    return sup.join(nation, sup.s_nationkey == nation.n_nationkey).select("s_suppkey", "n_name", "n_nationkey")
+    joined = sup.join(nation, sup.s_nationkey == nation.n_nationkey).select("s_suppkey", "n_name", "n_nationkey")
+    return broadcast_if_small(joined, basis=sup)
 
 
 def deliveries(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                "l_quantity", "l_returnflag", "l_shipdate")
-    part = table(spark, sf, "part", "p_partkey", "p_type")
+    part = broadcast_if_small(table(spark, sf, "part", "p_partkey", "p_type"))
     df = (li.join(_supplier_city(spark, sf), li.l_suppkey == F.col("s_suppkey"))
             .join(part, li.l_partkey == part.p_partkey))
     receive = F.col("l_shipdate") + F.make_dt_interval(hours=(F.col("l_orderkey") % 24).cast("int"))
@@ -56,7 +57,7 @@ def deliveries(spark: SparkSession, sf: str) -> DataFrame:
 def departments(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                "l_returnflag", "l_shipdate")
-    part = table(spark, sf, "part", "p_partkey", "p_type")
+    part = broadcast_if_small(table(spark, sf, "part", "p_partkey", "p_type"))
     df = (li.join(_supplier_city(spark, sf), li.l_suppkey == F.col("s_suppkey"))
             .join(part, li.l_partkey == part.p_partkey)
             .withColumn("month", month_key("l_shipdate")))
@@ -79,7 +80,7 @@ def departments(spark: SparkSession, sf: str) -> DataFrame:
 def transport(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem", "l_partkey", "l_suppkey", "l_quantity", "l_tax",
                "l_returnflag", "l_shipdate")
-    part = table(spark, sf, "part", "p_partkey", "p_type")
+    part = broadcast_if_small(table(spark, sf, "part", "p_partkey", "p_type"))
     df = li.join(part, li.l_partkey == part.p_partkey).withColumn("month", month_key("l_shipdate"))
     g = df.groupBy("l_returnflag", "p_type", "month").agg(
         F.count_distinct("l_suppkey").alias("fleet_size"),
@@ -138,9 +139,10 @@ def routes(spark: SparkSession, sf: str) -> DataFrame:
         F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("sn_name"))
     cn = dimension(spark, sf, "nation", "n_nationkey", "n_name").select(
         F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cn_name"))
-    sup = table(spark, sf, "supplier", "s_suppkey", "s_nationkey").join(sn, F.col("s_nationkey") == F.col("sn_key"))
-    oc = (orders.join(cust, orders.o_custkey == cust.c_custkey)
-                .join(cn, F.col("c_nationkey") == F.col("cn_key")))
+    sup_t = table(spark, sf, "supplier", "s_suppkey", "s_nationkey")
+    sup = broadcast_if_small(sup_t.join(sn, F.col("s_nationkey") == F.col("sn_key")), basis=sup_t)
+    cust_geo = broadcast_if_small(cust.join(cn, F.col("c_nationkey") == F.col("cn_key")), basis=cust)
+    oc = broadcast_if_small(orders.join(cust_geo, orders.o_custkey == cust_geo.c_custkey), basis=orders)
     df = li.join(oc, li.l_orderkey == oc.o_orderkey).join(sup, li.l_suppkey == sup.s_suppkey)
     k = F.col("o_orderkey") % 4
     return df.select(
@@ -184,8 +186,8 @@ def coverage(spark: SparkSession, sf: str) -> DataFrame:
     sup = table(spark, sf, "supplier", "s_suppkey", "s_nationkey")
     nation = dimension(spark, sf, "nation", "n_nationkey", "n_name", "n_regionkey")
     region = dimension(spark, sf, "region", "r_regionkey", "r_name")
-    sup_geo = (sup.join(nation, sup.s_nationkey == nation.n_nationkey)
-                  .join(region, F.col("n_regionkey") == region.r_regionkey))
+    sup_geo = broadcast_if_small(sup.join(nation, sup.s_nationkey == nation.n_nationkey)
+                                 .join(region, F.col("n_regionkey") == region.r_regionkey), basis=sup)
     g = li.join(sup_geo, li.l_suppkey == sup_geo.s_suppkey).groupBy("r_name", "n_name", "n_nationkey").agg(
         F.count_distinct("s_suppkey").alias("total_departments"),
         F.avg(F.when(F.col("l_returnflag") != "R", 12.0).otherwise(0.0)).alias("service_quality_score"),
@@ -224,7 +226,7 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 def purchases(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    cust = table(spark, sf, "customer", "c_custkey", "c_mktsegment")
+    cust = broadcast_if_small(table(spark, sf, "customer", "c_custkey", "c_mktsegment"))
     df = orders.join(cust, orders.o_custkey == cust.c_custkey)
     return df.select(
         padded_id("CUST_", "c_custkey", 6).alias("customer_id"),
@@ -250,7 +252,7 @@ def daily_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 def text_labels(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents", "doc_id", "text", "lang")
-    labels = table(spark, sf, "labels", "doc_id", "quality", "toxic")
+    labels = broadcast_if_small(table(spark, sf, "labels", "doc_id", "quality", "toxic"))
     df = docs.join(labels, "doc_id")
     return df.select(
         "doc_id", "text", F.col("lang").alias("language"),
@@ -261,7 +263,7 @@ def text_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 def interactions(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem", "l_orderkey", "l_partkey")
-    orders = table(spark, sf, "orders", "o_orderkey", "o_custkey")
+    orders = broadcast_if_small(table(spark, sf, "orders", "o_orderkey", "o_custkey"))
     df = li.join(orders, li.l_orderkey == orders.o_orderkey)
     return (df.groupBy("o_custkey", "l_partkey").agg(F.count(F.lit(1)).alias("purchases"))
               .select(F.col("o_custkey").cast("int").alias("user_id"),
@@ -270,7 +272,7 @@ def interactions(spark: SparkSession, sf: str) -> DataFrame:
 
 def price_points(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem", "l_partkey", "l_extendedprice", "l_quantity")
-    part = table(spark, sf, "part", "p_partkey", "p_type")
+    part = broadcast_if_small(table(spark, sf, "part", "p_partkey", "p_type"))
     df = li.join(part, li.l_partkey == part.p_partkey)
     return df.select(F.col("p_type").alias("product_type"),
                      (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
@@ -280,7 +282,7 @@ def price_points(spark: SparkSession, sf: str) -> DataFrame:
 def shipments(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
                "l_discount", "l_tax")
-    orders = table(spark, sf, "orders", "o_orderkey", "o_totalprice")
+    orders = broadcast_if_small(table(spark, sf, "orders", "o_orderkey", "o_totalprice"))
     df = li.join(orders, li.l_orderkey == orders.o_orderkey)
     return df.select(
         F.concat(F.lit("PCL_"), F.col("l_orderkey").cast("string"), F.lit("_"),

@@ -34,3 +34,35 @@ def dimension(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFr
     if name not in FIXED_SIZE_DIMENSIONS:
         raise ValueError(f"{name} is not a fixed-size dimension")
     return F.broadcast(table(spark, sf_dir, name, *cols))
+
+
+def _threshold(spark: SparkSession) -> int:
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix):
+            return int(float(raw[: -len(suffix)]) * units[suffix])
+    return int(raw)
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (None when unavailable)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate not available: no hint
+        return None
+
+
+def broadcast_if_small(df: DataFrame, basis: DataFrame | None = None) -> DataFrame:
+    """Hint a broadcast of ``df`` only when its estimated size (or that of
+    ``basis``, the table whose rows ``df`` keeps one-to-one, e.g. a table
+    joined to a fixed dimension) is within the session's
+    ``autoBroadcastJoinThreshold``. Beyond it no hint is given and the
+    planner shuffles (sort-merge), with AQE free to switch at runtime.
+    Without the hint a small fact sample can look smaller than a dimension
+    and be broadcast itself, collapsing the join into one task."""
+    limit = _threshold(df.sparkSession)
+    size = estimated_bytes(basis if basis is not None else df)
+    if limit <= 0 or size is None or size > limit:
+        return df
+    return F.broadcast(df)
