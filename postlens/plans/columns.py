@@ -44,7 +44,7 @@ def q_filter_known_actuals(spark, sf):
 
 
 @register("delivery_hour", section=S, oracle="""
-SELECT delivery_id, courier_id, receive_datetime, hour(receive_datetime) AS delivery_hour FROM deliveries""")
+SELECT delivery_id, courier_id, receive_datetime, cast(hour(receive_datetime) AS INTEGER) AS delivery_hour FROM deliveries""")
 def q_delivery_hour(spark, sf):
     return load(spark, sf, "deliveries").select(
         "delivery_id", "courier_id", "receive_datetime", O.delivery_hour("receive_datetime").alias("delivery_hour"))

@@ -45,8 +45,8 @@ def q_validate_routes(spark, sf):
 
 
 @register("route_validation_summary", section="2.5", oracle=f"""
-SELECT count(*) AS total_routes, count_if(error_messages = '') AS valid_routes,
-       count_if(error_messages <> '') AS invalid_routes,
+SELECT count(*) AS total_routes, cast(count_if(error_messages = '') AS BIGINT) AS valid_routes,
+       cast(count_if(error_messages <> '') AS BIGINT) AS invalid_routes,
        round_even(count_if(error_messages = '') / nullif(count(*), 0) * 100.0E0, 2) AS success_rate,
        round_even(avg(processing_time_ms), 2) AS avg_processing_time_ms
 FROM ({VALIDATE_SQL}) v""")

@@ -25,8 +25,10 @@ SELECT page_views, cart_additions, checkout_starts, orders,
        cart_additions / nullif(page_views, 0) AS view_to_cart,
        checkout_starts / nullif(cart_additions, 0) AS cart_to_checkout,
        orders / nullif(checkout_starts, 0) AS checkout_to_order
-FROM (SELECT count_if(channel = 'view') AS page_views, count_if(channel = 'click') AS cart_additions,
-             count_if(channel = 'signup') AS checkout_starts, count_if(channel = 'purchase') AS orders
+FROM (SELECT cast(count_if(channel = 'view') AS BIGINT) AS page_views,
+             cast(count_if(channel = 'click') AS BIGINT) AS cart_additions,
+             cast(count_if(channel = 'signup') AS BIGINT) AS checkout_starts,
+             cast(count_if(channel = 'purchase') AS BIGINT) AS orders
       FROM touches) c""")
 def q_funnel_counts(spark, sf):
     return M.funnel_counts(load(spark, sf, "touches"))
@@ -35,7 +37,8 @@ def q_funnel_counts(spark, sf):
 @register("crm_kpis", section=S, oracle=f"""
 WITH per AS (SELECT customer_id, min(order_date) AS first, count(*) AS n FROM purchases GROUP BY customer_id)
 SELECT count(*) AS total_customers,
-       count_if({MI.format(d='first')} = (SELECT max({MI.format(d='order_date')}) FROM purchases)) AS new_leads,
+       cast(count_if({MI.format(d='first')} = (SELECT max({MI.format(d='order_date')}) FROM purchases)) AS BIGINT)
+         AS new_leads,
        count_if(n >= 2) / nullif(count(*), 0) * 100.0E0 AS conversion_rate,
        (SELECT avg(amount) FROM purchases) AS avg_deal_size
 FROM per""")
@@ -44,7 +47,7 @@ def q_crm_kpis(spark, sf):
 
 
 @register("email_kpis", section=S, oracle="""
-SELECT sent AS emails_sent, opened / nullif(sent, 0) * 100.0E0 AS open_rate,
+SELECT cast(sent AS BIGINT) AS emails_sent, opened / nullif(sent, 0) * 100.0E0 AS open_rate,
        clicked / nullif(sent, 0) * 100.0E0 AS click_rate
 FROM (SELECT count_if(channel = 'view') AS sent, count_if(channel = 'click') AS opened,
              count_if(channel = 'signup') AS clicked FROM touches) c""")
@@ -118,7 +121,8 @@ t AS (SELECT customer_id, avg(amount) AS avg_order_value, count(*) AS order_coun
 WITH {TOTALS_SQL},
 q AS (SELECT *, ntile(5) OVER (ORDER BY total_spent, customer_id) AS qn FROM t)
 SELECT customer_id, avg_order_value, order_count, total_spent,
-       date_diff('day', last_order_date, (SELECT max(order_date) FROM purchases) + 1) AS days_since_last_order,
+       cast(date_diff('day', last_order_date, (SELECT max(order_date) FROM purchases) + 1) AS INTEGER)
+         AS days_since_last_order,
        CASE WHEN qn = 5 THEN 'high_value' WHEN order_count >= 5 THEN 'loyal' ELSE 'regular' END
          AS customer_segment
 FROM q""")
@@ -175,8 +179,8 @@ def q_roi_by_channel(spark, sf):
 @register("behavioral_features", section=S, oracle="""
 SELECT user_id, cast(json_extract_string(props, '$.k') AS INTEGER) AS product_id,
        date_diff('microsecond', min(ts), max(ts)) / 6e7 AS engaged_minutes,
-       count_if(event_type = 'view') AS views, count_if(event_type = 'click') AS cart_adds,
-       count_if(event_type = 'purchase') AS purchases, sum(value) AS total_value,
+       cast(count_if(event_type = 'view') AS BIGINT) AS views, cast(count_if(event_type = 'click') AS BIGINT) AS cart_adds,
+       cast(count_if(event_type = 'purchase') AS BIGINT) AS purchases, sum(value) AS total_value,
        count_if(event_type = 'click') / nullif(count_if(event_type = 'view'), 0) AS click_rate
 FROM events GROUP BY user_id, cast(json_extract_string(props, '$.k') AS INTEGER)""")
 def q_behavioral_features(spark, sf):
@@ -246,7 +250,7 @@ def q_executive_kpis(spark, sf):
 
 @register("experiment_significance", section="2.11", oracle="""
 WITH g AS (SELECT channel,
-                  count_if(user_id % 2 = 0) AS n_a, count_if(user_id % 2 = 1) AS n_b,
+                  cast(count_if(user_id % 2 = 0) AS BIGINT) AS n_a, cast(count_if(user_id % 2 = 1) AS BIGINT) AS n_b,
                   avg(CASE WHEN user_id % 2 = 0 THEN value END) AS mean_a,
                   avg(CASE WHEN user_id % 2 = 1 THEN value END) AS mean_b,
                   var_samp(CASE WHEN user_id % 2 = 0 THEN value END) AS var_a,

@@ -240,7 +240,7 @@ cal AS (SELECT metric, cast(unnest(generate_series(min("date"), max("date"), INT
 s AS (SELECT c."date", coalesce(d.value, 0.0E0) AS value FROM cal c LEFT JOIN daily d ON c."date" = d."date"),
 f AS (SELECT dayname("date") AS weekday, avg(value) / (SELECT avg(value) FROM s) AS factor FROM s
       GROUP BY dayname("date"))
-SELECT forecast_next_7d, active_couriers, n28 / 4.0E0 / nullif(active_couriers, 0) AS weekly_per_courier,
+SELECT cast(forecast_next_7d AS BIGINT) AS forecast_next_7d, active_couriers, n28 / 4.0E0 / nullif(active_couriers, 0) AS weekly_per_courier,
        greatest(0, cast(ceil(forecast_next_7d / (n28 / 4.0E0 / nullif(active_couriers, 0))) AS BIGINT)
                    - active_couriers) AS additional_couriers_needed,
        (SELECT array_to_string(list_slice(list(weekday ORDER BY factor DESC, weekday), 1, 2), ',') FROM f)

@@ -182,8 +182,9 @@ def q_logistics_anomalies(spark, sf):
 @register("alert_counts", section="2.5", oracle=f"""
 WITH a AS (SELECT lower(severity) AS severity FROM ({LOGISTICS_SQL}) x
            UNION ALL SELECT lower(severity) FROM ({METRIC_ANOM_SQL}) y)
-SELECT count_if(severity = 'high') AS high_priority, count_if(severity = 'medium') AS medium_priority,
-       count_if(severity = 'low') AS low_priority FROM a""")
+SELECT cast(count_if(severity = 'high') AS BIGINT) AS high_priority,
+       cast(count_if(severity = 'medium') AS BIGINT) AS medium_priority,
+       cast(count_if(severity = 'low') AS BIGINT) AS low_priority FROM a""")
 def q_alert_counts(spark, sf):
     return W.alert_counts(_logistics(spark, sf), W.metric_anomalies(load(spark, sf, "daily_metrics")))
 
@@ -206,9 +207,9 @@ def q_top_performers(spark, sf):
 
 @register("courier_insights", section="2.5", oracle=f"""
 {EFF_SQL}
-SELECT month, count_if(performance_trend = 'improving') AS improving_couriers,
-       count_if(performance_trend = 'declining') AS declining_couriers,
-       count_if(performance_trend = 'stable') AS stable_couriers,
+SELECT month, cast(count_if(performance_trend = 'improving') AS BIGINT) AS improving_couriers,
+       cast(count_if(performance_trend = 'declining') AS BIGINT) AS declining_couriers,
+       cast(count_if(performance_trend = 'stable') AS BIGINT) AS stable_couriers,
        round_even(avg(performance_change_percent), 2) AS avg_performance_change
 FROM e WHERE month = (SELECT max(month) FROM e) GROUP BY month""")
 def q_courier_insights(spark, sf):

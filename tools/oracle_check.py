@@ -23,6 +23,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+TYPE_MAP = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date",
+            "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean", "FLOAT": "float", "HUGEINT": "hugeint"}
+
+
 def norm(v, digits):
     if v is None:
         return None
@@ -51,6 +55,7 @@ def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--digits", type=int, default=9)
+    ap.add_argument("--types", action="store_true", help="also report column type differences")
     ap.add_argument("keys", nargs="*")
     args = ap.parse_args()
 
@@ -93,6 +98,13 @@ def main() -> int:
             bad += 1
             continue
         cols = sorted(scols)
+        if args.types:
+            stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+            otypes = {d[0]: str(d[1]) for d in cur.description}
+            diff = {c: (stypes[c], otypes[c]) for c in cols
+                    if TYPE_MAP.get(otypes[c], otypes[c].lower()) != stypes[c]}
+            if diff:
+                print(f"{k:32s} TYPES {diff}")
         a, b = rows_of(srows, cols, args.digits), rows_of(orows, cols, args.digits)
         ok = a == b
         status = "OK" if ok else "MISMATCH"
