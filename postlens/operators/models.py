@@ -345,15 +345,17 @@ def fraud_score(spark: SparkSession, shipments: DataFrame, variance: float = 0.9
 def metric_outliers(daily: DataFrame, flag_share: float = 0.05) -> DataFrame:
     """Robust z = 0.6745 * |x - median| / MAD per metric; flag the top
     ``flag_share`` (score at or above the 95th percentile, linear
-    interpolation). A zero MAD gives a null score."""
-    med = daily.groupBy("metric").agg(F.percentile("value", 0.5).alias("median"))
-    d = daily.join(med, "metric")
-    mad = (d.groupBy("metric").agg(F.percentile(F.abs(F.col("value") - F.col("median")), 0.5).alias("mad")))
-    d = d.join(mad, "metric").withColumn(
-        "robust_z", safe_div(F.abs(F.col("value") - F.col("median")) * 0.6745, F.when(F.col("mad") > 0, F.col("mad"))))
-    cut = d.groupBy("metric").agg(F.percentile("robust_z", 1.0 - flag_share).alias("cut"))
-    return (d.join(cut, "metric").select("metric", "date", "value", "median", "mad", "robust_z",
-                                         (F.col("robust_z") >= F.col("cut")).alias("is_outlier")))
+    interpolation). A zero MAD gives a null score. The exact percentiles
+    run as window aggregates over one metric's daily series (one row per
+    day, bounded by the calendar), all on one partitioning."""
+    by_metric = Window.partitionBy("metric")
+    d = daily.withColumn("median", F.percentile("value", 0.5).over(by_metric))
+    d = d.withColumn("mad", F.percentile(F.abs(F.col("value") - F.col("median")), 0.5).over(by_metric))
+    d = d.withColumn("robust_z", safe_div(F.abs(F.col("value") - F.col("median")) * 0.6745,
+                                          F.when(F.col("mad") > 0, F.col("mad"))))
+    d = d.withColumn("_cut", F.percentile("robust_z", 1.0 - flag_share).over(by_metric))
+    return d.select("metric", "date", "value", "median", "mad", "robust_z",
+                    (F.col("robust_z") >= F.col("_cut")).alias("is_outlier"))
 
 
 # ---------------------------------------------------------------- monitoring

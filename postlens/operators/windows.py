@@ -132,12 +132,14 @@ def time_series_features(daily: DataFrame) -> DataFrame:
 def seasonality_factor(daily: DataFrame) -> DataFrame:
     """Weekday mean / overall mean per metric (calendar-complete series)."""
     s = calendar_complete(daily)
-    overall = s.groupBy("metric").agg(F.avg("value").alias("overall_mean"))
     by_day = s.groupBy("metric", F.date_format("date", "EEEE").alias("weekday")).agg(
-        F.avg("value").alias("weekday_mean"))
-    return by_day.join(overall, "metric").select(
-        "metric", "weekday", "weekday_mean", "overall_mean",
-        safe_div("weekday_mean", "overall_mean").alias("seasonality_factor"))
+        F.sum("value").alias("_sum"), F.count(F.lit(1)).alias("_n"))
+    # Overall mean from the seven weekday partials of the same metric.
+    m = Window.partitionBy("metric")
+    overall = F.sum("_sum").over(m) / F.sum("_n").over(m)
+    return by_day.select("metric", "weekday", (F.col("_sum") / F.col("_n")).alias("weekday_mean"),
+                         overall.alias("overall_mean")).withColumn(
+        "seasonality_factor", safe_div("weekday_mean", "overall_mean"))
 
 
 def metric_anomalies(daily: DataFrame, window_days: int = 14, high: float = 3.0, medium: float = 2.0) -> DataFrame:
