@@ -1,11 +1,15 @@
 """Gap-based sessions without one task per user.
 
 A new session starts at a user's event whose predecessor is missing or at
-least ``gap`` earlier. The predecessor comes from ``split_lag`` and the
-session start of each event from a running maximum computed the same way:
-per (user, day) inside the day, carried over from the user's earlier days
-through a per-(user, day) summary. A user holding a third of all events is
-thus spread over as many tasks as it has days.
+least ``gap`` earlier. Events are windowed per (user, day). The only
+predecessor that can lie outside the day and still be closer than the gap
+is one from the last ``gap`` minutes of the previous day, so those events
+are copied into the next day's bucket as a halo: one windowed pass then
+decides every session start exactly. The session start of each event is
+a running maximum inside the day, carried over from the user's earlier
+days through a per-(user, day) summary (a session may span midnight). A
+user holding a third of all events is thus spread over as many tasks as
+it has days; the halo adds only the events of the last ``gap`` minutes.
 """
 
 from __future__ import annotations
@@ -13,26 +17,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlens.operators.windows import split_lag
-
 
 def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", tie: str = "event_id",
                gap_minutes: int = 30) -> DataFrame:
     """Adds ``is_session_start`` and ``session_start`` (ts of the session's
     first event); (user, session_start) identifies a session."""
-    e = split_lag(events, user, [ts, tie], ts, "_prev_ts")
-    start = F.col("_prev_ts").isNull() | (
-        F.col("_prev_ts") + F.make_dt_interval(mins=F.lit(gap_minutes)) <= F.col(ts))
-    e = e.withColumn("is_session_start", start).withColumn("_day", F.to_date(ts))
-    e = e.withColumn("_start_ts", F.when(F.col("is_session_start"), F.col(ts)))
-    in_day = Window.partitionBy(user, "_day").orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
-    e = e.withColumn("_in_day", F.max("_start_ts").over(in_day))
+    if not 0 < gap_minutes < 24 * 60:
+        raise ValueError("gap_minutes must be between 0 and one day")
+    gap = F.make_dt_interval(mins=F.lit(gap_minutes))
+    next_midnight = F.to_timestamp_ntz(F.date_add(F.to_date(F.col(ts)), 1).cast("string"))
+    own = events.withColumn("_day", F.to_date(ts)).withColumn("_halo", F.lit(False))
+    halo = (events.where(F.col(ts) + gap >= next_midnight)
+            .withColumn("_day", F.date_add(F.to_date(ts), 1)).withColumn("_halo", F.lit(True)))
+    w = Window.partitionBy(user, "_day").orderBy(ts, tie)
+    e = own.unionByName(halo).withColumn("_prev_ts", F.lag(ts).over(w)).where(~F.col("_halo"))
+    start = F.col("_prev_ts").isNull() | (F.col("_prev_ts") + gap <= F.col(ts))
+    e = e.withColumn("is_session_start", start).withColumn("_start_ts", F.when(start, F.col(ts)))
+    e = e.withColumn("_in_day", F.max("_start_ts").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     earlier = Window.partitionBy(user).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     carry = (e.groupBy(user, "_day").agg(F.max("_start_ts").alias("_day_start"))
              .withColumn("_carry", F.max("_day_start").over(earlier)).select(user, "_day", "_carry"))
     e = e.join(carry, [user, "_day"], "left")
     return (e.withColumn("session_start", F.coalesce("_in_day", "_carry"))
-            .drop("_prev_ts", "_day", "_start_ts", "_in_day", "_carry"))
+            .drop("_prev_ts", "_day", "_halo", "_start_ts", "_in_day", "_carry"))
 
 
 def sessions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:

@@ -51,3 +51,21 @@ def test_sessionize_matches_brute_force_across_days(spark):
     df = spark.createDataFrame(events, "user_id long, ts timestamp_ntz, event_id long")
     got = {r["event_id"]: r["session_start"] for r in sessionize(df).collect()}
     assert got == brute_sessions(events, dt.timedelta(minutes=30))
+
+
+def test_sessions_across_midnight_and_multi_day(spark):
+    b = dt.datetime(2024, 3, 1)
+    events = [
+        (1, b.replace(hour=23, minute=50), 1), (1, b + dt.timedelta(days=1, minutes=10), 2),  # 20 min: same
+        (2, b.replace(hour=23, minute=29, second=59), 3), (2, b + dt.timedelta(days=1), 4),  # 30 min 1 s: new
+        (3, b.replace(hour=23, minute=30), 5), (3, b + dt.timedelta(days=1), 6),  # exactly 30 min: new
+    ]
+    eid = 100
+    for i in range(180):  # user 4: one session lasting 60 hours (an event every 20 minutes)
+        events.append((4, b + dt.timedelta(minutes=20 * i), eid))
+        eid += 1
+    df = spark.createDataFrame(events, "user_id long, ts timestamp_ntz, event_id long")
+    got = {r["event_id"]: r["session_start"] for r in sessionize(df).collect()}
+    assert got == brute_sessions(events, dt.timedelta(minutes=30))
+    assert got[2] == events[0][1] and got[4] == events[3][1] and got[6] == events[5][1]
+    assert len({got[e] for e in range(100, 280)}) == 1
