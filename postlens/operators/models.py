@@ -375,8 +375,9 @@ def model_drift(predictions: DataFrame, bins: int = 10, floor: float = 1e-4) ->
              .agg(F.percentile_approx("predicted_value", qs, 10000).alias("edges")))
     p = p.join(edges, "model_type")
     bin_of = F.size(F.filter("edges", lambda e: e < F.col("predicted_value")))
-    within = (F.abs(F.col("predicted_value") - F.col("actual_value"))
-              <= F.abs(F.col("actual_value")) * 0.1).cast("double")
+    # Same rule as the model performance view: |p - a| / a <= 0.1.
+    within = F.coalesce(safe_div(F.abs(F.col("predicted_value") - F.col("actual_value")), "actual_value") <= 0.1,
+                        F.lit(False)).cast("double")
     per_bin = p.groupBy("model_type", bin_of.alias("bin")).agg(
         F.count_if(~F.col("later")).alias("n_early"), F.count_if("later").alias("n_late"))
     tot = per_bin.groupBy("model_type").agg(F.sum("n_early").alias("t_early"), F.sum("n_late").alias("t_late"))

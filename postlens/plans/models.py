@@ -250,6 +250,10 @@ FROM k"""
 
 @register("capacity_plan", section=S, oracle=CAPACITY_SQL)
 def q_capacity_plan(spark, sf):
+    """Couriers to add for next week: the forecast is the seasonal-naive
+    one (next 7 days = the last 7 days of deliveries); weekly deliveries
+    per active courier and the active couriers come from the last 28 days;
+    peak days are the two weekdays with the largest seasonality factor."""
     d = load(spark, sf, "deliveries")
     daily = d.groupBy(F.col("delivery_date").alias("date")).agg(F.count(F.lit(1)).cast("double").alias("value")) \
         .withColumn("metric", F.lit("deliveries"))
