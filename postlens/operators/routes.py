@@ -5,7 +5,8 @@ it is joined without a broadcast hint: Spark broadcasts it only when its
 measured size is under ``autoBroadcastJoinThreshold`` (AQE re-checks at
 runtime), otherwise it runs a sort-merge join, whose hot keys AQE's skew
 handling splits. The served-city list is the distinct cities of the
-dimension, aggregated before the join.
+dimension, aggregated before the join and broadcast behind a row-count
+check (its keys, cities, have few values).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from postlens.functions.lookups import ROUTE_MESSAGES
 from postlens.functions.semantics import labels, np_round, safe_div
+from postlens.sources.tables import broadcast_if_rows_at_most
 
 DD, DC, CD, CC = ("Department to Department", "Department to Courier",
                   "Courier to Department", "Courier to Courier")
@@ -31,7 +33,11 @@ def validate_routes(routes: DataFrame, department_dim: DataFrame) -> DataFrame:
     """
     s = department_dim.select(F.col("department_id").alias("_s_id"), F.col("city").alias("_s_city"))
     r = department_dim.select(F.col("department_id").alias("_r_id"), F.col("city").alias("_r_city"))
-    served = department_dim.where(F.col("city").isNotNull()).select(F.col("city").alias("_city")).distinct()
+    # Locations have few distinct values: joining the routes on them through
+    # a shuffle would put each city's routes in one task, so the served-city
+    # list is broadcast once its size is checked.
+    served = broadcast_if_rows_at_most(
+        department_dim.where(F.col("city").isNotNull()).select(F.col("city").alias("_city")).distinct())
     served_s = served.select(F.col("_city").alias("_served_s"))
     served_r = served.select(F.col("_city").alias("_served_r"))
     df = (routes.join(s, routes.sender_department == s._s_id, "left")

@@ -127,8 +127,9 @@ def department_dim(spark: SparkSession, sf: str) -> DataFrame:
     nation = dimension(spark, sf, "nation", "n_nationkey", "n_name", "n_regionkey")
     region = dimension(spark, sf, "region", "r_regionkey", "r_name")
     df = sup.join(nation, sup.s_nationkey == nation.n_nationkey).join(region, F.col("n_regionkey") == region.r_regionkey)
-    return df.select(padded_id("DEPT_", "s_suppkey", 5).alias("department_id"),
-                     F.col("n_name").alias("city"), F.col("r_name").alias("region"))
+    # One row per supplier: its size is the supplier table's.
+    return broadcast_if_small(df.select(padded_id("DEPT_", "s_suppkey", 5).alias("department_id"),
+                                        F.col("n_name").alias("city"), F.col("r_name").alias("region")), basis=sup)
 
 
 def routes(spark: SparkSession, sf: str) -> DataFrame:

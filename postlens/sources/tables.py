@@ -66,3 +66,13 @@ def broadcast_if_small(df: DataFrame, basis: DataFrame | None = None) -> DataFra
     if limit <= 0 or size is None or size > limit:
         return df
     return F.broadcast(df)
+
+
+def broadcast_if_rows_at_most(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """Broadcast a derived table (e.g. the distinct values of a column)
+    after checking its row count with one aggregate job; beyond
+    ``max_rows`` it is left to the planner (shuffle join, AQE at runtime).
+    Use for lookups joined on low-cardinality keys, where a shuffle join
+    would send each key's rows to one task."""
+    n = df.agg(F.count(F.lit(1))).first()[0]
+    return F.broadcast(df) if n <= max_rows else df
