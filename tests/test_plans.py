@@ -37,3 +37,24 @@ def test_dimensions_broadcast_fact_streamed(spark):
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in p
     assert "BuildLeft" not in p  # the fact side (lineitem) is never the build side
+
+
+def test_broadcast_only_behind_size_checks(spark):
+    from postlens.sources.tables import broadcast_if_rows_at_most, broadcast_if_small, table
+    part = table(spark, SF_SMALL, "part", "p_partkey", "p_type")
+    li = table(spark, SF_SMALL, "lineitem", "l_partkey", "l_quantity")
+    hinted = li.join(broadcast_if_small(part), li.l_partkey == part.p_partkey)
+    assert "BroadcastHashJoin" in plan_of(hinted)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plain = li.join(broadcast_if_small(part), li.l_partkey == part.p_partkey)
+        p = plain._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" not in p  # no hint beyond the threshold
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    few = part.select("p_type").distinct()
+    assert "ResolvedHint" in few.hint("broadcast")._jdf.queryExecution().analyzed().toString()
+    n = few.count()
+    assert broadcast_if_rows_at_most(few, n - 1) is few  # beyond the bound: left to the planner
+    assert broadcast_if_rows_at_most(few, n) is not few  # within it: hinted
