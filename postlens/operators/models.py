@@ -14,7 +14,6 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import RankingEvaluator, RegressionEvaluator
 from pyspark.ml.feature import (IDF, PCA, HashingTF, RegexTokenizer, StandardScaler, StringIndexer,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
@@ -199,19 +198,33 @@ def recommendation_rows(recs: DataFrame) -> DataFrame:
 
 def ranking_scores(interactions_split: DataFrame, recs: DataFrame, product_types: DataFrame,
                    k: int = 10) -> DataFrame:
-    """MAP@k and NDCG@k against the held-out items of each user; catalogue
-    coverage = distinct recommended items / all items; diversity = 1 - mean
-    probability that two items of a list share a product type (from the
-    type counts of each list, no pairs are formed)."""
-    truth = (interactions_split.where("is_test").groupBy("user_id")
-             .agg(F.collect_set(F.col("product_id").cast("double")).alias("label")))
-    pred = recs.select("user_id", F.transform("recommendations", lambda r: r["product_id"].cast("double"))
-                       .alias("prediction"))
-    j = pred.join(truth, "user_id")
-    ev = RankingEvaluator(predictionCol="prediction", labelCol="label", k=k)
-    map_k = ev.setMetricName("meanAveragePrecisionAtK").evaluate(j)
-    ndcg = ev.setMetricName("ndcgAtK").evaluate(j)
+    """MAP@k and NDCG@k (binary relevance) against the held-out items of
+    each user, averaged over users with both recommendations and held-out
+    items; catalogue coverage = distinct recommended items / all items;
+    diversity = 1 - mean probability that two items of a list share a
+    product type (from the type counts of each list, no pairs are formed).
+
+    No per-user item list is collected: a user's held-out items enter as
+    a count and as hits of a join with the user's k recommendations, so a
+    user with a third of all interactions costs one aggregate row.
+    """
+    import math
+    truth = interactions_split.where("is_test").select("user_id", "product_id").distinct()
+    n_truth = truth.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_truth"))
     rows = recommendation_rows(recs)
+    hits = (rows.where(F.col("rank") <= k).join(truth.withColumn("hit", F.lit(1)), ["user_id", "product_id"], "left")
+            .withColumn("hit", F.coalesce("hit", F.lit(0))))
+    upto = Window.partitionBy("user_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
+    hits = hits.withColumn("hits_so_far", F.sum("hit").over(upto))
+    per_user = hits.groupBy("user_id").agg(
+        F.sum(F.when(F.col("hit") == 1, F.col("hits_so_far") / F.col("rank"))).alias("prec_sum"),
+        F.sum(F.when(F.col("hit") == 1, F.lit(1.0) / F.log2(F.col("rank") + 1))).alias("dcg"))
+    # ideal DCG for m relevant items, m = 1..k
+    ideal = F.array(*[F.lit(sum(1.0 / math.log2(i + 2) for i in range(m))) for m in range(1, k + 1)])
+    u = per_user.join(n_truth, "user_id").withColumn("m", F.least(F.col("n_truth"), F.lit(k)).cast("int"))
+    u = u.select(F.coalesce(F.col("prec_sum") / F.col("m"), F.lit(0.0)).alias("ap"),
+                 F.coalesce(F.col("dcg") / F.element_at(ideal, F.col("m")), F.lit(0.0)).alias("ndcg"))
+    quality = u.agg(F.avg("ap").alias(f"map_at_{k}"), F.avg("ndcg").alias(f"ndcg_at_{k}"))
     n_items = interactions_split.agg(F.count_distinct("product_id")).scalar()
     typed = rows.join(product_types, "product_id", "left")
     per_list_type = typed.groupBy("user_id", "product_type").agg(F.count(F.lit(1)).alias("c"))
@@ -220,8 +233,7 @@ def ranking_scores(interactions_split: DataFrame, recs: DataFrame, product_types
     div = per_list.agg((F.lit(1.0) - F.avg(safe_div("same", F.col("n") * (F.col("n") - 1)))).alias("diversity"))
     cov = rows.agg(safe_div(F.count_distinct("product_id"), n_items).alias("coverage"))
     from postlens.operators.common import side_by_side
-    return side_by_side(cov, div).select(F.lit(map_k).alias(f"map_at_{k}"), F.lit(ndcg).alias(f"ndcg_at_{k}"),
-                                         "coverage", "diversity")
+    return side_by_side(quality, cov, div)
 
 
 # ---------------------------------------------------------------- pricing (closed form)

@@ -54,3 +54,22 @@ def test_drift_and_forecast_shapes(spark):
     assert d and all(r["drift_score"] >= 0 and r["status"] in ("healthy", "needs_retraining") for r in d)
     f = Q["demand_forecast"](spark, SF_SMALL).collect()
     assert sorted(r["horizon_days"] for r in f) == [1, 7, 30]
+
+
+def test_ranking_metrics_equal_spark_evaluator(spark):
+    """The join-based MAP@10 / NDCG@10 equal RankingEvaluator's (which
+    needs per-user label arrays) on a small fixture."""
+    from pyspark.ml.evaluation import RankingEvaluator
+    from postlens.operators import models as ML
+    from postlens.sources.standins import load
+    split, recs = ML.fit_recommendations(load(spark, SF_SMALL, "interactions"))
+    types = spark.createDataFrame([(0, "x")], "product_id int, product_type string")
+    got = ML.ranking_scores(split, recs, types).first()
+    truth = (split.where("is_test").groupBy("user_id")
+             .agg(F.collect_set(F.col("product_id").cast("double")).alias("label")))
+    pred = recs.select("user_id", F.transform("recommendations", lambda r: r["product_id"].cast("double"))
+                       .alias("prediction"))
+    j = pred.join(truth, "user_id")
+    ev = RankingEvaluator(predictionCol="prediction", labelCol="label", k=10)
+    assert abs(got["map_at_10"] - ev.setMetricName("meanAveragePrecisionAtK").evaluate(j)) < 1e-9
+    assert abs(got["ndcg_at_10"] - ev.setMetricName("ndcgAtK").evaluate(j)) < 1e-9
