@@ -18,7 +18,9 @@ the drops land as files in a folder and two streams consume them:
 
 Both sinks are file sinks with a checkpoint under the shared checkpoint
 directory: a restarted query resumes from its offsets and the sink's
-commit log keeps each batch exactly once.
+commit log keeps each batch exactly once. The state function runs in the
+executors' Python workers, so the package must be shipped with the job
+(``--py-files`` or an installed wheel) on a cluster.
 """
 
 from __future__ import annotations
