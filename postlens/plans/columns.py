@@ -123,8 +123,7 @@ FROM (SELECT *, {TCLASS_SQL} AS transport_class, {PCLASS_SQL} AS parcel_class FR
 LEFT JOIN (VALUES {SUITABILITY_VALUES}) s(transport_class, parcel_class, suitability)
   ON t.transport_class = s.transport_class AND t.parcel_class = s.parcel_class""")
 def q_fleet_capacity(spark, sf):
-    out = O.fleet_capacity(load(spark, sf, "transport"), L.suitability_table(spark), trips=25)
-    return out
+    return O.fleet_capacity(load(spark, sf, "transport"), L.suitability_table(spark), trips=25)
 
 
 @register("transport_metrics", section=S, oracle=f"""
