@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postlens.functions.semantics import np_round
 from postlens.sources.files import TIMESTAMP_FORMAT
 
 
@@ -83,5 +84,5 @@ def model_manifest(spark: SparkSession, models_root: str) -> DataFrame:
     rel = F.regexp_extract("path", r"/models/([^/]+)/", 1)
     g = files.where(rel != "").groupBy(rel.alias("model_name")).agg(
         F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("files"))
-    return g.select("model_name", F.round(F.col("bytes") / 1048576.0, 2).alias("size_mb"), "files",
+    return g.select("model_name", np_round(F.col("bytes") / 1048576.0, 2).alias("size_mb"), "files",
                     F.lit("uploaded").alias("status"))
