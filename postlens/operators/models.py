@@ -339,6 +339,8 @@ def fraud_score(spark: SparkSession, shipments: DataFrame, variance: float = 0.9
     scaler = StandardScaler(inputCol="raw", outputCol="z", withMean=True, withStd=True)
     staged = Pipeline(stages=[asm, scaler]).fit(shipments)
     z = staged.transform(shipments)
+    # One fit with every component; the leading k are kept by slicing the
+    # projection (components are ordered by explained variance).
     full = PCA(k=len(SHIPMENT_FEATURES), inputCol="z", outputCol="pc").fit(z)
     cum, k = 0.0, 0
     for v in full.explainedVariance.toArray():
@@ -346,10 +348,13 @@ def fraud_score(spark: SparkSession, shipments: DataFrame, variance: float = 0.9
         k += 1
         if cum >= variance:
             break
-    pca = PCA(k=k, inputCol="z", outputCol="pc").fit(z)
-    s = pca.transform(z)
-    sq = lambda c: F.aggregate(vector_to_array(c), F.lit(0.0), lambda acc, x: acc + x * x)
-    s = s.select("shipment_id", (sq("z") - sq("pc")).alias("anomaly_score"))
+    s = full.transform(z)
+
+    def sq(arr):
+        return F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x * x)
+
+    s = s.select("shipment_id", (sq(vector_to_array("z")) - sq(F.slice(vector_to_array("pc"), 1, k)))
+                 .alias("anomaly_score"))
     cut = s.agg(F.percentile_approx("anomaly_score", 1.0 - contamination, 10000)).scalar()
     return s.withColumn("is_flagged", F.col("anomaly_score") > cut).withColumn("components", F.lit(k))
 
