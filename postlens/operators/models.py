@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.semantics import np_round, safe_div
+from postlens.sources.tables import broadcast_if_rows_at_most
 
 SEED = 42
 
@@ -386,11 +387,15 @@ def model_drift(predictions: DataFrame, bins: int = 10, floor: float = 1e-4) ->
     p = predictions.where(F.col("actual_value").isNotNull())
     span = p.groupBy("model_type").agg(
         ((F.unix_date(F.min("prediction_date")) + F.unix_date(F.max("prediction_date"))) / 2.0).alias("mid"))
-    p = p.join(span, "model_type").withColumn("later", F.unix_date("prediction_date") > F.col("mid"))
+    # Per-model tables have one row per model; the predictions are joined to
+    # them on a key with few values, so they are broadcast (after a row-count
+    # check) instead of shuffling each model's predictions into one task.
+    p = p.join(broadcast_if_rows_at_most(span), "model_type").withColumn(
+        "later", F.unix_date("prediction_date") > F.col("mid"))
     qs = [i / bins for i in range(1, bins)]
     edges = (p.where(~F.col("later")).groupBy("model_type")
              .agg(F.percentile_approx("predicted_value", qs, 10000).alias("edges")))
-    p = p.join(edges, "model_type")
+    p = p.join(broadcast_if_rows_at_most(edges), "model_type")
     bin_of = F.size(F.filter("edges", lambda e: e < F.col("predicted_value")))
     # Same rule as the model performance view: |p - a| / a <= 0.1.
     within = F.coalesce(safe_div(F.abs(F.col("predicted_value") - F.col("actual_value")), "actual_value") <= 0.1,
