@@ -49,3 +49,17 @@ def test_results_do_not_depend_on_shuffle_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert a == b
+
+
+def test_manifest_total_and_report_lines(spark):
+    from postlens.operators import reports as REP
+    frames = REP.analytics_views(spark, SF_SMALL, P.RUN_DS)
+    m = {r["table_name"]: r["row_count"] for r in REP.load_manifest(frames).collect()}
+    assert m["total_records"] == sum(v for k, v in m.items() if k != "total_records")
+    assert m["courier_performance_view"] == frames["courier_performance_view"].count()
+    rep = REP.daily_report(spark, SF_SMALL, P.RUN_DS)
+    lines = [r["value"] for r in REP.report_lines(rep).orderBy("line_no").select(
+        F.format_string("[%s] %s: %s", "section", "metric", "value").alias("value")).collect()]
+    assert lines[0].startswith("[quality] Overall quality score: ") and lines[0].endswith("%")
+    assert lines[3].startswith("[business] Revenue: $") and "," in lines[3]
+    assert len(lines) == 12
