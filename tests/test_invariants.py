@@ -63,3 +63,17 @@ def test_manifest_total_and_report_lines(spark):
     assert lines[0].startswith("[quality] Overall quality score: ") and lines[0].endswith("%")
     assert lines[3].startswith("[business] Revenue: $") and "," in lines[3]
     assert len(lines) == 12
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    q = catalog.queries()
+    keys = ["web_kpis", "previous_delivery", "delivery_hour", "scan_daily_partition"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        a = {k: sorted(q[k](spark, SF_SMALL).collect()) for k in keys}
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        b = {k: sorted(q[k](spark, SF_SMALL).collect()) for k in keys}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert a == b
