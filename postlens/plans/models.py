@@ -27,8 +27,15 @@ S = "2.11"
 _FITS: dict = {}
 
 
+def _session_key(spark) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        return str(id(spark))
+
+
 def _memo(spark, sf, name, build):
-    key = (spark.sparkContext.applicationId, sf, name)
+    key = (_session_key(spark), sf, name)
     if key not in _FITS:
         _FITS[key] = build()
     return _FITS[key]
