@@ -88,8 +88,8 @@ def test_validate_routes_rules(spark):
 def test_split_lag_matches_plain_lag_with_hot_entity(spark):
     rows = []
     base = dt.datetime(2024, 1, 1)
-    for i in range(300):  # one hot courier spread over many days, plus a sparse one
-        rows.append(("HOT", base + dt.timedelta(hours=7 * i), i, i % 17))
+    for i in range(300):  # one hot courier spread over many days, plus a sparse one; some values missing
+        rows.append(("HOT", base + dt.timedelta(hours=7 * i), i, None if i % 11 == 0 else i % 17))
     for i in range(20):
         rows.append(("COLD", base + dt.timedelta(days=9 * i), 1000 + i, i))
     df = spark.createDataFrame(rows, "e string, ts timestamp_ntz, id int, v int")
