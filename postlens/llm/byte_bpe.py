@@ -22,7 +22,7 @@ import base64
 import hashlib
 import re
 import struct
-from itertools import chain
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -114,8 +114,11 @@ class ByteBpe:
         """Ids of pre-tokens, each on its own."""
         raw = [t.encode() for t in tokens]
         ranks = [self.ranks.get(r) for r in raw]
-        rest = iter(self.model.encode([as_chars(r) for r, k in zip(raw, ranks, strict=True) if k is None], out_type=int, num_threads=1))
-        return [self.to_rank[next(rest)].tobytes() if k is None else struct.pack("<I", k) for k in ranks]
+        merged = self.model.encode([as_chars(r) for r, k in zip(raw, ranks, strict=True) if k is None], out_type=int, num_threads=1)
+        flat = self.to_rank[np.fromiter(chain.from_iterable(merged), np.int64)].tobytes()
+        ends = accumulate((4 * len(m) for m in merged), initial=0)
+        rest = (flat[a:b] for a, b in pairwise(ends))
+        return [next(rest) if k is None else struct.pack("<I", k) for k in ranks]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers.

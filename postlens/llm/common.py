@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,7 +74,7 @@ def pieces(batch: pa.RecordBatch, column: str = "text", most_bytes: int = 8 << 2
     """Slices of a batch of at most about ``most_bytes`` of text each (one
     row at least), so that working memory follows the longest text only."""
     at, n, col = 0, batch.num_rows, batch.column(batch.schema.get_field_index(column))
-    sizes = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False)
     while at < n:
         end, total = at, 0
         while end < n and (end == at or total + sizes[end] <= most_bytes):
