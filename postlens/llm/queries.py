@@ -8,8 +8,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postlens.llm import byte_bpe
+from postlens.llm import byte_bpe, license_scan
 from postlens.llm.common import table
+from postlens.llm.licence_texts import PHRASES, TEMPLATES
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -21,9 +22,15 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(table(spark, sf_dir, "documents", "doc_id", "text"), bpe)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return license_scan.digest(license_scan.scan_documents(docs, license_scan.Scanner(PHRASES, TEMPLATES)))
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
+        "op2_license_scan": op2_license_scan,
     }
 
 
