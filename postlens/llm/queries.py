@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postlens.llm import byte_bpe, license_scan
+from postlens.llm import byte_bpe, language_id, license_scan, quality_trees, toxicity
 from postlens.llm.common import table
 from postlens.llm.licence_texts import PHRASES, TEMPLATES
 
@@ -27,10 +27,26 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.digest(license_scan.scan_documents(docs, license_scan.Scanner(PHRASES, TEMPLATES)))
 
 
+def op5_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_trees.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return language_id.identify(docs, language_id.learn(docs))
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
         "op2_license_scan": op2_license_scan,
+        "op5_quality_trees": op5_quality_trees,
+        "op8_toxicity": op8_toxicity,
+        "op9_language_id": op9_language_id,
     }
 
 
