@@ -36,7 +36,7 @@ def dimension(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFr
     return F.broadcast(table(spark, sf_dir, name, *cols))
 
 
-def _threshold(spark: SparkSession) -> int:
+def broadcast_threshold(spark: SparkSession) -> int:
     raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
     units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
     for suffix in sorted(units, key=len, reverse=True):
@@ -61,7 +61,7 @@ def broadcast_if_small(df: DataFrame, basis: DataFrame | None = None) -> DataFra
     planner shuffles (sort-merge), with AQE free to switch at runtime.
     Without the hint a small fact sample can look smaller than a dimension
     and be broadcast itself, collapsing the join into one task."""
-    limit = _threshold(df.sparkSession)
+    limit = broadcast_threshold(df.sparkSession)
     size = estimated_bytes(basis if basis is not None else df)
     if limit <= 0 or size is None or size > limit:
         return df
