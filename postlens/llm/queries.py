@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postlens.llm import byte_bpe, decontamination, language_id, license_scan, quality_trees, toxicity
+from postlens.llm import byte_bpe, decontamination, language_id, license_scan, minhash, quality_trees, toxicity
 from postlens.llm.common import table
 from postlens.llm.licence_texts import PHRASES, TEMPLATES
 
@@ -35,6 +35,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.scan(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.compare(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
@@ -50,6 +54,7 @@ def queries() -> dict[str, QueryFn]:
         "op2_license_scan": op2_license_scan,
         "op5_quality_trees": op5_quality_trees,
         "op6_decontamination": op6_decontamination,
+        "op7_minhash": op7_minhash,
         "op8_toxicity": op8_toxicity,
         "op9_language_id": op9_language_id,
     }
