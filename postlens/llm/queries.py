@@ -8,12 +8,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postlens.llm import byte_bpe, decontamination, language_id, license_scan, minhash, quality_trees, toxicity
+from postlens.llm import byte_bpe, chat_format, decontamination, language_id, license_scan, minhash, quality_trees, toxicity
 from postlens.llm.common import table
 from postlens.llm.licence_texts import PHRASES, TEMPLATES
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
+#: A conversation whose texts hold what templates use as marks.
+EXTRA_CONVERSATION = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")]
+CHAT_TOKENIZER_PATH = public_tokenizers.path("byte_bpe_50k.json")
 RANKS_PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -48,6 +51,14 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.learn(docs))
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(EXTRA_CONVERSATION, "conv_id long, turn long, role string, text string")
+    with open(CHAT_TOKENIZER_PATH) as f:
+        formatter = chat_format.Formatter(f.read())
+    return chat_format.conversations_digest(given.withColumn("turn", given["turn"].cast("long")).unionByName(extra), formatter)
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
@@ -57,6 +68,7 @@ def queries() -> dict[str, QueryFn]:
         "op7_minhash": op7_minhash,
         "op8_toxicity": op8_toxicity,
         "op9_language_id": op9_language_id,
+        "op10_chat_format": op10_chat_format,
     }
 
 
