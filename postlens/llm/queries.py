@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postlens.llm import byte_bpe, chat_format, decontamination, language_id, license_scan, minhash, quality_trees, toxicity
+from postlens.llm import byte_bpe, chat_format, decontamination, jaccard_join, language_id, license_scan, minhash, quality_trees, toxicity
 from postlens.llm.common import table
 from postlens.llm.licence_texts import PHRASES, TEMPLATES
 
@@ -30,6 +30,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.digest(license_scan.scan_documents(docs, license_scan.Scanner(PHRASES, TEMPLATES)))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_trees.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
 
@@ -63,6 +67,7 @@ def queries() -> dict[str, QueryFn]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
         "op2_license_scan": op2_license_scan,
+        "op3_jaccard_join": op3_jaccard_join,
         "op5_quality_trees": op5_quality_trees,
         "op6_decontamination": op6_decontamination,
         "op7_minhash": op7_minhash,
