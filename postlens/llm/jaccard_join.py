@@ -19,8 +19,9 @@ that chance agreement of unrelated sets would give, from the numbers of all
 sets per band.
 
 Verification. Sets with a common signature form a bucket. Round by round, the
-first members of each bucket are compared exactly with the bucket's members of other
-components; a member linked to them joins their component and needs no
+first members of each bucket are compared with the bucket's members of other
+components: first sizes and parity sketches, which no linking pair fails, then
+exactly; a member linked to them joins their component and needs no
 comparison inside it, so a group of n near copies costs about n comparisons, not
 n squared; compared members leave the bucket, and the rounds end when every
 bucket holds one component only. No link between different components is
@@ -35,13 +36,14 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import math
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.llm.common import pieces, space_words, stored
@@ -52,6 +54,8 @@ SHINGLE, PERCENT = 3, 90
 BAND_RATIO = 1.3
 #: Cost of comparing one candidate pair, in signatures written.
 PAIR_COST = 20.0
+#: Longs of a set's parity sketch.
+SKETCH = 8
 CACHE_ENTRIES = 300_000
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -119,6 +123,13 @@ def allocate(sets: int, last: int) -> tuple[int, int]:
     return best[1:]
 
 
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """``SKETCH`` x 64 parity bits of a set. Two sets' sketches differ in at
+    most as many bits as the sets do in tokens."""
+    bits = np.bincount((mix(tokens ^ _C) % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 class Signer:
     """Signatures of a set under a plan {band: (segments with budget 0, 1)}."""
 
@@ -150,6 +161,17 @@ class Signer:
         return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
 
 
+_SKETCH = [f"s{i}" for i in range(SKETCH)]
+
+
+def _may_link() -> Column:
+    """No pair that links fails this: sizes fit, and the sketches differ in no
+    more bits than the sets may in tokens."""
+    differ = functools.reduce(lambda a, b: a + b, (F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_a"))) for c in _SKETCH))
+    return ((100 * F.least("size", "size_a") >= PERCENT * F.greatest("size", "size_a"))
+            & ((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("size") + F.col("size_a"))))
+
+
 def _memberships(docs: DataFrame) -> DataFrame:
     def rows(batches):
         shingle = Shingler()
@@ -157,10 +179,11 @@ def _memberships(docs: DataFrame) -> DataFrame:
             for part in pieces(whole):
                 sets = [shingle(t) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) for s in sets], pa.int64())],
-                    names=["doc_id", "n_shingles", "node"])
+                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) for s in sets], pa.int64()),
+                     *(pa.array(x) for x in np.array([parity(s) for s in sets], np.int64).reshape(-1, SKETCH).T)],
+                    names=["doc_id", "n_shingles", "node", *_SKETCH])
 
-    return docs.mapInArrow(rows, "doc_id long, n_shingles long, node long")
+    return docs.mapInArrow(rows, "doc_id long, n_shingles long, node long, " + ", ".join(f"{c} long" for c in _SKETCH))
 
 
 def _signatures(docs: DataFrame, signer: Signer) -> DataFrame:
@@ -238,7 +261,7 @@ def set_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     members = stored(_memberships(plain), "shingle-sets")
     nodes = members.where("node is not null").groupBy("node").agg(
-        F.max("n_shingles").alias("size"), F.min("doc_id").alias("doc_id"))
+        F.max("n_shingles").alias("size"), F.min("doc_id").alias("doc_id"), *(F.max(c).alias(c) for c in _SKETCH))
     largest = nodes.agg(F.max("size")).first()[0] or 0
     starts = band_starts(largest)
     bounds = F.array(*[F.lit(s) for s in starts])
@@ -248,32 +271,31 @@ def set_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             for b, (_, stop) in enumerate(pairwise(starts)) if b in counts}
     empty = docs.sparkSession.createDataFrame([], "node long, root long")
     if not plan:
-        return members, empty
+        return members.drop(*_SKETCH), empty
     signed = stored(_signatures(plain, Signer(starts, plan)), "signatures")
     shared = signed.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high").select("sig")
-    bucket = stored(signed.join(shared, "sig").distinct().join(nodes.select("node", "size"), "node"), "buckets")
+    bucket = stored(signed.join(shared, "sig").distinct().join(nodes.drop("doc_id"), "node"), "buckets")
     company = nodes.join(bucket.select("node").distinct(), "node").select("node", "doc_id")
     texts = stored(_texts_of(plain, company), "candidate-texts")
     roots, leaders, links = empty, 1, None
     while True:
-        at = bucket.join(roots, "node", "left").select("sig", "node", "size", F.coalesce("root", "node").alias("root"))
+        at = bucket.join(roots, "node", "left").select("sig", "node", "size", *_SKETCH, F.coalesce("root", "node").alias("root"))
         mixed = at.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("sig")
         left = stored(at.join(mixed, "sig"), "open-buckets")
         # the first members of every open bucket (Spark limits the ranks before the shuffle as well)
         rank = F.row_number().over(Window.partitionBy("sig").orderBy("node"))
         heads = stored(left.withColumn("rank", rank).where(F.col("rank") <= leaders).drop("rank"), "bucket-heads")
-        pairs = (left.join(heads.select("sig", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("root").alias("root_a")), "sig")
-                 .where((F.col("root") != F.col("root_a")) & (100 * F.least("size", "size_a") >= PERCENT * F.greatest("size", "size_a")))
-                 .select("a", F.col("node").alias("b")).distinct())
+        a = heads.select("sig", *(F.col(c).alias("a" if c == "node" else f"{c}_a") for c in ["node", "size", "root", *_SKETCH]))
+        pairs = left.join(a, "sig").where((F.col("root") != F.col("root_a")) & _may_link()).select("a", F.col("node").alias("b")).distinct()
         found = stored(_verified(pairs, texts), "links")
         links = found if links is None else links.unionByName(found)
         if not found.isEmpty():
             roots = stored(components(links), "components")
-        bucket = left.select("sig", "node", "size").join(heads.select("sig", "node"), ["sig", "node"], "left_anti")
+        bucket = left.drop("root").join(heads.select("sig", "node"), ["sig", "node"], "left_anti")
         bucket = stored(bucket, "open-buckets")
         if bucket.isEmpty():
-            return members, roots
-        leaders = min(4 * leaders, 64)
+            return members.drop(*_SKETCH), roots
+        leaders = min(16 * leaders, 4096)
 
 
 def join_documents(docs: DataFrame) -> DataFrame:
