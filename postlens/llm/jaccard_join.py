@@ -45,6 +45,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlens.llm.common import pieces, space_words, stored
 from postlens.llm.components import components
@@ -305,3 +306,27 @@ def join_documents(docs: DataFrame) -> DataFrame:
     least = at.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("component_id"))
     return at.join(least, "group", "left").select(
         "doc_id", "n_shingles", F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One document of each component, as it is: the one with the least id
+    (null last), then the least digest of its text; documents without words
+    all stay."""
+    _, roots = set_components(docs)
+    at = docs.columns.index("text")
+
+    def rows(batches):
+        shingle = Shingler()
+        for whole in batches:
+            for part in pieces(whole):
+                own = [node_of(shingle(t)) for t in part.column(at).to_pylist()]
+                yield part.append_column("__node", pa.array(own, pa.int64()))
+
+    schema = T.StructType(docs.schema.fields + [T.StructField("__node", T.LongType())])
+    marked = docs.mapInArrow(rows, schema).withColumn("__key", F.concat_ws(",", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.md5("text")))
+    order = F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("doc_id"), F.col("__key"), F.col("__node"))
+    chosen = (marked.where("__node is not null").select("__node", order.alias("o")).join(roots.withColumnRenamed("node", "__node"), "__node", "left")
+              .groupBy(F.coalesce("root", "__node").alias("group")).agg(F.min("o").alias("o")).select("o.__node", "o.__key"))
+    # the rows meet their choice and repeated rows fall away in the same partition
+    kept = marked.join(chosen, ["__node", "__key"]).dropDuplicates(["__node", "__key"])
+    return kept.select(*docs.columns).unionByName(marked.where("__node is null").select(*docs.columns))

@@ -156,3 +156,17 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
 
     out = docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")).mapInArrow(rows, "doc_id long, lang_pred string, score double")
     return out.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def keep(docs: DataFrame) -> DataFrame:
+    """The documents in a recognised language, as they are: those without a
+    letter or without any n-gram of a learned language go."""
+    shared = docs.sparkSession.sparkContext.broadcast(learn(docs.select("doc_id", "text", "lang")))
+    at = docs.columns.index("text")
+
+    def rows(batches):
+        for whole in batches:
+            for part in pieces(whole):
+                yield part.filter(pa.array([shared.value.decide(t)[1] > 0 for t in part.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(rows, docs.schema)

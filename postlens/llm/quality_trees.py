@@ -170,3 +170,21 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
     scored = stats.mapInArrow(rows, "doc_id long, score double")
     return scored.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """The documents that score at least ``threshold``, as they are: the
+    statistics of the sample only are gathered, every row is then scored and
+    filtered where it is read (no shuffle of the texts)."""
+    picked = stored(labelled.sample(labels, "quality").select("doc_id"), "quality-sample")
+    shared = docs.sparkSession.sparkContext.broadcast(
+        fit_on(document_statistics(labelled.with_labels(docs.select(docs["doc_id"].cast("long"), "text"), picked)), labels))
+    at = docs.columns.index("text")
+
+    def rows(batches):
+        for whole in batches:
+            for part in pieces(whole):
+                x = np.array([statistics(t) for t in part.column(at).to_pylist()], np.float64).reshape(-1, len(STATISTICS))
+                yield part.filter(pa.array(shared.value.score(x) >= threshold))
+
+    return docs.mapInArrow(rows, docs.schema)
