@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postlens.llm import byte_bpe, chat_format, decontamination, jaccard_join, language_id, license_scan, minhash, quality_trees, toxicity
+from postlens.llm import attention_lm, byte_bpe, chat_format, decontamination, jaccard_join, language_id, license_scan, minhash, quality_trees, toxicity
 from postlens.llm.common import table
 from postlens.llm.licence_texts import PHRASES, TEMPLATES
 
@@ -17,6 +17,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 #: A conversation whose texts hold what templates use as marks.
 EXTRA_CONVERSATION = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")]
 CHAT_TOKENIZER_PATH = public_tokenizers.path("byte_bpe_50k.json")
+SUBWORD_PATH = public_tokenizers.path("piece_bpe_32k.model")
 RANKS_PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -34,6 +35,12 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(SUBWORD_PATH, "rb") as f:
+        subwords = attention_lm.Subwords(f.read())
+    return attention_lm.score_documents(table(spark, sf_dir, "documents", "doc_id", "text"), subwords)
+
+
 def op5_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_trees.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
 
@@ -68,6 +75,7 @@ def queries() -> dict[str, QueryFn]:
         "op1_byte_bpe": op1_byte_bpe,
         "op2_license_scan": op2_license_scan,
         "op3_jaccard_join": op3_jaccard_join,
+        "op4_attention_lm": op4_attention_lm,
         "op5_quality_trees": op5_quality_trees,
         "op6_decontamination": op6_decontamination,
         "op7_minhash": op7_minhash,
