@@ -72,8 +72,10 @@ def pct_change(cur: Column | str, prev: Column | str) -> Column:
 
 
 def padded_id(prefix: str, c: Column | str, width: int) -> Column:
-    """``f'{prefix}{c:0{width}d}'`` for a non-negative integer column."""
-    return F.concat(F.lit(prefix), F.lpad(col_(c).cast("string"), width, "0"))
+    """``f'{prefix}{c:0{width}d}'`` for a non-negative integer column: a
+    longer number is kept whole (``lpad`` alone would cut it)."""
+    digits = col_(c).cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))
 
 
 def month_key(c: Column | str) -> Column:

@@ -16,12 +16,11 @@ def side_by_side(*one_row: DataFrame) -> DataFrame:
     as null) and folded by a global ``first(ignorenulls)``: a single tiny
     aggregation over as many rows as there are inputs.
     """
+    cols = [c for df in one_row for c in df.columns]
+    clashes = sorted({c for c in cols if cols.count(c) > 1})
+    if clashes:
+        raise ValueError(f"columns in more than one input: {', '.join(clashes)}")
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), one_row)
-    cols = []
-    for df in one_row:
-        for c in df.columns:
-            if c not in cols:
-                cols.append(c)
     return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
 
 

@@ -216,11 +216,12 @@ def cohort_retention(purchases: DataFrame, offsets: tuple[int, ...] = (1, 3, 6))
     """Cohort = month of first purchase; retention_k = customers with a
     purchase exactly k months later / cohort size, in %; null when month k
     lies beyond the last month of data."""
-    p = purchases.select("customer_id", month_index(F.col("order_date")).alias("m"))
+    # one row per customer and month before any join: a hot customer has few months
+    p = purchases.select("customer_id", month_index(F.col("order_date")).alias("m")).distinct()
     first = p.groupBy("customer_id").agg(F.min("m").alias("cohort"))
     last = p.agg(F.max("m")).scalar()
     active = p.join(first, "customer_id").select("customer_id", "cohort", (F.col("m") - F.col("cohort")).alias("k"))
-    hits = (active.where(F.col("k").isin(*offsets)).select("cohort", "k", "customer_id").distinct()
+    hits = (active.where(F.col("k").isin(*offsets)).select("cohort", "k", "customer_id")
             .groupBy("cohort").agg(*[F.count_if(F.col("k") == k).alias(f"_a{k}") for k in offsets]))
     size = first.groupBy("cohort").agg(F.count(F.lit(1)).alias("cohort_size"))
     j = size.join(hits, "cohort", "left").withColumn("_last", last)

@@ -30,12 +30,19 @@ SEED = 42
 
 # ---------------------------------------------------------------- shared pieces
 def holdout_flag(*keys: str, test_fraction: float = 0.2, seed: int = SEED) -> Column:
-    """True for the test set: a stable hash of the row key, independent of
-    partitioning and of the order rows arrive in."""
-    h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(10000))
+    """True for the test set: a stable digest of the row key, independent of
+    partitioning and of the order rows arrive in (``holdout_sql`` in SQL)."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    h = F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("long") % 10000
     return h < F.lit(int(round(test_fraction * 10000)))
 
 
+def holdout_sql(*keys: str, test_fraction: float = 0.2, seed: int = SEED) -> str:
+    """``holdout_flag`` for the SQL twin."""
+    text = " || '|' || ".join([f"'{seed}'", *(f"coalesce(cast({k} AS string), '')" for k in keys)])
+    return f"cast('0x' || substring(md5({text}), 1, 7) AS BIGINT) % 10000 < {int(round(test_fraction * 10000))}"
+
+
 def label_encoder(col: str) -> StringIndexer:
     """Category -> code, classes sorted ascending (``LabelEncoder``);
     unseen categories get the extra code instead of failing."""
@@ -184,8 +191,10 @@ def fit_churn(purchases: DataFrame, horizon_days: int = 180) -> DataFrame:
 def fit_recommendations(interactions: DataFrame, k: int = 10):
     """Implicit-feedback ALS on purchase counts; top-k per user."""
     d = interactions.withColumn("is_test", holdout_flag("user_id", "product_id"))
+    blocks = max(10, interactions.sparkSession.sparkContext.defaultParallelism)  # as wide as the cluster
     als = ALS(userCol="user_id", itemCol="product_id", ratingCol="purchases", implicitPrefs=True, rank=10,
-              maxIter=10, regParam=0.1, alpha=1.0, seed=SEED, coldStartStrategy="drop")
+              maxIter=10, regParam=0.1, alpha=1.0, seed=SEED, coldStartStrategy="drop",
+              numUserBlocks=blocks, numItemBlocks=blocks)
     model = als.fit(d.where(~F.col("is_test")))
     recs = model.recommendForAllUsers(k)
     return d, recs

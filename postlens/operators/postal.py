@@ -144,10 +144,10 @@ def fleet_capacity(transport: DataFrame, suitability: DataFrame, trips: int = 25
                         truncate_int(F.col("fleet_size") * F.col("suitability") * F.lit(trips))))
 
 
-def transport_metrics(transport: DataFrame) -> DataFrame:
+def transport_metrics(transport: DataFrame, *kept: str) -> DataFrame:
     """total distance = deliveries * mean distance; fuel = distance * litres
     per km of the transport class; utilization % = round(deliveries /
-    (fleet * 30) * 100, 2)."""
+    (fleet * 30) * 100, 2). ``kept`` columns go along unchanged."""
     tclass = L.transport_class(F.col("transport_type"))
     dist = F.col("monthly_deliveries") * F.col("avg_distance_per_delivery")
     return transport.select(
@@ -156,7 +156,7 @@ def transport_metrics(transport: DataFrame) -> DataFrame:
         dist.alias("computed_distance_km"),
         (dist * L.map_lookup(L.FUEL_PER_KM, tclass)).alias("computed_fuel_liters"),
         np_round(safe_div("monthly_deliveries", F.col("fleet_size") * 30) * 100.0, 2)
-        .alias("utilization_rate_percent"))
+        .alias("utilization_rate_percent"), *kept)
 
 
 def route_endpoints(routes: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ def load_manifest(frames: dict[str, DataFrame]) -> DataFrame:
     Each count is a global aggregate of its own plan."""
     per = reduce(lambda a, b: a.unionByName(b), [
         df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count", F.lit("loaded").alias("status"))
+            F.lit(name).alias("table_name"), "row_count", F.lit("SUCCESS").alias("status"))
         for name, df in frames.items()])
     total = per.agg(F.sum("row_count").alias("row_count")).select(
         F.lit("total_records").alias("table_name"), "row_count", F.lit("summary").alias("status"))

@@ -32,17 +32,15 @@ def write_truncate(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_append(df: DataFrame, path: str, partition_col: str, idempotent: bool = True,
-                 salt_buckets: int = 8) -> None:
+def write_append(df: DataFrame, path: str, partition_col: str, idempotent: bool = True) -> None:
     """Append the day's rows; with ``idempotent`` a rerun of a day replaces
     that day's partition instead of adding a second copy.
 
-    Rows are shuffled by (partition value, hash of the row mod
-    ``salt_buckets``): each output directory gets at most that many files,
-    and a hot partition value is written by that many tasks, not one.
+    Rows are rebalanced by the partition value: the adaptive plan merges
+    small values into one task and splits a large one into as many tasks as
+    the advisory partition size asks for, so files follow the data's size.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
-    w = df.repartition(F.col(partition_col), salt).write.partitionBy(partition_col)
+    w = df.hint("rebalance", F.col(partition_col)).write.partitionBy(partition_col)
     if idempotent:
         w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
@@ -57,11 +55,15 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, path: str
 
 
 def insert_values(spark: SparkSession, table: str, source: DataFrame, columns: list[str]) -> None:
-    """``INSERT INTO table (c1, c2, ...)`` from the rows of ``source``."""
+    """``INSERT INTO table (c1, c2, ...)`` from the rows of ``source``. The
+    source's temporary view is dropped again."""
     view = f"_insert_src_{table}"
     source.select(*columns).createOrReplaceTempView(view)
     cols = ", ".join(f"`{c}`" for c in columns)
-    spark.sql(f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {view}")
+    try:
+        spark.sql(f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def create_or_replace_view(df: DataFrame, prefix: str, ds: str) -> str:
@@ -77,12 +79,15 @@ def save_model(model, path: str) -> None:
 
 
 def model_manifest(spark: SparkSession, models_root: str) -> DataFrame:
-    """Saved models with their size in MB (2 dp), file count and status,
-    from the file listing read by Spark (``binaryFile`` metadata only)."""
+    """Saved models, the first folder below ``models_root``, with their size
+    in MB (2 dp), file count and status, and a total row; from the file
+    listing read by Spark (``binaryFile`` metadata only)."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(models_root)
              .select("path", "length"))
-    rel = F.regexp_extract("path", r"/models/([^/]+)/", 1)
-    g = files.where(rel != "").groupBy(rel.alias("model_name")).agg(
+    below = F.substring_index("path", f"{models_root.rstrip('/').split(':', 1)[-1]}/", -1)
+    g = files.groupBy(F.substring_index(below, "/", 1).alias("model_name")).agg(
         F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("files"))
-    return g.select("model_name", np_round(F.col("bytes") / 1048576.0, 2).alias("size_mb"), "files",
-                    F.lit("uploaded").alias("status"))
+    total = g.agg(F.sum("bytes").alias("bytes"), F.sum("files").alias("files")).select(
+        F.lit("total").alias("model_name"), "bytes", "files", F.lit("summary").alias("status"))
+    return (g.withColumn("status", F.lit("SUCCESS")).unionByName(total)
+            .select("model_name", np_round(F.col("bytes") / 1048576.0, 2).alias("size_mb"), "files", "status"))

@@ -86,10 +86,8 @@ def department_facts(departments: DataFrame, ds: str) -> DataFrame:
 
 def transport_facts(transport: DataFrame, ds: str) -> DataFrame:
     """Monthly snapshot per transport x parcel with the transport metrics."""
-    m = O.transport_metrics(transport.where(F.col("month") == F.lit(ds[:7])))
-    t = transport.where(F.col("month") == F.lit(ds[:7])).select(
-        "transport_type", "parcel_type", "avg_distance_per_delivery")
-    return m.join(t, ["transport_type", "parcel_type"]).select(
+    m = O.transport_metrics(transport.where(F.col("month") == F.lit(ds[:7])), "avg_distance_per_delivery")
+    return m.select(
         F.lit(ds).cast("date").alias("snapshot_date"), "transport_type", "parcel_type", "fleet_size",
         "monthly_deliveries", "avg_distance_per_delivery",
         F.col("computed_distance_km").alias("total_distance_km"),

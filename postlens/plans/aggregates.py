@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from postlens.operators import views
 from postlens.operators.common import flat_arrays
+from postlens.operators.postal import geographical_coverage
 from postlens.plans import params as P
 from postlens.plans.catalog import register
 from postlens.sources.standins import load
@@ -198,10 +199,18 @@ def q_ml_model_performance_view(spark, sf):
 
 
 @register("geographical_coverage", section=S, oracle=f"""
-SELECT region, city, cities_covered, total_departments, coverage_density, service_quality_score,
-       estimated_monthly_demand, current_monthly_capacity, analysis_date,
-       capacity_ratio, expansion_priority, service_gaps
-FROM ({COVERAGE_ROWS_SQL}) c""")
+WITH g AS (
+  SELECT region, count(DISTINCT city) AS cities_covered, cast(sum(total_departments) AS BIGINT) AS total_departments,
+         avg(coverage_density) AS density, avg(service_quality_score) AS quality,
+         sum(estimated_monthly_demand) AS estimated_monthly_demand, sum(current_monthly_capacity) AS current_monthly_capacity
+  FROM coverage WHERE analysis_date = DATE '{P.SNAPSHOT_DS}' GROUP BY region),
+r AS (SELECT *, round_even(density, 3) AS coverage_density, round_even(quality, 2) AS service_quality_score,
+             current_monthly_capacity / nullif(cast(estimated_monthly_demand AS DOUBLE), 0) AS ratio FROM g)
+SELECT region, cities_covered, total_departments, coverage_density, service_quality_score, estimated_monthly_demand,
+       current_monthly_capacity, round_even(ratio, 3) AS capacity_ratio, DATE '{P.SNAPSHOT_DS}' AS analysis_date,
+       CASE WHEN ratio IS NULL THEN NULL WHEN ratio < 1.1 THEN 'high' WHEN ratio < 1.3 THEN 'medium' ELSE 'low' END AS expansion_priority,
+       concat_ws('|', CASE WHEN density < 0.7 THEN 'low_department_density' END,
+                      CASE WHEN quality < 8.0 THEN 'service_quality_issues' END) AS service_gaps FROM r""")
 def q_geographical_coverage(spark, sf):
-    return flat_arrays(coverage_rows(spark, sf))
+    return flat_arrays(geographical_coverage(load(spark, sf, "coverage"), P.SNAPSHOT_DS))
 

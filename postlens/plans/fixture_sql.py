@@ -16,9 +16,9 @@ _DTYPE = ("CASE {k} % 4 WHEN 0 THEN 'sorting' WHEN 1 THEN 'distribution' "
 
 FIXTURE_SQL = {
     "deliveries": f"""
-SELECT concat('DEL_', lpad(cast(l_orderkey AS string), 9, '0'), '_', cast(l_linenumber AS string)) AS delivery_id,
-       concat('CUR_', lpad(cast(l_suppkey AS string), 5, '0')) AS courier_id,
-       concat('PCL_', lpad(cast(l_partkey AS string), 6, '0')) AS parcel_id,
+SELECT concat('DEL_', lpad(cast(l_orderkey AS string), cast(greatest(9, length(cast(l_orderkey AS string))) AS int), '0'), '_', cast(l_linenumber AS string)) AS delivery_id,
+       concat('CUR_', lpad(cast(l_suppkey AS string), cast(greatest(5, length(cast(l_suppkey AS string))) AS int), '0')) AS courier_id,
+       concat('PCL_', lpad(cast(l_partkey AS string), cast(greatest(6, length(cast(l_partkey AS string))) AS int), '0')) AS parcel_id,
        p_type AS parcel_type,
        n_name AS city,
        l_shipdate + INTERVAL '1' HOUR * cast(l_orderkey % 24 AS int) AS receive_datetime,
@@ -28,7 +28,7 @@ SELECT concat('DEL_', lpad(cast(l_orderkey AS string), 9, '0'), '_', cast(l_line
        l_returnflag <> 'R' AS success
 FROM {_LI_SUP_NAT_PART}""",
     "departments": f"""
-SELECT concat('DEPT_', lpad(cast(s_suppkey AS string), 5, '0')) AS department_id,
+SELECT concat('DEPT_', lpad(cast(s_suppkey AS string), cast(greatest(5, length(cast(s_suppkey AS string))) AS int), '0')) AS department_id,
        {_DTYPE.format(k='s_suppkey')} AS department_type,
        n_name AS city, p_type AS parcel_type, l_returnflag AS transport_type,
        count(*) AS monthly_volume,
@@ -50,9 +50,9 @@ SELECT l_returnflag AS transport_type, p_type AS parcel_type,
 FROM lineitem JOIN part ON l_partkey = p_partkey
 GROUP BY l_returnflag, p_type, {_MONTH}""",
     "feedback": """
-SELECT concat('FB_', lpad(cast(event_id AS string), 9, '0')) AS feedback_id,
-       concat('DEL_', lpad(cast(event_id AS string), 9, '0'), '_1') AS delivery_id,
-       concat('CUST_', lpad(cast(user_id AS string), 6, '0')) AS customer_id,
+SELECT concat('FB_', lpad(cast(event_id AS string), cast(greatest(9, length(cast(event_id AS string))) AS int), '0')) AS feedback_id,
+       concat('DEL_', lpad(cast(event_id AS string), cast(greatest(9, length(cast(event_id AS string))) AS int), '0'), '_1') AS delivery_id,
+       concat('CUST_', lpad(cast(user_id AS string), cast(greatest(6, length(cast(user_id AS string))) AS int), '0')) AS customer_id,
        n_name AS city,
        event_type AS delivery_type,
        1 + cast(floor(value) AS int) % 10 AS satisfaction_score,
@@ -66,16 +66,16 @@ SELECT concat('FB_', lpad(cast(event_id AS string), 9, '0')) AS feedback_id,
        'uk' AS language
 FROM events JOIN nation ON n_nationkey = user_id % 25""",
     "department_dim": """
-SELECT concat('DEPT_', lpad(cast(s_suppkey AS string), 5, '0')) AS department_id,
+SELECT concat('DEPT_', lpad(cast(s_suppkey AS string), cast(greatest(5, length(cast(s_suppkey AS string))) AS int), '0')) AS department_id,
        n_name AS city, r_name AS region
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "routes": """
 SELECT concat('ROUTE_', cast(l_orderkey AS string), '_', cast(l_linenumber AS string)) AS route_id,
-       concat('ORDER_', lpad(cast(o_orderkey AS string), 9, '0')) AS order_id,
+       concat('ORDER_', lpad(cast(o_orderkey AS string), cast(greatest(9, length(cast(o_orderkey AS string))) AS int), '0')) AS order_id,
        CASE o_orderkey % 4 WHEN 0 THEN 'Department to Department' WHEN 1 THEN 'Department to Courier'
             WHEN 2 THEN 'Courier to Department' ELSE 'Courier to Courier' END AS delivery_type,
-       CASE WHEN o_orderkey % 4 IN (0, 1) THEN concat('DEPT_', lpad(cast(l_suppkey AS string), 5, '0')) END AS sender_department,
-       CASE WHEN o_orderkey % 4 IN (0, 2) THEN concat('DEPT_', lpad(cast(o_custkey % 110 AS string), 5, '0')) END AS receiver_department,
+       CASE WHEN o_orderkey % 4 IN (0, 1) THEN concat('DEPT_', lpad(cast(l_suppkey AS string), cast(greatest(5, length(cast(l_suppkey AS string))) AS int), '0')) END AS sender_department,
+       CASE WHEN o_orderkey % 4 IN (0, 2) THEN concat('DEPT_', lpad(cast(o_custkey % 110 AS string), cast(greatest(5, length(cast(o_custkey % 110 AS string))) AS int), '0')) END AS receiver_department,
        CASE WHEN o_orderkey % 4 IN (2, 3) THEN sn.n_name END AS sender_location,
        CASE WHEN o_orderkey % 4 IN (1, 3) THEN cn.n_name END AS receiver_location,
        l_returnflag <> 'R' AS is_valid_route,
@@ -87,7 +87,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey
      JOIN supplier ON l_suppkey = s_suppkey JOIN nation sn ON s_nationkey = sn.n_nationkey
      JOIN nation cn ON c_nationkey = cn.n_nationkey""",
     "staff": f"""
-SELECT concat('DEPT_', lpad(cast(c_nationkey AS string), 5, '0')) AS department_id,
+SELECT concat('DEPT_', lpad(cast(c_nationkey AS string), cast(greatest(5, length(cast(c_nationkey AS string))) AS int), '0')) AS department_id,
        {_DTYPE.format(k='c_nationkey')} AS department_type,
        r_name AS region, c_mktsegment AS position,
        cast(1 + c_custkey % 5 AS int) AS staff_count,
@@ -109,7 +109,7 @@ GROUP BY r_name, n_name, n_nationkey""",
     "predictions": """
 SELECT cast(date_trunc('year', o_orderdate) AS date) AS prediction_date,
        o_orderpriority AS model_type,
-       concat('ORDER_', lpad(cast(o_orderkey AS string), 9, '0')) AS entity_id,
+       concat('ORDER_', lpad(cast(o_orderkey AS string), cast(greatest(9, length(cast(o_orderkey AS string))) AS int), '0')) AS entity_id,
        o_totalprice AS predicted_value,
        sum(l_extendedprice) AS actual_value,
        coalesce(avg(1 - l_discount), 0.5E0) AS confidence_score,
@@ -117,8 +117,8 @@ SELECT cast(date_trunc('year', o_orderdate) AS date) AS prediction_date,
 FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey
 GROUP BY o_orderkey, o_orderdate, o_orderpriority, o_totalprice""",
     "purchases": """
-SELECT concat('CUST_', lpad(cast(c_custkey AS string), 6, '0')) AS customer_id,
-       concat('ORDER_', lpad(cast(o_orderkey AS string), 9, '0')) AS order_id,
+SELECT concat('CUST_', lpad(cast(c_custkey AS string), cast(greatest(6, length(cast(c_custkey AS string))) AS int), '0')) AS customer_id,
+       concat('ORDER_', lpad(cast(o_orderkey AS string), cast(greatest(9, length(cast(o_orderkey AS string))) AS int), '0')) AS order_id,
        cast(o_orderdate AS date) AS order_date,
        o_totalprice AS amount,
        c_mktsegment AS segment

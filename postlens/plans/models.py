@@ -3,8 +3,7 @@
 Fitted models are deterministic functions of the data (seeded
 estimators, hash-based holdouts) but their numbers are not SQL, so most
 keys here have no oracle; the closed-form ones (elasticity, banding,
-robust z, reports, capacity) do. A fit is reused by the keys that share
-it within one session.
+robust z, reports, capacity) do. Every call fits on the data it is given.
 """
 
 from __future__ import annotations
@@ -24,29 +23,14 @@ from postlens.sources.standins import load
 from postlens.sources.tables import table
 
 S = "2.11"
-_FITS: dict = {}
-
-
-def _session_key(spark) -> str:
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
-        return str(id(spark))
-
-
-def _memo(spark, sf, name, build):
-    key = (_session_key(spark), sf, name)
-    if key not in _FITS:
-        _FITS[key] = build()
-    return _FITS[key]
 
 
 def _delivery(spark, sf):
-    return _memo(spark, sf, "delivery_time", lambda: ML.fit_delivery_time(load(spark, sf, "deliveries")))
+    return ML.fit_delivery_time(load(spark, sf, "deliveries"))
 
 
 def _satisfaction(spark, sf):
-    return _memo(spark, sf, "satisfaction", lambda: ML.fit_satisfaction(load(spark, sf, "feedback")))
+    return ML.fit_satisfaction(load(spark, sf, "feedback"))
 
 
 @register("label_encode", section=S, oracle="""
@@ -66,7 +50,10 @@ def q_label_encode(spark, sf):
     return union_all(*out)
 
 
-@register("holdout_split", section=S)
+@register("holdout_split", section=S, oracle=f"""
+WITH f AS (SELECT {ML.holdout_sql('delivery_id', 'parcel_id', 'receive_datetime')} AS is_test FROM deliveries)
+SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END AS split, count(*) AS "rows",
+       cast(count(*) AS DOUBLE) / (SELECT count(*) FROM f) AS share FROM f GROUP BY 1""")
 def q_holdout_split(spark, sf):
     f = ML.delivery_frame(load(spark, sf, "deliveries"))
     n = f.agg(F.count(F.lit(1))).scalar()
@@ -298,6 +285,6 @@ def q_save_model(spark, sf):
 @register("model_manifest", section="2.2")
 def q_model_manifest(spark, sf):
     root = scratch_dir(spark, "model_store")
-    W.save_model(_delivery(spark, sf)[0], f"{root}/models/delivery_time_model")
-    W.save_model(_satisfaction(spark, sf)[0], f"{root}/models/satisfaction_model")
+    W.save_model(_delivery(spark, sf)[0], f"{root}/delivery_time_model")
+    W.save_model(_satisfaction(spark, sf)[0], f"{root}/satisfaction_model")
     return W.model_manifest(spark, root)

@@ -51,12 +51,10 @@ def q_union_all(spark, sf):
                        F.col("metric").alias("entity"), F.lower("severity").alias("severity")))
 
 
-APPEND_MONTHS = ("1998-02", "1998-03")
-
-
-@register("append_rows", section="2.8", oracle=f"""
-SELECT * FROM transport WHERE month = '{APPEND_MONTHS[0]}'
-UNION ALL SELECT * FROM transport WHERE month = '{APPEND_MONTHS[1]}'""")
+@register("append_rows", section="2.8", oracle="""
+SELECT transport_type AS kind, parcel_type, month, monthly_deliveries AS volume FROM transport
+UNION ALL SELECT department_type, parcel_type, month, monthly_volume FROM departments""")
 def q_append_rows(spark, sf):
-    t = load(spark, sf, "transport")
-    return union_all(*[t.where(F.col("month") == m) for m in APPEND_MONTHS])
+    t, d = load(spark, sf, "transport"), load(spark, sf, "departments")
+    return union_all(t.select(F.col("transport_type").alias("kind"), "parcel_type", "month", F.col("monthly_deliveries").alias("volume")),
+                     d.select(F.col("department_type").alias("kind"), "parcel_type", "month", F.col("monthly_volume").alias("volume")))

@@ -120,7 +120,7 @@ WITH v AS (
     (SELECT DISTINCT transport_type FROM transport WHERE transport_type IS NOT NULL) c
   UNION ALL SELECT 'customer_satisfaction_view', count(*) FROM
     (SELECT DISTINCT city FROM feedback WHERE city IS NOT NULL) d)
-SELECT table_name, row_count, 'loaded' AS status FROM v
+SELECT table_name, row_count, 'SUCCESS' AS status FROM v
 UNION ALL SELECT 'total_records', cast(sum(row_count) AS BIGINT), 'summary' FROM v"""
 
 

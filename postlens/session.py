@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Defaults applied only where the running session leaves a setting unset.
@@ -33,11 +34,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in SESSION_DEFAULTS.items():
-        builder = builder.config(key, value)
+    if os.environ.get("POSTLENS_DRIVER_MEMORY"):
+        builder = builder.config("spark.driver.memory", os.environ["POSTLENS_DRIVER_MEMORY"])
+    if SparkContext._active_spark_context is None:
+        given = SparkConf()  # spark-defaults and --conf
+        for key, value in SESSION_DEFAULTS.items():
+            if not given.contains(key):
+                builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("POSTLENS_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -47,16 +52,20 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session. Only when it is
-    unset (local tests, the bench) a fresh scratch folder is created.
+    ``spark.checkpoint.dir`` is read from the session, else the directory
+    set on the context is taken. Only a local master (tests, the bench) gets
+    a fresh scratch folder; a cluster without a shared folder is an error.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="postlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(conf_dir)
-    return conf_dir
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if context.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir names no shared folder; on a cluster intermediate data needs one")
+        folder = tempfile.mkdtemp(prefix="postlens-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:

@@ -85,3 +85,19 @@ def test_courier_efficiency_rounding(spark):
     df = spark.createDataFrame([(50.0, 0.9), (0.0, 0.9)], "t double, s double")
     got = [r["e"] for r in df.select(O.courier_efficiency("t", "s").alias("e")).collect()]
     assert got == [1.8, None]
+
+
+def test_padded_ids_are_never_cut(spark):
+    from postlens.functions.semantics import padded_id
+    keys = [7, 99_999, 100_000, 100_001, 100_002, 1_000_000, 10**9, 10**12]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    got = [r.i for r in df.orderBy("k").select(padded_id("CUR_", "k", 5).alias("i")).collect()]
+    assert got == [f"CUR_{k:05d}" for k in keys]
+
+
+def test_one_row_summaries_must_not_share_columns(spark):
+    import pytest
+    from postlens.operators.common import side_by_side
+    a = spark.createDataFrame([(1, 2)], "a long, b long")
+    with pytest.raises(ValueError, match="b"):
+        side_by_side(a, a.select("b"))
