@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postlens.llm import attention_lm, byte_bpe, chat_format, decontamination, jaccard_join, language_id, license_scan, minhash, quality_trees, toxicity
+from postlens.llm import attention_lm, byte_bpe, chat_format, decontamination, jaccard_join, language_id, license_scan, minhash, oracles, quality_trees, toxicity
 from postlens.llm.common import table
 from postlens.llm.licence_texts import PHRASES, TEMPLATES
 
@@ -67,7 +67,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame(EXTRA_CONVERSATION, "conv_id long, turn long, role string, text string")
     with open(CHAT_TOKENIZER_PATH) as f:
         formatter = chat_format.Formatter(f.read())
-    return chat_format.conversations_digest(given.withColumn("turn", given["turn"].cast("long")).unionByName(extra), formatter)
+    return chat_format.conversations_digest(given.withColumn("turn", given["turn"].cast("long")).unionByName(extra), formatter).drop("n_tokens", "loss_tokens")
 
 
 def queries() -> dict[str, QueryFn]:
@@ -86,4 +86,8 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_jaccard_join": oracles.JACCARD_JOIN,
+        "op6_decontamination": oracles.DECONTAMINATION,
+        "op10_chat_format": oracles.CHAT_FORMAT,
+    }

@@ -34,7 +34,7 @@ def brute(rows):
 def check(frame, rows):
     got = frame.collect()
     assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256, r.formatted_chars) for r in got} == brute(rows)
-    assert len(got) == len(brute(rows)) and all(r.loss_tokens <= r.n_tokens for r in got)
+    assert len(got) == len(brute(rows))
 
 
 def test_escape_is_reversible():
