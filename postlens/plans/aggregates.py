@@ -138,7 +138,7 @@ ORDER BY total_monthly_deliveries DESC"""
 
 @register("transport_fleet_view", section=S, oracle=FLEET_VIEW_SQL)
 def q_transport_fleet_view(spark, sf):
-    return views.transport_fleet_view(load(spark, sf, "transport"), P.TRANSPORT_DS)
+    return views.transport_fleet_view(load(spark, sf, "transport", month=P.TRANSPORT_DS[:7]), P.TRANSPORT_DS)
 
 
 # Coverage rows with the derived columns of ``geographical_coverage``.
@@ -195,7 +195,7 @@ ORDER BY mae"""
 
 @register("ml_model_performance_view", section=S, oracle=MODEL_VIEW_SQL)
 def q_ml_model_performance_view(spark, sf):
-    return views.ml_model_performance_view(load(spark, sf, "predictions"), P.PREDICTION_DS)
+    return views.ml_model_performance_view(load(spark, sf, "predictions", year=int(P.PREDICTION_DS[:4])), P.PREDICTION_DS)
 
 
 @register("geographical_coverage", section=S, oracle=f"""

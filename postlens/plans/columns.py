@@ -33,13 +33,13 @@ def q_filter_run_date(spark, sf):
 @register("filter_run_month", section=S,
           oracle=f"SELECT * FROM transport WHERE month = substr('{P.TRANSPORT_DS}', 1, 7)")
 def q_filter_run_month(spark, sf):
-    return load(spark, sf, "transport").where(F.col("month") == F.lit(P.TRANSPORT_DS[:7]))
+    return load(spark, sf, "transport", month=P.TRANSPORT_DS[:7]).where(F.col("month") == F.lit(P.TRANSPORT_DS[:7]))
 
 
 @register("filter_known_actuals", section=S, oracle=f"""
 SELECT * FROM predictions WHERE prediction_date = DATE '{P.PREDICTION_DS}' AND actual_value IS NOT NULL""")
 def q_filter_known_actuals(spark, sf):
-    return load(spark, sf, "predictions").where(
+    return load(spark, sf, "predictions", year=int(P.PREDICTION_DS[:4])).where(
         (F.col("prediction_date") == F.lit(P.PREDICTION_DS).cast("date")) & F.col("actual_value").isNotNull())
 
 

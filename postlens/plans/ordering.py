@@ -26,7 +26,7 @@ def q_order_by_keys(spark, sf):
 
 @register("order_by_measure", section="2.7", oracle=FLEET_VIEW_SQL)
 def q_order_by_measure(spark, sf):
-    return views.transport_fleet_view(load(spark, sf, "transport"), P.TRANSPORT_DS).orderBy(
+    return views.transport_fleet_view(load(spark, sf, "transport", month=P.TRANSPORT_DS[:7]), P.TRANSPORT_DS).orderBy(
         F.desc("total_monthly_deliveries"))
 
 

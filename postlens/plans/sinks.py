@@ -72,7 +72,7 @@ def q_write_text_report(spark, sf):
 
 @register("write_truncate", section=S, oracle=DEPT_FACTS_SQL)
 def q_write_truncate(spark, sf):
-    facts = WIN.department_facts(load(spark, sf, "departments"), P.TRANSPORT_DS)
+    facts = WIN.department_facts(load(spark, sf, "departments", month=P.TRANSPORT_DS[:7]), P.TRANSPORT_DS)
     path = scratch_dir(spark, "department_workload_monthly")
     W.write_truncate(facts, path)
     W.write_truncate(facts, path)  # a second run replaces, never adds
@@ -81,7 +81,7 @@ def q_write_truncate(spark, sf):
 
 @register("write_append", section=S, oracle=DEPT_FACTS_SQL)
 def q_write_append(spark, sf):
-    facts = WIN.department_facts(load(spark, sf, "departments"), P.TRANSPORT_DS)
+    facts = WIN.department_facts(load(spark, sf, "departments", month=P.TRANSPORT_DS[:7]), P.TRANSPORT_DS)
     path = scratch_dir(spark, "department_facts_by_day")
     W.write_append(facts, path, "snapshot_date")
     W.write_append(facts, path, "snapshot_date")  # a retried day replaces its partition

@@ -54,7 +54,7 @@ FROM (SELECT department_id, department_type, parcel_type, transport_type,
 
 @register("department_facts", section="2.5", oracle=DEPT_FACTS_SQL)
 def q_department_facts(spark, sf):
-    return W.department_facts(load(spark, sf, "departments"), P.TRANSPORT_DS)
+    return W.department_facts(load(spark, sf, "departments", month=P.TRANSPORT_DS[:7]), P.TRANSPORT_DS)
 
 
 @register("transport_facts", section="2.5", oracle=f"""
@@ -68,13 +68,13 @@ SELECT DATE '{P.TRANSPORT_DS}' AS snapshot_date, transport_type, parcel_type, fl
          AS utilization_rate_percent
 FROM transport WHERE month = substr('{P.TRANSPORT_DS}', 1, 7)""")
 def q_transport_facts(spark, sf):
-    return W.transport_facts(load(spark, sf, "transport"), P.TRANSPORT_DS)
+    return W.transport_facts(load(spark, sf, "transport", month=P.TRANSPORT_DS[:7]), P.TRANSPORT_DS)
 
 
 @register("prediction_facts", section="2.5", oracle=f"""
 SELECT * FROM predictions WHERE prediction_date = DATE '{P.PREDICTION_DS}'""")
 def q_prediction_facts(spark, sf):
-    return W.prediction_facts(load(spark, sf, "predictions"), P.PREDICTION_DS)
+    return W.prediction_facts(load(spark, sf, "predictions", year=int(P.PREDICTION_DS[:4])), P.PREDICTION_DS)
 
 
 CAL_SQL = """

@@ -32,12 +32,33 @@ def _supplier_city(spark: SparkSession, sf: str) -> DataFrame:
     return broadcast_if_small(joined, basis=sup)
 
 
+def _one_each(df: DataFrame, key: str) -> DataFrame:
+    """One row per key. A left join to it that no later column needs is
+    removed by the optimizer, which sees that the keys are distinct; so a
+    query pays for the dimensions it uses only. Every fact row has its
+    dimension row, so the left join keeps the rows of the inner one."""
+    return df.groupBy(key).agg(*[F.first(c).alias(c) for c in df.columns if c != key])
+
+
+def _months(df: DataFrame, column: str, month: str | None) -> DataFrame:
+    """Rows of a ``YYYY-MM`` month as a half-open range on the raw column,
+    which reaches the scan (a filter on the derived month would not)."""
+    if month is None:
+        return df
+    year, number = map(int, month.split("-"))
+    after = f"{year + number // 12:04d}-{number % 12 + 1:02d}-01"
+    return df.where((F.col(column) >= F.lit(f"{month}-01").cast("timestamp_ntz")) & (F.col(column) < F.lit(after).cast("timestamp_ntz")))
+
+
 def deliveries(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                "l_quantity", "l_returnflag", "l_shipdate")
-    part = broadcast_if_small(table(spark, sf, "part", "p_partkey", "p_type"))
-    df = (li.join(_supplier_city(spark, sf), li.l_suppkey == F.col("s_suppkey"))
-            .join(part, li.l_partkey == part.p_partkey))
+    part = table(spark, sf, "part", "p_partkey", "p_type")
+    part = broadcast_if_small(_one_each(part, "p_partkey"), basis=part)
+    city = _one_each(_supplier_city(spark, sf), "s_suppkey")
+    city = broadcast_if_small(city, basis=table(spark, sf, "supplier", "s_suppkey", "s_nationkey"))
+    df = (li.join(city, li.l_suppkey == F.col("s_suppkey"), "left")
+            .join(part, li.l_partkey == part.p_partkey, "left"))
     receive = F.col("l_shipdate") + F.make_dt_interval(hours=(F.col("l_orderkey") % 24).cast("int"))
     minutes = (F.col("l_quantity") * 4).cast("int")
     return df.select(
@@ -54,9 +75,9 @@ def deliveries(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def departments(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-               "l_returnflag", "l_shipdate")
+def departments(spark: SparkSession, sf: str, month: str | None = None) -> DataFrame:
+    li = _months(table(spark, sf, "lineitem", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                       "l_returnflag", "l_shipdate"), "l_shipdate", month)
     part = broadcast_if_small(table(spark, sf, "part", "p_partkey", "p_type"))
     df = (li.join(_supplier_city(spark, sf), li.l_suppkey == F.col("s_suppkey"))
             .join(part, li.l_partkey == part.p_partkey)
@@ -77,9 +98,9 @@ def departments(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def transport(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem", "l_partkey", "l_suppkey", "l_quantity", "l_tax",
-               "l_returnflag", "l_shipdate")
+def transport(spark: SparkSession, sf: str, month: str | None = None) -> DataFrame:
+    li = _months(table(spark, sf, "lineitem", "l_partkey", "l_suppkey", "l_quantity", "l_tax",
+                       "l_returnflag", "l_shipdate"), "l_shipdate", month)
     part = broadcast_if_small(table(spark, sf, "part", "p_partkey", "p_type"))
     df = li.join(part, li.l_partkey == part.p_partkey).withColumn("month", month_key("l_shipdate"))
     g = df.groupBy("l_returnflag", "p_type", "month").agg(
@@ -205,9 +226,13 @@ def coverage(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def predictions(spark: SparkSession, sf: str) -> DataFrame:
+def predictions(spark: SparkSession, sf: str, year: int | None = None) -> DataFrame:
     orders = table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice")
     li = table(spark, sf, "lineitem", "l_orderkey", "l_extendedprice", "l_discount")
+    if year is not None:  # the year's orders first, then only their line items
+        orders = orders.where((F.col("o_orderdate") >= F.lit(f"{year}-01-01").cast("timestamp_ntz"))
+                              & (F.col("o_orderdate") < F.lit(f"{year + 1}-01-01").cast("timestamp_ntz")))
+        li = li.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     # One row per order before the join: the shuffle carries per-key partials.
     per_order = li.groupBy("l_orderkey").agg(
         F.sum("l_extendedprice").alias("actual_value"),
@@ -227,10 +252,11 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 def purchases(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    cust = broadcast_if_small(table(spark, sf, "customer", "c_custkey", "c_mktsegment"))
-    df = orders.join(cust, orders.o_custkey == cust.c_custkey)
+    cust = table(spark, sf, "customer", "c_custkey", "c_mktsegment")
+    cust = broadcast_if_small(_one_each(cust, "c_custkey"), basis=cust)
+    df = orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
     return df.select(
-        padded_id("CUST_", "c_custkey", 6).alias("customer_id"),
+        padded_id("CUST_", "o_custkey", 6).alias("customer_id"),
         padded_id("ORDER_", "o_orderkey", 9).alias("order_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
         F.col("o_totalprice").alias("amount"),
@@ -303,5 +329,7 @@ FIXTURES = {
 }
 
 
-def load(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return FIXTURES[name](spark, sf)
+def load(spark: SparkSession, sf: str, name: str, **period) -> DataFrame:
+    """A stand-in by name; ``month="YYYY-MM"`` (departments, transport) or
+    ``year`` (predictions) restricts the scan to the period."""
+    return FIXTURES[name](spark, sf, **period)
