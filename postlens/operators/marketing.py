@@ -158,14 +158,25 @@ def marketing_features(touches: DataFrame) -> DataFrame:
 def attributed_touches(touches: DataFrame) -> DataFrame:
     """Per converting user: first and last channel touched strictly before
     the first conversion (order (ts, event_id)), with the conversion value.
-    Users without such a touch are dropped."""
-    first_conv = (touches.where("is_conversion").groupBy("user_id")
-                  .agg(F.min_by(F.struct("ts", "value"), F.struct("ts", "event_id")).alias("c")))
-    t = touches.join(first_conv, "user_id").where(F.col("ts") < F.col("c.ts"))
+    Users without such a touch are dropped.
+
+    Days before the conversion's day enter as one summary per (user, day),
+    made before the shuffle; single touches are joined on the day of the
+    conversion only, so a user with a third of all touches is no hot key."""
     key = F.struct(F.col("ts"), F.col("event_id"))
-    return t.groupBy("user_id").agg(F.min_by("channel", key).alias("first_touch"),
-                                    F.max_by("channel", key).alias("last_touch"),
-                                    F.first("c.value").alias("conversion_value"))
+    first_conv = (touches.where("is_conversion").groupBy("user_id")
+                  .agg(F.min_by(F.struct("ts", "value"), key).alias("c"))
+                  .withColumn("conversion_day", F.to_date("c.ts")))
+    dated = touches.withColumn("day", F.to_date("ts"))
+    ends = [F.min_by("channel", key).alias("first_touch"), F.min(key).alias("first_key"),
+            F.max_by("channel", key).alias("last_touch"), F.max(key).alias("last_key")]
+    before = dated.groupBy("user_id", "day").agg(*ends).join(first_conv, "user_id").where(F.col("day") < F.col("conversion_day"))
+    same_day = (dated.join(first_conv.withColumn("day", F.col("conversion_day")), ["user_id", "day"])
+                .where(F.col("ts") < F.col("c.ts")).groupBy("user_id", "day").agg(*ends, F.first("c").alias("c")))
+    columns = ["user_id", "first_touch", "first_key", "last_touch", "last_key", "c"]
+    return before.select(*columns).unionByName(same_day.select(*columns)).groupBy("user_id").agg(
+        F.min_by("first_touch", "first_key").alias("first_touch"), F.max_by("last_touch", "last_key").alias("last_touch"),
+        F.first("c.value").alias("conversion_value"))
 
 
 def marketing_attribution(touches: DataFrame) -> DataFrame:

@@ -188,15 +188,33 @@ def fit_churn(purchases: DataFrame, horizon_days: int = 180) -> DataFrame:
 
 
 # ---------------------------------------------------------------- recommendations
-def fit_recommendations(interactions: DataFrame, k: int = 10):
-    """Implicit-feedback ALS on purchase counts; top-k per user."""
+def candidates(train: DataFrame, product_types: DataFrame, per_type: int = 50) -> DataFrame:
+    """(user_id, product_id) to be scored: the ``per_type`` most bought items
+    of every type a user bought, without the items the user already has. So
+    scoring grows with users x their types, not with users x items."""
+    typed = train.join(product_types, "product_id")
+    sold = typed.groupBy("product_type", "product_id").agg(F.sum("purchases").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("product_type").orderBy(F.desc("n"), "product_id"))
+    popular = sold.withColumn("rank", rank).where(F.col("rank") <= per_type).select("product_type", "product_id")
+    liked = typed.select("user_id", "product_type").distinct()
+    return (liked.join(popular, "product_type").select("user_id", "product_id").distinct()
+            .join(train.select("user_id", "product_id"), ["user_id", "product_id"], "left_anti"))
+
+
+def fit_recommendations(interactions: DataFrame, product_types: DataFrame, k: int = 10):
+    """Implicit-feedback ALS on purchase counts; of each user's candidates,
+    which hold no item of the training set, the k best."""
     d = interactions.withColumn("is_test", holdout_flag("user_id", "product_id"))
     blocks = max(10, interactions.sparkSession.sparkContext.defaultParallelism)  # as wide as the cluster
     als = ALS(userCol="user_id", itemCol="product_id", ratingCol="purchases", implicitPrefs=True, rank=10,
               maxIter=10, regParam=0.1, alpha=1.0, seed=SEED, coldStartStrategy="drop",
               numUserBlocks=blocks, numItemBlocks=blocks)
     model = als.fit(d.where(~F.col("is_test")))
-    recs = model.recommendForAllUsers(k)
+    scored = model.transform(candidates(d.where(~F.col("is_test")), product_types))
+    best = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("prediction"), "product_id"))
+    top = scored.withColumn("rank", best).where(F.col("rank") <= k)
+    recs = top.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("rank", "product_id", F.col("prediction").alias("rating")))).alias("r")) \
+        .select("user_id", F.transform("r", lambda x: F.struct(x["product_id"].alias("product_id"), x["rating"].alias("rating"))).alias("recommendations"))
     return d, recs
 
 

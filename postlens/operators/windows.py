@@ -217,13 +217,23 @@ def alert_counts(*anomaly_frames: DataFrame) -> DataFrame:
                    F.count_if(F.col("severity") == "low").alias("low_priority"))
 
 
-def top_performers(courier_months: DataFrame, k: int = 10) -> DataFrame:
-    """Best k couriers by efficiency in the latest month, ties by id.
-    ``orderBy().limit()`` plans a per-partition top-k and a k-row merge."""
-    cur = courier_months.where(F.col("month") == courier_months.agg(F.max("month")).scalar())
-    return (cur.where(F.col("efficiency_score").isNotNull())
-            .orderBy(F.desc("efficiency_score"), F.asc("courier_id")).limit(k)
-            .select("month", "courier_id", "efficiency_score", "deliveries_completed"))
+def latest_month(deliveries: DataFrame) -> Column:
+    """``YYYY-MM`` of the last delivery, from the date column alone."""
+    return deliveries.where(F.col("courier_id").isNotNull()).agg(F.date_format(F.max("delivery_date"), "yyyy-MM").alias("m")).scalar()
+
+
+def top_performers(courier_months: DataFrame, departments: DataFrame, month: Column, k: int = 10) -> DataFrame:
+    """Best k couriers by efficiency in the given month and the most
+    efficient department, ties by id. ``orderBy().limit()`` plans a
+    per-partition top-k and a k-row merge."""
+    couriers = (courier_months.where((F.col("month") == month) & F.col("efficiency_score").isNotNull())
+                .orderBy(F.desc("efficiency_score"), F.asc("courier_id")).limit(k)
+                .select(F.lit("courier").alias("kind"), F.col("courier_id").alias("id"), "month", "efficiency_score", "deliveries_completed"))
+    best = (departments.where(F.col("efficiency_score").isNotNull())
+            .orderBy(F.desc("efficiency_score"), F.asc("department_id")).limit(1)
+            .select(F.lit("department").alias("kind"), F.col("department_id").alias("id"), F.lit(None).cast("string").alias("month"),
+                    "efficiency_score", F.lit(None).cast("long").alias("deliveries_completed")))
+    return couriers.unionByName(best)
 
 
 def operations_kpis(deliveries: DataFrame, departments: DataFrame, transport: DataFrame, ds: str) -> DataFrame:
@@ -240,9 +250,9 @@ def operations_kpis(deliveries: DataFrame, departments: DataFrame, transport: Da
     return side_by_side(d, p, t).withColumn("date", F.lit(ds).cast("date"))
 
 
-def courier_insights(courier_months: DataFrame) -> DataFrame:
-    """Latest month: improving / declining / stable couriers, mean change."""
-    cur = courier_months.where(F.col("month") == courier_months.agg(F.max("month")).scalar())
+def courier_insights(courier_months: DataFrame, month: Column) -> DataFrame:
+    """The month's improving / declining / stable couriers, mean change."""
+    cur = courier_months.where(F.col("month") == month)
     return cur.groupBy("month").agg(
         F.count_if(F.col("performance_trend") == "improving").alias("improving_couriers"),
         F.count_if(F.col("performance_trend") == "declining").alias("declining_couriers"),

@@ -105,8 +105,13 @@ def q_churn_model(spark, sf):
                                       F.avg("churned").alias("observed_churn_rate"))
 
 
+def _product_types(spark, sf):
+    return table(spark, sf, "part", "p_partkey", "p_type").select(
+        F.col("p_partkey").cast("int").alias("product_id"), F.col("p_type").alias("product_type"))
+
+
 def _recs(spark, sf):
-    return _memo(spark, sf, "als", lambda: ML.fit_recommendations(load(spark, sf, "interactions")))
+    return ML.fit_recommendations(load(spark, sf, "interactions"), _product_types(spark, sf))
 
 
 @register("recommendations", section=S)
@@ -117,9 +122,7 @@ def q_recommendations(spark, sf):
 @register("ranking_scores", section=S)
 def q_ranking_scores(spark, sf):
     split, recs = _recs(spark, sf)
-    types = table(spark, sf, "part", "p_partkey", "p_type").select(
-        F.col("p_partkey").cast("int").alias("product_id"), F.col("p_type").alias("product_type"))
-    return ML.ranking_scores(split, recs, types)
+    return ML.ranking_scores(split, recs, _product_types(spark, sf))
 
 
 @register("price_elasticity", section=S, oracle="""

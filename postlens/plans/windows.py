@@ -6,7 +6,7 @@ from postlens.operators import postal as O
 from postlens.operators import windows as W
 from postlens.plans import params as P
 from postlens.plans.catalog import register
-from postlens.plans.columns import COURIER_MONTHLY_SQL, TREND_SQL
+from postlens.plans.columns import COURIER_MONTHLY_SQL, DEPT_EFF_SQL, TREND_SQL
 from postlens.sources.standins import load
 
 S = "2.6"
@@ -198,11 +198,17 @@ e AS (SELECT courier_id, month, round_even(1.0E0 / nullif(cur, 0) * sr * 100.0E0
 
 @register("top_performers", section=S, oracle=f"""
 {EFF_SQL}
-SELECT month, courier_id, efficiency_score, deliveries_completed FROM e
-WHERE month = (SELECT max(month) FROM e) AND efficiency_score IS NOT NULL
-ORDER BY efficiency_score DESC, courier_id LIMIT 10""")
+SELECT * FROM (
+  SELECT 'courier' AS kind, courier_id AS id, month, efficiency_score, deliveries_completed FROM e
+  WHERE month = (SELECT max(month) FROM e) AND efficiency_score IS NOT NULL
+  ORDER BY efficiency_score DESC, courier_id LIMIT 10) c
+UNION ALL SELECT * FROM (
+  SELECT 'department', department_id, NULL, efficiency_score, NULL FROM ({DEPT_EFF_SQL}) x
+  WHERE efficiency_score IS NOT NULL ORDER BY efficiency_score DESC, department_id LIMIT 1) d""")
 def q_top_performers(spark, sf):
-    return W.top_performers(O.courier_current_vs_previous(load(spark, sf, "deliveries")))
+    d = load(spark, sf, "deliveries")
+    return W.top_performers(O.courier_current_vs_previous(d), O.department_efficiency(load(spark, sf, "departments"), P.RUN_DS),
+                            W.latest_month(d))
 
 
 @register("courier_insights", section="2.5", oracle=f"""
@@ -213,7 +219,8 @@ SELECT month, cast(count_if(performance_trend = 'improving') AS BIGINT) AS impro
        round_even(avg(performance_change_percent), 2) AS avg_performance_change
 FROM e WHERE month = (SELECT max(month) FROM e) GROUP BY month""")
 def q_courier_insights(spark, sf):
-    return W.courier_insights(O.courier_current_vs_previous(load(spark, sf, "deliveries")))
+    d = load(spark, sf, "deliveries")
+    return W.courier_insights(O.courier_current_vs_previous(d), W.latest_month(d))
 
 
 @register("operations_kpis", section="2.5", oracle=f"""

@@ -62,8 +62,11 @@ def test_ranking_metrics_equal_spark_evaluator(spark):
     from pyspark.ml.evaluation import RankingEvaluator
     from postlens.operators import models as ML
     from postlens.sources.standins import load
-    split, recs = ML.fit_recommendations(load(spark, SF_SMALL, "interactions"))
-    types = spark.createDataFrame([(0, "x")], "product_id int, product_type string")
+    from postlens.plans.models import _product_types
+    types = _product_types(spark, SF_SMALL)
+    split, recs = ML.fit_recommendations(load(spark, SF_SMALL, "interactions"), types)
+    own = split.where("not is_test").select("user_id", "product_id")
+    assert ML.recommendation_rows(recs).join(own, ["user_id", "product_id"]).count() == 0
     got = ML.ranking_scores(split, recs, types).first()
     truth = (split.where("is_test").groupBy("user_id")
              .agg(F.collect_set(F.col("product_id").cast("double")).alias("label")))
