@@ -11,10 +11,11 @@ the drops land as files in a folder and two streams consume them:
   previous delivery. The previous delivery may sit in an earlier drop, so
   the last (time, id, duration) of each courier is kept in state
   (``applyInPandasWithState``). Within a micro-batch a courier's rows are
-  ordered by (issue time, id); drops are assumed to arrive in time order
-  per courier. A courier's state is one row, and its rows per call are
-  bounded by the micro-batch size (``maxFilesPerTrigger``), not by its
-  history.
+  ordered by (issue time, id); drops must arrive in time order per courier,
+  and a drop that is older than what the courier already delivered stops the
+  query with an error instead of giving a wrong previous delivery. A
+  courier's state is one row, and its rows per call are bounded by the
+  micro-batch size (``maxFilesPerTrigger``), not by its history.
 
 Both sinks are file sinks with a checkpoint under the shared checkpoint
 directory: a restarted query resumes from its offsets and the sink's
@@ -83,6 +84,8 @@ def _with_previous(key, batches: Iterator[pd.DataFrame], state: GroupState) -> I
     minutes = rows["delivery_duration_minutes"].astype("Int64")
     prev = minutes.shift(1)
     if state.exists:
+        if rows["issue_datetime"].iloc[0] < state.get[0]:
+            raise ValueError(f"delivery {rows['delivery_id'].iloc[0]} is older than the courier's last one")
         prev.iloc[0] = state.get[3]
     last = rows.iloc[-1]
     state.update((last["issue_datetime"], last["delivery_id"], last["parcel_id"],

@@ -10,11 +10,6 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-ALIASES = {"O": "operators.postal", "Q": "operators.quality", "R": "operators.routes", "W": "operators.sinks",
-           "WIN": "operators.windows", "M": "operators.marketing", "ML": "operators.models",
-           "REP": "operators.reports", "views": "operators.views"}
-
-
 def main() -> None:
     from postlens.plans import catalog
     entries = catalog.load_all()
@@ -26,9 +21,10 @@ def main() -> None:
     for key, e in entries.items():
         src = inspect.getsource(e.fn)
         calls = []
-        for alias, mod in ALIASES.items():
-            for name in re.findall(rf"\b{alias}\.([a-z_][a-z_0-9]*)\(", src):
-                ref = f"`{mod}.{name}`"
+        for alias, name in re.findall(r"\b([A-Za-z]+)\.([a-z_][a-z_0-9]*)\(", src):
+            mod = e.fn.__globals__.get(alias)  # the module that the plan calls by this name
+            if inspect.ismodule(mod) and mod.__name__.startswith("postlens."):
+                ref = f"`{mod.__name__.removeprefix('postlens.')}.{name}`"
                 if ref not in calls:
                     calls.append(ref)
         check = "oracle" if e.oracle else "bounds"
