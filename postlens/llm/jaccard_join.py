@@ -303,7 +303,8 @@ def join_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for every row."""
     members, roots = set_components(docs)
     at = members.join(roots, "node", "left").select("doc_id", "n_shingles", F.coalesce("root", "node").alias("group"))
-    least = at.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    # stored, so that the join below has a plain exchange on both sides and a hot component can be split
+    least = stored(at.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("component_id")), "component-ids")
     return at.join(least, "group", "left").select(
         "doc_id", "n_shingles", F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
