@@ -109,8 +109,10 @@ def text_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     covered = F.aggregate(F.array_sort("spans"), zero, lambda a, s: F.struct(
         F.greatest(a["end"], s["end"]).alias("end"),
         (a["n"] + F.greatest(F.lit(0), s["end"] - F.greatest(a["end"], s["at"]))).alias("n")))
-    return (found.groupBy("digest").agg(F.collect_set("span").alias("spans"), F.collect_set("items").alias("sets"))
-            .select("digest", covered["n"].alias("n_hit"), F.array_sort(F.array_distinct(F.flatten("sets"))).alias("items")))
+    per_text = (found.groupBy("digest").agg(F.collect_set("span").alias("spans"), F.collect_set("items").alias("sets"))
+                .select("digest", covered["n"].alias("n_hit"), F.array_sort(F.array_distinct(F.flatten("sets"))).alias("items")))
+    # stored, so that a join to it has a plain exchange on both sides and the copies of one text can be split
+    return stored(per_text, "text-hits")
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
