@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from postlens.llm import byte_bpe, decontamination, jaccard_join, language_id, quality_trees, queries
 from postlens.llm.common import stored, table
 
+NEAR_COPIES = jaccard_join.Rule(shingle=5, percent=80)
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is at least 0.3."""
@@ -27,8 +29,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of the 90 % Jaccard links."""
-    return jaccard_join.keep_one(docs)
+    """One document of each component of links of 80 % Jaccard similarity
+    over five-word shingles."""
+    return jaccard_join.keep_one(docs, NEAR_COPIES)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """N-gram Jaccard join by partitioning the universe of tokens.
 
-A document's set holds the 64-bit hashes of its distinct three-word shingles.
-Two sets link if their Jaccard similarity is at least ``PERCENT`` per cent.
+A document's set holds the 64-bit hashes of its distinct shingles of a
+``Rule``'s number of words. Two sets link if their Jaccard similarity is at
+least the rule's per cent. The query's rule is three words and 90 %, the
+pipeline's five words and 80 %.
 
 Size bands. Sizes are cut into bands; a pair is found in the band of its
 smaller set, whose size s bounds the symmetric difference by
-H = floor(u x (100 - PERCENT) / PERCENT), u the band's largest size. A set
+H = floor(u x (100 - percent) / percent), u the band's largest size. A set
 signs its own band and, if it may be the larger of a pair, the band below.
 
 Segments. A band's universe is cut by hash into segments. Segment i may be
@@ -29,7 +31,7 @@ left out, so the components are those of all links.
 
 Equal sets are one node from the start (named by a 64-bit digest of the set),
 so copies are signed once a task and compared once. Cases: null, empty or blank text has the empty set and links with nothing;
-one or two words are one shingle; of repeated doc_ids each row is a document;
+a text with fewer words than a shingle is one shingle; of repeated doc_ids each row is a document;
 null ids form components under the least non-null id, or null; an empty table
 gives an empty result; other columns are ignored.
 """
@@ -38,6 +40,7 @@ from __future__ import annotations
 
 import functools
 import math
+from dataclasses import dataclass
 from itertools import pairwise
 
 import numpy as np
@@ -50,7 +53,17 @@ from pyspark.sql import types as T
 from postlens.llm.common import pieces, space_words, stored
 from postlens.llm.components import components
 
-SHINGLE, PERCENT = 3, 90
+
+
+@dataclass(frozen=True)
+class Rule:
+    """Words of a shingle; least Jaccard similarity of a link in per cent."""
+
+    shingle: int = 3
+    percent: int = 90
+
+
+RULE = Rule()
 #: Ratio of a band's largest to its smallest size.
 BAND_RATIO = 1.3
 #: Cost of comparing one candidate pair, in signatures written.
@@ -60,6 +73,7 @@ SKETCH = 8
 CACHE_ENTRIES = 300_000
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+_SALTS, _FACTORS = (_A, _B, _C), (_B, _C, _A)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -71,7 +85,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Sorted distinct shingle hashes of a text."""
 
-    def __init__(self):
+    def __init__(self, words: int = RULE.shingle):
+        self.words = words
         self.known: dict[bytes, int] = {}
 
     def __call__(self, text: str | None) -> np.ndarray:
@@ -84,9 +99,14 @@ class Shingler:
         h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         if not len(h):
             return h
-        if len(h) < SHINGLE:
-            h = np.concatenate((h, np.full(SHINGLE - len(h), len(h), np.uint64)))
-        return np.unique(mix(mix(h[:-2] + _A) * _B + mix(h[1:-1] + _B) * _C + mix(h[2:] + _C) * _A))
+        if len(h) < self.words:
+            h = np.concatenate((h, np.full(self.words - len(h), len(h), np.uint64)))
+        n, total = len(h) - self.words + 1, np.uint64(0)
+        for i in range(self.words):
+            part = mix(h[i:i + n] + _SALTS[i % 3]) * _FACTORS[i % 3]
+            # from the fourth word on, what came before is mixed, so that the order counts
+            total = (mix(total) if i and i % 3 == 0 else total) + part
+        return np.unique(mix(total))
 
 
 def node_of(tokens: np.ndarray) -> int | None:
@@ -94,24 +114,24 @@ def node_of(tokens: np.ndarray) -> int | None:
     return int.from_bytes(xxhash.xxh3_64_digest(tokens.tobytes()), "big", signed=True) if len(tokens) else None
 
 
-def partner(size: int) -> int:
+def partner(size: int, percent: int = RULE.percent) -> int:
     """Largest size of a set that can link with one of this size."""
-    return size * 100 // PERCENT
+    return size * 100 // percent
 
 
-def band_starts(largest: int) -> list[int]:
+def band_starts(largest: int, percent: int = RULE.percent) -> list[int]:
     """First sizes of the bands; each band reaches at least every possible
     partner of its first size, so a pair spans two neighbouring bands at most."""
     out = [1]
     while out[-1] <= largest:
-        out.append(max(partner(out[-1]), int(out[-1] * BAND_RATIO)) + 1)
+        out.append(max(partner(out[-1], percent), int(out[-1] * BAND_RATIO)) + 1)
     return out
 
 
-def allocate(sets: int, last: int) -> tuple[int, int]:
+def allocate(sets: int, last: int, percent: int = RULE.percent) -> tuple[int, int]:
     """(segments with budget 0, with budget 1) of a band of so many sets whose
     largest size is ``last``: the least cost with zeros + 2 x ones = H + 1."""
-    need = last * (100 - PERCENT) // PERCENT + 1
+    need = last * (100 - percent) // percent + 1
     best = None
     for ones in {*range(min(need // 2, 8) + 1), need // 4, need // 2}:
         zeros = need - 2 * ones
@@ -134,12 +154,12 @@ def parity(tokens: np.ndarray) -> np.ndarray:
 class Signer:
     """Signatures of a set under a plan {band: (segments with budget 0, 1)}."""
 
-    def __init__(self, starts: list[int], plan: dict[int, tuple[int, int]]):
-        self.starts, self.plan = np.array(starts), plan
+    def __init__(self, starts: list[int], plan: dict[int, tuple[int, int]], rule: Rule = RULE):
+        self.starts, self.plan, self.rule = np.array(starts), plan, rule
 
     def bands(self, size: int) -> list[int]:
         own = int(np.searchsorted(self.starts, size, "right")) - 1
-        below = own > 0 and partner(int(self.starts[own]) - 1) >= size
+        below = own > 0 and partner(int(self.starts[own]) - 1, self.rule.percent) >= size
         return [b for b in ([own, own - 1] if below else [own]) if b in self.plan]
 
     def __call__(self, tokens: np.ndarray) -> np.ndarray:
@@ -165,17 +185,17 @@ class Signer:
 _SKETCH = [f"s{i}" for i in range(SKETCH)]
 
 
-def _may_link() -> Column:
+def _may_link(percent: int) -> Column:
     """No pair that links fails this: sizes fit, and the sketches differ in no
     more bits than the sets may in tokens."""
     differ = functools.reduce(lambda a, b: a + b, (F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_a"))) for c in _SKETCH))
-    return ((100 * F.least("size", "size_a") >= PERCENT * F.greatest("size", "size_a"))
-            & ((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("size") + F.col("size_a"))))
+    return ((100 * F.least("size", "size_a") >= percent * F.greatest("size", "size_a"))
+            & ((100 + percent) * differ <= (100 - percent) * (F.col("size") + F.col("size_a"))))
 
 
-def _memberships(docs: DataFrame) -> DataFrame:
+def _memberships(docs: DataFrame, rule: Rule) -> DataFrame:
     def rows(batches):
-        shingle = Shingler()
+        shingle = Shingler(rule.shingle)
         for whole in batches:
             for part in pieces(whole):
                 sets = [shingle(t) for t in part.column(1).to_pylist()]
@@ -191,7 +211,7 @@ def _signatures(docs: DataFrame, signer: Signer) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(signer)  # two numbers a band
 
     def rows(batches):
-        shingle, seen = Shingler(), set()
+        shingle, seen = Shingler(shared.value.rule.shingle), set()
         for whole in batches:
             for part in pieces(whole):
                 sig, node = [], []
@@ -211,12 +231,12 @@ def _signatures(docs: DataFrame, signer: Signer) -> DataFrame:
     return docs.mapInArrow(rows, "sig long, node long")
 
 
-def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _texts_of(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """(node, text): one text of each node. ``nodes`` names a document of the
     node (of repeated ids the one with the node's set is taken); nodes that
     only documents without an id have are found among those."""
     def rows(batches):
-        shingle = Shingler()
+        shingle = Shingler(rule.shingle)
         for whole in batches:
             for part in pieces(whole):
                 own = [node_of(shingle(t)) for t in part.column(1).to_pylist()]
@@ -231,10 +251,10 @@ def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return found.unionByName(rest).dropDuplicates(["node"])
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """The (a, b) whose sets link, by exact counts of their shingles."""
     def rows(batches):
-        shingle, held = Shingler(), {}
+        shingle, held = Shingler(rule.shingle), {}
 
         def tokens(node, text):
             if node not in held:
@@ -249,7 +269,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 for a, b, ta, tb in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
                     x, y = tokens(a, ta), tokens(b, tb)
                     both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+                    keep.append(100 * both >= rule.percent * (len(x) + len(y) - both))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     first = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -257,27 +277,27 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b").mapInArrow(rows, "a long, b long")
 
 
-def set_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def set_components(docs: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataFrame]:
     """(documents with n_shingles and node, (node, root) of linked nodes)."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    members = stored(_memberships(plain), "shingle-sets")
+    members = stored(_memberships(plain, rule), "shingle-sets")
     nodes = members.where("node is not null").groupBy("node").agg(
         F.max("n_shingles").alias("size"), F.min("doc_id").alias("doc_id"), *(F.max(c).alias(c) for c in _SKETCH))
     largest = nodes.agg(F.max("size")).first()[0] or 0
-    starts = band_starts(largest)
+    starts = band_starts(largest, rule.percent)
     bounds = F.array(*[F.lit(s) for s in starts])
     counts = {r.band: r.n for r in nodes.groupBy((F.size(F.filter(bounds, lambda s: s <= F.col("size"))) - 1).alias("band"))
               .agg(F.count("*").alias("n")).collect()}  # one row a band
-    plan = {b: allocate(counts.get(b, 0) + counts.get(b + 1, 0), stop - 1)
+    plan = {b: allocate(counts.get(b, 0) + counts.get(b + 1, 0), stop - 1, rule.percent)
             for b, (_, stop) in enumerate(pairwise(starts)) if b in counts}
     empty = docs.sparkSession.createDataFrame([], "node long, root long")
     if not plan:
         return members.drop(*_SKETCH), empty
-    signed = stored(_signatures(plain, Signer(starts, plan)), "signatures")
+    signed = stored(_signatures(plain, Signer(starts, plan, rule)), "signatures")
     shared = signed.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high").select("sig")
     bucket = stored(signed.join(shared, "sig").distinct().join(nodes.drop("doc_id"), "node"), "buckets")
     company = nodes.join(bucket.select("node").distinct(), "node").select("node", "doc_id")
-    texts = stored(_texts_of(plain, company), "candidate-texts")
+    texts = stored(_texts_of(plain, company, rule), "candidate-texts")
     roots, leaders, links = empty, 1, None
     while True:
         at = bucket.join(roots, "node", "left").select("sig", "node", "size", *_SKETCH, F.coalesce("root", "node").alias("root"))
@@ -287,8 +307,8 @@ def set_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         rank = F.row_number().over(Window.partitionBy("sig").orderBy("node"))
         heads = stored(left.withColumn("rank", rank).where(F.col("rank") <= leaders).drop("rank"), "bucket-heads")
         a = heads.select("sig", *(F.col(c).alias("a" if c == "node" else f"{c}_a") for c in ["node", "size", "root", *_SKETCH]))
-        pairs = left.join(a, "sig").where((F.col("root") != F.col("root_a")) & _may_link()).select("a", F.col("node").alias("b")).distinct()
-        found = stored(_verified(pairs, texts), "links")
+        pairs = left.join(a, "sig").where((F.col("root") != F.col("root_a")) & _may_link(rule.percent)).select("a", F.col("node").alias("b")).distinct()
+        found = stored(_verified(pairs, texts, rule), "links")
         links = found if links is None else links.unionByName(found)
         if not found.isEmpty():
             roots = stored(components(links), "components")
@@ -309,15 +329,15 @@ def join_documents(docs: DataFrame) -> DataFrame:
         "doc_id", "n_shingles", F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component, as it is: the one with the least id
+def keep_one(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
+    """One document of each component under the rule, as it is: the one with the least id
     (null last), then the least digest of its text; documents without words
     all stay."""
-    _, roots = set_components(docs)
+    _, roots = set_components(docs, rule)
     at = docs.columns.index("text")
 
     def rows(batches):
-        shingle = Shingler()
+        shingle = Shingler(rule.shingle)
         for whole in batches:
             for part in pieces(whole):
                 own = [node_of(shingle(t)) for t in part.column(at).to_pylist()]
