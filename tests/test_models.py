@@ -76,3 +76,38 @@ def test_ranking_metrics_equal_spark_evaluator(spark):
     ev = RankingEvaluator(predictionCol="prediction", labelCol="label", k=10)
     assert abs(got["map_at_10"] - ev.setMetricName("meanAveragePrecisionAtK").evaluate(j)) < 1e-9
     assert abs(got["ndcg_at_10"] - ev.setMetricName("ndcgAtK").evaluate(j)) < 1e-9
+
+
+def test_top_items_equal_brute_force(spark, monkeypatch):
+    """Over all items, also unpopular ones; users who own most items get the rest."""
+    import numpy as np
+    from postlens.operators import models as ML
+    monkeypatch.setattr(ML, "USER_BLOCK", 7)
+    monkeypatch.setattr(ML, "ITEM_BLOCK", 50)
+    rng = np.random.default_rng(2)
+    u, v = rng.normal(size=(20, 4)).astype(np.float32), (rng.normal(size=(400, 4)) * rng.exponential(size=(400, 1))).astype(np.float32)
+    v[7] = v[3]
+    own = {(i, int(j)) for i in range(20) for j in rng.choice(400, 395 if i == 5 else 0 if i == 6 else 30, replace=False)}
+    rows = lambda m: [(i, [float(x) for x in r]) for i, r in enumerate(m)]
+    frames = [spark.createDataFrame(rows(m), "id int, features array<float>") for m in (u, v)]
+    owned = spark.createDataFrame(sorted(own), "user_id int, product_id int")
+    score = (u.astype(float) @ v.T.astype(float)).astype(np.float32)
+    want = {i: [j for j in np.lexsort((np.arange(400), -score[i])).tolist() if (i, j) not in own][:10] for i in range(20)}
+    # half the users have a floor, as good as it can be
+    floors = spark.createDataFrame([(i, float(score[i, want[i][-1]])) for i in range(10) if len(want[i]) == 10], "user_id int, floor float")
+    got = {}
+    for r in ML.top_items(*frames, owned, floors, 10).orderBy("user_id", "rank").collect():
+        got.setdefault(r.user_id, []).append(r.product_id)
+    assert got == want
+
+
+def test_recommendations_reach_every_item(spark):
+    """A user with an own taste gets the unpopular items of like-minded users."""
+    from postlens.operators import models as ML
+    crowd = [(u, p, 1) for u in range(60) for p in range(60) if (u + p) % 3]
+    niche = [(100 + u, 200 + p, 2) for u in range(12) for p in range(20) if (u * 7 + p * 3) % 4]
+    d = spark.createDataFrame(crowd + niche, "user_id int, product_id int, purchases int")
+    types = d.select("product_id").distinct().withColumn("product_type", F.lit("T"))
+    _, recs = ML.fit_recommendations(d, types)
+    first = ML.recommendation_rows(recs).where("user_id >= 100 and rank = 1")
+    assert first.count() == 12 and first.where("product_id >= 200").count() >= 10
