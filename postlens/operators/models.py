@@ -90,10 +90,15 @@ def delivery_time_pipeline(num_trees: int = 50, max_depth: int = 5) -> Pipeline:
                               featureSubsetStrategy="all", labelCol="label")])
 
 
-def fit_delivery_time(deliveries: DataFrame) -> tuple[PipelineModel, DataFrame]:
+def _to_score(frame: DataFrame, every_row: bool) -> DataFrame:
+    """The held-out rows, or all rows."""
+    return frame if every_row else frame.where(F.col("is_test"))
+
+
+def fit_delivery_time(deliveries: DataFrame, every_row: bool = False) -> tuple[PipelineModel, DataFrame]:
     frame = delivery_frame(deliveries)
     model = delivery_time_pipeline().fit(frame.where(~F.col("is_test")))
-    scored = model.transform(frame.where(F.col("is_test")))
+    scored = model.transform(_to_score(frame, every_row))
     return model, scored.select("delivery_id", "city", "parcel_type", "hour",
                                 F.col("label").alias("actual_minutes"),
                                 F.col("prediction").alias("predicted_minutes"))
@@ -114,7 +119,7 @@ def feature_importance(spark: SparkSession, model: PipelineModel, names: list[st
 SATISFACTION_FEATURES = ["city_encoded", "delivery_type_encoded", "delivery_delay", "delivery_time_actual"]
 
 
-def fit_satisfaction(feedback: DataFrame) -> tuple[PipelineModel, DataFrame]:
+def fit_satisfaction(feedback: DataFrame, every_row: bool = False) -> tuple[PipelineModel, DataFrame]:
     """Logistic regression on city, delivery type, delay and actual time ->
     satisfied (score >= 7). scikit-learn's L2 with C = 1 is
     ``regParam = 1 / n`` on unstandardised features."""
@@ -132,7 +137,7 @@ def fit_satisfaction(feedback: DataFrame) -> tuple[PipelineModel, DataFrame]:
         LogisticRegression(regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False,
                            maxIter=100, labelCol="label")])
     model = pipe.fit(train)
-    scored = model.transform(f.where(F.col("is_test")))
+    scored = model.transform(_to_score(f, every_row))
     return model, scored.select("feedback_id", "label", "prediction",
                                 vector_to_array("probability")[1].alias("p_satisfied"))
 
@@ -164,13 +169,13 @@ def customer_window_features(purchases: DataFrame, horizon_days: int) -> DataFra
 CUSTOMER_FEATURES = ["frequency", "monetary", "avg_order_value", "recency_days", "tenure_days"]
 
 
-def fit_ltv(purchases: DataFrame, horizon_days: int = 365) -> DataFrame:
+def fit_ltv(purchases: DataFrame, horizon_days: int = 365, every_row: bool = False) -> DataFrame:
     """Boosted trees predicting spend in the horizon after the cutoff."""
     f = customer_window_features(purchases, horizon_days)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=CUSTOMER_FEATURES, outputCol="features"),
                             GBTRegressor(labelCol="spend_after", maxIter=30, maxDepth=4, seed=SEED)])
     model = pipe.fit(f.where(~F.col("is_test")))
-    return model.transform(f.where(F.col("is_test"))).select("customer_id", "spend_after", "prediction")
+    return model.transform(_to_score(f, every_row)).select("customer_id", "spend_after", "prediction")
 
 
 def fit_churn(purchases: DataFrame, horizon_days: int = 180) -> DataFrame:
@@ -351,10 +356,11 @@ def price_elasticity(price_points: DataFrame, lift_step: float = 0.05) -> DataFr
 
 
 # ---------------------------------------------------------------- demand forecast
-def forecast_frame(daily: DataFrame, horizon: int) -> DataFrame:
+def forecast_frame(daily: DataFrame, horizon: int, future: bool = False) -> DataFrame:
     """Calendar-complete series with lags 0, 1, 7, 30, trailing 7-day mean,
     weekday and the target h days ahead; the seasonal-naive baseline is the
-    value 7 days (35 for h = 30) before the target date."""
+    value 7 days (35 for h = 30) before the target date. ``future`` keeps
+    the rows whose target is not known."""
     from postlens.operators.windows import calendar_complete
     s = calendar_complete(daily)
     w = Window.partitionBy("metric").orderBy("date")
@@ -367,7 +373,21 @@ def forecast_frame(daily: DataFrame, horizon: int) -> DataFrame:
                  F.lead("value", horizon).over(w).alias("target"),
                  F.lag("value", base_lag - horizon).over(w).alias("baseline") if base_lag > horizon
                  else F.col("value").alias("baseline"))
-    return f.na.drop(subset=["lag_1", "lag_7", "lag_30", "target", "baseline"])
+    return f.na.drop(subset=["lag_1", "lag_7", "lag_30", "baseline"] + ["target"] * (not future))
+
+
+def fit_demand(daily: DataFrame, horizon: int, every_row: bool = False) -> DataFrame:
+    """Boosted trees on the lag features, trained on the first 80 % of days;
+    the scored last 20 %, or every day with lags, also where the target is
+    still to come."""
+    f = forecast_frame(daily, horizon)
+    cut = f.agg(F.percentile_approx(F.unix_date("date"), 0.8, 10000)).scalar()
+    split = lambda d: d.withColumn("is_test", F.unix_date("date") > cut)
+    feats = ["value", "lag_1", "lag_7", "lag_30", "mean_7", "weekday"]
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"),
+                            GBTRegressor(labelCol="target", maxIter=20, maxDepth=4, seed=SEED)])
+    model = pipe.fit(split(f).where(~F.col("is_test")))
+    return model.transform(forecast_frame(daily, horizon, future=True) if every_row else split(f).where("is_test"))
 
 
 def demand_forecast(daily: DataFrame, horizons=(1, 7, 30)) -> DataFrame:
@@ -376,14 +396,7 @@ def demand_forecast(daily: DataFrame, horizons=(1, 7, 30)) -> DataFrame:
     model and of the seasonal-naive baseline."""
     out = []
     for h in horizons:
-        f = forecast_frame(daily, h)
-        cut = f.agg(F.percentile_approx(F.unix_date("date"), 0.8, 10000)).scalar()
-        f = f.withColumn("is_test", F.unix_date("date") > cut)
-        feats = ["value", "lag_1", "lag_7", "lag_30", "mean_7", "weekday"]
-        pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"),
-                                GBTRegressor(labelCol="target", maxIter=20, maxDepth=4, seed=SEED)])
-        model = pipe.fit(f.where(~F.col("is_test")))
-        t = model.transform(f.where(F.col("is_test")))
+        t = fit_demand(daily, h)
         ape = lambda c: F.abs(F.col(c) - F.col("target")) / F.abs(F.col("target"))
         out.append(t.agg(F.count(F.lit(1)).alias("test_days"),
                          F.avg(F.abs(F.col("prediction") - F.col("target"))).alias("model_mae"),
@@ -395,7 +408,7 @@ def demand_forecast(daily: DataFrame, horizons=(1, 7, 30)) -> DataFrame:
 
 
 # ---------------------------------------------------------------- text
-def fit_sentiment(text_labels: DataFrame) -> DataFrame:
+def fit_sentiment(text_labels: DataFrame, every_row: bool = False) -> DataFrame:
     """Tokens -> hashed term frequencies -> IDF -> multinomial logistic
     regression over positive / neutral / negative. Whole texts are used."""
     d = text_labels.withColumn("is_test", holdout_flag("doc_id"))
@@ -406,7 +419,8 @@ def fit_sentiment(text_labels: DataFrame) -> DataFrame:
         IDF(inputCol="tf", outputCol="features", minDocFreq=2),
         LogisticRegression(family="multinomial", labelCol="label_idx", regParam=0.01, maxIter=50)])
     model = pipe.fit(d.where(~F.col("is_test")))
-    return model.transform(d.where(F.col("is_test"))).select("doc_id", "label", "label_idx", "prediction")
+    return model.transform(_to_score(d, every_row)).select(
+        "doc_id", "label", "label_idx", "prediction", F.array_max(vector_to_array("probability")).alias("confidence"))
 
 
 def sentiment_scores(scored: DataFrame) -> DataFrame:

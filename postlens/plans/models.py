@@ -182,25 +182,45 @@ def q_metric_outliers(spark, sf):
 
 @register("score_all_models", section=S)
 def q_score_all_models(spark, sf):
-    """Every model's scored rows in the prediction-fact layout."""
-    ds = F.lit(P.RUN_DS).cast("date")
-    d = _delivery(spark, sf)[1].select(
-        ds.alias("prediction_date"), F.lit("delivery_time").alias("model_type"),
-        F.col("delivery_id").alias("entity_id"), F.col("predicted_minutes").alias("predicted_value"),
-        F.col("actual_minutes").alias("actual_value"), F.lit(None).cast("double").alias("confidence_score"),
-        F.lit("minutes").alias("unit"))
-    s = _satisfaction(spark, sf)[1].select(
-        ds.alias("prediction_date"), F.lit("customer_satisfaction").alias("model_type"),
-        F.col("feedback_id").alias("entity_id"), F.col("prediction").alias("predicted_value"),
-        F.col("label").alias("actual_value"),
-        F.greatest("p_satisfied", F.lit(1.0) - F.col("p_satisfied")).alias("confidence_score"),
-        F.lit("class").alias("unit"))
-    c = ML.fit_churn(load(spark, sf, "purchases")).select(
-        ds.alias("prediction_date"), F.lit("churn").alias("model_type"), F.col("customer_id").alias("entity_id"),
-        F.col("churn_probability").alias("predicted_value"), F.col("churned").alias("actual_value"),
-        F.greatest("churn_probability", F.lit(1.0) - F.col("churn_probability")).alias("confidence_score"),
-        F.lit("probability").alias("unit"))
-    return union_all(d, s, c)
+    """Every row scored by each of the nine models in the prediction-fact
+    layout (training rows as well), its risk band, and the number of rows of
+    its (model_type, band). Churn's bands are the churn model's, satisfaction's
+    the same steps of the probability of not being satisfied, a flagged
+    shipment is high; models of amounts have no risk and the band ``none``."""
+    ds, no = F.lit(P.RUN_DS).cast("date"), F.lit(None).cast("double")
+
+    def facts(scored, model_type, entity, predicted, actual, confidence, unit, band=F.lit("none")):
+        return scored.select(ds.alias("prediction_date"), F.lit(model_type).alias("model_type"), entity.cast("string").alias("entity_id"),
+                             predicted.cast("double").alias("predicted_value"), actual.cast("double").alias("actual_value"),
+                             confidence.cast("double").alias("confidence_score"), F.lit(unit).alias("unit"), band.alias("band"))
+
+    c, either = F.col, lambda p: F.greatest(F.col(p), F.lit(1.0) - F.col(p))
+    unsatisfied = F.lit(1.0) - c("p_satisfied")
+    purchases = load(spark, sf, "purchases")
+    daily = load(spark, sf, "daily_metrics")
+    scored = union_all(
+        facts(ML.fit_delivery_time(load(spark, sf, "deliveries"), every_row=True)[1], "delivery_time", c("delivery_id"),
+              c("predicted_minutes"), c("actual_minutes"), no, "minutes"),
+        facts(ML.fit_satisfaction(load(spark, sf, "feedback"), every_row=True)[1], "customer_satisfaction", c("feedback_id"),
+              c("prediction"), c("label"), either("p_satisfied"), "class",
+              F.when(unsatisfied >= 0.7, "high").when(unsatisfied >= 0.4, "medium").otherwise("low")),
+        facts(ML.fit_churn(purchases), "churn", c("customer_id"), c("churn_probability"), c("churned"),
+              either("churn_probability"), "probability", c("risk_band")),
+        facts(ML.fit_ltv(purchases, every_row=True), "ltv", c("customer_id"), c("prediction"), c("spend_after"), no, "amount"),
+        facts(ML.recommendation_rows(_recs(spark, sf)[1]), "recommendations", F.concat_ws("|", "user_id", "product_id"),
+              c("score"), no, no, "preference"),
+        facts(ML.price_elasticity(load(spark, sf, "price_points")), "price", c("product_type"), c("revenue_lift_percent"), no, no, "percent"),
+        *(facts(ML.fit_demand(daily, h, every_row=True), "demand", F.concat_ws("|", "metric", "date", F.lit(h)),
+                c("prediction"), c("target"), no, "metric value") for h in (1, 7, 30)),
+        facts(ML.fit_sentiment(load(spark, sf, "text_labels"), every_row=True), "sentiment", c("doc_id"), c("prediction"),
+              c("label_idx"), c("confidence"), "class"),
+        facts(ML.fraud_score(spark, load(spark, sf, "shipments")), "fraud", c("shipment_id"), c("anomaly_score"), no, no,
+              "reconstruction error", F.when(c("is_flagged"), "high").otherwise("low")))
+    path = scratch_dir(spark, "model_scores")  # read twice
+    scored.write.mode("overwrite").parquet(path)
+    scored = spark.read.schema(scored.schema).parquet(path)
+    counts = scored.groupBy("model_type", "band").agg(F.count(F.lit(1)).alias("band_rows"))
+    return scored.join(F.broadcast(counts), ["model_type", "band"]).select(*scored.columns, "band_rows")
 
 
 @register("model_drift", section=S)

@@ -111,3 +111,17 @@ def test_recommendations_reach_every_item(spark):
     _, recs = ML.fit_recommendations(d, types)
     first = ML.recommendation_rows(recs).where("user_id >= 100 and rank = 1")
     assert first.count() == 12 and first.where("product_id >= 200").count() >= 10
+
+
+def test_score_all_models_scores_every_row_of_every_model(spark):
+    from postlens.sources.standins import load
+    s = Q["score_all_models"](spark, SF_SMALL).cache()
+    n = {r.model_type: r["count"] for r in s.groupBy("model_type").count().collect()}
+    assert set(n) == {"delivery_time", "customer_satisfaction", "churn", "ltv", "recommendations", "price", "demand", "sentiment", "fraud"}
+    for model, name in (("delivery_time", "deliveries"), ("customer_satisfaction", "feedback"), ("sentiment", "text_labels"), ("fraud", "shipments")):
+        assert n[model] == load(spark, SF_SMALL, name).count()
+    assert s.where("predicted_value is null").count() == 0
+    assert s.where("model_type = 'demand' and actual_value is null").count() > 0  # days still to come
+    bands = s.groupBy("model_type", "band").agg(F.count("*").alias("n"), F.min("band_rows").alias("a"), F.max("band_rows").alias("b")).collect()
+    assert all(r.n == r.a == r.b for r in bands)
+    assert {r.band for r in bands if r.model_type in ("churn", "fraud", "customer_satisfaction")} <= {"high", "medium", "low"}
