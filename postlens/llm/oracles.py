@@ -40,3 +40,13 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        cast(sum(length('<turn><text></turn>') + 3 * length(role || text) - length(replace(role || text, '\', '')) - length(replace(role || text, '<', ''))) AS BIGINT)
          AS formatted_chars
 FROM c GROUP BY conv_id"""
+
+SUBSTRING_DEDUP = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS p, w FROM d WHERE len(w) >= 50),
+h AS (SELECT doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS t FROM g),
+f AS (SELECT t, min(doc_id) AS first FROM h GROUP BY t),
+r AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS q FROM (SELECT doc_id, p FROM h JOIN f USING (t) WHERE first < doc_id) x),
+e AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS q FROM d),
+k AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY q) AS kept FROM e ANTI JOIN r USING (doc_id, q) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postlens.llm import attention_lm, byte_bpe, chat_format, decontamination, jaccard_join, language_id, license_scan, minhash, oracles, quality_trees, toxicity
+from postlens.llm import attention_lm, byte_bpe, chat_format, decontamination, jaccard_join, language_id, license_scan, minhash, oracles, quality_trees, substring_dedup, toxicity
 from postlens.llm.common import table
 from postlens.llm.licence_texts import PHRASES, TEMPLATES
 
@@ -70,6 +70,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.conversations_digest(given.withColumn("turn", given["turn"].cast("long")).unionByName(extra), formatter).drop("n_tokens", "loss_tokens")
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
@@ -82,6 +86,7 @@ def queries() -> dict[str, QueryFn]:
         "op8_toxicity": op8_toxicity,
         "op9_language_id": op9_language_id,
         "op10_chat_format": op10_chat_format,
+        "op11_substring_dedup": op11_substring_dedup,
     }
 
 
@@ -90,4 +95,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_jaccard_join": oracles.JACCARD_JOIN,
         "op6_decontamination": oracles.DECONTAMINATION,
         "op10_chat_format": oracles.CHAT_FORMAT,
+        "op11_substring_dedup": oracles.SUBSTRING_DEDUP,
     }
