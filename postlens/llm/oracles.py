@@ -50,3 +50,47 @@ r AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS q FROM (SELECT doc_id,
 e AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS q FROM d),
 k AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY q) AS kept FROM e ANTI JOIN r USING (doc_id, q) GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""
+
+
+def _merkle() -> str:
+    """Levels written out: six a source, four over the subroots."""
+    def part(value: str) -> str:
+        return f"coalesce(strlen(cast({value} AS VARCHAR)) || ':' || cast({value} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(map(part, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+    def climb(name: str, depth: int) -> list[str]:
+        out = []
+        for k in range(depth):
+            out.append(f"{name}g{k} AS (SELECT tree, pos // 16 AS run, list(h ORDER BY pos) AS hs FROM {name}{k} WHERE n > 1 GROUP BY ALL)")
+            out.append(f"{name}{k + 1} AS (SELECT tree, run AS pos, sha256(array_to_string(hs, '')) AS h, count(*) OVER (PARTITION BY tree) AS n FROM {name}g{k} "
+                       f"UNION ALL SELECT tree, pos, h, n FROM {name}{k} WHERE n = 1)")
+        return out
+
+    def fold(source: str, target: str, groups: str, depth: int) -> list[str]:
+        out = []
+        for k in range(depth):
+            before = source if k == 0 else f"{target}{k}"
+            left, right = "array_to_string(g.hs[1:f.pos % 16], '')", "array_to_string(g.hs[f.pos % 16 + 2:], '')"
+            out.append(f"{target}{k + 1} AS (SELECT f.* REPLACE (CASE WHEN g.hs IS NULL THEN f.node ELSE sha256({left} || f.node || {right}) END AS node, "
+                       f"f.proof || coalesce({left} || {right}, '') AS proof, f.pos // 16 AS pos) FROM {before} f LEFT JOIN {groups}{k} g ON g.tree = f.tree AND g.run = f.pos // 16)")
+        return out
+
+    text = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    # CRC-32, bit by bit: a byte enters at every eighth step
+    step = "CASE WHEN i % 8 = 0 THEN xor(c, ascii(substr(cast(doc_id AS VARCHAR), cast(i // 8 + 1 AS BIGINT), 1))) ELSE c END"
+    crc = (f"xor(list_reduce(list_prepend(4294967295::BIGINT, range(8 * strlen(cast(doc_id AS VARCHAR)))), "
+           f"lambda c, i: xor(({step}) >> 1, 3988292384::BIGINT * (({step}) & 1))), 4294967295::BIGINT)")
+    parts = [f"d AS (SELECT doc_id, coalesce('s' || source, '') AS tree, {leaf('text')} AS leaf, CASE WHEN {crc} % 5 = 0 THEN {leaf(text)} END AS other FROM documents)",
+             "x0 AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM d)",
+             "a0 AS (SELECT tree, pos, leaf AS h, n FROM x0)", *climb("a", 6),
+             "y0 AS (SELECT tree AS name, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM a6)",
+             "b0 AS (SELECT '' AS tree, pos, subroot AS h, n FROM y0)", *climb("b", 4),
+             "f0 AS (SELECT doc_id, leaf, tree, pos, coalesce(other, leaf) AS node, '' AS proof FROM x0)", *fold("f0", "f", "ag", 6),
+             "e0 AS (SELECT f6.doc_id, f6.leaf, f6.node, f6.proof, y0.subroot, y0.pos, '' AS tree FROM f6 JOIN y0 ON y0.name = f6.tree)", *fold("e0", "e", "bg", 4)]
+    return "WITH " + ",\n".join(parts) + ("\nSELECT doc_id, leaf, subroot, b4.h AS root, sha256(proof) AS proof_sha256, node AS folded_root, node = b4.h AS verified "
+                                         "FROM e4 JOIN b4 ON b4.tree = e4.tree")
+
+
+MERKLE = _merkle()
