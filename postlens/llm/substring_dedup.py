@@ -53,7 +53,7 @@ HOT_SHARE = 1e-4
 #: Holders an anchor needs inside a block to be counted as possibly hot.
 LOCAL_HOT = 8
 #: Text of a block, and windows a task compares at a time.
-BLOCK_BYTES, CHUNK = 16 << 20, 1 << 20
+BLOCK_BYTES, CHUNK = 4 << 20, 1 << 19
 #: Words whose hash a worker keeps, and the longest of them.
 CACHE_WORDS, CACHE_LENGTH = 1 << 18, 64
 
@@ -94,16 +94,15 @@ class Block:
     """All windows of some texts: place, anchor and hash of each."""
 
     def __init__(self, texts: list[bytes], window: int, hashes: WordHashes):
-        words = [t.split() for t in texts]
-        self.n_words = np.array([len(w) for w in words], np.int64)
+        own = [np.fromiter(map(hashes.__getitem__, t.split()), np.uint64) for t in texts]
+        self.n_words = np.array([len(w) for w in own], np.int64)
         ends = np.cumsum(self.n_words)
         self.first = ends - self.n_words  # place of each text's first word
         total = int(ends[-1]) if len(ends) else 0
         self.text = np.zeros(0, np.int64)
         if total < window:
             return
-        h = np.fromiter((hashes[x] for w in words for x in w), np.uint64, total)
-        del words
+        h = np.concatenate(own)
         # sums of h[j] / base^j up to each place; a span's sum times base^(its start) is free of the place
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * _powers(_INVERSE, total))])
         power = _powers(_BASE, total)
