@@ -51,6 +51,25 @@ e AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS q FROM d
 k AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY q) AS kept FROM e ANTI JOIN r USING (doc_id, q) GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""
 
+DIVERGENCE = r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+k AS (SELECT lang, t FROM (SELECT lang, unnest(list_distinct(w)) AS t FROM d) u GROUP BY ALL HAVING count(*) >= 10),
+c AS (SELECT lang, source, t, count(*) AS n FROM (SELECT lang, source, unnest(w) AS t FROM d) u SEMI JOIN k USING (lang, t) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT e.lang, e.source, coalesce(s.total, 0) AS total, coalesce(v.v, 0) AS v FROM (SELECT DISTINCT lang, source FROM d) e
+      LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL) s USING (lang, source) LEFT JOIN v USING (lang)),
+x AS (SELECT g.lang, g.source, k.t, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (total + 2 * v) AS p
+      FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, t)),
+l AS (SELECT lang, t, 1 + (1000000000::HUGEINT * (n + 2)) // (total + 2 * v) AS q
+      FROM (SELECT lang, t, sum(n) AS n FROM c GROUP BY ALL) a JOIN (SELECT lang, sum(total) AS total, max(v) AS v FROM g GROUP BY lang) b USING (lang)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM x a JOIN x b USING (lang, t) WHERE a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT lang, source, 'term', t, (p - q) * (p - q) // (p + q) FROM x JOIN l USING (lang, t) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, cast(value AS BIGINT) AS value, cast(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r) z WHERE part = 'pair' OR rank <= 10"""
+
 
 def _merkle() -> str:
     """Levels written out: six a source, four over the subroots."""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postlens.llm import attention_lm, byte_bpe, chat_format, decontamination, jaccard_join, language_id, license_scan, merkle, minhash, oracles, quality_trees, substring_dedup, toxicity
+from postlens.llm import attention_lm, byte_bpe, chat_format, decontamination, divergence, jaccard_join, language_id, license_scan, merkle, minhash, oracles, quality_trees, substring_dedup, toxicity
 from postlens.llm.common import table
 from postlens.llm.licence_texts import PHRASES, TEMPLATES
 
@@ -74,6 +74,10 @@ def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text"))
 
@@ -91,6 +95,7 @@ def queries() -> dict[str, QueryFn]:
         "op9_language_id": op9_language_id,
         "op10_chat_format": op10_chat_format,
         "op11_substring_dedup": op11_substring_dedup,
+        "op12_source_divergence": op12_source_divergence,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
 
@@ -101,5 +106,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontamination": oracles.DECONTAMINATION,
         "op10_chat_format": oracles.CHAT_FORMAT,
         "op11_substring_dedup": oracles.SUBSTRING_DEDUP,
+        "op12_source_divergence": oracles.DIVERGENCE,
         "op13_merkle_manifest": oracles.MERKLE,
     }
