@@ -23,6 +23,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.semantics import np_round, safe_div
+from postlens.operators import isolation
+from postlens.operators.quantiles import exact_quantiles
+from postlens.session import scratch_dir
 from postlens.sources.tables import broadcast_if_rows_at_most
 
 SEED = 42
@@ -381,7 +384,7 @@ def fit_demand(daily: DataFrame, horizon: int, every_row: bool = False) -> DataF
     the scored last 20 %, or every day with lags, also where the target is
     still to come."""
     f = forecast_frame(daily, horizon)
-    cut = f.agg(F.percentile_approx(F.unix_date("date"), 0.8, 10000)).scalar()
+    cut = exact_quantiles(f.withColumn("day", F.unix_date("date")), "day", [0.8]).select("quantile").scalar()
     split = lambda d: d.withColumn("is_test", F.unix_date("date") > cut)
     feats = ["value", "lag_1", "lag_7", "lag_30", "mean_7", "weekday"]
     pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"),
@@ -442,16 +445,13 @@ def sentiment_scores(scored: DataFrame) -> DataFrame:
 SHIPMENT_FEATURES = ["weight", "cost", "discount", "tax", "order_value"]
 
 
-def fraud_score(spark: SparkSession, shipments: DataFrame, variance: float = 0.9,
-                contamination: float = 0.05) -> DataFrame:
-    """Standardise, keep the first principal components reaching
-    ``variance`` of the variance, score = squared reconstruction error
-    (|x|^2 - |projection|^2, the axes being orthonormal); flag scores above
-    the (1 - contamination) quantile."""
-    asm = VectorAssembler(inputCols=SHIPMENT_FEATURES, outputCol="raw")
+def reconstruction_error(shipments: DataFrame, variance: float = 0.9) -> DataFrame:
+    """``shipments`` with ``reconstruction_error``: features are standardised,
+    the first principal components reaching ``variance`` of the variance kept,
+    and the error is |z|^2 - |projection|^2 (the axes are orthonormal)."""
+    asm = VectorAssembler(inputCols=SHIPMENT_FEATURES, outputCol="raw", handleInvalid="skip")
     scaler = StandardScaler(inputCol="raw", outputCol="z", withMean=True, withStd=True)
-    staged = Pipeline(stages=[asm, scaler]).fit(shipments)
-    z = staged.transform(shipments)
+    z = Pipeline(stages=[asm, scaler]).fit(shipments).transform(shipments)
     # One fit with every component; the leading k are kept by slicing the
     # projection (components are ordered by explained variance).
     full = PCA(k=len(SHIPMENT_FEATURES), inputCol="z", outputCol="pc").fit(z)
@@ -461,15 +461,36 @@ def fraud_score(spark: SparkSession, shipments: DataFrame, variance: float = 0.9
         k += 1
         if cum >= variance:
             break
-    s = full.transform(z)
 
     def sq(arr):
         return F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x * x)
 
-    s = s.select("shipment_id", (sq(vector_to_array("z")) - sq(F.slice(vector_to_array("pc"), 1, k)))
-                 .alias("anomaly_score"))
-    cut = s.agg(F.percentile_approx("anomaly_score", 1.0 - contamination, 10000)).scalar()
-    return s.withColumn("is_flagged", F.col("anomaly_score") > cut).withColumn("components", F.lit(k))
+    error = sq(vector_to_array("z")) - sq(F.slice(vector_to_array("pc"), 1, k))
+    return full.transform(z).select(*shipments.columns, error.alias("reconstruction_error"), F.lit(k).alias("components"))
+
+
+def fraud_score(spark: SparkSession, shipments: DataFrame, variance: float = 0.9, contamination: float = 0.05,
+                trees: int = isolation.TREES, psi: int = isolation.PSI) -> DataFrame:
+    """Two views of how unusual a shipment is, isolation forest and
+    reconstruction error, and their mean. Each is first set against its own
+    (1 - contamination) quantile, ``x / (x + quantile)``, which is one half
+    there. Rows above the exact quantile of the mean are flagged."""
+    forest = isolation.grow(shipments, "shipment_id", SHIPMENT_FEATURES, trees, psi)
+    scored = isolation.score(reconstruction_error(shipments, variance), forest)
+    path = scratch_dir(spark, "fraud-scores")  # read by the passes for the quantiles
+    scored.write.parquet(path)
+    scored = spark.read.schema(scored.schema).parquet(path)
+
+    def cut(df: DataFrame, column: str) -> float:
+        found = exact_quantiles(df, column, [1.0 - contamination]).first()
+        return found["quantile"] if found else 0.0
+
+    def against(column: str) -> Column:
+        at = cut(scored, column)
+        return safe_div(F.col(column), F.col(column) + F.lit(at))
+
+    both = scored.withColumn("anomaly_score", (against("isolation_score") + F.coalesce(against("reconstruction_error"), F.lit(0.0))) / 2.0)
+    return both.withColumn("is_flagged", F.col("anomaly_score") > cut(both, "anomaly_score"))
 
 
 def metric_outliers(daily: DataFrame, flag_share: float = 0.05) -> DataFrame:
@@ -505,8 +526,9 @@ def model_drift(predictions: DataFrame, bins: int = 10, floor: float = 1e-4) ->
     p = p.join(broadcast_if_rows_at_most(span), "model_type").withColumn(
         "later", F.unix_date("prediction_date") > F.col("mid"))
     qs = [i / bins for i in range(1, bins)]
-    edges = (p.where(~F.col("later")).groupBy("model_type")
-             .agg(F.percentile_approx("predicted_value", qs, 10000).alias("edges")))
+    # one row a model and decile, at exact ranks
+    edges = (exact_quantiles(p.where(~F.col("later")), "predicted_value", qs, ["model_type"])
+             .groupBy("model_type").agg(F.array_sort(F.collect_list("quantile")).alias("edges")))
     p = p.join(broadcast_if_rows_at_most(edges), "model_type")
     bin_of = F.size(F.filter("edges", lambda e: e < F.col("predicted_value")))
     # Same rule as the model performance view: |p - a| / a <= 0.1.

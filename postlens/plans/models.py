@@ -165,7 +165,7 @@ def q_satisfaction_category(spark, sf):
 @register("fraud_score", section=S)
 def q_fraud_score(spark, sf):
     s = ML.fraud_score(spark, load(spark, sf, "shipments"))
-    return s.where("is_flagged")
+    return s.where("is_flagged").select("shipment_id", "isolation_score", "reconstruction_error", "anomaly_score", "is_flagged", "components")
 
 
 @register("metric_outliers", section=S, oracle="""
@@ -223,7 +223,25 @@ def q_score_all_models(spark, sf):
     return scored.join(F.broadcast(counts), ["model_type", "band"]).select(*scored.columns, "band_rows")
 
 
-@register("model_drift", section=S)
+DRIFT_SQL = """
+WITH k AS (SELECT * FROM predictions WHERE actual_value IS NOT NULL),
+mid AS (SELECT model_type, (datediff('day', DATE '1970-01-01', min(prediction_date)) + datediff('day', DATE '1970-01-01', max(prediction_date))) / 2.0E0 AS mid FROM k GROUP BY model_type),
+p AS (SELECT k.*, datediff('day', DATE '1970-01-01', prediction_date) > mid AS later,
+             coalesce(CASE WHEN actual_value <> 0 THEN abs(predicted_value - actual_value) / actual_value END <= 0.1E0, false) AS near
+      FROM k JOIN mid USING (model_type)),
+e AS (SELECT model_type, quantile_disc(predicted_value, [0.1E0, 0.2E0, 0.3E0, 0.4E0, 0.5E0, 0.6E0, 0.7E0, 0.8E0, 0.9E0]) AS edges FROM p WHERE NOT later GROUP BY model_type),
+b AS (SELECT model_type, len(list_filter(edges, lambda x: x < predicted_value)) AS bin, count_if(NOT later) AS n_early, count_if(later) AS n_late
+      FROM p JOIN e USING (model_type) GROUP BY ALL),
+t AS (SELECT model_type, sum(n_early) AS t_early, sum(n_late) AS t_late FROM b GROUP BY model_type),
+s AS (SELECT model_type, greatest(n_early / nullif(t_early, 0), 0.0001E0) AS e, greatest(n_late / nullif(t_late, 0), 0.0001E0) AS a FROM b JOIN t USING (model_type)),
+d AS (SELECT model_type, sum((a - e) * ln(a / e)) AS psi FROM s GROUP BY model_type),
+c AS (SELECT model_type, avg(CASE WHEN NOT later THEN cast(near AS DOUBLE) END) AS early, avg(CASE WHEN later THEN cast(near AS DOUBLE) END) AS late FROM p GROUP BY model_type)
+SELECT model_type, round_even(psi * 10000.0E0, 0) / 10000.0E0 AS drift_score, (late - early) * 100.0E0 AS accuracy_change_points,
+       CASE WHEN psi < 0.1E0 THEN 'healthy' ELSE 'needs_retraining' END AS status, psi >= 0.1E0 AS retraining_required
+FROM d JOIN c USING (model_type)"""
+
+
+@register("model_drift", section=S, oracle=DRIFT_SQL)
 def q_model_drift(spark, sf):
     return ML.model_drift(load(spark, sf, "predictions"))
 
