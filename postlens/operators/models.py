@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import (IDF, PCA, HashingTF, RegexTokenizer, StandardScaler, StringIndexer,
+from pyspark.ml.feature import (IDF, PCA, HashingTF, RegexTokenizer, SQLTransformer, StandardScaler, StringIndexer,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.semantics import np_round, safe_div
-from postlens.operators import isolation
+from postlens.operators import isolation, linear
 from postlens.operators.quantiles import exact_quantiles
 from postlens.session import scratch_dir
 from postlens.sources.tables import broadcast_if_rows_at_most
@@ -122,27 +122,33 @@ def feature_importance(spark: SparkSession, model: PipelineModel, names: list[st
 SATISFACTION_FEATURES = ["city_encoded", "delivery_type_encoded", "delivery_delay", "delivery_time_actual"]
 
 
+def satisfaction_frame(feedback: DataFrame) -> DataFrame:
+    return feedback.select("feedback_id", "city", "delivery_type",
+                           (F.col("delivery_time_actual") - F.col("delivery_time_promised")).cast("double").alias("delivery_delay"),
+                           F.col("delivery_time_actual").cast("double").alias("delivery_time_actual"),
+                           (F.col("satisfaction_score") >= 7).cast("double").alias("label"), holdout_flag("feedback_id").alias("is_test"))
+
+
 def fit_satisfaction(feedback: DataFrame, every_row: bool = False) -> tuple[PipelineModel, DataFrame]:
     """Logistic regression on city, delivery type, delay and actual time ->
-    satisfied (score >= 7). scikit-learn's L2 with C = 1 is
-    ``regParam = 1 / n`` on unstandardised features."""
-    f = feedback.select("feedback_id", "city", "delivery_type",
-                        (F.col("delivery_time_actual") - F.col("delivery_time_promised")).cast("double")
-                        .alias("delivery_delay"),
-                        F.col("delivery_time_actual").cast("double").alias("delivery_time_actual"),
-                        (F.col("satisfaction_score") >= 7).cast("double").alias("label"),
-                        holdout_flag("feedback_id").alias("is_test"))
+    satisfied (score >= 7), by Newton steps over summed Hessians. As in
+    scikit-learn with C = 1, half the squared weights are the penalty and the
+    intercept has none. Features are set against their training means, which
+    changes the intercept only. The model is a pipeline of the two encoders
+    and one SQL expression of the weights, so it is saved like any other."""
+    f = satisfaction_frame(feedback)
     train = f.where(~F.col("is_test"))
-    n = train.count()
-    pipe = Pipeline(stages=[
-        label_encoder("city"), label_encoder("delivery_type"),
-        VectorAssembler(inputCols=SATISFACTION_FEATURES, outputCol="features"),
-        LogisticRegression(regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False,
-                           maxIter=100, labelCol="label")])
-    model = pipe.fit(train)
-    scored = model.transform(_to_score(f, every_row))
-    return model, scored.select("feedback_id", "label", "prediction",
-                                vector_to_array("probability")[1].alias("p_satisfied"))
+    encoders = Pipeline(stages=[label_encoder("city"), label_encoder("delivery_type")]).fit(train)
+    coded = encoders.transform(train)
+    means = coded.agg(*[F.avg(c) for c in SATISFACTION_FEATURES]).first()
+    means = [float(m) if m is not None else 0.0 for m in means]
+    xs = [F.lit(1.0), *[F.col(c) - m for c, m in zip(SATISFACTION_FEATURES, means)]]
+    w = linear.newton_logistic(coded, xs, F.col("label"), [0.0] + [1.0] * len(SATISFACTION_FEATURES))
+    terms = " + ".join([f"{float(w[0])!r}D", *(f"{float(v)!r}D * (`{c}` - {m!r}D)" for c, v, m in zip(SATISFACTION_FEATURES, w[1:], means))])
+    score = SQLTransformer(statement=f"SELECT *, 1.0D / (1.0D + exp(-({terms}))) AS p_satisfied FROM __THIS__")
+    chosen = SQLTransformer(statement="SELECT *, CASE WHEN p_satisfied > 0.5D THEN 1.0D ELSE 0.0D END AS prediction FROM __THIS__")
+    model = PipelineModel(stages=[*encoders.stages, score, chosen])
+    return model, model.transform(_to_score(f, every_row)).select("feedback_id", "label", "prediction", "p_satisfied")
 
 
 # ---------------------------------------------------------------- customers
@@ -344,16 +350,39 @@ def ranking_scores(interactions_split: DataFrame, recs: DataFrame, product_types
 
 
 # ---------------------------------------------------------------- pricing (closed form)
-def price_elasticity(price_points: DataFrame, lift_step: float = 0.05) -> DataFrame:
-    """Per product type, the slope of ln(quantity) on ln(unit price);
-    raise the price when the slope > -1 (inelastic), lower it when < -1;
-    expected revenue change for a ``lift_step`` price increase, in %."""
+ELASTICITY_REGRESSORS = ("ln(unit_price)", "discount", "sin(month * pi() / 6)", "cos(month * pi() / 6)")
+
+
+def ridge(rows: DataFrame, y: str, regressors: tuple[str, ...], by: list[str], penalty: float = 1.0) -> DataFrame:
+    """(by..., observations, weights): ridge regression of ``y`` on a constant
+    (without penalty) and ``regressors`` (SQL expressions) in each group. Each
+    column is set against its group's mean, which changes the constant only
+    and keeps the matrix well conditioned; the means are summed in the same
+    pass over the rows as the products, from which they are taken off."""
+    xs = [F.lit(1.0), *[F.expr(r) for r in regressors]]
+    k = len(xs)
+    total = linear.normal_equations(rows, xs, F.expr(y), by)
+    # products about the means: sum((x - mx)(z - mz)) = sum(x z) - sum(x) sum(z) / n
+    cell = lambda i, j: F.element_at(F.element_at(F.col("m"), i + 1), j + 1)
+    about = lambda i, j: cell(i, j) - cell(0, i) * cell(0, j) / cell(0, 0)
+    inner = F.array(*[F.array(*[about(i, j) + (penalty if i == j else 0.0) for j in range(1, k + 1)]) for i in range(1, k)])
+    slopes = total.select(*by, F.col("n").alias("observations"), "m", inner.alias("c")).withColumn("slopes", linear.solve(F.col("c"), k - 1))
+    level = (cell(0, k) - sum((F.element_at("slopes", i) * cell(0, i) for i in range(1, k)), F.lit(0.0))) / cell(0, 0)
+    return slopes.select(*by, "observations", F.concat(F.array(level), "slopes").alias("weights"))
+
+
+def price_elasticity(price_points: DataFrame, lift_step: float = 0.05, penalty: float = 1.0) -> DataFrame:
+    """Per product type, ridge regression of ln(quantity) on ln(unit price),
+    discount and month of the year (sine and cosine). The elasticity is the
+    weight of the price: raise the price when it is > -1 (inelastic), lower it
+    when < -1; expected revenue change for a ``lift_step`` price increase, in
+    %, and the effect of a full discount on ln(quantity)."""
     p = price_points.where((F.col("unit_price") > 0) & (F.col("quantity") > 0))
-    g = p.groupBy("product_type").agg(
-        F.regr_slope(F.ln("quantity"), F.ln("unit_price")).alias("elasticity"),
-        F.count(F.lit(1)).alias("observations"))
+    g = ridge(p, "ln(quantity)", ELASTICITY_REGRESSORS, ["product_type"], penalty)
+    g = g.select("product_type", "observations", np_round(F.element_at("weights", 2), 6).alias("elasticity"),
+                 np_round(F.element_at("weights", 3), 6).alias("discount_effect"))
     e = F.col("elasticity")
-    return g.select("product_type", "observations", "elasticity",
+    return g.select("product_type", "observations", "elasticity", "discount_effect",
                     F.when(e > -1, "raise").when(e < -1, "lower").otherwise("keep").alias("suggested_change"),
                     ((F.pow(F.lit(1.0 + lift_step), F.lit(1.0) + e) - 1.0) * 100.0).alias("revenue_lift_percent"))
 
@@ -393,21 +422,71 @@ def fit_demand(daily: DataFrame, horizon: int, every_row: bool = False) -> DataF
     return model.transform(forecast_frame(daily, horizon, future=True) if every_row else split(f).where("is_test"))
 
 
+YEARLY, WEEKLY, LEVEL_DAYS = 5, 3, 7
+
+
+def fit_additive(series: DataFrame, upto: Column | None = None) -> DataFrame:
+    """(metric, first, last, weights): trend and yearly and weekly seasonality
+    of each metric's series, by least squares over the days ``upto`` marks
+    (all by default): one aggregate of products, solved in columns."""
+    span = series.groupBy("metric").agg(F.min("date").alias("first"), F.max("date").alias("last"))
+    rows = series.where(upto) if upto is not None else series
+    rows = rows.join(broadcast_if_rows_at_most(span), "metric")
+    names, xs = linear.seasonal_design("date", F.col("first"), YEARLY, WEEKLY)
+    total = linear.normal_equations(rows, xs, F.col("value"), ["metric"], linear.seasonal_penalty(YEARLY, WEEKLY))
+    return span.join(total.select("metric", linear.solve(F.col("m"), len(xs)).alias("weights")), "metric")
+
+
+def additive_value(series: DataFrame, fitted: DataFrame) -> DataFrame:
+    """``series`` with ``additive``, the fitted trend and seasonality."""
+    _, xs = linear.seasonal_design("date", F.col("first"), YEARLY, WEEKLY)
+    return (series.join(broadcast_if_rows_at_most(fitted.select("metric", "first", "weights")), "metric")
+            .withColumn("additive", linear.dot(F.col("weights"), xs)).drop("first", "weights"))
+
+
+def demand_components(daily: DataFrame) -> DataFrame:
+    """(metric, component, weight): the additive model of the whole series."""
+    from postlens.operators.windows import calendar_complete
+    names, _ = linear.seasonal_design("date", F.col("first"), YEARLY, WEEKLY)
+    fitted = fit_additive(calendar_complete(daily))
+    named = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("component"), F.col("weights").alias("weight"))
+    return fitted.select("metric", F.explode(named).alias("c")).select("metric", "c.component", np_round("c.weight", 3).alias("weight"))
+
+
 def demand_forecast(daily: DataFrame, horizons=(1, 7, 30)) -> DataFrame:
-    """Per horizon: boosted trees on the lag features, trained on the
-    first 80 % of days and scored on the last 20 %; MAE and MAPE of the
-    model and of the seasonal-naive baseline."""
-    out = []
-    for h in horizons:
-        t = fit_demand(daily, h)
-        ape = lambda c: F.abs(F.col(c) - F.col("target")) / F.abs(F.col("target"))
-        out.append(t.agg(F.count(F.lit(1)).alias("test_days"),
-                         F.avg(F.abs(F.col("prediction") - F.col("target"))).alias("model_mae"),
-                         (F.avg(F.when(F.col("target") != 0, ape("prediction"))) * 100.0).alias("model_mape"),
-                         F.avg(F.abs(F.col("baseline") - F.col("target"))).alias("baseline_mae"),
-                         (F.avg(F.when(F.col("target") != 0, ape("baseline"))) * 100.0).alias("baseline_mape"))
-                   .withColumn("horizon_days", F.lit(h)))
-    return reduce(lambda a, b: a.unionByName(b), out)
+    """Per horizon: trend and seasonality fitted on the first 80 % of each
+    metric's days, scored on the last 20 %; MAE and MAPE of the model and of the
+    seasonal-naive baseline. The forecast for a day, made h days before it, is
+    the additive value plus the mean error of the last 7 days known then."""
+    from postlens.operators.windows import calendar_complete
+    s = calendar_complete(daily).withColumn("day", F.unix_date("date"))
+    cuts = exact_quantiles(s, "day", [0.8], ["metric"]).select("metric", F.col("quantile").alias("cut"))
+    s = s.join(broadcast_if_rows_at_most(cuts), "metric")
+    s = additive_value(s, fit_additive(s, F.col("day") <= F.col("cut")))
+    w = Window.partitionBy("metric").orderBy("date")
+    s = s.withColumn("off", F.avg(F.col("value") - F.col("additive")).over(w.rowsBetween(1 - LEVEL_DAYS, 0)))
+    each = s.select("*", *[(F.col("additive") + F.lag("off", h).over(w)).alias(f"forecast_{h}") for h in horizons],
+                    *[F.lag("value", 35 if h >= 30 else 7).over(w).alias(f"naive_{h}") for h in horizons]).where("day > cut")
+    rows = each.select("value", F.explode(F.array(*[F.struct(F.lit(h).alias("horizon_days"), F.col(f"forecast_{h}").alias("forecast"), F.col(f"naive_{h}").alias("naive"))
+                                                    for h in horizons])).alias("h")).select("value", "h.*").dropna()
+    ape = lambda c: F.avg(F.when(F.col("value") != 0, F.abs(F.col(c) - F.col("value")) / F.abs(F.col("value")))) * 100.0
+    return rows.groupBy("horizon_days").agg(
+        F.count("*").alias("test_days"), np_round(F.avg(F.abs(F.col("forecast") - F.col("value"))), 3).alias("model_mae"), np_round(ape("forecast"), 3).alias("model_mape"),
+        np_round(F.avg(F.abs(F.col("naive") - F.col("value"))), 3).alias("baseline_mae"), np_round(ape("naive"), 3).alias("baseline_mape"))
+
+
+def demand_outlook(daily: DataFrame, days: int = 30) -> DataFrame:
+    """(metric, date, days_ahead, forecast): the days after the last one, from
+    the model of the whole series and its mean error over the last week."""
+    from postlens.operators.windows import calendar_complete
+    s = calendar_complete(daily)
+    fitted = fit_additive(s)
+    known = additive_value(s, fitted).join(broadcast_if_rows_at_most(fitted.select("metric", "last")), "metric")
+    off = known.where(F.date_diff("last", "date") < LEVEL_DAYS).groupBy("metric").agg(F.avg(F.col("value") - F.col("additive")).alias("off"))
+    ahead = fitted.select("metric", "last", F.explode(F.sequence(F.lit(1), F.lit(days))).alias("days_ahead")).select(
+        "metric", F.date_add("last", F.col("days_ahead")).alias("date"), "days_ahead")
+    return (additive_value(ahead, fitted).join(broadcast_if_rows_at_most(off), "metric")
+            .select("metric", "date", "days_ahead", np_round(F.col("additive") + F.col("off"), 3).alias("forecast")))
 
 
 # ---------------------------------------------------------------- text

@@ -138,7 +138,7 @@ SELECT cast(o_custkey AS int) AS user_id, cast(l_partkey AS int) AS product_id,
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 GROUP BY o_custkey, l_partkey""",
     "price_points": """
-SELECT p_type AS product_type, l_extendedprice / l_quantity AS unit_price, l_quantity AS quantity
+SELECT p_type AS product_type, l_extendedprice / l_quantity AS unit_price, l_quantity AS quantity, l_discount AS discount, month(l_shipdate) AS month
 FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "shipments": """
 SELECT concat('PCL_', cast(l_orderkey AS string), '_', cast(l_linenumber AS string)) AS shipment_id,

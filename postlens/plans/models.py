@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from postlens.functions.semantics import safe_div
+from postlens.functions.semantics import np_round, safe_div
+from postlens.operators import linear as LIN
 from postlens.operators import models as ML
 from postlens.operators import sinks as W
 from postlens.operators import windows as WIN
@@ -81,12 +82,40 @@ def q_feature_importance(spark, sf):
     return ML.feature_importance(spark, _delivery(spark, sf)[0], ML.DELIVERY_FEATURES)
 
 
-@register("satisfaction_model", section=S)
+def _satisfaction_sql() -> str:
+    """Scored rows of the satisfaction model: label codes, training means,
+    the same Newton steps, then the held-out rows."""
+    k = len(ML.SATISFACTION_FEATURES) + 1
+    code = "CASE WHEN {0} IN (SELECT {0} FROM tr WHERE {0} IS NOT NULL) THEN (SELECT count(DISTINCT t.{0}) FROM tr t WHERE t.{0} < f.{0}) ELSE (SELECT count(DISTINCT t.{0}) FROM tr t) END"
+    return f"""WITH f0 AS (SELECT feedback_id, city, delivery_type, cast(delivery_time_actual - delivery_time_promised AS DOUBLE) AS delivery_delay,
+                    cast(delivery_time_actual AS DOUBLE) AS delivery_time_actual, CASE WHEN satisfaction_score >= 7 THEN 1.0E0 ELSE 0.0E0 END AS label,
+                    {ML.holdout_sql('feedback_id')} AS is_test FROM feedback),
+tr AS (SELECT * FROM f0 WHERE NOT is_test),
+cc AS (SELECT city, {code.format('city')} AS city_encoded FROM (SELECT DISTINCT city FROM f0) f),
+ct AS (SELECT delivery_type, {code.format('delivery_type')} AS delivery_type_encoded FROM (SELECT DISTINCT delivery_type FROM f0) f),
+f1 AS (SELECT * FROM f0 JOIN cc USING (city) JOIN ct USING (delivery_type)),
+mu AS (SELECT {', '.join(f'avg({c}) AS {c}' for c in ML.SATISFACTION_FEATURES)} FROM f1 WHERE NOT is_test),
+f2 AS MATERIALIZED (SELECT feedback_id, label AS y, is_test, [1.0E0, {', '.join(f'f1.{c} - mu.{c}' for c in ML.SATISFACTION_FEATURES)}] AS x FROM f1, mu),
+tx AS (SELECT x, y FROM f2 WHERE NOT is_test),
+{LIN.newton_logistic_sql('tx', k, [0.0] + [1.0] * (k - 1))},
+sc AS (SELECT feedback_id, y AS label, 1.0E0 / (1.0E0 + exp(-list_dot_product(x, w))) AS p FROM f2, w{LIN.STEPS} WHERE is_test)
+"""
+
+
+SATISFACTION_SQL = _satisfaction_sql()
+
+
+@register("satisfaction_model", section=S, oracle=SATISFACTION_SQL + """
+SELECT feedback_id, label, CASE WHEN p > 0.5E0 THEN 1.0E0 ELSE 0.0E0 END AS prediction, round_even(p, 6) AS p_satisfied FROM sc""")
 def q_satisfaction_model(spark, sf):
-    return _satisfaction(spark, sf)[1]
+    return _satisfaction(spark, sf)[1].withColumn("p_satisfied", np_round("p_satisfied", 6))
 
 
-@register("classification_scores", section=S)
+@register("classification_scores", section=S, oracle=SATISFACTION_SQL + """,
+s AS (SELECT count(*) AS n, avg(CASE WHEN (p > 0.5E0) = (label = 1) THEN 1.0E0 ELSE 0.0E0 END) AS accuracy,
+             cast(count_if(p > 0.5E0 AND label = 1) AS DOUBLE) / nullif(count_if(p > 0.5E0), 0) AS "precision",
+             cast(count_if(p > 0.5E0 AND label = 1) AS DOUBLE) / nullif(count_if(label = 1), 0) AS recall FROM sc)
+SELECT n, accuracy, "precision", recall, "precision" * recall * 2.0E0 / nullif("precision" + recall, 0) AS f1 FROM s""")
 def q_classification_scores(spark, sf):
     return ML.classification_scores(_satisfaction(spark, sf)[1], "label")
 
@@ -125,21 +154,96 @@ def q_ranking_scores(spark, sf):
     return ML.ranking_scores(split, recs, _product_types(spark, sf))
 
 
-@register("price_elasticity", section=S, oracle="""
-SELECT product_type, count(*) AS observations, regr_slope(ln(quantity), ln(unit_price)) AS elasticity,
-       CASE WHEN regr_slope(ln(quantity), ln(unit_price)) > -1 THEN 'raise'
-            WHEN regr_slope(ln(quantity), ln(unit_price)) < -1 THEN 'lower' ELSE 'keep' END AS suggested_change,
-       (pow(1.05E0, 1.0E0 + regr_slope(ln(quantity), ln(unit_price))) - 1.0E0) * 100.0E0 AS revenue_lift_percent
-FROM price_points WHERE unit_price > 0 AND quantity > 0 GROUP BY product_type""")
+def _elasticity_sql() -> str:
+    xs = ["ln(unit_price)", "discount", "sin(month * pi() / 6)", "cos(month * pi() / 6)"]
+    named = ", ".join(f"{x} AS z{i}" for i, x in enumerate(xs))
+    means = ", ".join(f"avg(z{i}) OVER (PARTITION BY product_type) AS m{i}" for i in range(len(xs)))
+    centred = [f"(z{i} - m{i})" for i in range(len(xs))]
+    return f"""WITH z AS (SELECT product_type, ln(quantity) AS y, {named} FROM price_points WHERE unit_price > 0 AND quantity > 0),
+c AS (SELECT *, {means}, avg(y) OVER (PARTITION BY product_type) AS my FROM z),
+g AS (SELECT product_type, count(*) AS observations, {LIN.normal_equations_sql(centred, '(y - my)', [1.0] * len(xs))} AS m FROM c GROUP BY product_type),
+{LIN.solve_sql(len(xs), 'g', 'e')},
+r AS (SELECT product_type, observations, round_even(m[1][{len(xs) + 1}], 6) AS elasticity, round_even(m[2][{len(xs) + 1}], 6) AS discount_effect FROM e{len(xs)})
+SELECT product_type, observations, elasticity, discount_effect,
+       CASE WHEN elasticity > -1 THEN 'raise' WHEN elasticity < -1 THEN 'lower' ELSE 'keep' END AS suggested_change,
+       (pow(1.05E0, 1.0E0 + elasticity) - 1.0E0) * 100.0E0 AS revenue_lift_percent FROM r"""
+
+
+@register("price_elasticity", section=S, oracle=_elasticity_sql())
 def q_price_elasticity(spark, sf):
     return ML.price_elasticity(load(spark, sf, "price_points"))
 
 
-@register("demand_forecast", section=S)
+def _calendar_sql(source: str = "daily_metrics") -> str:
+    return f"""cal AS (SELECT metric, cast(unnest(generate_series(min("date"), max("date"), INTERVAL 1 DAY)) AS DATE) AS "date" FROM {source} GROUP BY metric),
+ser AS (SELECT c.metric, c."date", coalesce(d.value, 0.0E0) AS value FROM cal c LEFT JOIN {source} d ON c.metric = d.metric AND c."date" = d."date")"""
+
+
+def _additive_sql(rows: str, name: str) -> str:
+    """CTE ``name``: (metric, first, w), fitted on ``rows`` (metric, date, value, first)."""
+    xs = LIN.seasonal_design_sql('"date"', "first", ML.YEARLY, ML.WEEKLY)
+    k = len(xs)
+    cols = [f"x[{i + 1}]" for i in range(k)]
+    return f"""{name}_x AS (SELECT metric, first, value, [{', '.join(xs)}] AS x FROM {rows}),
+{name}_g AS (SELECT metric, first, {LIN.normal_equations_sql(cols, 'value', LIN.seasonal_penalty(ML.YEARLY, ML.WEEKLY))} AS m FROM {name}_x GROUP BY metric, first),
+{LIN.solve_sql(k, f'{name}_g', f'{name}_e')},
+{name} AS (SELECT metric, first, list_transform(m, lambda row: row[{k + 1}]) AS w FROM {name}_e{k})"""
+
+
+_ADDITIVE = "list_dot_product(w, [" + ", ".join(LIN.seasonal_design_sql('"date"', "first", ML.YEARLY, ML.WEEKLY)) + "])"
+
+DEMAND_SQL = f"""WITH {_calendar_sql()},
+cut AS (SELECT metric, quantile_disc(datediff('day', DATE '1970-01-01', "date"), 0.8E0) AS cut, min("date") AS first FROM ser GROUP BY metric),
+s0 AS (SELECT *, datediff('day', DATE '1970-01-01', "date") AS day FROM ser JOIN cut USING (metric)),
+tr AS (SELECT * FROM s0 WHERE day <= cut),
+{_additive_sql('tr', 'fit')},
+s1 AS (SELECT s0.*, {_ADDITIVE.replace('first', 's0.first')} AS additive FROM s0 JOIN fit ON fit.metric = s0.metric),
+s2 AS (SELECT *, avg(value - additive) OVER (PARTITION BY metric ORDER BY "date" ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS off FROM s1),
+h AS (SELECT unnest([1, 7, 30]) AS horizon_days),
+s3 AS (SELECT metric, day, cut, value, additive,
+              additive + lag(off, 1) OVER w AS f1, additive + lag(off, 7) OVER w AS f7, additive + lag(off, 30) OVER w AS f30,
+              lag(value, 7) OVER w AS b7, lag(value, 35) OVER w AS b35 FROM s2 WINDOW w AS (PARTITION BY metric ORDER BY "date")),
+r AS (SELECT horizon_days, value, CASE horizon_days WHEN 1 THEN f1 WHEN 7 THEN f7 ELSE f30 END AS f, CASE horizon_days WHEN 30 THEN b35 ELSE b7 END AS b FROM s3, h WHERE day > cut)
+SELECT horizon_days, count(*) AS test_days, round_even(avg(abs(f - value)), 3) AS model_mae,
+       round_even(avg(CASE WHEN value <> 0 THEN abs(f - value) / abs(value) END) * 100.0E0, 3) AS model_mape,
+       round_even(avg(abs(b - value)), 3) AS baseline_mae,
+       round_even(avg(CASE WHEN value <> 0 THEN abs(b - value) / abs(value) END) * 100.0E0, 3) AS baseline_mape
+FROM r WHERE f IS NOT NULL AND b IS NOT NULL GROUP BY horizon_days"""
+
+
+@register("demand_forecast", section=S, oracle=DEMAND_SQL)
 def q_demand_forecast(spark, sf):
     return ML.demand_forecast(load(spark, sf, "daily_metrics"))
 
 
+_ALL_DAYS = f"""{_calendar_sql()},
+tr AS (SELECT ser.*, f.first FROM ser JOIN (SELECT metric, min("date") AS first FROM ser GROUP BY metric) f USING (metric)),
+{_additive_sql('tr', 'fit')}"""
+_COMPONENTS = ["level", "trend_per_year"] + [f"{n}_{f}_{k}" for n, _, k in LIN.seasonal_terms(ML.YEARLY, ML.WEEKLY) for f in ("sin", "cos")]
+
+
+@register("demand_components", section=S, oracle=f"""WITH {_ALL_DAYS}
+SELECT metric, unnest({_COMPONENTS}) AS component, round_even(unnest(w), 3) AS weight FROM fit""")
+def q_demand_components(spark, sf):
+    """Level, trend and seasonal weights of each metric's whole series."""
+    return ML.demand_components(load(spark, sf, "daily_metrics"))
+
+
+_OUTLOOK = f"""
+k0 AS (SELECT tr.metric, tr."date", value, {_ADDITIVE.replace('first', 'tr.first')} AS additive, max(tr."date") OVER (PARTITION BY tr.metric) AS last FROM tr JOIN fit ON fit.metric = tr.metric),
+off AS (SELECT metric, avg(value - additive) AS off, max(last) AS last FROM k0 WHERE datediff('day', "date", last) < 7 GROUP BY metric),
+ahead AS (SELECT metric, off, unnest(range(1, 31)) AS days_ahead, last FROM off),
+a1 AS (SELECT metric, off, cast(days_ahead AS INT) AS days_ahead, cast(last + days_ahead * INTERVAL 1 DAY AS DATE) AS "date" FROM ahead),
+outlook AS (SELECT a1.metric, "date", days_ahead, round_even({_ADDITIVE.replace('first', 'fit.first')} + off, 3) AS forecast FROM a1 JOIN fit ON fit.metric = a1.metric)"""
+
+
+@register("demand_outlook", section=S, oracle=f"""WITH {_ALL_DAYS},{_OUTLOOK}
+SELECT metric, "date", days_ahead, forecast FROM outlook""")
+def q_demand_outlook(spark, sf):
+    """Each metric's next 30 days."""
+    return ML.demand_outlook(load(spark, sf, "daily_metrics"))
+
+
 @register("sentiment_model", section=S)
 def q_sentiment_model(spark, sf):
     return ML.sentiment_scores(ML.fit_sentiment(load(spark, sf, "text_labels")))
@@ -262,42 +366,35 @@ def q_ml_performance_report(spark, sf):
                     day.agg(F.count(F.lit(1))).scalar().alias("predictions_served"))
 
 
-CAPACITY_SQL = """
-WITH daily AS (SELECT delivery_date AS "date", 'deliveries' AS metric, cast(count(*) AS DOUBLE) AS value
-               FROM deliveries GROUP BY delivery_date),
-last AS (SELECT max("date") AS d FROM daily),
-k AS (SELECT count_if(delivery_date > (SELECT d FROM last) - 7) AS forecast_next_7d,
-             count(DISTINCT CASE WHEN delivery_date > (SELECT d FROM last) - 28 THEN courier_id END) AS active_couriers,
-             count_if(delivery_date > (SELECT d FROM last) - 28) AS n28
+CAPACITY_SQL = f"""
+WITH daily AS (SELECT 'deliveries' AS metric, delivery_date AS "date", cast(count(*) AS DOUBLE) AS value FROM deliveries GROUP BY delivery_date),
+{_ALL_DAYS.replace('daily_metrics', 'daily')},{_OUTLOOK},
+ld AS (SELECT max("date") AS d FROM daily),
+k AS (SELECT (SELECT round_even(sum(greatest(forecast, 0.0E0)), 1) FROM outlook WHERE days_ahead <= 7) AS forecast_next_7d,
+             count(DISTINCT CASE WHEN delivery_date > (SELECT d FROM ld) - 28 THEN courier_id END) AS active_couriers,
+             count_if(delivery_date > (SELECT d FROM ld) - 28) AS n28
       FROM deliveries),
-cal AS (SELECT metric, cast(unnest(generate_series(min("date"), max("date"), INTERVAL 1 DAY)) AS DATE) AS "date"
-        FROM daily GROUP BY metric),
-s AS (SELECT c."date", coalesce(d.value, 0.0E0) AS value FROM cal c LEFT JOIN daily d ON c."date" = d."date"),
-f AS (SELECT dayname("date") AS weekday, avg(value) / (SELECT avg(value) FROM s) AS factor FROM s
-      GROUP BY dayname("date"))
-SELECT cast(forecast_next_7d AS BIGINT) AS forecast_next_7d, active_couriers, n28 / 4.0E0 / nullif(active_couriers, 0) AS weekly_per_courier,
-       greatest(0, cast(ceil(forecast_next_7d / (n28 / 4.0E0 / nullif(active_couriers, 0))) AS BIGINT)
-                   - active_couriers) AS additional_couriers_needed,
-       (SELECT array_to_string(list_slice(list(weekday ORDER BY factor DESC, weekday), 1, 2), ',') FROM f)
-         AS peak_days
+f AS (SELECT dayname("date") AS weekday, avg(value) / (SELECT avg(value) FROM ser) AS factor FROM ser GROUP BY dayname("date"))
+SELECT forecast_next_7d, active_couriers, n28 / 4.0E0 / nullif(active_couriers, 0) AS weekly_per_courier,
+       greatest(0, cast(ceil(forecast_next_7d / (n28 / 4.0E0 / nullif(active_couriers, 0))) AS BIGINT) - active_couriers) AS additional_couriers_needed,
+       (SELECT array_to_string(list_slice(list(weekday ORDER BY factor DESC, weekday), 1, 2), ',') FROM f) AS peak_days
 FROM k"""
 
 
 @register("capacity_plan", section=S, oracle=CAPACITY_SQL)
 def q_capacity_plan(spark, sf):
-    """Couriers to add for next week: the forecast is the seasonal-naive
-    one (next 7 days = the last 7 days of deliveries); weekly deliveries
-    per active courier and the active couriers come from the last 28 days;
-    peak days are the two weekdays with the largest seasonality factor."""
+    """Couriers to add for next week: the 7-day forecast of the additive model
+    (days below zero count as zero) over the weekly deliveries per active
+    courier of the last 28 days, less the active couriers; peak days are the
+    two weekdays with the largest seasonality factor."""
     d = load(spark, sf, "deliveries")
     daily = d.groupBy(F.col("delivery_date").alias("date")).agg(F.count(F.lit(1)).cast("double").alias("value")) \
         .withColumn("metric", F.lit("deliveries"))
     last = daily.agg(F.max("date")).scalar()
-    recent = F.col("delivery_date") > F.date_sub(last, 7)
     month = F.col("delivery_date") > F.date_sub(last, 28)
-    k = d.agg(F.count_if(recent).alias("forecast_next_7d"),
-              F.count_distinct(F.when(month, F.col("courier_id"))).alias("active_couriers"),
-              F.count_if(month).alias("n28"))
+    k = d.agg(F.count_distinct(F.when(month, F.col("courier_id"))).alias("active_couriers"), F.count_if(month).alias("n28"))
+    week = ML.demand_outlook(daily, 7).agg(np_round(F.sum(F.greatest("forecast", F.lit(0.0))), 1).alias("forecast_next_7d"))
+    k = side_by_side(week, k)
     weekly = safe_div(F.col("n28") / 4.0, "active_couriers")
     k = k.select("forecast_next_7d", "active_couriers", weekly.alias("weekly_per_courier"),
                  F.greatest(F.lit(0), F.ceil(safe_div("forecast_next_7d", weekly)) - F.col("active_couriers"))

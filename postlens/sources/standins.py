@@ -298,12 +298,13 @@ def interactions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def price_points(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem", "l_partkey", "l_extendedprice", "l_quantity")
+    li = table(spark, sf, "lineitem", "l_partkey", "l_extendedprice", "l_quantity", "l_discount", "l_shipdate")
     part = broadcast_if_small(table(spark, sf, "part", "p_partkey", "p_type"))
     df = li.join(part, li.l_partkey == part.p_partkey)
     return df.select(F.col("p_type").alias("product_type"),
                      (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
-                     F.col("l_quantity").alias("quantity"))
+                     F.col("l_quantity").alias("quantity"), F.col("l_discount").alias("discount"),
+                     F.month("l_shipdate").alias("month"))
 
 
 def shipments(spark: SparkSession, sf: str) -> DataFrame:
