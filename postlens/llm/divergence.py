@@ -45,7 +45,7 @@ from postlens.sources.tables import broadcast_if_rows_at_most
 MIN_DOCS, TOP = 10, 10
 SCALE = 1_000_000_000
 #: Terms of a shard (its build is one task's work) and bytes of a round's shards.
-SHARD_TERMS, ROUND_BYTES = 1 << 16, 32 << 20
+SHARD_TERMS, ROUND_BYTES = 1 << 12, 32 << 20
 #: Terms counted before a task looks them up or hands them on; bytes of dense slots a task holds.
 HELD_TERMS, HELD_BYTES = 1 << 18, 64 << 20
 #: Cells (source by slot) of a matrix when pairs are compared.
