@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.semantics import np_round, safe_div
-from postlens.operators import isolation, linear
+from postlens.operators import isolation, linear, retrieval
 from postlens.operators.quantiles import exact_quantiles
 from postlens.session import scratch_dir
 from postlens.sources.tables import broadcast_if_rows_at_most
@@ -202,91 +202,18 @@ def fit_churn(purchases: DataFrame, horizon_days: int = 180) -> DataFrame:
 
 
 # ---------------------------------------------------------------- recommendations
-def candidates(train: DataFrame, product_types: DataFrame, per_type: int = 50) -> DataFrame:
-    """(user_id, product_id) of the first pass: the ``per_type`` most bought
-    items of every type a user bought, without the items the user already has.
-    Their k-th score is a floor under the user's true one."""
-    typed = train.join(product_types, "product_id")
-    sold = typed.groupBy("product_type", "product_id").agg(F.sum("purchases").alias("n"))
-    rank = F.row_number().over(Window.partitionBy("product_type").orderBy(F.desc("n"), "product_id"))
-    popular = sold.withColumn("rank", rank).where(F.col("rank") <= per_type).select("product_type", "product_id")
-    liked = typed.select("user_id", "product_type").distinct()
-    return (liked.join(popular, "product_type").select("user_id", "product_id").distinct()
-            .join(train.select("user_id", "product_id"), ["user_id", "product_id"], "left_anti"))
-
-
-USER_BLOCK, ITEM_BLOCK = 1024, 4096
-
-
-def _blocks(factors: DataFrame, size: int) -> DataFrame:
-    """Rows of at most ``size`` factor rows each, in the partition's order:
-    every column becomes the list of its values."""
-    import pyarrow as pa
-    names = factors.columns
-    types = dict(factors.dtypes)
-
-    def rows(batches):
-        for b in batches:
-            for a in range(0, b.num_rows, size):
-                part = b.slice(a, size)
-                yield pa.RecordBatch.from_arrays([pa.array([part.column(n).to_pylist()], pa.list_(part.column(n).type)) for n in names], names=names)
-
-    return factors.mapInArrow(rows, ", ".join(f"{n} array<{types[n]}>" for n in names))
-
-
-def top_items(user_factors: DataFrame, item_factors: DataFrame, owned: DataFrame, floors: DataFrame, k: int) -> DataFrame:
-    """(user_id, product_id, prediction, rank): each user's exact k best items
-    over all item factors, without the owned ones; ties by product_id.
-    Blocks of users meet blocks of items (of similar norm); a user skips the
-    blocks whose largest possible score is below ``floor``, the k-th score of
-    a first pass. A block pair hands on k items a user at most."""
-    import numpy as np
-    import pyarrow as pa
-    norm = F.sqrt(F.aggregate("features", F.lit(0.0), lambda t, x: t + x.cast("double") * x.cast("double")))
-    users = (user_factors.select(F.col("id").alias("user_id"), "features")
-             .join(owned.groupBy("user_id").agg(F.collect_set("product_id").alias("owned")), "user_id", "left")
-             .join(floors, "user_id", "left").withColumn("owned", F.coalesce("owned", F.array().cast("array<int>")))
-             .select("user_id", F.col("features").alias("user"), "owned", "floor"))
-    items = (item_factors.select(F.col("id").alias("product_id"), F.col("features").alias("item"), norm.alias("norm"))
-             .repartitionByRange(F.desc("norm"), "product_id").sortWithinPartitions(F.desc("norm"), "product_id").drop("norm"))
-    pairs = _blocks(users.repartition("user_id"), USER_BLOCK).crossJoin(_blocks(items, ITEM_BLOCK))
-
-    def rows(batches):
-        for b in batches:
-            for r in range(b.num_rows):
-                row = b.slice(r, 1)
-                ids, u, have, floor, products, v = (row.column(row.schema.get_field_index(n))[0].as_py()
-                                                    for n in ("user_id", "user", "owned", "floor", "product_id", "item"))
-                ids, u, products, v = np.array(ids), np.array(u, np.float64), np.array(products), np.array(v, np.float64)
-                order = np.argsort(products)
-                products, v = products[order], v[order]
-                bound = np.sqrt((u * u).sum(axis=1)) * np.sqrt((v * v).sum(axis=1).max())
-                least = np.array([-np.inf if f is None else f for f in floor])
-                out = [], [], []
-                for i in np.flatnonzero(bound + 1e-5 * (1 + bound) >= least).tolist():
-                    score = (v @ u[i]).astype(np.float32)
-                    own = np.array(have[i], products.dtype)
-                    at = np.searchsorted(products, own)
-                    at, own = at[at < len(products)], own[at < len(products)]
-                    score[at[products[at] == own]] = -np.inf
-                    best = np.flatnonzero(score >= np.partition(score, -k)[-k]) if len(score) > k else np.arange(len(score))
-                    best = best[np.argsort(-score[best], kind="stable")][:k]
-                    best = best[score[best] > -np.inf]
-                    out[0].append(np.full(len(best), ids[i], np.int32))
-                    out[1].append(products[best].astype(np.int32))
-                    out[2].append(score[best])
-                if out[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["user_id", "product_id", "prediction"])
-
-    scored = pairs.mapInArrow(rows, "user_id int, product_id int, prediction float")
-    best = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("prediction"), "product_id"))
-    return scored.withColumn("rank", best).where(F.col("rank") <= k)
+USER_BLOCK, ITEM_BLOCK = retrieval.USERS, retrieval.LAYER
+
+
+def top_items(user_factors: DataFrame, item_factors: DataFrame, owned: DataFrame, floors: DataFrame | None, k: int) -> DataFrame:
+    """(user_id, product_id, prediction, rank, products): each user's exact k
+    best items that are not owned, by the tree of ``retrieval``."""
+    return retrieval.top_items(user_factors, item_factors, owned, k, floors, USER_BLOCK, ITEM_BLOCK)
 
 
 def fit_recommendations(interactions: DataFrame, product_types: DataFrame, k: int = 10):
     """Implicit-feedback ALS on purchase counts; of all items the user has
-    not in the training set, the k best. Candidates are scored first; their
-    k-th score lets the exact pass skip blocks of items."""
+    not in the training set, the k best, exactly."""
     d = interactions.withColumn("is_test", holdout_flag("user_id", "product_id"))
     blocks = max(10, interactions.sparkSession.sparkContext.defaultParallelism)  # as wide as the cluster
     als = ALS(userCol="user_id", itemCol="product_id", ratingCol="purchases", implicitPrefs=True, rank=10,
@@ -294,12 +221,10 @@ def fit_recommendations(interactions: DataFrame, product_types: DataFrame, k: in
               numUserBlocks=blocks, numItemBlocks=blocks)
     train = d.where(~F.col("is_test"))
     model = als.fit(train)
-    first = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("prediction")))
-    floors = (model.transform(candidates(train, product_types)).withColumn("rank", first).where(F.col("rank") == k)
-              .select("user_id", F.col("prediction").alias("floor")))
-    top = top_items(model.userFactors, model.itemFactors, train.select("user_id", "product_id"), floors, k)
-    recs = top.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("rank", "product_id", F.col("prediction").alias("rating")))).alias("r")) \
-        .select("user_id", F.transform("r", lambda x: F.struct(x["product_id"].alias("product_id"), x["rating"].alias("rating"))).alias("recommendations"))
+    top = top_items(model.userFactors, model.itemFactors, train.select("user_id", "product_id"), None, k)
+    recs = top.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("rank", "product_id", F.col("prediction").alias("rating")))).alias("r"),
+                                      F.max("products").alias("products")) \
+        .select("user_id", F.transform("r", lambda x: F.struct(x["product_id"].alias("product_id"), x["rating"].alias("rating"))).alias("recommendations"), "products")
     return d, recs
 
 
