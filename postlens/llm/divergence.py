@@ -310,7 +310,10 @@ def audit(docs: DataFrame, least: int = MIN_DOCS, top: int = TOP) -> DataFrame:
                 .select("lang", "source", "term", share("n", "total").alias("p"), share("lang_n", "lang_total").alias("q")).where("p > q")
                 .withColumn("value", F.expr("((p - q) * (p - q)) div (p + q)")))
     by_value = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
+    # the best of a hot group's terms: first among those of one salt, then among what is left
+    salted = Window.partitionBy("lang", "source", F.crc32("item") % 32).orderBy(F.desc("value"), "item")
     over = (compared.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value")
+            .withColumn("rank", F.row_number().over(salted)).where(F.col("rank") <= top)
             .withColumn("rank", F.row_number().over(by_value)).where(F.col("rank") <= top))
 
     # pairs: dense matrices of a language's sources by a block of slots
