@@ -208,49 +208,61 @@ def recount(docs: DataFrame, shards: DataFrame) -> DataFrame:
 
 def _counter(shards):
     def rows(batches):
-        hashes: dict[bytes, dict[int, PerfectHash]] = defaultdict(dict)
+        hashes: dict[bytes, list[tuple[int, PerfectHash]]] = defaultdict(list)
         number: dict[bytes, int] = {}
-        for r in shards.value:
+        for r in sorted(shards.value, key=lambda r: r["shard"]):
             lang = bytes(r["lang"])
-            hashes[lang][r["shard"]], number[lang] = PerfectHash.of_row(r), r["shards"]
-        held: dict[tuple[bytes, bytes], Counter] = defaultdict(Counter)
-        dense: dict[tuple[bytes, bytes, int], np.ndarray] = {}
+            hashes[lang].append((r["shard"], PerfectHash.of_row(r)))
+            number[lang] = r["shards"]
+        # a language's slots of this round stand one shard after the other
+        first = {lang: np.cumsum([0] + [len(h) for _, h in own]) for lang, own in hashes.items()}
+        held: dict[bytes, dict[bytes, Counter]] = defaultdict(lambda: defaultdict(Counter))
+        dense: dict[tuple[bytes, bytes], np.ndarray] = {}
+
+        def places(lang: bytes) -> dict[bytes, int]:
+            """Slot of every held term of a language, each looked up once; -1 if it isn't kept."""
+            keys = list(set().union(*held[lang].values()))
+            h, at = _hashes(keys), np.full(len(keys), -1, np.int64)
+            shard = _shard_of(h, number[lang])
+            for start, (k, made) in zip(first[lang], hashes[lang]):
+                mine = np.flatnonzero(shard == k)
+                slots = made.slots([keys[i] for i in mine.tolist()], h[mine])
+                at[mine] = np.where(slots >= 0, start + slots, -1)
+            return dict(zip(keys, at.tolist()))
 
         def look_up():
-            for (lang, source), c in held.items():
-                keys, n = list(c), np.fromiter(c.values(), np.int64, len(c))
-                h = _hashes(keys)
-                shard = _shard_of(h, number[lang])
-                for k, made in hashes[lang].items():
-                    mine = np.flatnonzero(shard == k)
-                    if not len(mine):
-                        continue
-                    slots = made.slots([keys[i] for i in mine.tolist()], h[mine])
-                    found = slots >= 0
-                    if (lang, source, k) not in dense:
-                        dense[lang, source, k] = np.zeros(len(made), np.int64)
-                    dense[lang, source, k][slots[found]] += n[mine[found]]  # a term stands once in a counter
+            for lang, sources in held.items():
+                place = places(lang)
+                for source, c in sources.items():
+                    at = np.fromiter(map(place.__getitem__, c), np.int64, len(c))
+                    n = np.fromiter(c.values(), np.int64, len(c))
+                    if (lang, source) not in dense:
+                        dense[lang, source] = np.zeros(int(first[lang][-1]), np.int64)
+                    dense[lang, source][at[at >= 0]] += n[at >= 0]  # a term stands once in a counter
+                    if sum(x.nbytes for x in dense.values()) > HELD_BYTES:
+                        yield from out()
             held.clear()
 
         def out():
-            for (lang, source, k), slots in dense.items():
+            for (lang, source), slots in dense.items():
                 at = np.flatnonzero(slots)
+                within = np.searchsorted(first[lang], at, "right") - 1
+                shard = np.array([k for k, _ in hashes[lang]], np.int32)[within]
+                slot = (at - first[lang][within]).astype(np.int32)
                 for a in range(0, len(at), 1 << 16):
-                    part = at[a:a + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.binary()), pa.array([source] * len(part), pa.binary()), pa.array(np.full(len(part), k, np.int32)),
-                                                      pa.array(part.astype(np.int32)), pa.array(slots[part])], names=["lang", "source", "shard", "slot", "n"])
+                    b = min(len(at), a + (1 << 16))
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * (b - a), pa.binary()), pa.array([source] * (b - a), pa.binary()), pa.array(shard[a:b]),
+                                                      pa.array(slot[a:b]), pa.array(slots[at[a:b]])], names=["lang", "source", "shard", "slot", "n"])
             dense.clear()
 
         for b in batches:
             for piece in pieces(b):
                 for text, lang, source in _columns(piece, "text", "lang", "source"):
                     if lang in hashes:
-                        held[lang, source].update(terms(text))
-                if sum(map(len, held.values())) > HELD_TERMS:
-                    look_up()
-                    if sum(x.nbytes for x in dense.values()) > HELD_BYTES:
-                        yield from out()
-        look_up()
+                        held[lang][source].update(terms(text))
+                if sum(len(c) for sources in held.values() for c in sources.values()) > HELD_TERMS:
+                    yield from look_up()
+        yield from look_up()
         yield from out()
 
     return rows
