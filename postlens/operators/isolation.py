@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TREES, PSI, SEED = 200, 256, 42
@@ -73,6 +73,17 @@ class Forest:
         return total / len(self.feature)
 
 
+def as_table(spark: SparkSession, forest: Forest) -> DataFrame:
+    """One row a tree (bounded by the forest's parameters)."""
+    rows = [(t, forest.columns, forest.psi, forest.limit, *(getattr(forest, n)[t].tolist() for n in ("feature", "cut", "length", "fill"))) for t in range(len(forest.feature))]
+    return spark.createDataFrame(rows, "tree int, columns array<string>, psi int, `limit` int, feature array<int>, cut array<double>, length array<double>, fill array<double>").coalesce(1)
+
+
+def of_table(table: DataFrame) -> Forest:
+    rows = table.orderBy("tree").collect()
+    return Forest(list(rows[0]["columns"]), rows[0]["psi"], rows[0]["limit"], *(np.array([r[k] for r in rows]) for k in ("feature", "cut", "length", "fill")))
+
+
 def _grow(x: np.ndarray, tree: int, limit: int, seed: int) -> tuple[np.ndarray, ...]:
     size = 2 << limit
     feature, cut, length = np.zeros(size, np.int32), np.full(size, np.inf), np.zeros(size)

@@ -10,6 +10,7 @@ reaches the driver.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -18,12 +19,12 @@ from pyspark.ml.feature import (IDF, PCA, HashingTF, RegexTokenizer, SQLTransfor
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.semantics import np_round, safe_div
-from postlens.operators import isolation, linear, retrieval
+from postlens.operators import deep_forest, isolation, linear, retrieval
 from postlens.operators.quantiles import exact_quantiles
 from postlens.session import scratch_dir
 from postlens.sources.tables import broadcast_if_rows_at_most
@@ -83,14 +84,25 @@ def delivery_frame(deliveries: DataFrame) -> DataFrame:
                              holdout_flag("delivery_id", "parcel_id", "receive_datetime").alias("is_test"))
 
 
-def delivery_time_pipeline(num_trees: int = 50, max_depth: int = 5) -> Pipeline:
-    """Random forest of 50 trees on city, parcel type and hour. Trees see
-    all features at every split (as scikit-learn's default does)."""
-    return Pipeline(stages=[
-        label_encoder("city"), label_encoder("parcel_type"),
-        VectorAssembler(inputCols=DELIVERY_FEATURES, outputCol="features"),
-        RandomForestRegressor(numTrees=num_trees, maxDepth=max_depth, maxBins=256, seed=SEED,
-                              featureSubsetStrategy="all", labelCol="label")])
+@dataclass
+class DeliveryModel:
+    """Label encoders and the forest on their codes."""
+
+    encoders: PipelineModel
+    forest: deep_forest.DeepForest
+
+    def parts(self) -> dict:
+        return {"encoders": self.encoders, "forest": self.forest}
+
+    def transform(self, frame: DataFrame) -> DataFrame:
+        return deep_forest.predict(self.encoders.transform(frame), self.forest)
+
+
+def delivery_time_model(train: DataFrame, trees: int = deep_forest.TREES) -> DeliveryModel:
+    """Random forest of 50 trees on city, parcel type and hour, grown to
+    purity on all features at every split, as scikit-learn's default does."""
+    encoders = Pipeline(stages=[label_encoder("city"), label_encoder("parcel_type")]).fit(train)
+    return DeliveryModel(encoders, deep_forest.grow(encoders.transform(train), DELIVERY_FEATURES, "label", trees, SEED))
 
 
 def _to_score(frame: DataFrame, every_row: bool) -> DataFrame:
@@ -98,13 +110,15 @@ def _to_score(frame: DataFrame, every_row: bool) -> DataFrame:
     return frame if every_row else frame.where(F.col("is_test"))
 
 
-def fit_delivery_time(deliveries: DataFrame, every_row: bool = False) -> tuple[PipelineModel, DataFrame]:
+def score_delivery_time(model: DeliveryModel, deliveries: DataFrame, every_row: bool = False) -> DataFrame:
+    scored = model.transform(_to_score(delivery_frame(deliveries), every_row))
+    return scored.select("delivery_id", "city", "parcel_type", "hour", F.col("label").alias("actual_minutes"), F.col("prediction").alias("predicted_minutes"))
+
+
+def fit_delivery_time(deliveries: DataFrame, every_row: bool = False) -> tuple[DeliveryModel, DataFrame]:
     frame = delivery_frame(deliveries)
-    model = delivery_time_pipeline().fit(frame.where(~F.col("is_test")))
-    scored = model.transform(_to_score(frame, every_row))
-    return model, scored.select("delivery_id", "city", "parcel_type", "hour",
-                                F.col("label").alias("actual_minutes"),
-                                F.col("prediction").alias("predicted_minutes"))
+    model = delivery_time_model(frame.where(~F.col("is_test")))
+    return model, score_delivery_time(model, deliveries, every_row)
 
 
 def accuracy_within_minutes(scored: DataFrame, bounds=(10, 15, 20, 30)) -> DataFrame:
@@ -112,9 +126,9 @@ def accuracy_within_minutes(scored: DataFrame, bounds=(10, 15, 20, 30)) -> DataF
     return scored.agg(*[F.avg((err <= b).cast("double")).alias(f"within_{b}_minutes") for b in bounds])
 
 
-def feature_importance(spark: SparkSession, model: PipelineModel, names: list[str]) -> DataFrame:
+def feature_importance(spark: SparkSession, model: DeliveryModel, names: list[str]) -> DataFrame:
     """Feature -> weight rows from the fitted forest (one number per feature)."""
-    weights = model.stages[-1].featureImportances.toArray().tolist()
+    weights = model.forest.importance
     return spark.createDataFrame([(n, float(w)) for n, w in zip(names, weights)], "feature string, importance double")
 
 
@@ -148,7 +162,11 @@ def fit_satisfaction(feedback: DataFrame, every_row: bool = False) -> tuple[Pipe
     score = SQLTransformer(statement=f"SELECT *, 1.0D / (1.0D + exp(-({terms}))) AS p_satisfied FROM __THIS__")
     chosen = SQLTransformer(statement="SELECT *, CASE WHEN p_satisfied > 0.5D THEN 1.0D ELSE 0.0D END AS prediction FROM __THIS__")
     model = PipelineModel(stages=[*encoders.stages, score, chosen])
-    return model, model.transform(_to_score(f, every_row)).select("feedback_id", "label", "prediction", "p_satisfied")
+    return model, score_satisfaction(model, feedback, every_row)
+
+
+def score_satisfaction(model: PipelineModel, feedback: DataFrame, every_row: bool = False) -> DataFrame:
+    return model.transform(_to_score(satisfaction_frame(feedback), every_row)).select("feedback_id", "label", "prediction", "p_satisfied")
 
 
 # ---------------------------------------------------------------- customers
@@ -178,29 +196,46 @@ def customer_window_features(purchases: DataFrame, horizon_days: int) -> DataFra
 CUSTOMER_FEATURES = ["frequency", "monetary", "avg_order_value", "recency_days", "tenure_days"]
 
 
-def fit_ltv(purchases: DataFrame, horizon_days: int = 365, every_row: bool = False) -> DataFrame:
+LTV_DAYS, CHURN_DAYS = 365, 180
+
+
+def ltv_model(purchases: DataFrame, horizon_days: int = LTV_DAYS) -> PipelineModel:
     """Boosted trees predicting spend in the horizon after the cutoff."""
     f = customer_window_features(purchases, horizon_days)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=CUSTOMER_FEATURES, outputCol="features"),
                             GBTRegressor(labelCol="spend_after", maxIter=30, maxDepth=4, seed=SEED)])
-    model = pipe.fit(f.where(~F.col("is_test")))
+    return pipe.fit(f.where(~F.col("is_test")))
+
+
+def score_ltv(model: PipelineModel, purchases: DataFrame, horizon_days: int = LTV_DAYS, every_row: bool = False) -> DataFrame:
+    f = customer_window_features(purchases, horizon_days)
     return model.transform(_to_score(f, every_row)).select("customer_id", "spend_after", "prediction")
 
 
-def fit_churn(purchases: DataFrame, horizon_days: int = 180) -> DataFrame:
-    """Boosted-tree classifier of churn; probability banded high >= 0.7,
-    medium >= 0.4, else low. Scores every customer (model fitted on the
-    training customers)."""
+def fit_ltv(purchases: DataFrame, horizon_days: int = LTV_DAYS, every_row: bool = False) -> DataFrame:
+    return score_ltv(ltv_model(purchases, horizon_days), purchases, horizon_days, every_row)
+
+
+def churn_model(purchases: DataFrame, horizon_days: int = CHURN_DAYS) -> PipelineModel:
+    """Boosted-tree classifier of churn, fitted on the training customers."""
     f = customer_window_features(purchases, horizon_days)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=CUSTOMER_FEATURES, outputCol="features"),
                             GBTClassifier(labelCol="churned", maxIter=30, maxDepth=4, seed=SEED)])
-    model = pipe.fit(f.where(~F.col("is_test")))
+    return pipe.fit(f.where(~F.col("is_test")))
+
+
+def score_churn(model: PipelineModel, purchases: DataFrame, horizon_days: int = CHURN_DAYS) -> DataFrame:
+    """Every customer's probability, banded high >= 0.7, medium >= 0.4, else low."""
     p = vector_to_array("probability")[1]
-    s = model.transform(f).select("customer_id", "churned", "is_test", "prediction", p.alias("churn_probability"))
+    s = model.transform(customer_window_features(purchases, horizon_days)).select("customer_id", "churned", "is_test", "prediction", p.alias("churn_probability"))
     return s.withColumn("risk_band", F.when(F.col("churn_probability") >= 0.7, "high")
                         .when(F.col("churn_probability") >= 0.4, "medium").otherwise("low"))
 
 
+def fit_churn(purchases: DataFrame, horizon_days: int = CHURN_DAYS) -> DataFrame:
+    return score_churn(churn_model(purchases, horizon_days), purchases, horizon_days)
+
+
 # ---------------------------------------------------------------- recommendations
 USER_BLOCK, ITEM_BLOCK = retrieval.USERS, retrieval.LAYER
 
@@ -211,21 +246,33 @@ def top_items(user_factors: DataFrame, item_factors: DataFrame, owned: DataFrame
     return retrieval.top_items(user_factors, item_factors, owned, k, floors, USER_BLOCK, ITEM_BLOCK)
 
 
-def fit_recommendations(interactions: DataFrame, product_types: DataFrame, k: int = 10):
-    """Implicit-feedback ALS on purchase counts; of all items the user has
-    not in the training set, the k best, exactly."""
-    d = interactions.withColumn("is_test", holdout_flag("user_id", "product_id"))
+def with_split(interactions: DataFrame) -> DataFrame:
+    return interactions.withColumn("is_test", holdout_flag("user_id", "product_id"))
+
+
+def recommendation_factors(interactions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """User and item factors of implicit-feedback ALS on the training purchase counts."""
     blocks = max(10, interactions.sparkSession.sparkContext.defaultParallelism)  # as wide as the cluster
     als = ALS(userCol="user_id", itemCol="product_id", ratingCol="purchases", implicitPrefs=True, rank=10,
               maxIter=10, regParam=0.1, alpha=1.0, seed=SEED, coldStartStrategy="drop",
               numUserBlocks=blocks, numItemBlocks=blocks)
-    train = d.where(~F.col("is_test"))
-    model = als.fit(train)
-    top = top_items(model.userFactors, model.itemFactors, train.select("user_id", "product_id"), None, k)
-    recs = top.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("rank", "product_id", F.col("prediction").alias("rating")))).alias("r"),
+    model = als.fit(with_split(interactions).where(~F.col("is_test")))
+    return model.userFactors, model.itemFactors
+
+
+def recommend(users: DataFrame, items: DataFrame, interactions: DataFrame, k: int = 10) -> DataFrame:
+    """(user_id, recommendations, products): of all items the user has not in
+    the training set, the k best, exactly."""
+    train = with_split(interactions).where(~F.col("is_test"))
+    top = top_items(users, items, train.select("user_id", "product_id"), None, k)
+    return top.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("rank", "product_id", F.col("prediction").alias("rating")))).alias("r"),
                                       F.max("products").alias("products")) \
         .select("user_id", F.transform("r", lambda x: F.struct(x["product_id"].alias("product_id"), x["rating"].alias("rating"))).alias("recommendations"), "products")
-    return d, recs
+
+
+def fit_recommendations(interactions: DataFrame, product_types: DataFrame, k: int = 10):
+    users, items = recommendation_factors(interactions)
+    return with_split(interactions), recommend(users, items, interactions, k)
 
 
 def recommendation_rows(recs: DataFrame) -> DataFrame:
@@ -296,15 +343,22 @@ def ridge(rows: DataFrame, y: str, regressors: tuple[str, ...], by: list[str], p
     return slopes.select(*by, "observations", F.concat(F.array(level), "slopes").alias("weights"))
 
 
+def elasticity_weights(price_points: DataFrame, penalty: float = 1.0) -> DataFrame:
+    p = price_points.where((F.col("unit_price") > 0) & (F.col("quantity") > 0))
+    return ridge(p, "ln(quantity)", ELASTICITY_REGRESSORS, ["product_type"], penalty)
+
+
 def price_elasticity(price_points: DataFrame, lift_step: float = 0.05, penalty: float = 1.0) -> DataFrame:
+    return price_changes(elasticity_weights(price_points, penalty), lift_step)
+
+
+def price_changes(weights: DataFrame, lift_step: float = 0.05) -> DataFrame:
     """Per product type, ridge regression of ln(quantity) on ln(unit price),
     discount and month of the year (sine and cosine). The elasticity is the
     weight of the price: raise the price when it is > -1 (inelastic), lower it
     when < -1; expected revenue change for a ``lift_step`` price increase, in
     %, and the effect of a full discount on ln(quantity)."""
-    p = price_points.where((F.col("unit_price") > 0) & (F.col("quantity") > 0))
-    g = ridge(p, "ln(quantity)", ELASTICITY_REGRESSORS, ["product_type"], penalty)
-    g = g.select("product_type", "observations", np_round(F.element_at("weights", 2), 6).alias("elasticity"),
+    g = weights.select("product_type", "observations", np_round(F.element_at("weights", 2), 6).alias("elasticity"),
                  np_round(F.element_at("weights", 3), 6).alias("discount_effect"))
     e = F.col("elasticity")
     return g.select("product_type", "observations", "elasticity", "discount_effect",
@@ -333,18 +387,28 @@ def forecast_frame(daily: DataFrame, horizon: int, future: bool = False) -> Data
     return f.na.drop(subset=["lag_1", "lag_7", "lag_30", "baseline"] + ["target"] * (not future))
 
 
-def fit_demand(daily: DataFrame, horizon: int, every_row: bool = False) -> DataFrame:
-    """Boosted trees on the lag features, trained on the first 80 % of days;
-    the scored last 20 %, or every day with lags, also where the target is
-    still to come."""
+def _demand_split(daily: DataFrame, horizon: int) -> DataFrame:
+    """Days with all lags and a known target; the last 20 % are the test set."""
     f = forecast_frame(daily, horizon)
     cut = exact_quantiles(f.withColumn("day", F.unix_date("date")), "day", [0.8]).select("quantile").scalar()
-    split = lambda d: d.withColumn("is_test", F.unix_date("date") > cut)
+    return f.withColumn("is_test", F.unix_date("date") > cut)
+
+
+def demand_model(daily: DataFrame, horizon: int) -> PipelineModel:
+    """Boosted trees on the lag features, trained on the first 80 % of days."""
     feats = ["value", "lag_1", "lag_7", "lag_30", "mean_7", "weekday"]
     pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"),
                             GBTRegressor(labelCol="target", maxIter=20, maxDepth=4, seed=SEED)])
-    model = pipe.fit(split(f).where(~F.col("is_test")))
-    return model.transform(forecast_frame(daily, horizon, future=True) if every_row else split(f).where("is_test"))
+    return pipe.fit(_demand_split(daily, horizon).where(~F.col("is_test")))
+
+
+def score_demand(model: PipelineModel, daily: DataFrame, horizon: int, every_row: bool = False) -> DataFrame:
+    """The last 20 % of days, or every day with lags, also where the target is still to come."""
+    return model.transform(forecast_frame(daily, horizon, future=True) if every_row else _demand_split(daily, horizon).where("is_test"))
+
+
+def fit_demand(daily: DataFrame, horizon: int, every_row: bool = False) -> DataFrame:
+    return score_demand(demand_model(daily, horizon), daily, horizon, every_row)
 
 
 YEARLY, WEEKLY, LEVEL_DAYS = 5, 3, 7
@@ -415,21 +479,31 @@ def demand_outlook(daily: DataFrame, days: int = 30) -> DataFrame:
 
 
 # ---------------------------------------------------------------- text
-def fit_sentiment(text_labels: DataFrame, every_row: bool = False) -> DataFrame:
+def sentiment_frame(text_labels: DataFrame) -> DataFrame:
+    return text_labels.withColumn("is_test", holdout_flag("doc_id"))
+
+
+def sentiment_model(text_labels: DataFrame) -> PipelineModel:
     """Tokens -> hashed term frequencies -> IDF -> multinomial logistic
     regression over positive / neutral / negative. Whole texts are used."""
-    d = text_labels.withColumn("is_test", holdout_flag("doc_id"))
     pipe = Pipeline(stages=[
         StringIndexer(inputCol="label", outputCol="label_idx", stringOrderType="alphabetAsc"),
         RegexTokenizer(inputCol="text", outputCol="tokens", pattern=r"\W+", minTokenLength=2),
         HashingTF(inputCol="tokens", outputCol="tf", numFeatures=1 << 16),
         IDF(inputCol="tf", outputCol="features", minDocFreq=2),
         LogisticRegression(family="multinomial", labelCol="label_idx", regParam=0.01, maxIter=50)])
-    model = pipe.fit(d.where(~F.col("is_test")))
-    return model.transform(_to_score(d, every_row)).select(
+    return pipe.fit(sentiment_frame(text_labels).where(~F.col("is_test")))
+
+
+def score_sentiment(model: PipelineModel, text_labels: DataFrame, every_row: bool = False) -> DataFrame:
+    return model.transform(_to_score(sentiment_frame(text_labels), every_row)).select(
         "doc_id", "label", "label_idx", "prediction", F.array_max(vector_to_array("probability")).alias("confidence"))
 
 
+def fit_sentiment(text_labels: DataFrame, every_row: bool = False) -> DataFrame:
+    return score_sentiment(sentiment_model(text_labels), text_labels, every_row)
+
+
 def sentiment_scores(scored: DataFrame) -> DataFrame:
     """Per class precision and recall, with the overall accuracy."""
     acc = scored.agg(safe_div(F.count_if(F.col("label_idx") == F.col("prediction")), F.count(F.lit(1)))).scalar()
@@ -449,52 +523,80 @@ def sentiment_scores(scored: DataFrame) -> DataFrame:
 SHIPMENT_FEATURES = ["weight", "cost", "discount", "tax", "order_value"]
 
 
-def reconstruction_error(shipments: DataFrame, variance: float = 0.9) -> DataFrame:
-    """``shipments`` with ``reconstruction_error``: features are standardised,
-    the first principal components reaching ``variance`` of the variance kept,
-    and the error is |z|^2 - |projection|^2 (the axes are orthonormal)."""
-    asm = VectorAssembler(inputCols=SHIPMENT_FEATURES, outputCol="raw", handleInvalid="skip")
-    scaler = StandardScaler(inputCol="raw", outputCol="z", withMean=True, withStd=True)
-    z = Pipeline(stages=[asm, scaler]).fit(shipments).transform(shipments)
-    # One fit with every component; the leading k are kept by slicing the
-    # projection (components are ordered by explained variance).
-    full = PCA(k=len(SHIPMENT_FEATURES), inputCol="z", outputCol="pc").fit(z)
+@dataclass
+class FraudModel:
+    """Scaler and principal axes, how many of them count, the forest, and
+    the quantiles that each score is set against."""
+
+    axes: PipelineModel
+    components: int
+    forest: isolation.Forest
+    cuts: dict[str, float]
+
+
+def principal_axes(shipments: DataFrame, variance: float = 0.9) -> tuple[PipelineModel, int]:
+    """Standardising scaler and all principal components of the features,
+    and the number of leading ones that reach ``variance`` of the variance."""
+    axes = Pipeline(stages=[VectorAssembler(inputCols=SHIPMENT_FEATURES, outputCol="raw", handleInvalid="skip"),
+                            StandardScaler(inputCol="raw", outputCol="z", withMean=True, withStd=True),
+                            PCA(k=len(SHIPMENT_FEATURES), inputCol="z", outputCol="pc")]).fit(shipments)
     cum, k = 0.0, 0
-    for v in full.explainedVariance.toArray():
+    for v in axes.stages[-1].explainedVariance.toArray():
         cum += float(v)
         k += 1
         if cum >= variance:
             break
+    return axes, k
 
+
+def fraud_views(model: FraudModel, shipments: DataFrame) -> DataFrame:
+    """``shipments`` with ``isolation_score`` and ``reconstruction_error``
+    (|z|^2 - |projection|^2; the axes are orthonormal)."""
     def sq(arr):
         return F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x * x)
 
-    error = sq(vector_to_array("z")) - sq(F.slice(vector_to_array("pc"), 1, k))
-    return full.transform(z).select(*shipments.columns, error.alias("reconstruction_error"), F.lit(k).alias("components"))
+    error = sq(vector_to_array("z")) - sq(F.slice(vector_to_array("pc"), 1, model.components))
+    seen = model.axes.transform(shipments).select(*shipments.columns, error.alias("reconstruction_error"), F.lit(model.components).alias("components"))
+    return isolation.score(seen, model.forest)
 
 
-def fraud_score(spark: SparkSession, shipments: DataFrame, variance: float = 0.9, contamination: float = 0.05,
-                trees: int = isolation.TREES, psi: int = isolation.PSI) -> DataFrame:
-    """Two views of how unusual a shipment is, isolation forest and
-    reconstruction error, and their mean. Each is first set against its own
-    (1 - contamination) quantile, ``x / (x + quantile)``, which is one half
-    there. Rows above the exact quantile of the mean are flagged."""
-    forest = isolation.grow(shipments, "shipment_id", SHIPMENT_FEATURES, trees, psi)
-    scored = isolation.score(reconstruction_error(shipments, variance), forest)
+def _anomaly(cuts: dict[str, float]) -> Column:
+    against = lambda c: F.coalesce(safe_div(F.col(c), F.col(c) + F.lit(cuts[c])), F.lit(0.0))
+    return (against("isolation_score") + against("reconstruction_error")) / 2.0
+
+
+def fraud_model(spark: SparkSession, shipments: DataFrame, variance: float = 0.9, contamination: float = 0.05,
+                trees: int = isolation.TREES, psi: int = isolation.PSI) -> FraudModel:
+    axes, k = principal_axes(shipments, variance)
+    model = FraudModel(axes, k, isolation.grow(shipments, "shipment_id", SHIPMENT_FEATURES, trees, psi), {})
     path = scratch_dir(spark, "fraud-scores")  # read by the passes for the quantiles
-    scored.write.parquet(path)
-    scored = spark.read.schema(scored.schema).parquet(path)
+    views = fraud_views(model, shipments)
+    views.write.parquet(path)
+    views = spark.read.schema(views.schema).parquet(path)
 
     def cut(df: DataFrame, column: str) -> float:
         found = exact_quantiles(df, column, [1.0 - contamination]).first()
         return found["quantile"] if found else 0.0
 
-    def against(column: str) -> Column:
-        at = cut(scored, column)
-        return safe_div(F.col(column), F.col(column) + F.lit(at))
+    model.cuts = {c: cut(views, c) for c in ("isolation_score", "reconstruction_error")}
+    model.cuts["anomaly_score"] = cut(views.withColumn("anomaly_score", _anomaly(model.cuts)), "anomaly_score")
+    return model
+
+
+def score_fraud(model: FraudModel, shipments: DataFrame) -> DataFrame:
+    """Two views of how unusual a shipment is, isolation forest and
+    reconstruction error, and their mean. Each is first set against its own
+    quantile, ``x / (x + quantile)``, which is one half there. Rows above the
+    exact quantile of the mean are flagged."""
+    both = fraud_views(model, shipments).withColumn("anomaly_score", _anomaly(model.cuts))
+    return both.withColumn("is_flagged", F.col("anomaly_score") > model.cuts["anomaly_score"])
+
 
-    both = scored.withColumn("anomaly_score", (against("isolation_score") + F.coalesce(against("reconstruction_error"), F.lit(0.0))) / 2.0)
-    return both.withColumn("is_flagged", F.col("anomaly_score") > cut(both, "anomaly_score"))
+def fraud_score(spark: SparkSession, shipments: DataFrame, variance: float = 0.9, contamination: float = 0.05,
+                trees: int = isolation.TREES, psi: int = isolation.PSI) -> DataFrame:
+    """``score_fraud`` with a model fitted on the shipments; the
+    ``contamination`` share is flagged."""
+    return score_fraud(fraud_model(spark, shipments, variance, contamination, trees, psi), shipments)
 
 
 def metric_outliers(daily: DataFrame, flag_share: float = 0.05) -> DataFrame:

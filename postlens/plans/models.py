@@ -8,18 +8,22 @@ robust z, reports, capacity) do. Every call fits on the data it is given.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from postlens.functions.semantics import np_round, safe_div
 from postlens.operators import linear as LIN
 from postlens.operators import models as ML
+from postlens.operators import scoring
 from postlens.operators import sinks as W
 from postlens.operators import windows as WIN
 from postlens.operators.common import side_by_side, union_all
+from postlens.operators.model_store import ModelStore
 from postlens.plans import params as P
 from postlens.plans.aggregates import MODEL_VIEW_SQL
 from postlens.plans.catalog import register
-from postlens.session import scratch_dir
+from postlens.session import scratch_dir, shared_path
 from postlens.sources.standins import load
 from postlens.sources.tables import table
 
@@ -284,47 +288,15 @@ def q_metric_outliers(spark, sf):
     return ML.metric_outliers(load(spark, sf, "daily_metrics"))
 
 
+def _store(spark, sf) -> ModelStore:
+    """Models of one data folder, on the shared storage."""
+    return ModelStore(spark, shared_path(spark, "postlens-models", hashlib.md5(sf.rstrip("/").encode()).hexdigest()))
+
+
 @register("score_all_models", section=S)
 def q_score_all_models(spark, sf):
-    """Every row scored by each of the nine models in the prediction-fact
-    layout (training rows as well), its risk band, and the number of rows of
-    its (model_type, band). Churn's bands are the churn model's, satisfaction's
-    the same steps of the probability of not being satisfied, a flagged
-    shipment is high; models of amounts have no risk and the band ``none``."""
-    ds, no = F.lit(P.RUN_DS).cast("date"), F.lit(None).cast("double")
-
-    def facts(scored, model_type, entity, predicted, actual, confidence, unit, band=F.lit("none")):
-        return scored.select(ds.alias("prediction_date"), F.lit(model_type).alias("model_type"), entity.cast("string").alias("entity_id"),
-                             predicted.cast("double").alias("predicted_value"), actual.cast("double").alias("actual_value"),
-                             confidence.cast("double").alias("confidence_score"), F.lit(unit).alias("unit"), band.alias("band"))
-
-    c, either = F.col, lambda p: F.greatest(F.col(p), F.lit(1.0) - F.col(p))
-    unsatisfied = F.lit(1.0) - c("p_satisfied")
-    purchases = load(spark, sf, "purchases")
-    daily = load(spark, sf, "daily_metrics")
-    scored = union_all(
-        facts(ML.fit_delivery_time(load(spark, sf, "deliveries"), every_row=True)[1], "delivery_time", c("delivery_id"),
-              c("predicted_minutes"), c("actual_minutes"), no, "minutes"),
-        facts(ML.fit_satisfaction(load(spark, sf, "feedback"), every_row=True)[1], "customer_satisfaction", c("feedback_id"),
-              c("prediction"), c("label"), either("p_satisfied"), "class",
-              F.when(unsatisfied >= 0.7, "high").when(unsatisfied >= 0.4, "medium").otherwise("low")),
-        facts(ML.fit_churn(purchases), "churn", c("customer_id"), c("churn_probability"), c("churned"),
-              either("churn_probability"), "probability", c("risk_band")),
-        facts(ML.fit_ltv(purchases, every_row=True), "ltv", c("customer_id"), c("prediction"), c("spend_after"), no, "amount"),
-        facts(ML.recommendation_rows(_recs(spark, sf)[1]), "recommendations", F.concat_ws("|", "user_id", "product_id"),
-              c("score"), no, no, "preference"),
-        facts(ML.price_elasticity(load(spark, sf, "price_points")), "price", c("product_type"), c("revenue_lift_percent"), no, no, "percent"),
-        *(facts(ML.fit_demand(daily, h, every_row=True), "demand", F.concat_ws("|", "metric", "date", F.lit(h)),
-                c("prediction"), c("target"), no, "metric value") for h in (1, 7, 30)),
-        facts(ML.fit_sentiment(load(spark, sf, "text_labels"), every_row=True), "sentiment", c("doc_id"), c("prediction"),
-              c("label_idx"), c("confidence"), "class"),
-        facts(ML.fraud_score(spark, load(spark, sf, "shipments")), "fraud", c("shipment_id"), c("anomaly_score"), no, no,
-              "reconstruction error", F.when(c("is_flagged"), "high").otherwise("low")))
-    path = scratch_dir(spark, "model_scores")  # read twice
-    scored.write.mode("overwrite").parquet(path)
-    scored = spark.read.schema(scored.schema).parquet(path)
-    counts = scored.groupBy("model_type", "band").agg(F.count(F.lit(1)).alias("band_rows"))
-    return scored.join(F.broadcast(counts), ["model_type", "band"]).select(*scored.columns, "band_rows")
+    inputs = {n: load(spark, sf, n) for n in ("deliveries", "feedback", "purchases", "interactions", "price_points", "daily_metrics", "text_labels", "shipments")}
+    return scoring.score_all(spark, inputs, _store(spark, sf), P.RUN_DS)
 
 
 DRIFT_SQL = """
@@ -408,21 +380,21 @@ def q_capacity_plan(spark, sf):
 
 @register("save_model", section="2.2")
 def q_save_model(spark, sf):
-    """Persist the delivery-time pipeline, load it back and score the
-    holdout with the loaded copy."""
-    from pyspark.ml import PipelineModel
-    model = _delivery(spark, sf)[0]
-    path = scratch_dir(spark, "models/delivery_time_model")
-    W.save_model(model, path)
-    loaded = PipelineModel.load(path)
-    frame = ML.delivery_frame(load(spark, sf, "deliveries")).where("is_test")
-    scored = loaded.transform(frame)
-    return ML.regression_scores(scored, "label").withColumn("stages", F.lit(len(loaded.stages)))
+    """Save the delivery-time package (encoders, forest, features, scores) as
+    a new version, load the current one and score the holdout with it."""
+    deliveries = load(spark, sf, "deliveries")
+    store = ModelStore(spark, scratch_dir(spark, "models"))
+    store.save("delivery_time_model", scoring.scorers(P.RUN_DS)["delivery_time"].fit(deliveries))
+    package = store.load("delivery_time_model")
+    scored = ML.score_delivery_time(ML.DeliveryModel(package.parts["encoders"], package.parts["forest"]), deliveries)
+    return (ML.regression_scores(scored, "actual_minutes", "predicted_minutes")
+            .withColumn("features", F.lit(len(package.features))).withColumn("saved_mae", F.lit(package.scores["mae"])))
 
 
 @register("model_manifest", section="2.2")
 def q_model_manifest(spark, sf):
-    root = scratch_dir(spark, "model_store")
-    W.save_model(_delivery(spark, sf)[0], f"{root}/delivery_time_model")
-    W.save_model(_satisfaction(spark, sf)[0], f"{root}/satisfaction_model")
-    return W.model_manifest(spark, root)
+    store = ModelStore(spark, scratch_dir(spark, "model_store"))
+    fits = scoring.scorers(P.RUN_DS)
+    store.save("delivery_time_model", fits["delivery_time"].fit(load(spark, sf, "deliveries")))
+    store.save("satisfaction_model", fits["customer_satisfaction"].fit(load(spark, sf, "feedback")))
+    return W.model_manifest(spark, store.root)
