@@ -14,6 +14,7 @@ from postlens.plans.aggregates import STAFF_VIEW_SQL
 from postlens.plans.catalog import register
 from postlens.plans.quality import QUALITY_REPORT_SQL
 from postlens.session import scratch_dir
+from postlens.sources import daily
 from postlens.sources import files as R
 from postlens.sources.standins import load
 from postlens.sources.tables import table
@@ -84,8 +85,24 @@ def q_inline_rows(spark, sf):
     return F.broadcast(lits).join(fleet, "transport_class")
 
 
-@register("scan_daily_partition", section=S, oracle=f"SELECT * FROM deliveries WHERE delivery_date = DATE '{DAILY_DS}'")
+DAILY_SQL = f"SELECT * FROM deliveries WHERE delivery_date = DATE '{DAILY_DS}'"
+
+
+@register("scan_daily_partition", section=S, oracle=DAILY_SQL)
 def q_scan_daily_partition(spark, sf):
+    """A day delivered as JSON, CSV and Parquet files, a third of its rows in each."""
+    d = load(spark, sf, "deliveries").where(F.col("delivery_date") == F.lit(DAILY_DS).cast("date"))
+    base = scratch_dir(spark, "couriers_daily")
+    third = F.pmod(F.xxhash64("delivery_id"), F.lit(3))
+    d.where(third == 0).write.option("ignoreNullFields", False).option("timestampNTZFormat", R.TIMESTAMP_FORMAT).json(f"{base}/{DAILY_DS}/json")
+    W.write_csv(d.where(third == 1), f"{base}/{DAILY_DS}/csv")
+    d.where(third == 2).write.parquet(f"{base}/{DAILY_DS}/parquet")
+    return daily.good_rows(daily.read_day(spark, base, d.schema, DAILY_DS))
+
+
+@register("scan_month_partition", section=S, oracle=DAILY_SQL)
+def q_scan_month_partition(spark, sf):
+    """The same day from a layout partitioned by month, by directory pruning."""
     d = load(spark, sf, "deliveries").withColumn("delivery_month", F.date_format("delivery_date", "yyyy-MM"))
     base = scratch_dir(spark, "couriers_by_month")
     W.write_append(d, base, "delivery_month")

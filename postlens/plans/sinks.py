@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from postlens.operators import quality as Q
 from postlens.operators import reports as REP
+from postlens.operators import ledger
 from postlens.operators import sinks as W
 from postlens.operators import views
 from postlens.operators import windows as WIN
@@ -81,26 +82,26 @@ def q_write_truncate(spark, sf):
 
 @register("write_append", section=S, oracle=DEPT_FACTS_SQL)
 def q_write_append(spark, sf):
+    """Two jobs append to one day, and the first is retried: nothing is lost or doubled."""
     facts = WIN.department_facts(load(spark, sf, "departments", month=P.TRANSPORT_DS[:7]), P.TRANSPORT_DS)
-    path = scratch_dir(spark, "department_facts_by_day")
-    W.write_append(facts, path, "snapshot_date")
-    W.write_append(facts, path, "snapshot_date")  # a retried day replaces its partition
-    schema = facts.schema
-    return R.scan_daily_partition(spark, path, schema, P.TRANSPORT_DS, "snapshot_date").select(*facts.columns)
+    root = scratch_dir(spark, "department_facts")
+    even = F.pmod(F.xxhash64("department_id"), F.lit(2)) == 0
+    for run, rows in (("even", facts.where(even)), ("odd", facts.where(~even)), ("even", facts.where(even))):
+        ledger.append_run(rows, root, f"{run}-{P.TRANSPORT_DS}", "snapshot_date")
+    return ledger.read_committed(spark, root, facts.schema, "snapshot_date", P.TRANSPORT_DS)
 
 
 @register("insert_values", section=S, oracle=f"""
-SELECT execution_date, overall_quality_score, status FROM ({QUALITY_REPORT_SQL}) q""")
+SELECT execution_date, overall_quality_score, status, cast(NULL AS VARCHAR) AS note FROM ({QUALITY_REPORT_SQL}) q""")
 def q_insert_values(spark, sf):
-    import uuid
+    """One row by column list; the insert is retried under its run id."""
     rep = Q.quality_report(load(spark, sf, "deliveries"), load(spark, sf, "departments"), P.RUN_DS)
-    name = f"quality_log_{uuid.uuid4().hex[:8]}"
-    schema = T.StructType([T.StructField("execution_date", T.DateType()),
-                           T.StructField("overall_quality_score", T.DoubleType()),
-                           T.StructField("status", T.StringType())])
-    W.create_table(spark, name, schema, scratch_dir(spark, name))
-    W.insert_values(spark, name, rep, ["execution_date", "overall_quality_score", "status"])
-    return spark.table(name)
+    schema = T.StructType([T.StructField("execution_date", T.DateType()), T.StructField("overall_quality_score", T.DoubleType()),
+                           T.StructField("status", T.StringType()), T.StructField("note", T.StringType())])
+    root = scratch_dir(spark, "quality_log")
+    for _ in range(2):
+        ledger.insert_run(rep, root, schema, ["execution_date", "overall_quality_score", "status"], f"quality-{P.RUN_DS}", "execution_date")
+    return ledger.read_committed(spark, root, schema)
 
 
 @register("create_or_replace_view", section=S, oracle=STAFF_VIEW_SQL)
