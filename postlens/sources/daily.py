@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlens.sources.files import TIMESTAMP_FORMAT
-
 FORMATS = ("json", "csv", "parquet")
+#: A blank or a T between day and time; whole seconds, thousandths or millionths.
+TIMESTAMPS = "yyyy-MM-dd[ ]['T']HH:mm:ss[.SSSSSS][.SSS]"
 BAD = "bad_record"
 
 
@@ -64,7 +64,7 @@ def _read(spark: SparkSession, folder: str, kind: str, schema: T.StructType, wid
     if kind == "parquet":
         return reader.schema(schema).parquet(folder).withColumn(BAD, F.lit(None).cast("string"))
     reader = (reader.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD)
-              .option("timestampNTZFormat", TIMESTAMP_FORMAT).option("encoding", "UTF-8"))
+              .option("timestampNTZFormat", TIMESTAMPS).option("encoding", "UTF-8"))
     return reader.json(folder) if kind == "json" else reader.option("header", True).option("enforceSchema", False).csv(folder)
 
 
