@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -82,3 +83,53 @@ def pieces(batch: pa.RecordBatch, column: str = "text", most_bytes: int = 8 << 2
             end += 1
         yield batch.slice(at, end - at)
         at = end
+
+
+#: Slots of an ``IdFilter`` for each id, and at most (one bit each, so 8 MB).
+FILTER_SLOTS, MOST_SLOTS = 16, 1 << 26
+_BLOCK = 1 << 15
+
+
+class IdFilter:
+    """One bit a slot of hashed ids, broadcast to the tasks: rows whose id is
+    surely not among ``ids`` are told apart before a shuffle. Its size is
+    bounded; with very many ids more rows pass, none is missed."""
+
+    def __init__(self, ids: DataFrame, column: str):
+        spark = ids.sparkSession
+        n = ids.count()
+        self.slots = min(MOST_SLOTS, max(_BLOCK, 1 << (FILTER_SLOTS * max(n, 1) - 1).bit_length()))
+        slot = ids.select(self.slot(F.col(column)).alias("slot")).distinct()
+        blocks = (slot.groupBy(F.shiftright("slot", 15).alias("block")).agg(F.collect_list(F.col("slot") % _BLOCK).alias("at"))
+                  .mapInArrow(_packed, "block long, bits binary").collect())  # slots / 8 bytes at most
+        bits = np.zeros(self.slots // 8, np.uint8)
+        for r in blocks:
+            bits[r["block"] * _BLOCK // 8:(r["block"] + 1) * _BLOCK // 8] = np.frombuffer(r["bits"], np.uint8)
+        self.bits = spark.sparkContext.broadcast(bits)
+
+    def slot(self, column: Column) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(self.slots).cast("long"))
+
+    def rows(self, df: DataFrame, column: str, among: bool = True) -> DataFrame:
+        """Rows whose id may be among the ids, or surely is not."""
+        bits, names = self.bits, df.columns
+
+        def kept(batches):
+            for b in batches:
+                slot = b.column(len(names)).to_numpy()
+                hit = (bits.value[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == int(among)
+                yield b.filter(pa.array(hit)).select(names)
+
+        # the slot's name can't clash: it is one longer than the longest column's
+        name = "_" * (1 + max(map(len, names)))
+        return df.withColumn(name, self.slot(F.col(column))).mapInArrow(kept, df.schema)
+
+
+def _packed(batches):
+    for b in batches:
+        out = []
+        for at in b.column(1).to_pylist():
+            bits = np.zeros(_BLOCK, np.uint8)
+            bits[at] = 1
+            out.append(np.packbits(bits).tobytes())
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["block", "bits"])

@@ -10,17 +10,27 @@ smaller set, whose size s bounds the symmetric difference by
 H = floor(u x (100 - percent) / percent), u the band's largest size. A set
 signs its own band and, if it may be the larger of a pair, the band below.
 
-Segments. A band's universe is cut by hash into segments. Segment i may be
-given an error budget of 0 (the sets agree on it) or 1 (they agree after
-deleting at most one token). If the sum of (budget + 1) is at least H + 1, two
-sets with a difference of at most H agree on some segment within its budget,
-so each set writes one signature per segment, and one per deleted token where
-the budget is 1: the pair shares a signature. How many segments get which
-budget is chosen per band by cost: signatures written plus candidate pairs
-that chance agreement of unrelated sets would give, from the numbers of all
-sets per band.
-
-Verification. Sets with a common signature form a bucket. Round by round, the
+Segments and subsets. A band's universe is cut by hash into groups, a group
+into n segments. A group has an error budget b: with at most b differing tokens
+in it, two sets agree on some t = n - b of its segments, and each set writes
+one signature for every choice of t segments (``Plan``); or n is 1, the budget
+is 1, and a set writes the group's whole content and, for each of its tokens,
+the content without it (one-deletion neighbourhood). If groups x (b + 1) is
+at least H + 1, two sets with a difference of at most H agree in some group.
+
+Empty signatures, of choices in which a set has no token, say nothing and would
+join unrelated sets. A set has no use for them if enough of its groups have
+none: of G groups those with an empty choice are left out, and if the rest x
+(b + 1) still is at least H + 1, a similar set agrees with it on a choice with
+tokens. The number of groups has a margin for that; the few sets which it
+does not serve write their empty signatures, too.
+
+The shape (n, t or deletion) is chosen per band by cost: signatures written plus
+candidate pairs, of sets that share a passage and nothing else, which agree on
+choices that hold tokens of the passage only; from the number of sets per band.
+
+Verification. Signatures are shuffled once; the sorted stream drops those of a
+single set. Sets with a common signature form a bucket. Round by round, the
 first members of each bucket are compared with the bucket's members of other
 components: first sizes and parity sketches, which no linking pair fails, then
 exactly; a member linked to them joins their component and needs no
@@ -41,16 +51,15 @@ from __future__ import annotations
 import functools
 import math
 from dataclasses import dataclass
-from itertools import pairwise
+from itertools import combinations, pairwise
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from postlens.llm.common import pieces, space_words, stored
+from postlens.llm.common import IdFilter, pieces, space_words, stored
 from postlens.llm.components import components
 
 
@@ -64,10 +73,14 @@ class Rule:
 
 
 RULE = Rule()
-#: Ratio of a band's largest to its smallest size.
-BAND_RATIO = 1.3
-#: Cost of comparing one candidate pair, in signatures written.
-PAIR_COST = 20.0
+#: Ratio of a band's largest to its smallest size, at least.
+BAND_RATIO = 1.5
+#: Cost of one candidate pair, in signatures written (nearly all end at the sketch).
+PAIR_COST = 2.0
+#: Share of the sets, and tokens, of the passage that the cost of candidates assumes.
+SHARED_BY, PASSAGE = 1 / 3, 40
+#: (segments of a group, segments of a choice) that may be chosen; (1, 0) is one-deletion.
+SHAPES = ((1, 1), (3, 2), (4, 3), (4, 2), (5, 3), (6, 3), (1, 0))
 #: Longs of a set's parity sketch.
 SKETCH = 8
 CACHE_ENTRIES = 300_000
@@ -128,20 +141,57 @@ def band_starts(largest: int, percent: int = RULE.percent) -> list[int]:
     return out
 
 
-def allocate(sets: int, last: int, percent: int = RULE.percent) -> tuple[int, int]:
-    """(segments with budget 0, with budget 1) of a band of so many sets whose
-    largest size is ``last``: the least cost with zeros + 2 x ones = H + 1."""
+@dataclass(frozen=True)
+class Plan:
+    """Groups of a band, segments of a group, segments of a choice (0: the
+    group's content and its one-deletion neighbourhood), and H + 1."""
+
+    groups: int
+    segments: int
+    take: int
+    need: int
+
+    @property
+    def budget(self) -> int:
+        return self.segments - self.take if self.take else 1
+
+    def signatures(self, size: float) -> float:
+        return self.groups * math.comb(self.segments, self.take) if self.take else self.groups + size
+
+    def useless(self, size: float) -> float:
+        """Chance that a group of a random set of this size has an empty choice."""
+        rate = size / (self.groups * self.segments)
+        empty = math.exp(-rate)
+        if not self.take:
+            return empty * (1 + rate)
+        return sum(math.comb(self.segments, k) * empty ** k * (1 - empty) ** (self.segments - k) for k in range(self.take, self.segments + 1))
+
+    def enough(self, size: float) -> bool:
+        """Nearly all sets of this size may leave their empty signatures out."""
+        bad = self.useless(size)
+        return (self.groups * (1 - bad) - 2 * math.sqrt(self.groups * bad * (1 - bad))) * (self.budget + 1) >= self.need
+
+
+def allocate(sets: int, last: int, percent: int = RULE.percent, first: int | None = None) -> Plan:
+    """The cheapest plan for a band of so many sets of ``first`` to ``last`` tokens."""
     need = last * (100 - percent) // percent + 1
+    first = min(last, max(1, last / BAND_RATIO if first is None else first))
     best = None
-    for ones in {*range(min(need // 2, 8) + 1), need // 4, need // 2}:
-        zeros = need - 2 * ones
-        m = zeros + ones
-        empty = math.exp(-2 * last * 0.8 / m) if m > 1 else 0.0  # chance that two unrelated sets both have nothing there
-        pairs = sets * sets / 2 * (zeros * empty + ones * empty * (1 + 2 * last / m))
-        cost = sets * (zeros + ones * (1 + last / m)) + PAIR_COST * pairs
+    for segments, take in SHAPES:
+        least = -(-need // ((segments - take if take else 1) + 1))
+        groups = next((g for g in range(least, 2 * least + 3) if Plan(g, segments, take, need).enough(first)), least)
+        plan = Plan(groups, segments, take, need)
+        written = plan.signatures(first)
+        held = (take or 1) * last / (groups * segments)  # tokens of a choice
+        shared = min(1.0, PASSAGE / last)
+        only = math.exp(-held * (1 - shared)) * (1 - math.exp(-held * shared)) if held * (1 - shared) < 700 else 0.0
+        pairs = (sets * SHARED_BY) ** 2 / 2 * groups * max(1, math.comb(segments, take)) * only * only * (1 if take else (1 + held) ** 2)
+        if not plan.enough(first):
+            pairs += sets * sets / 2 * written * math.exp(-2 * held)
+        cost = sets * written + PAIR_COST * pairs
         if best is None or cost < best[0]:
-            best = cost, zeros, ones
-    return best[1:]
+            best = cost, plan
+    return best[1]
 
 
 def parity(tokens: np.ndarray) -> np.ndarray:
@@ -152,10 +202,11 @@ def parity(tokens: np.ndarray) -> np.ndarray:
 
 
 class Signer:
-    """Signatures of a set under a plan {band: (segments with budget 0, 1)}."""
+    """Signatures of a set under the bands' plans."""
 
-    def __init__(self, starts: list[int], plan: dict[int, tuple[int, int]], rule: Rule = RULE):
+    def __init__(self, starts: list[int], plan: dict[int, Plan], rule: Rule = RULE):
         self.starts, self.plan, self.rule = np.array(starts), plan, rule
+        self.choices = {(n, t): np.array(list(combinations(range(n), t))) for n, t in {(p.segments, p.take) for p in plan.values()} if t}
 
     def bands(self, size: int) -> list[int]:
         own = int(np.searchsorted(self.starts, size, "right")) - 1
@@ -163,24 +214,39 @@ class Signer:
         return [b for b in ([own, own - 1] if below else [own]) if b in self.plan]
 
     def __call__(self, tokens: np.ndarray) -> np.ndarray:
-        out = []
-        for band in self.bands(len(tokens)):
-            zeros, ones = self.plan[band]
-            m = zeros + ones
-            own_salt = mix(np.array([band + 1], np.uint64))
-            at = (mix(tokens + own_salt) % np.uint64(m)).astype(np.int64)
-            value = mix(tokens ^ _B)
-            with np.errstate(over="ignore"):
-                total = np.zeros(m, np.uint64)
-                np.add.at(total, at, value)
-                count = np.bincount(at, minlength=m).astype(np.uint64)
-                salt = mix(np.arange(m, dtype=np.uint64) * _C + own_salt)
-                out.append(mix(total * _A + salt + count))
-                if ones:
-                    loose = at >= zeros  # the last segments have budget 1
-                    out.append(mix((total[at[loose]] - value[loose]) * _A + salt[at[loose]] + count[at[loose]] - np.uint64(1)))
+        out = [self._band(tokens, band, self.plan[band]) for band in self.bands(len(tokens))]
         return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
 
+    def _band(self, tokens: np.ndarray, band: int, plan: Plan) -> np.ndarray:
+        m = plan.groups * plan.segments
+        own_salt = mix(np.array([band + 1], np.uint64))
+        at = (mix(tokens + own_salt) % np.uint64(m)).astype(np.int64)
+        value = mix(tokens ^ _B)
+        order = np.argsort(at, kind="stable")
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value[order])])  # wraps modulo 2^64
+        count = np.bincount(at, minlength=m)
+        end = np.cumsum(count)
+        total = sums[end] - sums[end - count]
+        salt = mix(np.arange(m, dtype=np.uint64) * _C + own_salt)
+        held = count.astype(np.uint64)
+        whole = mix(total * _A + salt + held)
+        if not plan.take:
+            loose = mix((total[at] - value) * _A + salt[at] + held[at] - np.uint64(1))
+            found, full = np.concatenate([whole, loose]), np.concatenate([count > 0, count[at] > 1])
+            useful = plan.groups - int((count <= 1).sum())
+        elif plan.segments == 1:
+            found, full, useful = whole, count > 0, int((count > 0).sum())
+        else:
+            chosen = self.choices[plan.segments, plan.take]
+            segments, empty = whole.reshape(plan.groups, -1), (count == 0).reshape(plan.groups, -1)
+            found = np.zeros((plan.groups, len(chosen)), np.uint64)
+            for column in chosen.T:
+                found = mix(found + segments[:, column])
+            found = found.ravel()
+            full = ~np.all(empty[:, chosen], axis=2).ravel()
+            useful = plan.groups - int((empty.sum(axis=1) >= plan.take).sum())
+        return found[full] if useful * (plan.budget + 1) >= plan.need else found
+
 
 _SKETCH = [f"s{i}" for i in range(SKETCH)]
 
@@ -200,11 +266,11 @@ def _memberships(docs: DataFrame, rule: Rule) -> DataFrame:
             for part in pieces(whole):
                 sets = [shingle(t) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) for s in sets], pa.int64()),
+                    [part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) for s in sets], pa.int64()),
                      *(pa.array(x) for x in np.array([parity(s) for s in sets], np.int64).reshape(-1, SKETCH).T)],
-                    names=["doc_id", "n_shingles", "node", *_SKETCH])
+                    names=["doc_id", "mark", "n_shingles", "node", *_SKETCH])
 
-    return docs.mapInArrow(rows, "doc_id long, n_shingles long, node long, " + ", ".join(f"{c} long" for c in _SKETCH))
+    return docs.withColumn("mark", F.md5("text")).mapInArrow(rows, "doc_id long, mark string, n_shingles long, node long, " + ", ".join(f"{c} long" for c in _SKETCH))
 
 
 def _signatures(docs: DataFrame, signer: Signer) -> DataFrame:
@@ -231,6 +297,32 @@ def _signatures(docs: DataFrame, signer: Signer) -> DataFrame:
     return docs.mapInArrow(rows, "sig long, node long")
 
 
+def _shared(signed: DataFrame) -> DataFrame:
+    """The distinct rows (sig, node) of signatures that several nodes have.
+    One exchange by signature; the sorted rows are streamed, so a signature
+    that very many nodes have is never held."""
+    def rows(batches):
+        # the last row seen, which waits for its successor, and whether it has gone already
+        sig, node, gone = np.zeros(0, np.int64), np.zeros(0, np.int64), False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            s, n = (np.concatenate([h, batch.column(c).to_numpy()]) for c, h in (("sig", sig), ("node", node)))
+            new = np.ones(len(s), bool)
+            new[1:] = (s[1:] != s[:-1]) | (n[1:] != n[:-1])
+            s, n = s[new], n[new]
+            follows = s[1:] == s[:-1]
+            keep = np.append(False, follows) | np.append(follows, False)
+            if len(sig) and gone:
+                keep[0] = False
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([pa.array(s[keep]), pa.array(n[keep])], names=["sig", "node"])
+            gone = bool(keep[-1]) if len(s) > 1 else gone
+            sig, node = s[-1:], n[-1:]
+
+    return signed.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(rows, "sig long, node long")
+
+
 def _texts_of(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """(node, text): one text of each node. ``nodes`` names a document of the
     node (of repeated ids the one with the node's set is taken); nodes that
@@ -244,7 +336,10 @@ def _texts_of(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
                 keep = pa.array([o is not None and w in (None, o) for o, w in zip(own, wanted, strict=True)], pa.bool_())
                 yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), part.column(1)], names=["node", "text"]).filter(keep)
 
-    named = docs.where("doc_id is not null").join(nodes.where("doc_id is not null"), "doc_id").select("node", "text")
+    own = nodes.where("doc_id is not null")
+    # only texts that may be wanted are shuffled
+    some = IdFilter(own, "doc_id").rows(docs.where("doc_id is not null"), "doc_id")
+    named = some.join(own, "doc_id").select("node", "text")
     others = docs.where("doc_id is null").select(F.lit(None).cast("long").alias("node"), "text")
     found = named.mapInArrow(rows, "node long, text string")
     rest = others.mapInArrow(rows, "node long, text string").join(nodes.where("doc_id is null").select("node"), "node")
@@ -288,14 +383,13 @@ def set_components(docs: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataF
     bounds = F.array(*[F.lit(s) for s in starts])
     counts = {r.band: r.n for r in nodes.groupBy((F.size(F.filter(bounds, lambda s: s <= F.col("size"))) - 1).alias("band"))
               .agg(F.count("*").alias("n")).collect()}  # one row a band
-    plan = {b: allocate(counts.get(b, 0) + counts.get(b + 1, 0), stop - 1, rule.percent)
-            for b, (_, stop) in enumerate(pairwise(starts)) if b in counts}
+    plan = {b: allocate(counts.get(b, 0) + counts.get(b + 1, 0), stop - 1, rule.percent, start)
+            for b, (start, stop) in enumerate(pairwise(starts)) if b in counts}
     empty = docs.sparkSession.createDataFrame([], "node long, root long")
     if not plan:
         return members.drop(*_SKETCH), empty
-    signed = stored(_signatures(plain, Signer(starts, plan, rule)), "signatures")
-    shared = signed.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high").select("sig")
-    bucket = stored(signed.join(shared, "sig").distinct().join(nodes.drop("doc_id"), "node"), "buckets")
+    shared = stored(_shared(_signatures(plain, Signer(starts, plan, rule))), "shared-signatures")
+    bucket = stored(shared.join(nodes.drop("doc_id"), "node"), "buckets")
     company = nodes.join(bucket.select("node").distinct(), "node").select("node", "doc_id")
     texts = stored(_texts_of(plain, company, rule), "candidate-texts")
     roots, leaders, links = empty, 1, None
@@ -304,8 +398,12 @@ def set_components(docs: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataF
         mixed = at.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("sig")
         left = stored(at.join(mixed, "sig"), "open-buckets")
         # the first members of every open bucket (Spark limits the ranks before the shuffle as well)
-        rank = F.row_number().over(Window.partitionBy("sig").orderBy("node"))
-        heads = stored(left.withColumn("rank", rank).where(F.col("rank") <= leaders).drop("rank"), "bucket-heads")
+        # of a hot bucket first those of a salt
+        heads = left
+        for key in (["sig", F.pmod("node", F.lit(16))], ["sig"]):
+            rank = F.row_number().over(Window.partitionBy(*key).orderBy("node"))
+            heads = heads.withColumn("rank", rank).where(F.col("rank") <= leaders).drop("rank")
+        heads = stored(heads, "bucket-heads")
         a = heads.select("sig", *(F.col(c).alias("a" if c == "node" else f"{c}_a") for c in ["node", "size", "root", *_SKETCH]))
         pairs = left.join(a, "sig").where((F.col("root") != F.col("root_a")) & _may_link(rule.percent)).select("a", F.col("node").alias("b")).distinct()
         found = stored(_verified(pairs, texts, rule), "links")
@@ -332,22 +430,21 @@ def join_documents(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """One document of each component under the rule, as it is: the one with the least id
     (null last), then the least digest of its text; documents without words
-    all stay."""
-    _, roots = set_components(docs, rule)
-    at = docs.columns.index("text")
-
-    def rows(batches):
-        shingle = Shingler(rule.shingle)
-        for whole in batches:
-            for part in pieces(whole):
-                own = [node_of(shingle(t)) for t in part.column(at).to_pylist()]
-                yield part.append_column("__node", pa.array(own, pa.int64()))
-
-    schema = T.StructType(docs.schema.fields + [T.StructField("__node", T.LongType())])
-    marked = docs.mapInArrow(rows, schema).withColumn("__key", F.concat_ws(",", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.md5("text")))
-    order = F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("doc_id"), F.col("__key"), F.col("__node"))
-    chosen = (marked.where("__node is not null").select("__node", order.alias("o")).join(roots.withColumnRenamed("node", "__node"), "__node", "left")
-              .groupBy(F.coalesce("root", "__node").alias("group")).agg(F.min("o").alias("o")).select("o.__node", "o.__key"))
-    # the rows meet their choice and repeated rows fall away in the same partition
-    kept = marked.join(chosen, ["__node", "__key"]).dropDuplicates(["__node", "__key"])
-    return kept.select(*docs.columns).unionByName(marked.where("__node is null").select(*docs.columns))
+    all stay. Rows that repeat id and text of the one that stays fall away.
+
+    The choice is made on ids and digests. Texts of documents that surely stay
+    are not moved; only those whose id may be in the list of rows to drop (a
+    bitmap tells) meet that list."""
+    members, roots = set_components(docs, rule)
+    rows = members.where("node is not null").groupBy("doc_id", "mark", "node").agg(F.count("*").alias("rows"))
+    order = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "mark", "node")
+    grouped = stored(rows.join(roots, "node", "left").select("doc_id", "mark", "node", "rows", F.coalesce("root", "node").alias("group")), "near-groups")
+    first = stored(grouped.groupBy("group").agg(F.min(order).alias("o")).select("group", F.col("o.doc_id").alias("d"), F.col("o.mark").alias("m"), F.col("o.node").alias("k")), "near-firsts")
+    stays = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m")) & (F.col("node") == F.col("k"))
+    listed = stored(grouped.join(first, "group").select("doc_id", "mark", "rows", stays.alias("stays")).where("not stays or rows > 1").select("doc_id", "mark", "stays"), "near-dropped")
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.md5(F.col("text").cast("string")).alias("digest"))
+    known = IdFilter(listed, "doc_id")
+    met = known.rows(whole, "id").join(listed, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("digest") == F.col("mark")), "left")
+    unlisted = met.where("stays is null").select("row")
+    chosen = met.where("stays").groupBy("id", "digest").agg(F.first("row").alias("row")).select("row")
+    return known.rows(whole, "id", among=False).select("row").unionByName(unlisted).unionByName(chosen).select("row.*")

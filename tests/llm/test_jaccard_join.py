@@ -52,7 +52,9 @@ def test_similar_sets_always_share_a_signature():
     rng = random.Random(3)
     starts = J.band_starts(3000)
     plans = [{b: J.allocate(n, last - 1) for b, last in enumerate(starts[1:])} for n in (1, 10**4, 10**9)]
-    plans.append({b: ((last - 1) // 9 + 1 - 2 * ((last - 1) // 18), (last - 1) // 18) for b, last in enumerate(starts[1:])})
+    need = lambda last: (last - 1) // 9 + 1
+    for n, t in J.SHAPES:  # every shape in every band, with as few groups as it may have
+        plans.append({b: J.Plan(-(-need(last) // ((n - t if t else 1) + 1)), n, t, need(last)) for b, last in enumerate(starts[1:])})
     import numpy as np
     for _ in range(400):
         s = rng.choice((rng.randrange(1, 30), rng.randrange(1, 400), rng.randrange(1, 2500)))
@@ -67,6 +69,32 @@ def test_similar_sets_always_share_a_signature():
                 assert len(np.intersect1d(signer(a), signer(b)))
 
 
+def test_unrelated_sets_share_no_empty_signature():
+    """Sets that may leave their empty signatures out share none by chance."""
+    import numpy as np
+    rng = np.random.default_rng(5)
+    starts = J.band_starts(3000, 80)
+    rule = J.Rule(5, 80)
+    for n in (10**4, 10**7):
+        signer = J.Signer(starts, {b: J.allocate(n, last - 1, 80, first) for b, (first, last) in enumerate(zip(starts, starts[1:]))}, rule)
+        seen, shared = set(), 0
+        for size in rng.integers(60, 900, 120):
+            own = set(signer(rng.integers(0, 2**63, size, dtype=np.uint64)).tolist())
+            shared += bool(seen & own)
+            seen |= own
+        assert shared <= 12
+
+
+def test_stream_keeps_signatures_of_two_nodes(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice((1, 2, 3, 50, 51, rng.randrange(10**6))), rng.randrange(9)) for _ in range(3000)] + [(7, 5)] * 40 + [(8, x) for x in range(25_000)]
+    want = {}
+    for s, n in rows:
+        want.setdefault(s, set()).add(n)
+    got = J._shared(spark.createDataFrame(rows, "sig long, node long")).collect()
+    assert sorted(map(tuple, got)) == sorted((s, n) for s, ns in want.items() if len(ns) > 1 for n in ns)
+
+
 def test_components(spark):
     rng = random.Random(1)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(60)] + [(2000, 2001 + i) for i in range(50)]

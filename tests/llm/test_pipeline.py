@@ -4,7 +4,8 @@ import corpus_pipeline
 from postlens.llm import byte_bpe, decontamination, language_id, quality_trees, queries
 from postlens.llm.jaccard_join import keep_one
 from tests.llm.test_decontamination import brute as contaminated
-from tests.llm.test_jaccard_join import brute as components
+from tests.llm.test_jaccard_join import roots
+from tests.llm.test_near_copies_rule import links, shingles
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,10 +20,14 @@ def test_stages_against_brute_force(spark):
     two = corpus_pipeline.language(spark, one, SF)
     kept = two.collect()
     assert {r.doc_id for r in kept} == {r.doc_id for r in one.collect() if filters.decide(r.text)[1] > 0}
-    rows = components([(r.doc_id, r.text) for r in kept])
+    rule = corpus_pipeline.NEAR_COPIES
+    group = roots(len(kept), links([r.text for r in kept], rule.shingle, rule.percent))
+    least = {}
+    for r, g in zip(kept, group):
+        least[g] = min(least.get(g, r.doc_id), r.doc_id)
     three = corpus_pipeline.near_copies(spark, two, SF)
     left = three.collect()
-    assert sorted(r.doc_id for r in left) == sorted(d for d, _, c in rows if c == d)
+    assert sorted(r.doc_id for r in left) == sorted(r.doc_id for r, g in zip(kept, group) if least[g] == r.doc_id or not shingles(r.text, rule.shingle))
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     bad = {r[0] for r in contaminated([(r.doc_id, r.text) for r in left], items) if r[5]}
     four = corpus_pipeline.decontaminate(spark, three, SF)
