@@ -3,9 +3,11 @@
 Byte 4-grams of the lower-cased text (digits, ASCII punctuation and white
 space count as one blank) are counted per language over all training rows. An
 n-gram belongs to every language whose relative frequency of it is at least a
-fifth of the largest; the ``GRAMS`` most frequent n-grams (the model's size)
-go into bit-sliced Bloom filters: each slot holds one bit per language, and
-the AND of an n-gram's slots gives all languages that contain it. Per
+fifth of the largest. Of each language the n-grams from its most frequent down
+to those that complete ``COVER`` of its mass (ties included) go into bit-sliced
+Bloom filters: each slot holds one bit per language, and the AND of an n-gram's
+slots gives all languages that contain it. The number of slots follows the
+number of n-grams, up to a bound; the bits of a slot are joined by Spark. Per
 document, bits are counted per language, the count expected from false
 positives is taken off, and the largest corrected count decides (ties: first
 value in sorted order). The score is its share of all corrected counts.
@@ -23,13 +25,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.llm.common import fold, pieces, stored
 
-#: n-grams kept by the model and the slots and hash functions of its filters.
-GRAMS, SLOT_BITS, HASHES = 1 << 17, 20, 2
+#: Share of a language's n-gram occurrences that its kept n-grams hold at least.
+COVER = 0.9999
+#: Slots of the filters: eight an n-gram, between these powers of two; hash functions.
+LEAST_BITS, MOST_BITS, HASHES = 16, 24, 2
 #: A language contains an n-gram from this share of the largest relative frequency on.
 SHARE = 0.2
 UNKNOWN = "und"
@@ -80,29 +84,42 @@ def count_grams(docs: DataFrame) -> DataFrame:
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def slot_bits(grams: int) -> int:
+    return min(MOST_BITS, max(LEAST_BITS, (8 * grams).bit_length()))
+
+
+def slots(ids: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The slot of each n-gram for each hash function."""
+    x = ids.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(15))) * np.uint64(0xD6E8FEB86659FD93)
+    return [((x * np.uint64(m)) >> np.uint64(64 - bits)).astype(np.int64) for m in _MULTIPLIERS[:HASHES]]
+
+
 @dataclass
 class Filters:
     langs: list[str]          # sorted
     default: str
     planes: list[np.ndarray]  # one byte a slot for each eight languages
     false_rate: np.ndarray    # per language
+    bits: int                 # slots are 2 ** bits
 
-    @staticmethod
-    def slots(ids: np.ndarray) -> list[np.ndarray]:
-        x = ids.astype(np.uint64)
-        x = (x ^ (x >> np.uint64(15))) * np.uint64(0xD6E8FEB86659FD93)
-        return [((x * np.uint64(m)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64) for m in _MULTIPLIERS[:HASHES]]
+    def slots(self, ids: np.ndarray) -> list[np.ndarray]:
+        return slots(ids, self.bits)
 
     @classmethod
     def build(cls, langs: list[str], default: str, members: list[np.ndarray]) -> Filters:
         """members: n-grams of each language."""
-        planes = [np.zeros(1 << SLOT_BITS, np.uint8) for _ in range((len(langs) + 7) // 8)]
-        rate = np.zeros(len(langs))
+        bits = slot_bits(len(np.unique(np.concatenate(members))) if members else 0)
+        planes = [np.zeros(1 << bits, np.uint8) for _ in range((len(langs) + 7) // 8)]
         for k, ids in enumerate(members):
-            for at in cls.slots(ids):
+            for at in slots(ids, bits):
                 planes[k // 8][at] |= np.uint8(1 << k % 8)
-            rate[k] = np.count_nonzero(planes[k // 8] & np.uint8(1 << k % 8)) / (1 << SLOT_BITS)
-        return cls(langs, default, planes, rate ** HASHES)
+        return cls.of_planes(langs, default, planes, bits)
+
+    @classmethod
+    def of_planes(cls, langs: list[str], default: str, planes: list[np.ndarray], bits: int) -> Filters:
+        rate = np.array([np.count_nonzero(planes[k // 8] & np.uint8(1 << k % 8)) / (1 << bits) for k in range(len(langs))])
+        return cls(langs, default, planes, rate ** HASHES, bits)
 
     def counts(self, ids: np.ndarray) -> np.ndarray:
         """Per language, the n-grams it contains, less the false positives expected."""
@@ -126,20 +143,42 @@ class Filters:
 
 def learn(docs: DataFrame) -> Filters:
     """Filters from the rows outside fold 0 whose lang is known. The driver
-    gets one row per language and the model's ``GRAMS`` n-grams."""
+    gets one row per language and the set slots of the filters."""
     counts = stored(count_grams(docs.where((fold(F.col("doc_id")) != 0) & F.col("lang").isNotNull())), "language-grams")
     totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals)
     if not langs:
-        return Filters([], UNKNOWN, [], np.zeros(0))
-    shares = F.create_map(*[F.lit(x) for lang in langs for x in (lang, 1.0 / totals[lang])])
-    best = (counts.select("gram", F.struct((F.col("n") * F.element_at(shares, F.col("lang"))).alias("share"), "lang").alias("of"))
-            .groupBy("gram").agg(F.collect_list("of").alias("of"), F.max("of.share").alias("top")))  # a list of the languages at most
-    kept = (best.orderBy(F.desc("top"), "gram").limit(GRAMS)
-            .select("gram", F.transform(F.filter("of", lambda x: x["share"] >= SHARE * F.col("top")), lambda x: x["lang"]).alias("langs"))).toArrow()
-    ids, owners = kept.column("gram").to_numpy(), kept.column("langs").to_pylist()
-    members = [np.sort(ids[[lang in o for o in owners]]) for lang in langs]
-    return Filters.build(langs, min(langs, key=lambda x: (-totals[x], x)), members)
+        return Filters([], UNKNOWN, [], np.zeros(0), LEAST_BITS)
+    of_lang = lambda values: F.element_at(F.create_map(*[F.lit(x) for lang in langs for x in (lang, values[lang])]), F.col("lang"))
+    # the count down to which a language's n-grams are kept, from its (few) distinct counts
+    kinds = counts.groupBy("lang", "n").agg(F.sum("n").alias("mass"))
+    down = Window.partitionBy("lang").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
+    reached = kinds.withColumn("upto", F.sum("mass").over(down)).where(F.col("upto") >= COVER * of_lang(totals))
+    least = {r.lang: r.n for r in reached.groupBy("lang").agg(F.max("n").alias("n")).collect()}
+    rated = counts.select("gram", F.struct((F.col("n") / of_lang(totals)).alias("share"), "lang").alias("of"), (F.col("n") >= of_lang(least)).alias("kept"))
+    best = rated.groupBy("gram").agg(F.collect_list("of").alias("of"), F.max("of.share").alias("top"), F.max("kept").alias("kept")).where("kept")  # a list of the languages at most
+    owned = stored(best.select("gram", F.transform(F.filter("of", lambda x: x["share"] >= SHARE * F.col("top")), lambda x: x["lang"]).alias("langs")), "language-filters")
+    bits, index = slot_bits(owned.count()), {lang: k for k, lang in enumerate(langs)}
+
+    def rows(batches):
+        for b in batches:
+            at = slots(b.column(0).to_numpy(), bits)
+            masks: dict[int, list[int]] = {}
+            for row, own in enumerate(b.column(1).to_pylist()):
+                for lang in own:
+                    masks.setdefault(index[lang] // 8, [0] * b.num_rows)[row] |= 1 << index[lang] % 8
+            for plane, mask in masks.items():
+                mask = np.array(mask)
+                hit = mask > 0
+                for a in at:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(hit.sum(), plane, np.int32)), pa.array(a[hit]), pa.array(mask[hit])], names=["plane", "slot", "mask"])
+
+    joined = owned.mapInArrow(rows, "plane int, slot long, mask long").groupBy("plane", "slot").agg(F.bit_or("mask").alias("mask")).toArrow()  # 2 ** bits rows a plane at most
+    planes = [np.zeros(1 << bits, np.uint8) for _ in range((len(langs) + 7) // 8)]
+    plane, slot, mask = (joined.column(c).to_numpy() for c in ("plane", "slot", "mask"))
+    for k, own in enumerate(planes):
+        own[slot[plane == k]] = mask[plane == k]
+    return Filters.of_planes(langs, min(langs, key=lambda x: (-totals[x], x)), planes, bits)
 
 
 def identify(docs: DataFrame, filters: Filters) -> DataFrame:

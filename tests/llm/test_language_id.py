@@ -59,3 +59,29 @@ def test_more_than_eight_languages(spark):
     docs = spark.createDataFrame(rows, DOCS)
     got = L.identify(docs, L.learn(docs)).join(docs.select("doc_id", "lang"), "doc_id").collect()
     assert all(r.lang == r.lang_pred for r in got)
+
+
+def test_sixty_languages_of_flat_grams(spark):
+    """Far more n-grams than the 131,072 that an earlier version kept in all."""
+    rng = random.Random(9)
+    rows = []
+    for k in range(60):
+        letters = [chr(0x4E00 + 90 * k + j) for j in range(90)]
+        rows += [(100 * k + i, " ".join("".join(rng.choice(letters) for _ in range(6)) for _ in range(150)), f"x{k:02}", "") for i in range(10)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(4)
+    filters = L.learn(docs)
+    assert L.count_grams(docs).select("gram").distinct().count() > 200_000 and filters.bits > 20
+    got = L.identify(docs, filters).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert all(r.lang == r.lang_pred and r.score > 0 for r in got)
+    assert L.keep(docs).count() == len(rows)
+
+
+def test_kept_grams_cover_each_language(spark):
+    """A rare language keeps its n-grams beside a frequent one with a long tail."""
+    rng = random.Random(3)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(6))
+    rows = [(i, " ".join(word("abcdefghijklmnopqrstuvwxyz") for _ in range(200)), "big", "") for i in range(60)]
+    rows += [(1000 + i, " ".join(word("αβγδε") for _ in range(5)), "small", "") for i in range(3)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {r.doc_id: r.lang_pred for r in L.identify(docs, L.learn(docs)).collect()}
+    assert all(got[1000 + i] == "small" for i in range(3)) and got[0] == "big"
