@@ -62,7 +62,9 @@ def statistics(text: str | None) -> list[float]:
     at = np.array([ids.setdefault(w, len(ids)) for w in words], np.int64)
     w = max(1, len(words))
     if len(at) >= 3:
-        trigrams = len(np.unique((at[:-2] * len(ids) + at[1:-1]) * len(ids) + at[2:])) / (len(at) - 2) if len(ids) < 2_000_000 else 1.0
+        # pairs are numbered first, so that no product leaves 64 bits
+        pairs = np.unique(at[:-2] * len(ids) + at[1:-1], return_inverse=True)[1]
+        trigrams = len(np.unique(pairs * len(ids) + at[2:])) / (len(at) - 2)
     else:
         trigrams = 1.0
     lines = raw.splitlines() or [b""]

@@ -52,3 +52,14 @@ def test_held_out_accuracy_and_cases(spark):
     assert len(out) == 4 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in out)
     assert Q.classify(docs.limit(0), some).count() == 0
     assert {r.score for r in Q.classify(docs, some.limit(0)).collect()} == {0.5}
+
+
+def test_trigram_share_of_very_many_distinct_words():
+    """Beyond two million distinct words the share is counted like any other."""
+    n = 2_000_001
+    text = " ".join(map(str, range(n))) + " " + " ".join(map(str, range(1000)))
+    few = Q.statistics("a b c a b c a b")
+    at = next(i for i, v in enumerate(few) if abs(v - 3 / 6) < 1e-12)
+    want = len({(w[i], w[i + 1], w[i + 2]) for w in [text.split()] for i in range(len(w) - 2)}) / (n + 998)
+    got = Q.statistics(text)[at]
+    assert want < 1 and abs(got - want) < 1e-12
