@@ -36,7 +36,9 @@ from postlens.llm.common import pieces
 BYTE_BASE = 0x2800
 _TO_CHARS = {b: chr(BYTE_BASE + b) for b in range(256)}
 #: Units kept per Python worker (memory bound; the results don't depend on it).
-CACHE_ENTRIES = 400_000
+#: Bytes that a worker's cached units take at most, characters of the longest
+#: of them, and what a unit takes besides its characters and ids.
+CACHE_BYTES, CACHE_LENGTH, CACHE_OVERHEAD = 64 << 20, 64, 200
 #: A space beside other white space; elsewhere no pre-token crosses into a space.
 _SPACE_RUN = re.compile(r" \s|\s ").search
 
@@ -108,6 +110,7 @@ class ByteBpe:
         self.bytes = np.frombuffer(b"".join(raw for raw, _ in in_order), np.uint8)
         self.starts[self.to_rank] = np.cumsum(self.lengths[self.to_rank]) - self.lengths[self.to_rank]
         self.known: dict[str, bytes] = {}
+        self.held = 0
         self._ready = True
 
     def _merge(self, tokens: list[str]) -> list[bytes]:
@@ -137,9 +140,14 @@ class ByteBpe:
         ids = dict(zip(tokens, self._merge(tokens), strict=True)).__getitem__
         known.update((u, b"".join(map(ids, c))) for u, c in zip(new, cut, strict=True))
         out = [b"".join(map(known.__getitem__, u)) for u in units]
-        if len(known) > CACHE_ENTRIES:
-            for u in new:
+        for u in new:  # long units, such as whole texts with runs of white space, aren't kept
+            if len(u) > CACHE_LENGTH:
                 del known[u]
+            else:
+                self.held += len(u) + len(known[u]) + CACHE_OVERHEAD
+        if self.held > CACHE_BYTES:
+            known.clear()
+            self.held = 0
         return out
 
     def decode(self, ids: bytes) -> bytes:

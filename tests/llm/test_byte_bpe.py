@@ -36,7 +36,7 @@ def test_matches_tiktoken_on_odd_texts(bpe, reference):
 
 
 def test_results_do_not_depend_on_the_cache(bpe, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "CACHE_ENTRIES", 2)
+    monkeypatch.setattr(byte_bpe, "CACHE_BYTES", 450)
     small = byte_bpe.ByteBpe(bpe.ranks, bpe.pattern)
     for _ in range(2):
         assert small.encode_all(["one two three", "four five one"]) == bpe.encode_all(["one two three", "four five one"])
@@ -72,3 +72,17 @@ def test_query(spark, reference):
         ids = reference.encode_ordinary(d.text or "")
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(pack(ids)).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256((d.text or "").encode()).hexdigest()
+
+
+def test_cache_is_bounded_in_bytes(monkeypatch):
+    """Long texts with runs of white space are never kept, short units up to a bound."""
+    monkeypatch.setattr(byte_bpe, "CACHE_BYTES", 40_000)
+    bpe = byte_bpe.ByteBpe(byte_bpe.read_ranks(queries.RANKS_PATH), public_tokenizers.PATTERN)
+    again = byte_bpe.ByteBpe(byte_bpe.read_ranks(queries.RANKS_PATH), public_tokenizers.PATTERN)
+    for i in range(60):
+        texts = [f"line {i}  with\n\n runs " * 400, " ".join(f"word{i}x{j}" for j in range(300))]
+        got = bpe.encode_all(texts)
+        assert [bpe.decode(g).decode() for g in got] == texts
+        size = sum(len(k) + len(v) + byte_bpe.CACHE_OVERHEAD for k, v in bpe.known.items())
+        assert size <= 40_000 and size == bpe.held and max(map(len, bpe.known), default=0) <= byte_bpe.CACHE_LENGTH
+        assert got == again.encode_all(texts)
