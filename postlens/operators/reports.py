@@ -11,13 +11,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.functions.semantics import np_round, safe_div
 from postlens.operators import quality as Q
 from postlens.operators import views
 from postlens.operators.common import side_by_side
+from postlens.operators.model_store import ModelStore
+from postlens.operators.sinks import model_manifest
 from postlens.plans import params as P
 from postlens.sources.standins import load
 
@@ -58,9 +60,51 @@ def daily_report(spark: SparkSession, sf: str, ds: str) -> DataFrame:
     return row.withColumn("profit_margin_percent", np_round(margin, 1))
 
 
-def report_lines(report: DataFrame) -> DataFrame:
+def model_summary(store: ModelStore) -> DataFrame:
+    """The current delivery-time and satisfaction models' scores, one row."""
+    at = {"delivery_time": ("mae", "r2", "within_15_minutes"), "customer_satisfaction": ("accuracy", "precision")}
+    return side_by_side(*[
+        store.commits(name).orderBy(F.desc("seq"), F.desc("version")).limit(1)
+        .agg(*[F.first(F.element_at("scores", k)).alias(f"{name}_{k}") for k in keys]) for name, keys in at.items()])
+
+
+def manifest_summary(manifest: DataFrame) -> DataFrame:
+    """Number and total size of the saved models, one row."""
+    saved = F.col("status") == "SUCCESS"
+    return manifest.agg(F.count_if(saved).alias("models_saved"), F.max(F.when(~saved, F.col("size_mb"))).alias("models_size_mb"))
+
+
+def full_report(spark: SparkSession, sf: str, ds: str, store: ModelStore) -> DataFrame:
+    """The five summaries side by side: quality, business metrics, loaded
+    views, model scores and the model manifest."""
+    return side_by_side(daily_report(spark, sf, ds), model_summary(store), manifest_summary(model_manifest(spark, store.root)))
+
+
+def model_lines() -> list[tuple[str, str, Column]]:
+    """Report lines of the model scores and the manifest; a score that is
+    not defined (no row was predicted positive) shows as n/a."""
+    shown = lambda form, c, value: F.when(F.col(c).isNotNull(), F.format_string(form, value)).otherwise("n/a")
+    percent = lambda c: shown("%.1f%%", c, np_round(F.col(c) * 100.0, 1))
+    number = lambda c, digits: shown(f"%.{digits}f", c, np_round(c, digits))
+    return [
+        ("models", "Delivery time MAE (minutes)", number("delivery_time_mae", 2)),
+        ("models", "Delivery time R2", number("delivery_time_r2", 3)),
+        ("models", "Delivery time within 15 minutes", percent("delivery_time_within_15_minutes")),
+        ("models", "Satisfaction accuracy", percent("customer_satisfaction_accuracy")),
+        ("models", "Satisfaction precision", percent("customer_satisfaction_precision")),
+        ("manifest", "Models saved", F.col("models_saved").cast("string")),
+        ("manifest", "Total size (MB)", number("models_size_mb", 2)),
+    ]
+
+
+def satisfaction_lines() -> list[tuple[str, str, Column]]:
+    return [line for line in model_lines() if line[1].startswith("Satisfaction")]
+
+
+def report_lines(report: DataFrame, more: list[tuple[str, str, Column]] = ()) -> DataFrame:
     """Long (section, metric, value) rows of the daily report, formatted as
-    the text report shows them (thousands separators, one-decimal %)."""
+    the text report shows them (thousands separators, one-decimal %), and
+    the lines of ``more``."""
     r = report
     items = [
         ("quality", "Overall quality score", F.format_string("%.1f%%", np_round("overall_quality_score", 1))),
@@ -75,14 +119,15 @@ def report_lines(report: DataFrame) -> DataFrame:
         ("operations", "Active departments", F.col("active_departments").cast("string")),
         ("operations", "Cities covered", F.col("cities_covered").cast("string")),
         ("operations", "View records loaded", F.col("total_view_records").cast("string")),
+        *more,
     ]
     rows = F.array(*[F.struct(F.lit(i).alias("line_no"), F.lit(s).alias("section"), F.lit(m).alias("metric"),
                               v.alias("value")) for i, (s, m, v) in enumerate(items)])
     return r.select(F.inline(rows))
 
 
-def write_text_report(report: DataFrame, path: str) -> None:
+def write_text_report(report: DataFrame, path: str, more: list[tuple[str, str, Column]] = ()) -> None:
     """Render the report as text lines and write them (one file)."""
-    lines = report_lines(report).select(
+    lines = report_lines(report, more).select(
         "line_no", F.format_string("[%s] %s: %s", "section", "metric", "value").alias("value"))
     lines.coalesce(1).sortWithinPartitions("line_no").select("value").write.mode("overwrite").text(path)

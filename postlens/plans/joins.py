@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from postlens.operators import models as ML
 from postlens.operators import postal as O
+from postlens.operators import reports as REP
 from postlens.operators import routes as R
-from postlens.operators.common import flat_arrays
+from postlens.operators.common import flat_arrays, side_by_side
 from postlens.plans import params as P
 from postlens.plans.aggregates import BUSINESS_METRICS_SQL
 from postlens.plans.catalog import register
 from postlens.plans.columns import COURIER_MONTHLY_SQL, TREND_SQL
+from postlens.plans.model_sql import SATISFACTION_SCORES_SQL
 from postlens.plans.quality import QUALITY_REPORT_SQL
 from postlens.sources.standins import load
 
@@ -95,8 +100,19 @@ SELECT q.execution_date, q.overall_quality_score, q.status AS quality_status,
 FROM ({QUALITY_REPORT_SQL}) q, ({BUSINESS_METRICS_SQL}) b, ({VIEW_COUNTS_SQL}) v"""
 
 
-@register("assemble_report", section=S, oracle=ASSEMBLE_SQL)
+REPORT_SQL = f"""
+SELECT a.*, s.accuracy AS customer_satisfaction_accuracy, s."precision" AS customer_satisfaction_precision
+FROM ({ASSEMBLE_SQL}) a, ({SATISFACTION_SCORES_SQL}) s"""
+
+
+def report_with_satisfaction(spark, sf):
+    """The daily report and the held-out scores of the satisfaction model."""
+    scores = ML.classification_scores(ML.fit_satisfaction(load(spark, sf, "feedback"))[1], "label")
+    return side_by_side(REP.daily_report(spark, sf, P.RUN_DS), scores.select(
+        F.col("accuracy").alias("customer_satisfaction_accuracy"), F.col("precision").alias("customer_satisfaction_precision")))
+
+
+@register("assemble_report", section=S, oracle=REPORT_SQL)
 def q_assemble_report(spark, sf):
-    from postlens.operators.reports import daily_report
-    return daily_report(spark, sf, P.RUN_DS)
+    return report_with_satisfaction(spark, sf)
 

@@ -11,11 +11,13 @@ from postlens.operators import quality as Q
 from postlens.operators import reports as REP
 from postlens.operators import ledger
 from postlens.operators import sinks as W
+from postlens.operators.model_store import ModelStore, digest
+from postlens.operators.scoring import scorers
 from postlens.operators import views
 from postlens.operators import windows as WIN
 from postlens.plans import params as P
 from postlens.plans.aggregates import COURIER_VIEW_SQL, STAFF_VIEW_SQL
-from postlens.plans.joins import ASSEMBLE_SQL
+from postlens.plans.joins import REPORT_SQL, report_with_satisfaction
 from postlens.plans.windows import DEPT_FACTS_SQL
 from postlens.plans.catalog import register
 from postlens.plans.quality import QUALITY_REPORT_SQL
@@ -59,15 +61,29 @@ lines AS (
   UNION ALL SELECT 8, '[operations] Active couriers: ' || active_couriers FROM r
   UNION ALL SELECT 9, '[operations] Active departments: ' || active_departments FROM r
   UNION ALL SELECT 10, '[operations] Cities covered: ' || cities_covered FROM r
-  UNION ALL SELECT 11, '[operations] View records loaded: ' || total_view_records FROM r)
+  UNION ALL SELECT 11, '[operations] View records loaded: ' || total_view_records FROM r
+  UNION ALL SELECT 12, '[models] Satisfaction accuracy: ' || coalesce(printf('%.1f%%', round_even(customer_satisfaction_accuracy * 100.0E0, 1)), 'n/a') FROM r
+  UNION ALL SELECT 13, '[models] Satisfaction precision: ' || coalesce(printf('%.1f%%', round_even(customer_satisfaction_precision * 100.0E0, 1)), 'n/a') FROM r)
 SELECT value FROM lines"""
 
 
-@register("write_text_report", section=S, oracle=REPORT_TEXT_SQL.format(report=ASSEMBLE_SQL))
+@register("write_text_report", section=S, oracle=REPORT_TEXT_SQL.format(report=REPORT_SQL))
 def q_write_text_report(spark, sf):
-    rep = REP.daily_report(spark, sf, P.RUN_DS)
     path = scratch_dir(spark, "daily_report_txt")
-    REP.write_text_report(rep, path)
+    REP.write_text_report(report_with_satisfaction(spark, sf), path, REP.satisfaction_lines())
+    return spark.read.text(path)
+
+
+@register("full_text_report", section=S)
+def q_full_text_report(spark, sf):
+    """The text report over all five summaries, with the scores that the model
+    store holds of the current delivery-time and satisfaction models."""
+    store = ModelStore(spark, scratch_dir(spark, "report_models"))
+    for name, source in (("delivery_time", "deliveries"), ("customer_satisfaction", "feedback")):
+        rows = load(spark, sf, source)
+        store.load_or_fit(name, digest(rows), lambda n=name, r=rows: scorers(P.RUN_DS)[n].fit(r))
+    path = scratch_dir(spark, "full_report_txt")
+    REP.write_text_report(REP.full_report(spark, sf, P.RUN_DS, store), path, REP.model_lines())
     return spark.read.text(path)
 
 

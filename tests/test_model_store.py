@@ -74,3 +74,10 @@ def test_scoring_twice_fits_once(spark, monkeypatch):
     assert first == again and len({m for m, _ in first}) == 9
     assert all(store.commits(n).count() == 1 for n in scoring.scorers(""))
     assert store.load("delivery_time").scores["within_15_minutes"] >= 0 and store.load("customer_satisfaction").scores["accuracy"] > 0
+
+
+def test_full_text_report_shows_models_and_manifest(spark):
+    from postlens.plans import catalog
+    lines = [r.value for r in catalog.queries()["full_text_report"](spark, SF_SMALL).collect()]
+    assert sum(x.startswith("[models]") for x in lines) == 5 and "[manifest] Models saved: 2" in lines and len(lines) == 19
+    assert not any("null" in x or "n%" in x for x in lines)
