@@ -1,8 +1,9 @@
 """Licence notices and phrases, as their publishers word them.
 
 ``PHRASES`` are the short statements whose every place counts; ``TEMPLATES``
-are longer notices, recognised by covered spans. Several templates may carry
-one label."""
+are longer notices, and the opening passages of whole licence texts, recognised
+by covered spans. Several templates may carry one label. ``SPDX`` names the
+label of an identifier after ``SPDX-License-Identifier:``."""
 
 PHRASES = {
     "under the mit license": "mit",
@@ -38,6 +39,37 @@ Public License as published by the Free Software Foundation, either version 3 of
 version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
 warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""
 
+LGPL_NOTICE = """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General
+Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later
+version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details."""
+
+LGPL_PROGRAM_NOTICE = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser
+General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
+later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more
+details."""
+
+AGPL_NOTICE = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General
+Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
+version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details."""
+
+APACHE_TEXT = """Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION,
+AND DISTRIBUTION 1. Definitions. "License" shall mean the terms and conditions for use, reproduction, and distribution as
+defined by Sections 1 through 9 of this document."""
+
+GPL_TEXT = """The GNU General Public License is a free, copyleft license for software and other kinds of works. The licenses for most
+software and other practical works are designed to take away your freedom to share and change the works. By contrast, the GNU
+General Public License is intended to guarantee your freedom to share and change all versions of a program--to make sure it
+remains free software for all its users."""
+
+AGPL_TEXT = """The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically
+designed to ensure cooperation with the community in the case of network server software."""
+
+LGPL_TEXT = """This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU
+General Public License, supplemented by the additional permissions listed below."""
+
 MPL_NOTICE = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was
 not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."""
 
@@ -49,18 +81,52 @@ CC_BY_NOTICE = """This work is licensed under a Creative Commons Attribution 4.0
 CC_BY_SA_NOTICE = """This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."""
 CC_BY_NC_NOTICE = """This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."""
 
+CC_BY_ND_NOTICE = """This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."""
+CC_BY_NC_SA_NOTICE = """This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International
+License."""
+CC_BY_NC_ND_NOTICE = """This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International
+License."""
+
 TEMPLATES = (
+    ("agpl", AGPL_NOTICE),
+    ("agpl", AGPL_TEXT),
+    ("agpl", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("apache-2", APACHE_NOTICE),
+    ("apache-2", APACHE_TEXT),
     ("bsd", BSD),
     ("bsd-3-clause", BSD_3_CLAUSE),
     ("cc-by", CC_BY_NOTICE),
     ("cc-by-nc", CC_BY_NC_NOTICE),
+    ("cc-by-nc-nd", CC_BY_NC_ND_NOTICE),
+    ("cc-by-nc-nd", "CC BY-NC-ND"),
+    ("cc-by-nc-sa", CC_BY_NC_SA_NOTICE),
+    ("cc-by-nc-sa", "CC BY-NC-SA"),
+    ("cc-by-nd", CC_BY_ND_NOTICE),
+    ("cc-by-nd", "CC BY-ND 4.0"),
     ("cc-by-sa", CC_BY_SA_NOTICE),
+    ("cc-by-sa", "CC BY-SA 4.0"),
     ("gpl", GPL_NOTICE),
+    ("gpl", GPL_TEXT),
     ("gpl", "This work is licensed under the GNU General Public License, version 3."),
     ("gpl", "Released under the GNU General Public License, version 2."),
     ("isc", ISC),
+    ("lgpl", LGPL_NOTICE),
+    ("lgpl", LGPL_PROGRAM_NOTICE),
+    ("lgpl", LGPL_TEXT),
+    ("lgpl", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("mit", MIT),
     ("mpl-2", MPL_NOTICE),
     ("unlicense", UNLICENSE),
 )
+
+SPDX = {
+    "AGPL-3.0": "agpl", "AGPL-3.0-only": "agpl", "AGPL-3.0-or-later": "agpl",
+    "Apache-2.0": "apache-2",
+    "BSD-2-Clause": "bsd", "BSD-3-Clause": "bsd-3-clause",
+    "CC-BY-4.0": "cc-by", "CC-BY-NC-4.0": "cc-by-nc", "CC-BY-NC-ND-4.0": "cc-by-nc-nd", "CC-BY-NC-SA-4.0": "cc-by-nc-sa",
+    "CC-BY-ND-4.0": "cc-by-nd", "CC-BY-SA-4.0": "cc-by-sa",
+    "GPL-2.0": "gpl", "GPL-2.0-only": "gpl", "GPL-2.0-or-later": "gpl", "GPL-3.0": "gpl", "GPL-3.0-only": "gpl", "GPL-3.0-or-later": "gpl",
+    "ISC": "isc",
+    "LGPL-2.1": "lgpl", "LGPL-2.1-only": "lgpl", "LGPL-2.1-or-later": "lgpl", "LGPL-3.0": "lgpl", "LGPL-3.0-only": "lgpl", "LGPL-3.0-or-later": "lgpl",
+    "MIT": "mit", "MPL-2.0": "mpl-2", "Unlicense": "unlicense",
+}

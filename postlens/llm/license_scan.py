@@ -7,12 +7,19 @@ A base phrase stands wherever the statistic reaches its length and its state
 is a suffix-link ancestor. Matches that cannot grow to the right and have at
 least ``min_match`` words are chained per template while text and template
 positions both advance, with at most ``max_gap`` words skipped on either
-side; a chain that covers at least ``min_cover`` of a template is a span
-and gives the template's label.
+side. A chain's cover is its matched words over the template's words plus the
+text's words skipped inside it, so missing and inserted words both count
+against it; from ``min_cover`` on it is a span. Relatives (two notices that
+differ in a word) all span such a place: of spans that overlap by more than
+half of the shorter one, the one with the most words matched less words
+missing and inserted stays and gives its template's label.
+
+The words ``SPDX License Identifier``, found by the same automaton, are followed
+by identifiers joined by or, and, with: each known one is a span with cover 1.
 
 Cases: a null or empty text has no words, no label, score 0; repeated rows
 give repeated results; an empty table gives an empty result; other columns
-are ignored; equal coverage goes to the first span. Only words known to a
+are ignored; equal spans go to the first label. Only words known to a
 template leave the automaton's root, so cost follows the text's length; a
 text that repeats a notice many times gives one chain after another. The
 score is the largest covered share of a template, 1 with a base phrase.
@@ -113,11 +120,20 @@ class Automaton:
             yield state, length
 
 
+#: Label of the phrase that announces identifiers; it is no base phrase.
+_ANNOUNCED = "\0spdx"
+_JOINED = (b"or", b"and", b"with")
+
+
 class Scanner:
     def __init__(self, phrases: dict[str, str], templates: tuple[tuple[str, str], ...], min_match: int = 4, max_gap: int = 6,
-                 min_cover: float = 0.6):
+                 min_cover: float = 0.6, identifiers: dict[str, str] | None = None):
         self.labels = [label for label, _ in templates]
         split = [(alnum_words(p), label) for p, label in phrases.items()]
+        self.identifiers = {tuple(alnum_words(i)): label for i, label in (identifiers or {}).items()}
+        self.longest = max(map(len, self.identifiers), default=0)
+        if self.identifiers:
+            split.append(([b"spdx", b"license", b"identifier"], _ANNOUNCED))
         self.automaton = Automaton([alnum_words(t) for _, t in templates], split)
         self.shortest = min([len(p) for p, _ in split] + [min_match])
         self.min_match, self.max_gap, self.min_cover = min_match, max_gap, min_cover
@@ -130,6 +146,7 @@ class Scanner:
         ids = np.array([get(w, -1) for w in words], np.int64)
         known = np.flatnonzero(np.diff(np.concatenate(([False], ids >= 0, [False])).astype(np.int8)))
         bases: list[tuple[str, int]] = []
+        announced: list[int] = []
         matches: list[tuple[int, int, int]] = []  # (first word, words, state)
         for a, b in known.reshape(-1, 2).tolist():
             if b - a < self.shortest:
@@ -139,26 +156,42 @@ class Scanner:
                 if now[1] <= before[1] and before[1] >= self.min_match:
                     matches.append((i - before[1], before[1], before[0]))
                 for n, label in self.automaton.phrases[now[0]]:
-                    if now[1] >= n:
+                    if now[1] >= n and label == _ANNOUNCED:
+                        announced.append(i + 1)
+                    elif now[1] >= n:
                         bases.append((label, i - n + 1))
                 before = now
             if before[1] >= self.min_match:
                 matches.append((b - before[1], before[1], before[0]))
         spans, best = self._chains(matches)
-        return len(words), bases, spans, best
+        named = [found for at in announced for found in self._identified(words, at)]
+        return len(words), bases, sorted([*spans, *named], key=lambda s: s[1:3]), 1.0 if named else best
+
+    def _identified(self, words: list[bytes], at: int):
+        """Spans of the identifiers that begin at a word; the longest known one each."""
+        while True:
+            n = next((n for n in range(min(self.longest, len(words) - at), 0, -1) if (*words[at:at + n],) in self.identifiers), 0)
+            if not n:
+                return
+            yield self.identifiers[(*words[at:at + n],)], at, at + n, 1.0
+            at += n
+            if at >= len(words) or words[at] not in _JOINED:
+                return
+            at += 1
 
     def _chains(self, matches: list[tuple[int, int, int]]):
-        open_: dict[int, list[int]] = {}  # template: [text start, text end, template end, covered]
-        spans: list[tuple[str, int, int, float]] = []
+        open_: dict[int, list[int]] = {}  # template: [text start, text end, template end, covered, inserted]
+        found: list[tuple[int, str, int, int, float]] = []  # with words matched less words missing and inserted
         best = 0.0
 
         def close(k: int) -> None:
             nonlocal best
-            start, end, _, covered = open_.pop(k)
-            cover = covered / self.automaton.template_words[k]
+            start, end, _, covered, inserted = open_.pop(k)
+            whole = self.automaton.template_words[k]
+            cover = covered / (whole + inserted)
             best = max(best, cover)
             if cover >= self.min_cover:
-                spans.append((self.labels[k], start, end, cover))
+                found.append((2 * covered - whole - inserted, self.labels[k], start, end, cover))
 
         for start, n, state in matches:
             places: dict[int, list[int]] = {}
@@ -173,15 +206,37 @@ class Scanner:
                     if fits and start + n > chain[1] and gap <= self.max_gap:
                         end = min(fits)
                         chain[3] += min(n, end - chain[2], start + n - chain[1])
+                        chain[4] += max(0, gap)
                         chain[1], chain[2] = start + n, end
                         continue
                     if gap < 0 and n <= chain[3]:  # a shorter match elsewhere inside the chain
                         continue
                     close(k)
-                open_[k] = [start, start + n, min(ends), n]
+                open_[k] = [start, start + n, min(ends), n, 0]
         for k in list(open_):
             close(k)
-        return sorted(spans, key=lambda s: s[1:3]), best
+        return _told_apart(found), best
+
+
+def _told_apart(found: list[tuple[int, str, int, int, float]]) -> list[tuple[str, int, int, float]]:
+    """Of spans that overlap by more than half of the shorter one the best,
+    in order of the text."""
+    groups: list[list[tuple[str, int, int, float]]] = []
+    # spans that can overlap lie near each other, so each run of touching spans is settled on its own
+    reach = -1
+    for x in sorted(found, key=lambda f: f[2:4]):
+        if x[2] >= reach:
+            groups.append([])
+        groups[-1].append(x)
+        reach = max(reach, x[3])
+    spans = []
+    for run in groups:
+        kept: list[tuple[int, str, int, int, float]] = []
+        for x in sorted(run, key=lambda f: (-f[0], -f[4], f[1], f[2])):
+            if all(2 * (min(x[3], y[3]) - max(x[2], y[2])) <= min(x[3] - x[2], y[3] - y[2]) for y in kept):
+                kept.append(x)
+        spans += [x[1:] for x in kept]
+    return sorted(spans, key=lambda s: s[1:3])
 
 
 def scan_documents(docs: DataFrame, scanner: Scanner) -> DataFrame:

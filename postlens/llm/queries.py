@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postlens.llm import attention_lm, byte_bpe, chat_format, decontamination, divergence, jaccard_join, language_id, license_scan, merkle, minhash, oracles, quality_trees, substring_dedup, toxicity
 from postlens.llm.common import table
-from postlens.llm.licence_texts import PHRASES, TEMPLATES
+from postlens.llm.licence_texts import PHRASES, SPDX, TEMPLATES
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -28,7 +28,7 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return license_scan.digest(license_scan.scan_documents(docs, license_scan.Scanner(PHRASES, TEMPLATES)))
+    return license_scan.digest(license_scan.scan_documents(docs, license_scan.Scanner(PHRASES, TEMPLATES, identifiers=SPDX)))
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

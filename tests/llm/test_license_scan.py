@@ -1,7 +1,10 @@
 import random
 import re
 
+import pytest
+
 from postlens.llm import license_scan, queries
+from postlens.llm import licence_texts as T
 from postlens.llm.common import alnum_words
 from postlens.llm.license_scan import Automaton, Scanner
 from postlens.llm.licence_texts import MIT, PHRASES, TEMPLATES
@@ -78,3 +81,47 @@ def test_query(spark):
         assert (r.n_words, r.n_base, r.base_labels) == (n, len(places), ",".join(sorted({p[1] for p in places})))
         if "GNU General Public License" in d.text:
             assert "gpl" in r.labels
+
+
+def labels_of(text):
+    from postlens.llm.licence_texts import SPDX
+    scanner = license_scan.Scanner(T.PHRASES, T.TEMPLATES, identifiers=SPDX)
+    return {s[0] for s in scanner.scan(text)[2]}
+
+
+@pytest.mark.parametrize(("label", "text"), [
+    ("cc-by-nd", T.CC_BY_ND_NOTICE), ("cc-by-nc-sa", T.CC_BY_NC_SA_NOTICE), ("cc-by-nc-nd", T.CC_BY_NC_ND_NOTICE), ("cc-by", T.CC_BY_NOTICE),
+    ("cc-by-sa", T.CC_BY_SA_NOTICE), ("cc-by-nc", T.CC_BY_NC_NOTICE), ("lgpl", T.LGPL_NOTICE), ("lgpl", T.LGPL_PROGRAM_NOTICE), ("agpl", T.AGPL_NOTICE),
+    ("gpl", T.GPL_NOTICE), ("gpl", T.GPL_TEXT), ("agpl", T.AGPL_TEXT), ("lgpl", T.LGPL_TEXT), ("apache-2", T.APACHE_TEXT), ("mit", T.MIT),
+    ("cc-by-nc-sa", "text under CC BY-NC-SA 4.0, see there"), ("cc-by-sa", "text under CC BY-SA 4.0, see there")])
+def test_relatives_are_told_apart(label, text):
+    assert labels_of(text) == {label}
+    assert labels_of(f"Some words before. {text} And some more after that.") == {label}
+    changed = text.split()
+    if len(changed) > 30:  # a word lost, a word put in
+        del changed[9]
+        changed.insert(20, "really")
+        assert labels_of(" ".join(changed)) == {label}
+
+
+def test_neighbouring_notices_all_count():
+    assert labels_of(f"{T.GPL_NOTICE} {T.LGPL_NOTICE} {T.AGPL_NOTICE} {T.CC_BY_ND_NOTICE}") == {"gpl", "lgpl", "agpl", "cc-by-nd"}
+
+
+@pytest.mark.parametrize(("line", "labels"), [
+    ("// SPDX-License-Identifier: MIT", {"mit"}), ("# SPDX-License-Identifier: (MIT OR Apache-2.0) AND BSD-3-Clause", {"mit", "apache-2", "bsd-3-clause"}),
+    ("SPDX-License-Identifier: GPL-3.0-or-later", {"gpl"}), ("SPDX-License-Identifier: LGPL-2.1-only WITH Some-exception", {"lgpl"}),
+    ("SPDX-License-Identifier: AGPL-3.0", {"agpl"}), ("SPDX-License-Identifier: CC-BY-NC-SA-4.0", {"cc-by-nc-sa"}), ("SPDX-License-Identifier: Unknown-1.0", set()),
+    ("SPDX-License-Identifier:", set()), ("the MIT or Apache 2.0 people", set())])
+def test_spdx_lines(line, labels):
+    assert labels_of(line) == labels
+    assert labels_of(f"code before\n{line}\nimport os, sys and more code") == labels
+
+
+def test_identifiers_are_no_base_phrases(spark):
+    from postlens.llm.licence_texts import SPDX
+    docs = spark.createDataFrame([(1, "SPDX-License-Identifier: MIT"), (2, "under the MIT license"), (3, T.LGPL_NOTICE)], "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.digest(license_scan.scan_documents(docs, license_scan.Scanner(T.PHRASES, T.TEMPLATES, identifiers=SPDX))).collect()}
+    assert (got[1].n_base, got[1].base_labels, got[1].labels, got[1].score) == (0, "", "mit", 1.0)
+    assert (got[2].n_base, got[2].base_labels, got[2].labels) == (1, "mit", "mit")
+    assert (got[3].n_base, got[3].labels) == (0, "lgpl")
