@@ -38,7 +38,7 @@ _TO_CHARS = {b: chr(BYTE_BASE + b) for b in range(256)}
 #: Units kept per Python worker (memory bound; the results don't depend on it).
 #: Bytes that a worker's cached units take at most, characters of the longest
 #: of them, and what a unit takes besides its characters and ids.
-CACHE_BYTES, CACHE_LENGTH, CACHE_OVERHEAD = 64 << 20, 64, 200
+CACHE_BYTES, CACHE_LENGTH, CACHE_OVERHEAD = 48 << 20, 64, 200
 #: A space beside other white space; elsewhere no pre-token crosses into a space.
 _SPACE_RUN = re.compile(r" \s|\s ").search
 

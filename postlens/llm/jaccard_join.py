@@ -83,7 +83,9 @@ SHARED_BY, PASSAGE = 1 / 3, 40
 SHAPES = ((1, 1), (3, 2), (4, 3), (4, 2), (5, 3), (6, 3), (1, 0))
 #: Longs of a set's parity sketch.
 SKETCH = 8
-CACHE_ENTRIES = 300_000
+#: Members of a bucket up to which they don't carry their sketches.
+SMALL_BUCKET = 32
+CACHE_ENTRIES = 150_000
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _SALTS, _FACTORS = (_A, _B, _C), (_B, _C, _A)
@@ -388,14 +390,14 @@ def set_components(docs: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataF
     empty = docs.sparkSession.createDataFrame([], "node long, root long")
     if not plan:
         return members.drop(*_SKETCH), empty
-    shared = stored(_shared(_signatures(plain, Signer(starts, plan, rule))), "shared-signatures")
-    bucket = stored(shared.join(nodes.drop("doc_id"), "node"), "buckets")
+    bucket = stored(_shared(_signatures(plain, Signer(starts, plan, rule))), "shared-signatures")
+    sets = nodes.drop("doc_id")
     company = nodes.join(bucket.select("node").distinct(), "node").select("node", "doc_id")
     texts = stored(_texts_of(plain, company, rule), "candidate-texts")
     roots, leaders, links = empty, 1, None
     while True:
-        at = bucket.join(roots, "node", "left").select("sig", "node", "size", *_SKETCH, F.coalesce("root", "node").alias("root"))
-        mixed = at.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("sig")
+        at = bucket.join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
+        mixed = at.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n")).where("r0 != r1").select("sig", "n")
         left = stored(at.join(mixed, "sig"), "open-buckets")
         # the first members of every open bucket (Spark limits the ranks before the shuffle as well)
         # of a hot bucket first those of a salt
@@ -404,19 +406,35 @@ def set_components(docs: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataF
             rank = F.row_number().over(Window.partitionBy(*key).orderBy("node"))
             heads = heads.withColumn("rank", rank).where(F.col("rank") <= leaders).drop("rank")
         heads = stored(heads, "bucket-heads")
-        a = heads.select("sig", *(F.col(c).alias("a" if c == "node" else f"{c}_a") for c in ["node", "size", "root", *_SKETCH]))
-        pairs = left.join(a, "sig").where((F.col("root") != F.col("root_a")) & _may_link(rule.percent)).select("a", F.col("node").alias("b")).distinct()
-        found = stored(_verified(pairs, texts, rule), "links")
+        pairs = stored(_pairs(left, heads, sets, rule).distinct(), "candidate-pairs")
+        found = stored(_verified(_possible(pairs, sets, rule), texts, rule), "links")
         links = found if links is None else links.unionByName(found)
         if not found.isEmpty():
             roots = stored(components(links), "components")
-        bucket = left.drop("root").join(heads.select("sig", "node"), ["sig", "node"], "left_anti")
-        bucket = stored(bucket, "open-buckets")
+        bucket = stored(left.select("sig", "node").join(heads.select("sig", "node"), ["sig", "node"], "left_anti"), "open-buckets")
         if bucket.isEmpty():
             return members.drop(*_SKETCH), roots
         leaders = min(16 * leaders, 4096)
 
 
+def _pairs(left: DataFrame, heads: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """(a, b): head and member of a bucket, of different components. Members of
+    large buckets carry their size and sketch, so that pairs which can't link
+    end before they are moved; in small ones the pairs are few."""
+    a = lambda df, *more: df.select("sig", *(F.col(c).alias("a" if c == "node" else f"{c}_a") for c in ["node", "root", *more]))
+    apart = F.col("root") != F.col("root_a")
+    few = left.where(F.col("n") <= SMALL_BUCKET).join(a(heads.where(F.col("n") <= SMALL_BUCKET)), "sig").where(apart)
+    wide = lambda df: df.where(F.col("n") > SMALL_BUCKET).join(sets, "node")
+    many = wide(left).join(a(wide(heads), "size", *_SKETCH), "sig").where(apart & _may_link(rule.percent))
+    return few.select("a", F.col("node").alias("b")).unionByName(many.select("a", F.col("node").alias("b")))
+
+
+def _possible(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs whose sizes and sketches allow a link."""
+    first = sets.select(F.col("node").alias("a"), *(F.col(c).alias(f"{c}_a") for c in ["size", *_SKETCH]))
+    return pairs.join(first, "a").join(sets.withColumnRenamed("node", "b"), "b").where(_may_link(rule.percent)).select("a", "b")
+
+
 def join_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for every row."""
     members, roots = set_components(docs)

@@ -108,7 +108,9 @@ def test_components(spark):
     assert {r.node: r.root for r in frame.collect()} == want
 
 
-def test_random_near_copies(spark):
+@pytest.mark.parametrize("small", [J.SMALL_BUCKET, 2])
+def test_random_near_copies(spark, monkeypatch, small):
+    monkeypatch.setattr(J, "SMALL_BUCKET", small)
     rng = random.Random(6)
     vocabulary = [f"W{i}é" for i in range(400)]
     rows = []
