@@ -11,7 +11,7 @@ global ranking goes through ``ranking.global_ntile``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.semantics import safe_div
@@ -160,23 +160,24 @@ def attributed_touches(touches: DataFrame) -> DataFrame:
     the first conversion (order (ts, event_id)), with the conversion value.
     Users without such a touch are dropped.
 
-    Days before the conversion's day enter as one summary per (user, day),
-    made before the shuffle; single touches are joined on the day of the
-    conversion only, so a user with a third of all touches is no hot key."""
+    One scan: touches are windowed per (user, day), where the day's first
+    conversion tells which of them come before it, and summed up to one row a
+    day. Of a user's days those up to the first one with a conversion count (the
+    ones before it have none), so a user with a third of all touches is spread
+    over as many tasks as there are days, and only day rows meet per user."""
     key = F.struct(F.col("ts"), F.col("event_id"))
-    first_conv = (touches.where("is_conversion").groupBy("user_id")
-                  .agg(F.min_by(F.struct("ts", "value"), key).alias("c"))
-                  .withColumn("conversion_day", F.to_date("c.ts")))
-    dated = touches.withColumn("day", F.to_date("ts"))
-    ends = [F.min_by("channel", key).alias("first_touch"), F.min(key).alias("first_key"),
-            F.max_by("channel", key).alias("last_touch"), F.max(key).alias("last_key")]
-    before = dated.groupBy("user_id", "day").agg(*ends).join(first_conv, "user_id").where(F.col("day") < F.col("conversion_day"))
-    same_day = (dated.join(first_conv.withColumn("day", F.col("conversion_day")), ["user_id", "day"])
-                .where(F.col("ts") < F.col("c.ts")).groupBy("user_id", "day").agg(*ends, F.first("c").alias("c")))
-    columns = ["user_id", "first_touch", "first_key", "last_touch", "last_key", "c"]
-    return before.select(*columns).unionByName(same_day.select(*columns)).groupBy("user_id").agg(
+    by_day = Window.partitionBy("user_id", "day")
+    first = F.min(F.when(F.col("is_conversion"), F.struct("ts", "event_id", "value"))).over(by_day)
+    dated = touches.withColumn("day", F.to_date("ts")).withColumn("c", first)
+    early = F.col("c").isNull() | (F.col("ts") < F.col("c.ts"))
+    known = dated.select("user_id", "day", "c", F.when(early, F.col("channel")).alias("channel"), F.when(early, key).alias("k"))
+    days = known.groupBy("user_id", "day").agg(
+        F.min_by("channel", "k").alias("first_touch"), F.min("k").alias("first_key"),
+        F.max_by("channel", "k").alias("last_touch"), F.max("k").alias("last_key"), F.first("c").alias("c"))
+    until = F.min(F.when(F.col("c").isNotNull(), F.col("day"))).over(Window.partitionBy("user_id"))
+    return (days.withColumn("until", until).where(F.col("day") <= F.col("until")).groupBy("user_id").agg(
         F.min_by("first_touch", "first_key").alias("first_touch"), F.max_by("last_touch", "last_key").alias("last_touch"),
-        F.first("c.value").alias("conversion_value"))
+        F.max("c.value").alias("conversion_value"), F.max("last_key").alias("k")).where("k is not null").drop("k"))
 
 
 def marketing_attribution(touches: DataFrame) -> DataFrame:

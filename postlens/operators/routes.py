@@ -18,6 +18,9 @@ from postlens.functions.lookups import ROUTE_MESSAGES
 from postlens.functions.semantics import labels, np_round, safe_div
 from postlens.sources.tables import broadcast_if_rows_at_most
 
+#: Keys over which rows without a key are dealt in a join.
+NULL_KEYS = 100_000
+
 DD, DC, CD, CC = ("Department to Department", "Department to Courier",
                   "Courier to Department", "Courier to Courier")
 
@@ -40,10 +43,15 @@ def validate_routes(routes: DataFrame, department_dim: DataFrame) -> DataFrame:
         department_dim.where(F.col("city").isNotNull()).select(F.col("city").alias("_city")).distinct())
     served_s = served.select(F.col("_city").alias("_served_s"))
     served_r = served.select(F.col("_city").alias("_served_r"))
-    df = (routes.join(s, routes.sender_department == s._s_id, "left")
-          .join(r, routes.receiver_department == r._r_id, "left")
-          .join(served_s, routes.sender_location == served_s._served_s, "left")
-          .join(served_r, routes.receiver_location == served_r._served_r, "left"))
+    # A route without a department has no partner. Under a shuffle join all of
+    # them would meet in one task, so each gets one of many keys that no
+    # department has.
+    none = F.concat(F.lit("\0"), F.pmod(F.xxhash64("route_id"), F.lit(NULL_KEYS)).cast("string"))
+    df = (routes.withColumn("_s_key", F.coalesce("sender_department", none)).withColumn("_r_key", F.coalesce("receiver_department", none))
+          .join(s, F.col("_s_key") == s._s_id, "left")
+          .join(r, F.col("_r_key") == r._r_id, "left")
+          .join(served_s, F.col("sender_location") == served_s._served_s, "left")
+          .join(served_r, F.col("receiver_location") == served_r._served_r, "left"))
     t = F.col("delivery_type")
     dd_ok = (F.col("_s_id").isNotNull() & F.col("_r_id").isNotNull()
              & (F.col("sender_department") != F.col("receiver_department")))

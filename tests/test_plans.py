@@ -40,7 +40,7 @@ def test_periods_reach_the_scan(spark):
 
 
 def test_daily_partition_is_pruned(spark):
-    df = catalog.queries()["scan_daily_partition"](spark, SF_SMALL)
+    df = catalog.queries()["scan_month_partition"](spark, SF_SMALL)
     p = plan_of(df)
     assert "PartitionFilters: [isnotnull(delivery_month" in p and "delivery_month" in p
     assert "PushedFilters: [IsNotNull(delivery_date), EqualTo(delivery_date" in p
