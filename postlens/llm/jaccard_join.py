@@ -36,7 +36,8 @@ components: first sizes and parity sketches, which no linking pair fails, then
 exactly; a member linked to them joins their component and needs no
 comparison inside it, so a group of n near copies costs about n comparisons, not
 n squared; compared members leave the bucket, and the rounds end when every
-bucket holds one component only. No link between different components is
+bucket holds one component only. Buckets come in three phases, a sixty-fourth of the
+signatures first, so that most find their members linked already. No link between different components is
 left out, so the components are those of all links.
 
 Equal sets are one node from the start (named by a 64-bit digest of the set),
@@ -75,14 +76,19 @@ class Rule:
 RULE = Rule()
 #: Ratio of a band's largest to its smallest size, at least.
 BAND_RATIO = 1.5
-#: Cost of one candidate pair, in signatures written (nearly all end at the sketch).
-PAIR_COST = 2.0
+#: Cost of one candidate pair, in signatures written: nearly all end at the
+#: sketch inside a join, while a signature is made, moved and sorted.
+PAIR_COST = 0.2
 #: Share of the sets, and tokens, of the passage that the cost of candidates assumes.
 SHARED_BY, PASSAGE = 1 / 3, 40
 #: (segments of a group, segments of a choice) that may be chosen; (1, 0) is one-deletion.
 SHAPES = ((1, 1), (3, 2), (4, 3), (4, 2), (5, 3), (6, 3), (1, 0))
 #: Longs of a set's parity sketch.
 SKETCH = 8
+#: Buckets are compared in phases, by signature modulo the last number: similar
+#: sets share many signatures, so a few buckets link nearly all of them, and most
+#: of the others then hold one component and need no comparison.
+PHASES = (0, 1, 8, 64)
 #: Members of a bucket up to which they don't carry their sketches.
 SMALL_BUCKET = 32
 CACHE_ENTRIES = 150_000
@@ -392,29 +398,31 @@ def set_components(docs: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataF
         return members.drop(*_SKETCH), empty
     bucket = stored(_shared(_signatures(plain, Signer(starts, plan, rule))), "shared-signatures")
     sets = nodes.drop("doc_id")
-    company = nodes.join(bucket.select("node").distinct(), "node").select("node", "doc_id")
-    texts = stored(_texts_of(plain, company, rule), "candidate-texts")
-    roots, leaders, links = empty, 1, None
-    while True:
-        at = bucket.join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
-        mixed = at.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n")).where("r0 != r1").select("sig", "n")
-        left = stored(at.join(mixed, "sig"), "open-buckets")
-        # the first members of every open bucket (Spark limits the ranks before the shuffle as well)
-        # of a hot bucket first those of a salt
-        heads = left
-        for key in (["sig", F.pmod("node", F.lit(16))], ["sig"]):
-            rank = F.row_number().over(Window.partitionBy(*key).orderBy("node"))
-            heads = heads.withColumn("rank", rank).where(F.col("rank") <= leaders).drop("rank")
-        heads = stored(heads, "bucket-heads")
-        pairs = stored(_pairs(left, heads, sets, rule).distinct(), "candidate-pairs")
-        found = stored(_verified(_possible(pairs, sets, rule), texts, rule), "links")
-        links = found if links is None else links.unionByName(found)
-        if not found.isEmpty():
-            roots = stored(components(links), "components")
-        bucket = stored(left.select("sig", "node").join(heads.select("sig", "node"), ["sig", "node"], "left_anti"), "open-buckets")
-        if bucket.isEmpty():
-            return members.drop(*_SKETCH), roots
-        leaders = min(16 * leaders, 4096)
+    shared_signatures, roots, links = bucket, empty, None
+    for low, high in pairwise(PHASES):
+        bucket, leaders = shared_signatures.where(F.pmod("sig", F.lit(PHASES[-1])).between(low, high - 1)), 1
+        while not bucket.isEmpty():
+            at = bucket.join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
+            mixed = at.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n")).where("r0 != r1").select("sig", "n")
+            left = stored(at.join(mixed, "sig"), "open-buckets")
+            # the first members of every open bucket (Spark limits the ranks before the shuffle as well),
+            # of a hot bucket first those of a salt
+            heads = left
+            for key in (["sig", F.pmod("node", F.lit(16))], ["sig"]):
+                rank = F.row_number().over(Window.partitionBy(*key).orderBy("node"))
+                heads = heads.withColumn("rank", rank).where(F.col("rank") <= leaders).drop("rank")
+            heads = stored(heads, "bucket-heads")
+            pairs = stored(_possible(_pairs(left, heads, sets, rule).distinct(), sets, rule), "candidate-pairs")
+            if not pairs.isEmpty():  # only the texts that are compared now are fetched
+                wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+                texts = stored(_texts_of(plain, nodes.join(wanted, "node").select("node", "doc_id"), rule), "candidate-texts")
+                found = stored(_verified(pairs, texts, rule), "links")
+                links = found if links is None else links.unionByName(found)
+                if not found.isEmpty():
+                    roots = stored(components(links), "components")
+            bucket = stored(left.select("sig", "node").join(heads.select("sig", "node"), ["sig", "node"], "left_anti"), "open-buckets")
+            leaders = min(16 * leaders, 4096)
+    return members.drop(*_SKETCH), roots
 
 
 def _pairs(left: DataFrame, heads: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
