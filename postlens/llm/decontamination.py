@@ -10,7 +10,10 @@ are the distinct minima of its windows, about one in five positions.
    is left are places of texts that may hold an item's window.
 2. Around each such place the windows are written out and joined with the
    items' windows by their words, so a hit is exact.
-3. Overlapping windows of a text are merged and counted.
+3. Overlapping windows of a text are merged and counted. A window names the
+   set of items that hold it; a text's distinct sets are joined with their
+   items at the end, so a preamble that all items share is one set, not a list
+   that rides on every hit.
 
 Texts are keyed by their digest, so copies are extended once and get the same
 result; the join back from digests to documents may have a hot digest, which
@@ -62,15 +65,30 @@ def _text_of(words: Column, at: Column, window: int) -> Column:
     return F.array_join(F.slice(words, at + 1, F.lit(window)), " ")
 
 
-def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(length, words, items): every distinct window and the sorted ids, as
-    strings, of the items that hold it."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), alnum_words(F.col("text").cast("string")).alias("w"))
+def _item_rows(benchmark: DataFrame, window: int) -> DataFrame:
+    """(item, length, words): the distinct windows of every item."""
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), alnum_words(F.col("text").cast("string")).alias("w"))
     sized = items.where(F.size("w") > 0).withColumn("length", F.least(F.size("w"), F.lit(window)))
     each = F.explode(let(F.col("w"), lambda w: F.transform(
         indices(F.size(w) - F.col("length") + 1), lambda i: F.array_join(F.slice(w, i + 1, F.col("length")), " "))))
-    return (sized.select("item", "length", each.alias("words"))
-            .groupBy("length", "words").agg(F.array_sort(F.collect_set(F.coalesce("item", F.lit("")))).alias("items")))
+    return sized.select("item", "length", each.alias("words")).distinct()
+
+
+def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(length, words, holders): every distinct window, and a name of the set
+    of items that hold it: their number and two 64-bit digests of them. A
+    window that all items share has one row as well."""
+    digest = lambda salt: F.bit_xor(F.xxhash64("item", F.lit(salt)))
+    return (_item_rows(benchmark, window).groupBy("length", "words")
+            .agg(F.count("*").alias("n"), digest(1).alias("x"), digest(2).alias("y"))
+            .select("length", "words", F.concat_ws(":", "n", "x", "y").alias("holders")))
+
+
+def item_sets(benchmark: DataFrame, windows: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(holders, item): the members of each named set once, however many
+    windows it holds in common."""
+    first = windows.groupBy("holders").agg(F.min(F.struct("length", "words")).alias("f")).select("holders", "f.*")
+    return _item_rows(benchmark, window).join(first, ["length", "words"]).select("holders", "item")
 
 
 def _small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
@@ -80,6 +98,7 @@ def _small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
 def text_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """(digest, n_hit, items) of the distinct texts that hold a window."""
     windows = stored(item_windows(benchmark, window), "item-windows")
+    sets = stored(item_sets(benchmark, windows, window), "item-sets")
     sizes = {r.length: r.n for r in windows.groupBy("length").agg(F.count("*").alias("n")).collect()}  # one row a length
     texts = docs.select(F.md5("text").alias("digest"), F.col("text").cast("string").alias("text")).where("text is not null")
     found = None
@@ -100,8 +119,8 @@ def text_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
             return F.transform(F.array_distinct(starts), lambda i: F.struct(i.alias("at"), _text_of(w, i, length).alias("words")))
 
         cut = some.select("digest", F.explode(let(alnum_words(F.col("text")), lambda w: around(w, F.col("places")))).alias("c"))
-        hit = (cut.select("digest", "c.*").join(_small(own.select("words", "items"), n, 64 + 12 * length), "words")
-               .select("digest", F.struct("at", (F.col("at") + length).alias("end")).alias("span"), "items"))
+        hit = (cut.select("digest", "c.*").join(_small(own.select("words", "holders"), n, 96 + 12 * length), "words")
+               .select("digest", F.struct("at", (F.col("at") + length).alias("end")).alias("span"), "holders"))
         found = hit if found is None else found.unionByName(hit)
     if found is None:
         return docs.sparkSession.createDataFrame([], "digest string, n_hit long, items array<string>")
@@ -109,8 +128,11 @@ def text_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     covered = F.aggregate(F.array_sort("spans"), zero, lambda a, s: F.struct(
         F.greatest(a["end"], s["end"]).alias("end"),
         (a["n"] + F.greatest(F.lit(0), s["end"] - F.greatest(a["end"], s["at"]))).alias("n")))
-    per_text = (found.groupBy("digest").agg(F.collect_set("span").alias("spans"), F.collect_set("items").alias("sets"))
-                .select("digest", covered["n"].alias("n_hit"), F.array_sort(F.array_distinct(F.flatten("sets"))).alias("items")))
+    found = stored(found, "window-hits")
+    spans = found.groupBy("digest").agg(F.collect_set("span").alias("spans")).select("digest", covered["n"].alias("n_hit"))  # bounded by a text's length
+    items = (found.select("digest", "holders").distinct().join(_small(sets, sets.count(), 96), "holders")
+             .groupBy("digest").agg(F.array_sort(F.collect_set("item")).alias("items")))  # the items that the result names
+    per_text = spans.join(items, "digest")
     # stored, so that a join to it has a plain exchange on both sides and the copies of one text can be split
     return stored(per_text, "text-hits")
 
@@ -129,7 +151,6 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents that are not contaminated, as they are."""
-    words = F.size(alnum_words(F.col("text").cast("string")))
     hits = text_hits(docs, benchmark, window).select("digest", "n_hit")
-    return (docs.withColumn("__digest", F.md5("text")).join(hits.withColumnRenamed("digest", "__digest").withColumnRenamed("n_hit", "__n_hit"), "__digest", "left")
-            .where(F.col("__n_hit").isNull() | (20 * F.col("__n_hit") < words)).select(*docs.columns))
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.md5("text").alias("digest"), F.size(alnum_words(F.col("text").cast("string"))).alias("n_words"))
+    return whole.join(hits, "digest", "left").where(F.col("n_hit").isNull() | (20 * F.col("n_hit") < F.col("n_words"))).select("row.*")

@@ -77,3 +77,23 @@ def test_shuffled_path_gives_the_same(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     assert want == sorted(brute(docs, items), key=str) and any(r[5] for r in want)
+
+
+def test_preamble_shared_by_all_items(spark):
+    """Hundreds of items that begin alike are one set of holders."""
+    preamble = " ".join(f"p{i}" for i in range(40))
+    items = [(i, f"{preamble} own{i} " + " ".join(f"x{i}y{j}" for j in range(20))) for i in range(300)]
+    docs = [(1, preamble), (2, f"a {preamble} b"), (3, items[7][1]), (4, "nothing here"), (5, " ".join(preamble.split()[:12])), (6, preamble + " " + items[9][1].split(maxsplit=41)[-1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    windows = D.item_windows(bench)
+    assert windows.where("holders like '300:%'").select("holders").distinct().count() == 1
+    assert D.item_sets(bench, windows).count() == 600
+    got = D.scan(spark.createDataFrame(docs, "doc_id long, text string"), bench)
+    assert rows(got) == sorted(brute(docs, items), key=str)
+
+
+def test_clean_keeps_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b c", 5, "d", 7), (2, " ".join("abcdefghijklmnop"), 6, "e", 8)], "doc_id long, text string, n_hit int, digest string, __n_hit int")
+    bench = spark.createDataFrame([(1, " ".join("abcdefghijklmnop"))], "item_id long, text string")
+    kept = D.clean(docs, bench)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(1, "a b c", 5, "d", 7)]
