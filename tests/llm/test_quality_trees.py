@@ -1,3 +1,7 @@
+import math
+import random
+import zlib
+
 import numpy as np
 import pytest
 
@@ -63,3 +67,86 @@ def test_trigram_share_of_very_many_distinct_words():
     want = len({(w[i], w[i + 1], w[i + 2]) for w in [text.split()] for i in range(len(w) - 2)}) / (n + 998)
     got = Q.statistics(text)[at]
     assert want < 1 and abs(got - want) < 1e-12
+
+
+def plain_statistics(text):
+    """Each statistic by its definition, character by character."""
+    text = text or ""
+    raw = text.encode()
+    n = max(1, len(raw))
+    words, word = [], b""
+    for b in raw + b" ":
+        c = bytes([b]).lower()
+        if b >= 128 or c.isalnum():
+            word += c
+        elif word:
+            words.append(word)
+            word = b""
+    lines = raw.splitlines() or [b""]
+    share = lambda test: sum(map(test, raw)) / n
+    of = lambda chars: share(lambda b: b in chars.encode())
+    w = max(1, len(words))
+    trigrams = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    seen = [raw.count(bytes([b])) / n for b in set(raw)]
+    return {
+        "chars": math.log1p(len(text)), "words": math.log1p(len(words)), "lines": math.log1p(len(lines)), "word_length": sum(map(len, words)) / w,
+        "upper": share(lambda b: 65 <= b <= 90), "lower": share(lambda b: 97 <= b <= 122), "digit": share(lambda b: 48 <= b <= 57),
+        "space": of(" \t\n\r\v\f"), "ascii_punct": share(lambda b: 33 <= b < 127 and not bytes([b]).isalnum()), "non_ascii": share(lambda b: b >= 128),
+        "comma": of(","), "stop": of("."), "exclaim": of("!?"), "bar": of("|"), "symbol": of("#$%&*+@^~\\"), "brace": of("{}[]()"), "quote_markup": of("<>=\"'"),
+        "distinct_words": len(set(words)) / w, "top_word": max(map(words.count, set(words)), default=0) / w,
+        "distinct_trigrams": len(set(trigrams)) / len(trigrams) if trigrams else 1.0, "distinct_lines": len(set(lines)) / len(lines),
+        "compressed": len(zlib.compress(raw, 1)) / n, "words_a_line": math.log1p(len(words) / len(lines)),
+        "entropy": -sum(p * math.log2(p) for p in seen),
+    }
+
+
+def test_statistics_against_definitions():
+    rng = random.Random(3)
+    texts = [None, "", "a", "A b. C, d! {x}|y <z='q'>\n\nA b. C", "é" * 9 + " ß\tx\r\ny", "w " * 40]
+    texts += ["".join(rng.choice("ab cdE.,!?|#{}<'9\n é") for _ in range(rng.randrange(300))) for _ in range(150)]
+    for text in texts:
+        got, want = dict(zip(Q.STATISTICS, Q.statistics(text), strict=True)), plain_statistics(text)
+        assert got.keys() == want.keys()
+        assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want), text
+
+
+def plain_boosting(x, y, trees, depth, rate, bins, l2, min_rows):
+    """Newton boosting row by row: nodes as lists, every cut tried in turn."""
+    p = y.mean()
+    cuts = [sorted(set(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1]).tolist())) for j in range(x.shape[1])]
+    base = math.log((p + 1e-6) / (1 - p + 1e-6))
+    raw = [base] * len(y)
+    for _ in range(trees):
+        prob = [1 / (1 + math.exp(-r)) for r in raw]
+        g, h = [a - b for a, b in zip(prob, y)], [a * (1 - a) for a in prob]
+        nodes = [list(range(len(y)))]
+        for _ in range(depth):
+            below = []
+            for rows in nodes:
+                best, at = 1e-9, None
+                ga, ha = sum(g[i] for i in rows), sum(h[i] for i in rows)
+                for j, own in enumerate(cuts):
+                    for c in own:
+                        left = [i for i in rows if x[i, j] <= c]
+                        if len(left) < min_rows or len(rows) - len(left) < min_rows:
+                            continue
+                        gl, hl = sum(g[i] for i in left), sum(h[i] for i in left)
+                        gain = gl ** 2 / (hl + l2) + (ga - gl) ** 2 / (ha - hl + l2) - ga ** 2 / (ha + l2)
+                        if gain > best + 1e-12:
+                            best, at = gain, (j, c)
+                j, c = at or (0, math.inf)
+                below += [[i for i in rows if x[i, j] <= c], [i for i in rows if x[i, j] > c]]
+            nodes = below
+        for rows in nodes:
+            value = -rate * sum(g[i] for i in rows) / (sum(h[i] for i in rows) + l2)
+            for i in rows:
+                raw[i] += value
+    return 1 / (1 + np.exp(-np.array(raw)))
+
+
+def test_fit_against_plain_boosting():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(150, 4))
+    y = (x[:, 0] + 0.5 * x[:, 1] ** 2 + rng.normal(size=150) * 0.3 > 0.4).astype(float)
+    how = {"trees": 6, "depth": 3, "rate": 0.2, "bins": 8, "l2": 1.0, "min_rows": 5}
+    assert np.allclose(Q.fit(x, y, **how).score(x), plain_boosting(x, y, **how), atol=1e-9)
