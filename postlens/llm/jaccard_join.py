@@ -36,7 +36,7 @@ components: first sizes and parity sketches, which no linking pair fails, then
 exactly; a member linked to them joins their component and needs no
 comparison inside it, so a group of n near copies costs about n comparisons, not
 n squared; compared members leave the bucket, and the rounds end when every
-bucket holds one component only. Buckets come in three phases, a sixty-fourth of the
+bucket holds one component only. Buckets come in two phases, a thirty-second of the
 signatures first, so that most find their members linked already. No link between different components is
 left out, so the components are those of all links.
 
@@ -62,6 +62,7 @@ from pyspark.sql import functions as F
 
 from postlens.llm.common import IdFilter, pieces, space_words, stored
 from postlens.llm.components import components
+from postlens.sources.tables import broadcast_threshold
 
 
 
@@ -88,7 +89,10 @@ SKETCH = 8
 #: Buckets are compared in phases, by signature modulo the last number: similar
 #: sets share many signatures, so a few buckets link nearly all of them, and most
 #: of the others then hold one component and need no comparison.
-PHASES = (0, 1, 8, 64)
+PHASES = (0, 2, 64)
+#: First members of a bucket that are compared: in the first round, the factor
+#: from round to round, and at most.
+FIRST, MORE, MOST = 1, 64, 4096
 #: Members of a bucket up to which they don't carry their sketches.
 SMALL_BUCKET = 32
 CACHE_ENTRIES = 150_000
@@ -344,10 +348,11 @@ def _texts_of(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
                 keep = pa.array([o is not None and w in (None, o) for o, w in zip(own, wanted, strict=True)], pa.bool_())
                 yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), part.column(1)], names=["node", "text"]).filter(keep)
 
-    own = nodes.where("doc_id is not null")
-    # only texts that may be wanted are shuffled
-    some = IdFilter(own, "doc_id").rows(docs.where("doc_id is not null"), "doc_id")
-    named = some.join(own, "doc_id").select("node", "text")
+    own, known = nodes.where("doc_id is not null"), docs.where("doc_id is not null")
+    if own.count() * 64 <= broadcast_threshold(docs.sparkSession):
+        named = known.join(F.broadcast(own), "doc_id").select("node", "text")
+    else:  # only texts that may be wanted are shuffled
+        named = IdFilter(own, "doc_id").rows(known, "doc_id").join(own.hint("merge"), "doc_id").select("node", "text")
     others = docs.where("doc_id is null").select(F.lit(None).cast("long").alias("node"), "text")
     found = named.mapInArrow(rows, "node long, text string")
     rest = others.mapInArrow(rows, "node long, text string").join(nodes.where("doc_id is null").select("node"), "node")
@@ -400,7 +405,7 @@ def set_components(docs: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataF
     sets = nodes.drop("doc_id")
     shared_signatures, roots, links = bucket, empty, None
     for low, high in pairwise(PHASES):
-        bucket, leaders = shared_signatures.where(F.pmod("sig", F.lit(PHASES[-1])).between(low, high - 1)), 1
+        bucket, leaders = shared_signatures.where(F.pmod("sig", F.lit(PHASES[-1])).between(low, high - 1)), FIRST
         while not bucket.isEmpty():
             at = bucket.join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
             mixed = at.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n")).where("r0 != r1").select("sig", "n")
@@ -421,7 +426,7 @@ def set_components(docs: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataF
                 if not found.isEmpty():
                     roots = stored(components(links), "components")
             bucket = stored(left.select("sig", "node").join(heads.select("sig", "node"), ["sig", "node"], "left_anti"), "open-buckets")
-            leaders = min(16 * leaders, 4096)
+            leaders = min(MORE * leaders, MOST)
     return members.drop(*_SKETCH), roots
 
 
