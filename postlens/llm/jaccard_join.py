@@ -305,6 +305,7 @@ def _signatures(docs: DataFrame, signer: Signer) -> DataFrame:
                     node.append(np.full(len(sig[-1]), own, np.int64))
                 if sig:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (sig, node)], names=["sig", "node"])
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(rows, "sig long, node long")
 
@@ -360,29 +361,32 @@ def _texts_of(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
-    """The (a, b) whose sets link, by exact counts of their shingles."""
+    """The (a, b) whose sets link, by exact counts of their shingles. Each row
+    that is moved holds one text: a's comes first, then that of each b; the
+    partners of an a that has very many are dealt over salts."""
     def rows(batches):
-        shingle, held = Shingler(rule.shingle), {}
-
-        def tokens(node, text):
-            if node not in held:
-                if len(held) > 64:
-                    held.clear()
-                held[node] = shingle(text)
-            return held[node]
-
+        shingle, own, x = Shingler(rule.shingle), None, None
         for whole in batches:
-            for part in pieces(whole, "text_b"):
-                keep = []
-                for a, b, ta, tb in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
-                    x, y = tokens(a, ta), tokens(b, tb)
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * both >= rule.percent * (len(x) + len(y) - both))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    first = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    second = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b").mapInArrow(rows, "a long, b long")
+            for part in pieces(whole):
+                left, right, keep = [], [], []
+                for a, salt, b, text in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
+                    tokens = shingle(text)
+                    if b is None:
+                        own, x = (a, salt), tokens
+                        continue
+                    assert own == (a, salt), "a's text comes first"
+                    both = len(np.intersect1d(x, tokens, assume_unique=True))
+                    left.append(a)
+                    right.append(b)
+                    keep.append(100 * both >= rule.percent * (len(x) + len(tokens) - both))
+                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            pa.default_memory_pool().release_unused()
+
+    dealt = pairs.select("a", F.pmod("b", F.lit(16)).alias("salt"), "b")
+    first = dealt.select("a", "salt").distinct().join(texts.withColumnRenamed("node", "a"), "a").select("a", "salt", F.lit(None).cast("long").alias("b"), "text")
+    second = dealt.join(texts.withColumnRenamed("node", "b"), "b").select("a", "salt", "b", "text")
+    ordered = first.unionByName(second).repartition("a", "salt").sortWithinPartitions("a", "salt", F.asc_nulls_first("b"))
+    return ordered.mapInArrow(rows, "a long, b long")
 
 
 def set_components(docs: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataFrame]:
