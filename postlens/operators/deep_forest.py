@@ -24,6 +24,7 @@ values go left; of equally good cuts the first feature's smallest counts.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -47,28 +48,64 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Entries of a table of Poisson(mean), mean <= 64: its further terms are below 1e-16.
+_TERMS = 64 + 12 * 8 + 64
+
+
 def poisson(u: np.ndarray, mean: np.ndarray) -> np.ndarray:
     """Inverse distribution function of Poisson(mean) at u, a normal
-    approximation above a mean of 64."""
+    approximation above a mean of 64. Each different mean has its sums once;
+    u is looked up in them."""
     out = np.zeros(len(u))
-    small = mean <= 64
-    if small.any():
-        m, want = mean[small], u[small]
-        p = np.exp(-m)
-        total, k, n = p.copy(), 0, np.zeros(small.sum())
-        while (more := (total <= want) & (k < 64 + 12 * 8 + 64)).any():
-            k += 1
-            p = p * m / k
-            total = total + p
-            n[more] = k
-        out[small] = n
-    if (~small).any():
-        from statistics import NormalDist
-        z = np.array([NormalDist().inv_cdf(min(max(x, 1e-15), 1 - 1e-15)) for x in u[~small]])
-        out[~small] = np.maximum(0, np.rint(mean[~small] + np.sqrt(mean[~small]) * z))
+    small = np.flatnonzero(mean <= 64)
+    small = small[np.argsort(mean[small], kind="stable")]
+    for same in np.split(small, np.flatnonzero(np.diff(mean[small])) + 1):
+        if len(same):
+            out[same] = np.searchsorted(_sums(float(mean[same[0]])), u[same], side="right")
+    large = mean > 64
+    if large.any():
+        m = mean[large]
+        out[large] = np.maximum(0, np.rint(m + np.sqrt(m) * _normal(np.clip(u[large], 1e-15, 1 - 1e-15))))
     return out
 
 
+@lru_cache(maxsize=1024)
+def _sums(mean: float) -> np.ndarray:
+    """P(X <= 0), P(X <= 1), ... of Poisson(mean)."""
+    p = np.exp(-np.float64(mean))
+    out = [p]
+    for k in range(1, _TERMS):
+        p = p * mean / k
+        out.append(out[-1] + p)
+    return np.array(out)
+
+
+def _normal(u: np.ndarray) -> np.ndarray:
+    """Inverse distribution function of the standard normal (Wichura's AS241,
+    which ``statistics.NormalDist`` has for one number)."""
+    q = u - 0.5
+    mid = np.abs(q) <= 0.425
+    r = 0.180625 - q * q
+    middle = q * np.polyval(_MID[0], r) / np.polyval(_MID[1], r)
+    r = np.sqrt(-np.log(np.where(q <= 0, u, 1.0 - u)))
+    near, far = (np.polyval(a, r - s) / np.polyval(b, r - s) for (a, b), s in ((_NEAR, 1.6), (_FAR, 5.0)))
+    return np.where(mid, middle, np.copysign(np.where(r <= 5.0, near, far), q))
+
+
+_MID = ([2.5090809287301226727e+3, 3.3430575583588128105e+4, 6.7265770927008700853e+4, 4.5921953931549871457e+4,
+         1.3731693765509461125e+4, 1.9715909503065514427e+3, 1.3314166789178437745e+2, 3.3871328727963666080e+0],
+        [5.2264952788528545610e+3, 2.8729085735721942674e+4, 3.9307895800092710610e+4, 2.1213794301586595867e+4,
+         5.3941960214247511077e+3, 6.8718700749205790830e+2, 4.2313330701600911252e+1, 1.0])
+_NEAR = ([7.74545014278341407640e-4, 2.27238449892691845833e-2, 2.41780725177450611770e-1, 1.27045825245236838258e+0,
+          3.64784832476320460504e+0, 5.76949722146069140550e+0, 4.63033784615654529590e+0, 1.42343711074968357734e+0],
+         [1.05075007164441684324e-9, 5.47593808499534494600e-4, 1.51986665636164571966e-2, 1.48103976427480074590e-1,
+          6.89767334985100004550e-1, 1.67638483018380384940e+0, 2.05319162663775882187e+0, 1.0])
+_FAR = ([2.01033439929228813265e-7, 2.71155556874348757815e-5, 1.24266094738807843860e-3, 2.65321895265761230930e-2,
+         2.96560571828504891230e-1, 1.78482653991729133580e+0, 5.46378491116411436990e+0, 6.65790464350110377720e+0],
+        [2.04426310338993978564e-15, 1.42151175831644588870e-7, 1.84631831751005468180e-5, 7.86869131145613259100e-4,
+         1.48753612908506148525e-2, 1.36929880922735805310e-1, 5.99832206555887937690e-1, 1.0])
+
+
 @dataclass
 class DeepForest:
     columns: list[str]

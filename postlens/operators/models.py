@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from postlens.functions.semantics import np_round, safe_div
 from postlens.operators import deep_forest, isolation, linear, retrieval
 from postlens.operators.quantiles import exact_quantiles
-from postlens.session import scratch_dir
+from postlens.session import kept, scratch_dir
 from postlens.sources.tables import broadcast_if_rows_at_most
 
 SEED = 42
@@ -79,11 +79,20 @@ DELIVERY_FEATURES = ["city_encoded", "parcel_type_encoded", "hour"]
 
 
 def delivery_frame(deliveries: DataFrame) -> DataFrame:
+    """Model columns of the deliveries; a frame of them stays as it is."""
+    if "is_test" in deliveries.columns:
+        return deliveries
     return deliveries.select("delivery_id", "city", "parcel_type", F.hour("receive_datetime").alias("hour"),
                              F.col("delivery_duration_minutes").cast("double").alias("label"),
                              holdout_flag("delivery_id", "parcel_id", "receive_datetime").alias("is_test"))
 
 
+def kept_delivery_frame(deliveries: DataFrame) -> DataFrame:
+    """``delivery_frame``, computed once: fit, scores and predictions pass
+    over it about ten times, each of which would join and digest every row."""
+    return deliveries if "is_test" in deliveries.columns else kept(delivery_frame(deliveries), "delivery-frame")
+
+
 @dataclass
 class DeliveryModel:
     """Label encoders and the forest on their codes."""
@@ -116,9 +125,9 @@ def score_delivery_time(model: DeliveryModel, deliveries: DataFrame, every_row:
 
 
 def fit_delivery_time(deliveries: DataFrame, every_row: bool = False) -> tuple[DeliveryModel, DataFrame]:
-    frame = delivery_frame(deliveries)
+    frame = kept_delivery_frame(deliveries)
     model = delivery_time_model(frame.where(~F.col("is_test")))
-    return model, score_delivery_time(model, deliveries, every_row)
+    return model, score_delivery_time(model, frame, every_row)
 
 
 def accuracy_within_minutes(scored: DataFrame, bounds=(10, 15, 20, 30)) -> DataFrame:

@@ -356,7 +356,7 @@ def q_capacity_plan(spark, sf):
 def q_save_model(spark, sf):
     """Save the delivery-time package (encoders, forest, features, scores) as
     a new version, load the current one and score the holdout with it."""
-    deliveries = load(spark, sf, "deliveries")
+    deliveries = ML.kept_delivery_frame(load(spark, sf, "deliveries"))
     store = ModelStore(spark, scratch_dir(spark, "models"))
     store.save("delivery_time_model", scoring.scorers(P.RUN_DS)["delivery_time"].fit(deliveries))
     package = store.load("delivery_time_model")
