@@ -146,6 +146,9 @@ SATISFACTION_FEATURES = ["city_encoded", "delivery_type_encoded", "delivery_dela
 
 
 def satisfaction_frame(feedback: DataFrame) -> DataFrame:
+    """Model columns of the feedback; a frame of them stays as it is."""
+    if "is_test" in feedback.columns:
+        return feedback
     return feedback.select("feedback_id", "city", "delivery_type",
                            (F.col("delivery_time_actual") - F.col("delivery_time_promised")).cast("double").alias("delivery_delay"),
                            F.col("delivery_time_actual").cast("double").alias("delivery_time_actual"),
@@ -159,10 +162,10 @@ def fit_satisfaction(feedback: DataFrame, every_row: bool = False) -> tuple[Pipe
     intercept has none. Features are set against their training means, which
     changes the intercept only. The model is a pipeline of the two encoders
     and one SQL expression of the weights, so it is saved like any other."""
-    f = satisfaction_frame(feedback)
+    f = kept(satisfaction_frame(feedback), "satisfaction-frame")  # a pass for each encoder and Newton step
     train = f.where(~F.col("is_test"))
     encoders = Pipeline(stages=[label_encoder("city"), label_encoder("delivery_type")]).fit(train)
-    coded = encoders.transform(train)
+    coded = kept(encoders.transform(train).select(*SATISFACTION_FEATURES, "label"), "satisfaction-codes")
     means = coded.agg(*[F.avg(c) for c in SATISFACTION_FEATURES]).first()
     means = [float(m) if m is not None else 0.0 for m in means]
     xs = [F.lit(1.0), *[F.col(c) - m for c, m in zip(SATISFACTION_FEATURES, means)]]
@@ -171,7 +174,7 @@ def fit_satisfaction(feedback: DataFrame, every_row: bool = False) -> tuple[Pipe
     score = SQLTransformer(statement=f"SELECT *, 1.0D / (1.0D + exp(-({terms}))) AS p_satisfied FROM __THIS__")
     chosen = SQLTransformer(statement="SELECT *, CASE WHEN p_satisfied > 0.5D THEN 1.0D ELSE 0.0D END AS prediction FROM __THIS__")
     model = PipelineModel(stages=[*encoders.stages, score, chosen])
-    return model, score_satisfaction(model, feedback, every_row)
+    return model, score_satisfaction(model, f, every_row)
 
 
 def score_satisfaction(model: PipelineModel, feedback: DataFrame, every_row: bool = False) -> DataFrame:

@@ -65,3 +65,14 @@ def test_poisson_draws_do_not_walk_the_terms_one_by_one(monkeypatch):
     from statistics import NormalDist
     z = np.array([NormalDist().inv_cdf(x) for x in u[mean == 65.0]])
     assert (got[mean == 65.0] == np.maximum(0, np.rint(65.0 + np.sqrt(65.0) * z))).all()
+
+
+def test_satisfaction_model_computes_its_rows_once(spark):
+    feedback = spark.range(300).select(
+        F.concat(F.lit("FB_"), "id").alias("feedback_id"), F.concat(F.lit("city"), F.col("id") % 3).alias("city"),
+        F.concat(F.lit("kind"), F.col("id") % 2).alias("delivery_type"), (F.col("id") % 90).cast("int").alias("delivery_time_actual"),
+        F.lit(60).alias("delivery_time_promised"), (F.col("id") % 11).cast("int").alias("satisfaction_score"))
+    rows, seen = _counted(feedback)
+    _, held_out = ML.fit_satisfaction(rows)
+    assert ML.classification_scores(held_out, "label").first()["n"] > 0
+    assert seen.value == 300
