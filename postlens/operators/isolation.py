@@ -61,16 +61,24 @@ class Forest:
     fill: np.ndarray
 
     def path_lengths(self, x: np.ndarray) -> np.ndarray:
-        """Mean path length of each row of a matrix."""
-        total, rows = np.zeros(len(x)), np.arange(len(x))
-        holes = np.isnan(x)
-        for t in range(len(self.feature)):
-            own = np.where(holes, self.fill[t], x) if holes.any() else x
-            node, feature, cut = np.ones(len(x), np.int64), self.feature[t], self.cut[t]
+        """Mean path length of each row of a matrix. All steps write into the
+        same few arrays, and every look-up is one into a flat array."""
+        n, wide = x.shape
+        total, at, node = np.zeros(n), np.empty(n, np.intp), np.empty(n, np.intp)
+        value, cut, right = np.empty(n), np.empty(n), np.empty(n, bool)
+        first, holes = np.arange(n) * wide, np.isnan(x)
+        some, flat, features = holes.any(), np.ascontiguousarray(x).ravel(), self.feature.astype(np.intp)
+        for t in range(len(features)):
+            own = np.where(holes, self.fill[t], x).ravel() if some else flat
+            node.fill(1)
             for _ in range(self.limit):
-                node = 2 * node + (own[rows, feature[node]] >= cut[node])
-            total += self.length[t][node]
-        return total / len(self.feature)
+                np.take(features[t], node, out=at, mode="clip")
+                np.take(own, np.add(at, first, out=at), out=value, mode="clip")
+                np.greater_equal(value, np.take(self.cut[t], node, out=cut, mode="clip"), out=right)
+                np.add(node, node, out=node)
+                np.add(node, right, out=node)
+            total += np.take(self.length[t], node, out=cut, mode="clip")
+        return total / len(features)
 
 
 def as_table(spark: SparkSession, forest: Forest) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from postlens.functions.semantics import np_round, safe_div
 from postlens.operators import deep_forest, isolation, linear, retrieval
 from postlens.operators.quantiles import exact_quantiles
-from postlens.session import kept, scratch_dir
+from postlens.session import kept
 from postlens.sources.tables import broadcast_if_rows_at_most
 
 SEED = 42
@@ -577,14 +577,14 @@ def _anomaly(cuts: dict[str, float]) -> Column:
     return (against("isolation_score") + against("reconstruction_error")) / 2.0
 
 
-def fraud_model(spark: SparkSession, shipments: DataFrame, variance: float = 0.9, contamination: float = 0.05,
-                trees: int = isolation.TREES, psi: int = isolation.PSI) -> FraudModel:
+def fit_fraud(spark: SparkSession, shipments: DataFrame, variance: float = 0.9, contamination: float = 0.05,
+              trees: int = isolation.TREES, psi: int = isolation.PSI) -> tuple[FraudModel, DataFrame]:
+    """The model and ``fraud_views`` of the shipments it was fitted on. The
+    shipments are computed once for all passes, and so are their scores."""
+    shipments = kept(shipments, "fraud-shipments")
     axes, k = principal_axes(shipments, variance)
     model = FraudModel(axes, k, isolation.grow(shipments, "shipment_id", SHIPMENT_FEATURES, trees, psi), {})
-    path = scratch_dir(spark, "fraud-scores")  # read by the passes for the quantiles
-    views = fraud_views(model, shipments)
-    views.write.parquet(path)
-    views = spark.read.schema(views.schema).parquet(path)
+    views = kept(fraud_views(model, shipments), "fraud-scores")
 
     def cut(df: DataFrame, column: str) -> float:
         found = exact_quantiles(df, column, [1.0 - contamination]).first()
@@ -592,7 +592,12 @@ def fraud_model(spark: SparkSession, shipments: DataFrame, variance: float = 0.9
 
     model.cuts = {c: cut(views, c) for c in ("isolation_score", "reconstruction_error")}
     model.cuts["anomaly_score"] = cut(views.withColumn("anomaly_score", _anomaly(model.cuts)), "anomaly_score")
-    return model
+    return model, views
+
+
+def fraud_model(spark: SparkSession, shipments: DataFrame, variance: float = 0.9, contamination: float = 0.05,
+                trees: int = isolation.TREES, psi: int = isolation.PSI) -> FraudModel:
+    return fit_fraud(spark, shipments, variance, contamination, trees, psi)[0]
 
 
 def score_fraud(model: FraudModel, shipments: DataFrame) -> DataFrame:
@@ -600,7 +605,11 @@ def score_fraud(model: FraudModel, shipments: DataFrame) -> DataFrame:
     reconstruction error, and their mean. Each is first set against its own
     quantile, ``x / (x + quantile)``, which is one half there. Rows above the
     exact quantile of the mean are flagged."""
-    both = fraud_views(model, shipments).withColumn("anomaly_score", _anomaly(model.cuts))
+    return _flagged(model, fraud_views(model, shipments))
+
+
+def _flagged(model: FraudModel, views: DataFrame) -> DataFrame:
+    both = views.withColumn("anomaly_score", _anomaly(model.cuts))
     return both.withColumn("is_flagged", F.col("anomaly_score") > model.cuts["anomaly_score"])
 
 
@@ -608,7 +617,7 @@ def fraud_score(spark: SparkSession, shipments: DataFrame, variance: float = 0.9
                 trees: int = isolation.TREES, psi: int = isolation.PSI) -> DataFrame:
     """``score_fraud`` with a model fitted on the shipments; the
     ``contamination`` share is flagged."""
-    return score_fraud(fraud_model(spark, shipments, variance, contamination, trees, psi), shipments)
+    return _flagged(*fit_fraud(spark, shipments, variance, contamination, trees, psi))
 
 
 def metric_outliers(daily: DataFrame, flag_share: float = 0.05) -> DataFrame:

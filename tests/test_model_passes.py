@@ -76,3 +76,14 @@ def test_satisfaction_model_computes_its_rows_once(spark):
     _, held_out = ML.fit_satisfaction(rows)
     assert ML.classification_scores(held_out, "label").first()["n"] > 0
     assert seen.value == 300
+
+
+def test_fraud_scores_compute_their_rows_once(spark):
+    shipments = spark.range(500).select(
+        F.concat(F.lit("PCL_"), "id").alias("shipment_id"), *[(F.xxhash64(F.lit(i), "id") % 100).cast("double").alias(c) for i, c in enumerate(ML.SHIPMENT_FEATURES)])
+    rows, seen = _counted(shipments)
+    scored = ML.fraud_score(spark, rows, trees=10, psi=32)
+    assert scored.count() == 500 and 0 < scored.where("is_flagged").count() <= 25
+    assert seen.value == 500
+    model = ML.fraud_model(spark, shipments, trees=10, psi=32)
+    assert sorted(ML.score_fraud(model, shipments).collect()) == sorted(scored.collect())
