@@ -259,7 +259,8 @@ def top_items(user_factors: DataFrame, item_factors: DataFrame, owned: DataFrame
 
 
 def with_split(interactions: DataFrame) -> DataFrame:
-    return interactions.withColumn("is_test", holdout_flag("user_id", "product_id"))
+    """Interactions and their holdout flag; a split frame stays as it is."""
+    return interactions if "is_test" in interactions.columns else interactions.withColumn("is_test", holdout_flag("user_id", "product_id"))
 
 
 def recommendation_factors(interactions: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -283,8 +284,9 @@ def recommend(users: DataFrame, items: DataFrame, interactions: DataFrame, k: in
 
 
 def fit_recommendations(interactions: DataFrame, product_types: DataFrame, k: int = 10):
-    users, items = recommendation_factors(interactions)
-    return with_split(interactions), recommend(users, items, interactions, k)
+    split = kept(with_split(interactions), "interactions-split")  # for the factors, the owned items and the scores
+    users, items = recommendation_factors(split)
+    return split, recommend(users, items, split, k)
 
 
 def recommendation_rows(recs: DataFrame) -> DataFrame:
@@ -308,7 +310,7 @@ def ranking_scores(interactions_split: DataFrame, recs: DataFrame, product_types
     import math
     truth = interactions_split.where("is_test").select("user_id", "product_id").distinct()
     n_truth = truth.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_truth"))
-    rows = recommendation_rows(recs)
+    rows = kept(recommendation_rows(recs), "recommendation-rows")  # for the hits, the coverage and the diversity
     hits = (rows.where(F.col("rank") <= k).join(truth.withColumn("hit", F.lit(1)), ["user_id", "product_id"], "left")
             .withColumn("hit", F.coalesce("hit", F.lit(0))))
     upto = Window.partitionBy("user_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)

@@ -87,3 +87,13 @@ def test_fraud_scores_compute_their_rows_once(spark):
     assert seen.value == 500
     model = ML.fraud_model(spark, shipments, trees=10, psi=32)
     assert sorted(ML.score_fraud(model, shipments).collect()) == sorted(scored.collect())
+
+
+def test_ranking_scores_compute_the_interactions_once(spark):
+    interactions = spark.range(400).select((F.col("id") % 20).cast("int").alias("user_id"), (F.col("id") % 20 * 3 + F.floor(F.col("id") / 20)).cast("int").alias("product_id"), F.lit(1).cast("long").alias("purchases"))
+    types = spark.range(100).select(F.col("id").cast("int").alias("product_id"), F.concat(F.lit("t"), F.col("id") % 4).alias("product_type"))
+    rows, seen = _counted(interactions)
+    split, recs = ML.fit_recommendations(rows, types)
+    got = ML.ranking_scores(split, recs, types).first()
+    assert 0 < got["coverage"] <= 1 and 0 <= got["map_at_10"] <= 1
+    assert seen.value == 400
