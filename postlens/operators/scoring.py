@@ -17,7 +17,7 @@ from postlens.operators import isolation
 from postlens.operators import models as ML
 from postlens.operators.common import union_all
 from postlens.operators.model_store import ModelStore, Package, digest
-from postlens.session import scratch_dir
+from postlens.session import kept
 
 HORIZONS = (1, 7, 30)
 
@@ -129,17 +129,17 @@ def score_all(spark: SparkSession, inputs: dict[str, DataFrame], store: ModelSto
     being satisfied, a flagged shipment is high; models of amounts have no
     risk and the band ``none``."""
     marks: dict[str, str] = {}
+    sources: dict[str, DataFrame] = {}
     out = []
     for name, scorer in scorers(ds).items():
-        rows = inputs[scorer.source]
-        if scorer.source not in marks:
-            marks[scorer.source] = digest(rows)
+        if scorer.source not in marks:  # joined and summed up once, for digest, fits and scores
+            sources[scorer.source] = kept(inputs[scorer.source], f"scored-{scorer.source.replace('_', '-')}")
+            marks[scorer.source] = digest(sources[scorer.source])
+        rows = sources[scorer.source]
         package = store.load_or_fit(name, marks[scorer.source], lambda s=scorer, r=rows: s.fit(r))
         out.append(scorer.score(package, rows))
     scored = union_all(*out)
-    path = scratch_dir(spark, "model_scores")  # read twice
-    scored.write.parquet(path)
-    scored = spark.read.schema(scored.schema).parquet(path)
+    scored = kept(scored, "model_scores")  # read twice
     # at most a row for each of the nine models and four bands
     counts = scored.groupBy("model_type", "band").agg(F.count(F.lit(1)).alias("band_rows"))
     return scored.join(F.broadcast(counts), ["model_type", "band"]).select(*scored.columns, "band_rows")

@@ -97,3 +97,21 @@ def test_ranking_scores_compute_the_interactions_once(spark):
     got = ML.ranking_scores(split, recs, types).first()
     assert 0 < got["coverage"] <= 1 and 0 <= got["map_at_10"] <= 1
     assert seen.value == 400
+
+
+def test_all_models_share_one_computed_source(spark, monkeypatch, tmp_path):
+    from postlens.operators import scoring
+    from postlens.operators.model_store import ModelStore, Package
+
+    def fit(rows):
+        return Package({"table": rows.agg(F.avg("x").alias("x"))})
+
+    def score(package, rows):
+        scored = rows.crossJoin(package.parts["table"].withColumnRenamed("x", "mean"))
+        return scoring.facts(scored, "2024-01-01", "m", F.col("id"), "mean", F.col("x"), None, "none")
+
+    monkeypatch.setattr(scoring, "scorers", lambda ds: {n: scoring.Scorer("source", fit, score) for n in ("one", "two", "three")})
+    rows, seen = _counted(spark.range(90).select("id", (F.col("id") % 7).cast("double").alias("x")))
+    got = scoring.score_all(spark, {"source": rows}, ModelStore(spark, f"{tmp_path}/models"), "2024-01-01")
+    assert got.count() == 270 and got.where("band_rows <> 270").count() == 0
+    assert seen.value == 90
