@@ -32,8 +32,9 @@ choices that hold tokens of the passage only; from the number of sets per band.
 Verification. Signatures are shuffled once; the sorted stream drops those of a
 single set. Sets with a common signature form a bucket. Round by round, the
 first members of each bucket are compared with the bucket's members of other
-components: first sizes and parity sketches, which no linking pair fails, then
-exactly; a member linked to them joins their component and needs no
+components: first sizes and parity sketches, which no linking pair fails (large
+sets have a second sketch that grows with them, as the short one tells them
+apart no more), then exactly; a member linked to them joins their component and needs no
 comparison inside it, so a group of n near copies costs about n comparisons, not
 n squared; compared members leave the bucket, and the rounds end when every
 bucket holds one component only. Buckets come in two phases, a thirty-second of the
@@ -84,7 +85,8 @@ PAIR_COST = 0.2
 SHARED_BY, PASSAGE = 1 / 3, 40
 #: (segments of a group, segments of a choice) that may be chosen; (1, 0) is one-deletion.
 SHAPES = ((1, 1), (3, 2), (4, 3), (4, 2), (5, 3), (6, 3), (1, 0))
-#: Longs of a set's parity sketch.
+#: Longs of a set's parity sketch; sets beyond ``wide_from`` have a second one
+#: of one bit a token at least.
 SKETCH = 8
 #: Buckets are compared in phases, by signature modulo the last number: similar
 #: sets share many signatures, so a few buckets link nearly all of them, and most
@@ -93,8 +95,8 @@ PHASES = (0, 2, 64)
 #: First members of a bucket that are compared: in the first round, the factor
 #: from round to round, and at most.
 FIRST, MORE, MOST = 1, 64, 4096
-#: Members of a bucket up to which they don't carry their sketches.
-SMALL_BUCKET = 32
+#: Members of a bucket up to which they don't carry their sketches: it is one pair.
+SMALL_BUCKET = 2
 CACHE_ENTRIES = 150_000
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -206,13 +208,25 @@ def allocate(sets: int, last: int, percent: int = RULE.percent, first: int | Non
     return best[1]
 
 
-def parity(tokens: np.ndarray) -> np.ndarray:
-    """``SKETCH`` x 64 parity bits of a set. Two sets' sketches differ in at
+def parity(tokens: np.ndarray, longs: int = SKETCH) -> np.ndarray:
+    """``longs`` x 64 parity bits of a set. Two sets' sketches differ in at
     most as many bits as the sets do in tokens."""
-    bits = np.bincount((mix(tokens ^ _C) % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    bits = np.bincount((mix(tokens ^ _C) % np.uint64(64 * longs)).astype(np.int64), minlength=64 * longs) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def wide_from(percent: int) -> int:
+    """Half the size from which any two sketches of ``SKETCH`` longs pass: they
+    differ in half of their bits at most, on average."""
+    return 64 * SKETCH * (100 + percent) // (8 * (100 - percent)) if percent < 100 else 0
+
+
+def wide_parity(tokens: np.ndarray, percent: int) -> np.ndarray | None:
+    """The second sketch of a large set: the least power of two of bits that is
+    no less than its size; that of twice the length folds to it by exclusive or."""
+    return parity(tokens, 1 << (-(-len(tokens) // 64) - 1).bit_length()) if len(tokens) > wide_from(percent) else None
+
+
 class Signer:
     """Signatures of a set under the bands' plans."""
 
@@ -271,6 +285,13 @@ def _may_link(percent: int) -> Column:
             & ((100 + percent) * differ <= (100 - percent) * (F.col("size") + F.col("size_a"))))
 
 
+def _wide_differ(x: Column, y: Column) -> Column:
+    """Differing bits of two wide sketches, the longer one folded."""
+    n = F.least(F.size(x), F.size(y))
+    folded = lambda c, i: F.aggregate(F.sequence(i, F.size(c) - 1, n), F.lit(0).cast("long"), lambda acc, j: acc.bitwiseXOR(F.get(c, j)))
+    return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), lambda acc, i: acc + F.bit_count(folded(x, i).bitwiseXOR(folded(y, i))))
+
+
 def _memberships(docs: DataFrame, rule: Rule) -> DataFrame:
     def rows(batches):
         shingle = Shingler(rule.shingle)
@@ -279,11 +300,12 @@ def _memberships(docs: DataFrame, rule: Rule) -> DataFrame:
                 sets = [shingle(t) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) for s in sets], pa.int64()),
-                     *(pa.array(x) for x in np.array([parity(s) for s in sets], np.int64).reshape(-1, SKETCH).T)],
-                    names=["doc_id", "mark", "n_shingles", "node", *_SKETCH])
+                     *(pa.array(x) for x in np.array([parity(s) for s in sets], np.int64).reshape(-1, SKETCH).T),
+                     pa.array([wide_parity(s, rule.percent) for s in sets], pa.list_(pa.int64()))],
+                    names=["doc_id", "mark", "n_shingles", "node", *_SKETCH, "wide"])
             pa.default_memory_pool().release_unused()
 
-    return docs.withColumn("mark", F.md5("text")).mapInArrow(rows, "doc_id long, mark string, n_shingles long, node long, " + ", ".join(f"{c} long" for c in _SKETCH))
+    return docs.withColumn("mark", F.md5("text")).mapInArrow(rows, "doc_id long, mark string, n_shingles long, node long, " + ", ".join(f"{c} long" for c in _SKETCH) + ", wide array<long>")
 
 
 def _signatures(docs: DataFrame, signer: Signer) -> DataFrame:
@@ -394,8 +416,9 @@ def set_components(docs: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataF
     """(documents with n_shingles and node, (node, root) of linked nodes)."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     members = stored(_memberships(plain, rule), "shingle-sets")
-    nodes = members.where("node is not null").groupBy("node").agg(
-        F.max("n_shingles").alias("size"), F.min("doc_id").alias("doc_id"), *(F.max(c).alias(c) for c in _SKETCH))
+    # stored, as every round joins it
+    nodes = stored(members.where("node is not null").groupBy("node").agg(
+        F.max("n_shingles").alias("size"), F.min("doc_id").alias("doc_id"), *(F.max(c).alias(c) for c in _SKETCH), F.max("wide").alias("wide")), "set-nodes")
     largest = nodes.agg(F.max("size")).first()[0] or 0
     starts = band_starts(largest, rule.percent)
     bounds = F.array(*[F.lit(s) for s in starts])
@@ -405,7 +428,7 @@ def set_components(docs: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataF
             for b, (start, stop) in enumerate(pairwise(starts)) if b in counts}
     empty = docs.sparkSession.createDataFrame([], "node long, root long")
     if not plan:
-        return members.drop(*_SKETCH), empty
+        return members.drop(*_SKETCH, "wide"), empty
     bucket = stored(_shared(_signatures(plain, Signer(starts, plan, rule))), "shared-signatures")
     sets = nodes.drop("doc_id")
     shared_signatures, roots, links = bucket, empty, None
@@ -432,25 +455,28 @@ def set_components(docs: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataF
                     roots = stored(components(links), "components")
             bucket = stored(left.select("sig", "node").join(heads.select("sig", "node"), ["sig", "node"], "left_anti"), "open-buckets")
             leaders = min(MORE * leaders, MOST)
-    return members.drop(*_SKETCH), roots
+    return members.drop(*_SKETCH, "wide"), roots
 
 
 def _pairs(left: DataFrame, heads: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """(a, b): head and member of a bucket, of different components. Members of
-    large buckets carry their size and sketch, so that pairs which can't link
-    end before they are moved; in small ones the pairs are few."""
+    """(a, b): head and member of a bucket, of different components. The heads
+    are a bucket's least nodes, so of two heads the lesser is a. Members of
+    buckets of three or more carry their size and sketch, so that pairs which
+    can't link end before they are moved; others are one pair."""
     a = lambda df, *more: df.select("sig", *(F.col(c).alias("a" if c == "node" else f"{c}_a") for c in ["node", "root", *more]))
-    apart = F.col("root") != F.col("root_a")
+    apart = (F.col("root") != F.col("root_a")) & (F.col("node") > F.col("a"))
     few = left.where(F.col("n") <= SMALL_BUCKET).join(a(heads.where(F.col("n") <= SMALL_BUCKET)), "sig").where(apart)
-    wide = lambda df: df.where(F.col("n") > SMALL_BUCKET).join(sets, "node")
+    wide = lambda df: df.where(F.col("n") > SMALL_BUCKET).join(sets.drop("wide"), "node")
     many = wide(left).join(a(wide(heads), "size", *_SKETCH), "sig").where(apart & _may_link(rule.percent))
     return few.select("a", F.col("node").alias("b")).unionByName(many.select("a", F.col("node").alias("b")))
 
 
 def _possible(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs whose sizes and sketches allow a link."""
-    first = sets.select(F.col("node").alias("a"), *(F.col(c).alias(f"{c}_a") for c in ["size", *_SKETCH]))
-    return pairs.join(first, "a").join(sets.withColumnRenamed("node", "b"), "b").where(_may_link(rule.percent)).select("a", "b")
+    first = sets.select(F.col("node").alias("a"), *(F.col(c).alias(f"{c}_a") for c in ["size", *_SKETCH, "wide"]))
+    near = pairs.join(first, "a").join(sets.withColumnRenamed("node", "b"), "b").where(_may_link(rule.percent))
+    close = (100 + rule.percent) * _wide_differ(F.col("wide"), F.col("wide_a")) <= (100 - rule.percent) * (F.col("size") + F.col("size_a"))
+    return near.where(F.col("wide").isNull() | F.col("wide_a").isNull() | close).select("a", "b")
 
 
 def join_documents(docs: DataFrame) -> DataFrame:
