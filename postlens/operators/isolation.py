@@ -8,7 +8,7 @@ grows a tree from its ``psi`` rows (a bounded group); nodes are numbered as in a
 heap (children of i: 2i and 2i + 1), and feature and cut of node i come from
 a hash of (tree, i), not from a stream of random numbers.
 
-``score`` walks all trees at once over flat arrays, a batch of rows at a time,
+``score`` walks the trees for many rows at once
 and returns ``2 ** -(mean path length / c(psi))``: near 1 for rows that few
 cuts isolate, below 0.5 for ordinary ones. A leaf of n rows counts as its
 depth plus ``c(n)``, the mean depth of a search tree of n keys.
@@ -21,7 +21,9 @@ features count as the feature's mean over the drawn rows of a tree.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -31,6 +33,8 @@ from pyspark.sql import functions as F
 TREES, PSI, SEED = 200, 256, 42
 #: Drawn rows a tree is thinned to before its rows are ranked, in multiples of ``psi``.
 SLACK = 4
+#: Rows walked at once: a comparison's fixed cost counts little beside theirs.
+ROWS = 80_000
 
 
 def c(n: float) -> float:
@@ -60,25 +64,62 @@ class Forest:
     length: np.ndarray
     fill: np.ndarray
 
+    @cached_property
+    def cuts(self) -> list[np.ndarray]:
+        """The different cuts of each column over all trees, ascending."""
+        return [np.unique(self.cut[(self.feature == j) & ~np.isnan(self.cut)]) for j in range(len(self.columns))]
+
+    @cached_property
+    def walks(self) -> list[tuple]:
+        """Per tree: its different path lengths, and its nodes as (column, place
+        of the cut, left, right) or the number of a path length. Nodes whose
+        paths all have one length are that length."""
+        out = []
+        for feature, cut, length in zip(self.feature, self.cut, self.length):
+            half = len(length) // 2
+            lengths, code = np.unique(length[half:], return_inverse=True)
+            below = list(code.astype(np.min_scalar_type(len(lengths) - 1)))
+            while half > 1:
+                half //= 2
+                pairs = zip(range(half, 2 * half), below[::2], below[1::2])
+                below = [a if not isinstance(a, tuple) and not isinstance(b, tuple) and a == b else (int(feature[i]), self._place(int(feature[i]), cut[i]), a, b) for i, a, b in pairs]
+            out.append((lengths, below[0]))
+        return out
+
+    def _place(self, column: int, cut: float) -> int:
+        """The rank from which a value is at or above the cut."""
+        cuts = self.cuts[column]
+        return np.min_scalar_type(len(cuts) + 1).type(len(cuts) + 1 if np.isnan(cut) else np.searchsorted(cuts, cut) + 1)
+
+    def _ranks(self, column: int, values: np.ndarray) -> np.ndarray:
+        """How many cuts of the column each value reaches (none for NaN)."""
+        cuts = self.cuts[column]
+        found = np.where(np.isnan(values), 0, np.searchsorted(cuts, values, side="right"))
+        return found.astype(np.min_scalar_type(len(cuts) + 1))
+
     def path_lengths(self, x: np.ndarray) -> np.ndarray:
-        """Mean path length of each row of a matrix. All steps write into the
-        same few arrays, and every look-up is one into a flat array."""
+        """Mean path length of each row of a matrix. Values are turned into
+        their ranks among the column's cuts once; then each node of a tree is
+        one comparison of all rows, which picks the right or the left side's
+        number by its bits."""
         n, wide = x.shape
-        total, at, node = np.zeros(n), np.empty(n, np.intp), np.empty(n, np.intp)
-        value, cut, right = np.empty(n), np.empty(n), np.empty(n, bool)
-        first, holes = np.arange(n) * wide, np.isnan(x)
-        some, flat, features = holes.any(), np.ascontiguousarray(x).ravel(), self.feature.astype(np.intp)
-        for t in range(len(features)):
-            own = np.where(holes, self.fill[t], x).ravel() if some else flat
-            node.fill(1)
-            for _ in range(self.limit):
-                np.take(features[t], node, out=at, mode="clip")
-                np.take(own, np.add(at, first, out=at), out=value, mode="clip")
-                np.greater_equal(value, np.take(self.cut[t], node, out=cut, mode="clip"), out=right)
-                np.add(node, node, out=node)
-                np.add(node, right, out=node)
-            total += np.take(self.length[t], node, out=cut, mode="clip")
-        return total / len(features)
+        total, holes = np.zeros(n), np.isnan(x)
+        ranks, some = [self._ranks(j, x[:, j]) for j in range(wide)], [holes[:, j].any() for j in range(wide)]
+        for t, (lengths, top) in enumerate(self.walks):
+            own = [np.where(holes[:, j], self._ranks(j, self.fill[t, j:j + 1]), ranks[j]) if some[j] else ranks[j] for j in range(wide)]
+
+            def number(node):
+                column, place, left, right = node
+                left = number(left) if isinstance(left, tuple) else left
+                right = number(right) if isinstance(right, tuple) else right
+                mask = (own[column] >= place).view(np.uint8).astype(code, copy=False)
+                np.negative(mask, out=mask)  # all bits or none
+                np.bitwise_and(mask, np.bitwise_xor(left, right), out=mask)
+                return np.bitwise_xor(mask, left, out=mask)
+
+            code = np.min_scalar_type(len(lengths) - 1)
+            total += lengths.take(number(top)) if isinstance(top, tuple) else lengths[top]
+        return total / len(self.walks)
 
 
 def as_table(spark: SparkSession, forest: Forest) -> DataFrame:
@@ -161,9 +202,16 @@ def score(rows: DataFrame, forest: Forest, out: str = "isolation_score") -> Data
     usual = c(forest.psi) or 1.0
 
     @F.pandas_udf("double")
-    def scored(*columns: pd.Series) -> pd.Series:
-        x = np.column_stack([s.to_numpy(np.float64, na_value=np.nan) for s in columns])
-        return pd.Series(2.0 ** (-forest.path_lengths(x) / usual))
+    def scored(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        some, rows = [], 0
+        for columns in batches:
+            some.append(np.column_stack([s.to_numpy(np.float64, na_value=np.nan) for s in columns]))
+            rows += len(some[-1])
+            if rows >= ROWS:
+                yield pd.Series(2.0 ** (-forest.path_lengths(np.concatenate(some)) / usual))
+                some, rows = [], 0
+        if rows:
+            yield pd.Series(2.0 ** (-forest.path_lengths(np.concatenate(some)) / usual))
 
     return rows.withColumn(out, scored(*[F.col(x).cast("double") for x in forest.columns]))
 

@@ -39,6 +39,8 @@ class Package:
     features: list[str] = field(default_factory=list)
     scores: dict[str, float] = field(default_factory=dict)
     parameters: dict[str, float] = field(default_factory=dict)
+    #: What the fit computed of every row it was given, for the scores of these rows; not saved.
+    views: DataFrame | None = None
 
 
 def digest(*frames: DataFrame) -> str:
@@ -106,8 +108,12 @@ class ModelStore:
     def load_or_fit(self, name: str, fingerprint: str, fit: Callable[[], Package]) -> Package:
         """The current version if it was fitted on data of this identity; else
         ``fit`` is called and its package saved, and then loaded, so that a
-        first and a later call score with the same files."""
+        first and a later call score with the same files. The ``views`` of a
+        package fitted now go on with it."""
         now = self.current(name)
-        if now is None or now["fingerprint"] != fingerprint:
-            self.save(name, fit(), fingerprint)
-        return self.load(name)
+        if now is not None and now["fingerprint"] == fingerprint:
+            return self.load(name)
+        fitted = fit()
+        package = self.load(name, self.save(name, fitted, fingerprint))
+        package.views = fitted.views
+        return package

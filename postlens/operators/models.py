@@ -185,7 +185,9 @@ def score_satisfaction(model: PipelineModel, feedback: DataFrame, every_row: boo
 def customer_window_features(purchases: DataFrame, horizon_days: int) -> DataFrame:
     """Per customer, features from orders before the cutoff (last order
     date - horizon) and the outcome after it: spend after the cutoff and
-    a churn label (no order after the cutoff)."""
+    a churn label (no order after the cutoff). A frame of them stays as it is."""
+    if "is_test" in purchases.columns:
+        return purchases
     cutoff = purchases.agg(F.date_sub(F.max("order_date"), horizon_days)).scalar()
     before = F.col("order_date") <= cutoff
     g = purchases.groupBy("customer_id").agg(
@@ -205,6 +207,11 @@ def customer_window_features(purchases: DataFrame, horizon_days: int) -> DataFra
                     holdout_flag("customer_id").alias("is_test"))
 
 
+def kept_customers(purchases: DataFrame, horizon_days: int) -> DataFrame:
+    """``customer_window_features``, computed once for the trees' passes and the scores."""
+    return purchases if "is_test" in purchases.columns else kept(customer_window_features(purchases, horizon_days), "customer-windows")
+
+
 CUSTOMER_FEATURES = ["frequency", "monetary", "avg_order_value", "recency_days", "tenure_days"]
 
 
@@ -225,7 +232,8 @@ def score_ltv(model: PipelineModel, purchases: DataFrame, horizon_days: int = LT
 
 
 def fit_ltv(purchases: DataFrame, horizon_days: int = LTV_DAYS, every_row: bool = False) -> DataFrame:
-    return score_ltv(ltv_model(purchases, horizon_days), purchases, horizon_days, every_row)
+    frame = kept_customers(purchases, horizon_days)
+    return score_ltv(ltv_model(frame, horizon_days), frame, horizon_days, every_row)
 
 
 def churn_model(purchases: DataFrame, horizon_days: int = CHURN_DAYS) -> PipelineModel:
@@ -245,7 +253,8 @@ def score_churn(model: PipelineModel, purchases: DataFrame, horizon_days: int =
 
 
 def fit_churn(purchases: DataFrame, horizon_days: int = CHURN_DAYS) -> DataFrame:
-    return score_churn(churn_model(purchases, horizon_days), purchases, horizon_days)
+    frame = kept_customers(purchases, horizon_days)
+    return score_churn(churn_model(frame, horizon_days), frame, horizon_days)
 
 
 # ---------------------------------------------------------------- recommendations
@@ -580,10 +589,11 @@ def _anomaly(cuts: dict[str, float]) -> Column:
 
 
 def fit_fraud(spark: SparkSession, shipments: DataFrame, variance: float = 0.9, contamination: float = 0.05,
-              trees: int = isolation.TREES, psi: int = isolation.PSI) -> tuple[FraudModel, DataFrame]:
+              trees: int = isolation.TREES, psi: int = isolation.PSI, stored: bool = False) -> tuple[FraudModel, DataFrame]:
     """The model and ``fraud_views`` of the shipments it was fitted on. The
-    shipments are computed once for all passes, and so are their scores."""
-    shipments = kept(shipments, "fraud-shipments")
+    shipments are computed once for all passes (``stored`` ones are read as
+    they are), and so are their scores."""
+    shipments = shipments if stored else kept(shipments, "fraud-shipments")
     axes, k = principal_axes(shipments, variance)
     model = FraudModel(axes, k, isolation.grow(shipments, "shipment_id", SHIPMENT_FEATURES, trees, psi), {})
     views = kept(fraud_views(model, shipments), "fraud-scores")
@@ -607,10 +617,10 @@ def score_fraud(model: FraudModel, shipments: DataFrame) -> DataFrame:
     reconstruction error, and their mean. Each is first set against its own
     quantile, ``x / (x + quantile)``, which is one half there. Rows above the
     exact quantile of the mean are flagged."""
-    return _flagged(model, fraud_views(model, shipments))
+    return flagged(model, fraud_views(model, shipments))
 
 
-def _flagged(model: FraudModel, views: DataFrame) -> DataFrame:
+def flagged(model: FraudModel, views: DataFrame) -> DataFrame:
     both = views.withColumn("anomaly_score", _anomaly(model.cuts))
     return both.withColumn("is_flagged", F.col("anomaly_score") > model.cuts["anomaly_score"])
 
@@ -619,7 +629,7 @@ def fraud_score(spark: SparkSession, shipments: DataFrame, variance: float = 0.9
                 trees: int = isolation.TREES, psi: int = isolation.PSI) -> DataFrame:
     """``score_fraud`` with a model fitted on the shipments; the
     ``contamination`` share is flagged."""
-    return _flagged(*fit_fraud(spark, shipments, variance, contamination, trees, psi))
+    return flagged(*fit_fraud(spark, shipments, variance, contamination, trees, psi))
 
 
 def metric_outliers(daily: DataFrame, flag_share: float = 0.05) -> DataFrame:

@@ -22,6 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,8 @@ USERS = 1024
 SHARD_ITEMS = 400_000
 #: Float32 scores may differ from the bounds' arithmetic by this share of |u| |v|.
 SLACK = 1e-6
+#: And bounds taken in single floats by this share of |u| (|v| + radius).
+ROUNDING = 1e-5
 
 
 def _kept(df: DataFrame, name: str) -> DataFrame:
@@ -43,18 +46,24 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
 
 
 def _balls(x: np.ndarray, leaf: int) -> np.ndarray:
-    """The leaf of each row: halves along the main axis until they are small."""
-    out, todo, name = np.zeros(len(x), np.int32), [np.arange(len(x))], 0
-    while todo:
-        rows = todo.pop()
-        if len(rows) <= leaf:
-            out[rows] = name
-            name += 1
-            continue
-        about = x[rows] - x[rows].mean(axis=0)
-        axis = np.linalg.eigh(about.T @ about)[1][:, -1]
-        order = rows[np.argsort(about @ axis, kind="stable")]
-        todo += [order[len(order) // 2:], order[:len(order) // 2]]
+    """The leaf of each row: halves along the main axis until they are small,
+    neighbours by number. Parts of equal size are split together."""
+    parts = [np.arange(len(x))] if len(x) else []
+    while any(len(p) > leaf for p in parts):
+        sizes = np.array([len(p) for p in parts])
+        halves: list[tuple] = [(p,) for p in parts]
+        for size in np.unique(sizes[sizes > leaf]):
+            which = np.flatnonzero(sizes == size)
+            rows = np.stack([parts[i] for i in which])
+            about = x[rows] - x[rows].mean(axis=1, keepdims=True)
+            axis = np.linalg.eigh(np.matmul(about.transpose(0, 2, 1), about))[1][:, :, -1:]
+            rows = np.take_along_axis(rows, np.argsort(np.matmul(about, axis)[:, :, 0], axis=1, kind="stable"), axis=1)
+            for i, own in zip(which, rows):
+                halves[i] = (own[:size // 2], own[size // 2:])
+        parts = [h for both in halves for h in both]
+    out = np.zeros(len(x), np.int32)
+    for name, rows in enumerate(parts):
+        out[rows] = name
     return out
 
 
@@ -78,48 +87,41 @@ def build_index(item_factors: DataFrame, layer: int = LAYER, leaf: int = LEAF) -
     return layered.groupBy("shard", "layer").applyInPandas(split, layered.schema)
 
 
+def _runs(*keys: np.ndarray) -> np.ndarray:
+    new = np.zeros(len(keys[0]), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
+
+
 class Balls:
-    """Centre, radius and largest norm of runs of items."""
+    """Runs of items: their number, largest norm, and a row (centre, radius)
+    whose product with a user's row (factors, length) is an upper bound of the
+    scores. Products are of single floats, so the radius is a little wider."""
 
     def __init__(self, items: np.ndarray, norm: np.ndarray, start: np.ndarray):
         self.start, self.size = start, np.diff(np.append(start, len(items)))
-        self.centre = np.add.reduceat(items, start) / self.size[:, None]
-        away = items - np.repeat(self.centre, self.size, axis=0)
-        self.radius = np.sqrt(np.maximum.reduceat((away * away).sum(axis=1), start))
+        centre = np.add.reduceat(items, start) / self.size[:, None]
+        away = items - np.repeat(centre, self.size, axis=0)
+        radius = np.sqrt(np.maximum.reduceat((away * away).sum(axis=1), start))
         self.norm = np.maximum.reduceat(norm, start)
+        self.row = _single(np.column_stack([centre, radius + ROUNDING * (self.norm + radius)]))
 
-    def bounds(self, users: np.ndarray, length: np.ndarray, a: int, b: int) -> np.ndarray:
-        """Of each user for the balls a .. b - 1."""
-        return _bound(users @ self.centre[a:b].T, length[:, None], self.radius[a:b], self.norm[a:b])
-
-    def pair_bounds(self, users: np.ndarray, length: np.ndarray, ball: np.ndarray) -> np.ndarray:
-        """Of each user for one ball."""
-        return _bound(np.einsum("ij,ij->i", users, self.centre[ball]), length, self.radius[ball], self.norm[ball])
-
-
-def _bound(inner, length, radius, norm):
-    return np.minimum(inner + length * radius, length * norm) + SLACK * length * norm
 
-
-def _runs(*keys: np.ndarray) -> np.ndarray:
-    new = np.zeros(len(keys[0]), bool)
-    new[:1] = True
-    for k in keys:
-        new[1:] |= k[1:] != k[:-1]
-    return np.flatnonzero(new)
+def _single(x: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(x, dtype=np.float32)
 
 
 class Shard:
     """A shard's tree in arrays, layers in order of falling norm."""
 
-    def __init__(self, rows: list):
-        rows = sorted(rows, key=lambda r: (r["layer"], r["leaf"], r["product_id"]))
-        self.ids = np.array([r["product_id"] for r in rows], np.int64)
-        self.items = np.array([r["item"] for r in rows], np.float64)
-        layer, leaf = (np.array([r[c] for r in rows], np.int64) for c in ("layer", "leaf"))
+    def __init__(self, layer: np.ndarray, leaf: np.ndarray, ids: np.ndarray, items: np.ndarray):
+        order = np.lexsort((ids, leaf, layer))
+        layer, leaf, self.ids, self.items = layer[order], leaf[order], ids[order].astype(np.int64), items[order].astype(np.float64)
         norm = np.sqrt((self.items * self.items).sum(axis=1))
-        self.leaves = Balls(self.items, norm, _runs(layer, leaf))
         self.groups = Balls(self.items, norm, _runs(layer, leaf // GROUP))
+        self.leaves = Balls(self.items, norm, _runs(layer, leaf))
         # leaves of a group: from its first one on
         self.first = np.searchsorted(self.leaves.start, self.groups.start)
         self.many = np.diff(np.append(self.first, len(self.leaves.start)))
@@ -127,40 +129,53 @@ class Shard:
         self.layers = _runs(layer[self.groups.start])
         self.rest = np.maximum.accumulate(np.maximum.reduceat(self.groups.norm, self.layers)[::-1])[::-1]
         self.order = np.argsort(self.ids, kind="stable")
-
-    def places(self, products: np.ndarray) -> np.ndarray:
-        """Rows of the products that are in the shard."""
-        at = np.searchsorted(self.ids, products, sorter=self.order)
-        at = self.order[np.minimum(at, len(self.ids) - 1)]
-        return at[self.ids[at] == products]
-
-    def search(self, users: np.ndarray, owned: list[np.ndarray], ids: np.ndarray, scores: np.ndarray, floor: np.ndarray) -> np.ndarray:
+        self.sorted = self.ids[self.order]
+
+    @classmethod
+    def of_table(cls, table: pa.Table) -> Shard:
+        table = table.combine_chunks()
+        number = lambda c: table.column(c).to_numpy()
+        return cls(number("layer"), number("leaf"), number("product_id"), _matrix(table.column("item").combine_chunks()))
+
+    def held(self, owned: np.ndarray, many: np.ndarray) -> np.ndarray:
+        """Sorted codes (user * items + row) of the owned products that are in
+        the shard; ``owned`` holds ``many[u]`` products of each user in turn."""
+        user = np.repeat(np.arange(len(many)), many)
+        at = np.minimum(np.searchsorted(self.sorted, owned), len(self.ids) - 1)
+        here = self.sorted[at] == owned
+        return np.sort(user[here] * len(self.ids) + self.order[at[here]])
+
+    def search(self, users: np.ndarray, held: np.ndarray, ids: np.ndarray, scores: np.ndarray, floor: np.ndarray) -> np.ndarray:
         """Update the k best (``ids``, ``scores``, filled with -1 and -inf) of
         each user in place; returns the inner products taken for each."""
-        n, k = ids.shape
         length = np.sqrt((users * users).sum(axis=1))
-        products = np.zeros(n, np.int64)
-        held = np.concatenate([np.zeros(0, np.int64), *[u * len(self.ids) + np.sort(self.places(o)) for u, o in enumerate(owned)]])
+        rows = _single(np.column_stack([users, length]))
+        products = np.zeros(len(users), np.int64)
         ends = np.append(self.layers[1:], len(self.groups.start))
         for a, b, rest in zip(self.layers, ends, self.rest):
             live = np.flatnonzero(length * rest * (1 + SLACK) >= np.maximum(scores[:, -1], floor))
             if not len(live):
                 break
-            bound = self.groups.bounds(users[live], length[live], a, b)
+            bound = rows[live] @ self.groups.row[a:b].T
             products[live] += b - a
-            # the most promising balls first: they lift the k-th score for the rest of the layer
-            early = _best(bound, 2 + k // (LEAF * GROUP))
-            for part in (early, ~early):
-                row, group = np.nonzero(part & (bound >= np.maximum(scores[live, -1], floor[live])[:, None]))
-                for c in range(0, len(row), 1 << 14):
-                    self._open_groups(live[row[c:c + (1 << 14)]], a + group[c:c + (1 << 14)], users, length, held, ids, scores, floor, products)
+            shut = None
+            if (scores[live, -1] == -np.inf).any():  # the most promising balls first: they close most of the others
+                shut = _best(bound, 2 + ids.shape[1] // (LEAF * GROUP))
+                row, group = np.nonzero(shut)
+                self._open_groups(live[row], a + group, users, rows, held, ids, scores, floor, products)
+            wanted = bound >= _below(np.maximum(scores[live, -1], floor[live]))[:, None]
+            open_ = np.flatnonzero(wanted if shut is None else wanted & ~shut)
+            for c in range(0, len(open_), 1 << 14):
+                row, group = np.divmod(open_[c:c + (1 << 14)], b - a)
+                self._open_groups(live[row], a + group, users, rows, held, ids, scores, floor, products)
         return products
 
-    def _open_groups(self, user, group, users, length, held, ids, scores, floor, products) -> None:
+    def _open_groups(self, user, group, users, rows, held, ids, scores, floor, products) -> None:
         size = self.many[group]
         pair, leaf = np.repeat(user, size), _spread(self.first[group], size)
         np.add.at(products, user, size)
-        hit = self.leaves.pair_bounds(users[pair], length[pair], leaf) >= np.maximum(scores[pair, -1], floor[pair])
+        limit = _below(np.maximum(scores[:, -1], floor)).take(pair)
+        hit = np.einsum("ij,ij->i", rows.take(pair, axis=0), self.leaves.row.take(leaf, axis=0)) >= limit
         if hit.any():
             self._open(pair[hit], leaf[hit], users, held, ids, scores, products)
 
@@ -168,12 +183,16 @@ class Shard:
         size = self.leaves.size[leaf]
         pair, item = np.repeat(user, size), _spread(self.leaves.start[leaf], size)
         np.add.at(products, user, size)
-        got = np.einsum("ij,ij->i", users[pair], self.items[item]).astype(np.float32).astype(np.float64)
-        if len(held):
+        got = np.einsum("ij,ij->i", users.take(pair, axis=0), self.items.take(item, axis=0)).astype(np.float32).astype(np.float64)
+        # items below the k-th score change nothing
+        some = np.flatnonzero(got >= scores[pair, -1])
+        pair, item, got = pair[some], item[some], got[some]
+        if len(held) and len(pair):
             code = pair * len(self.ids) + item
-            at = np.minimum(np.searchsorted(held, code), len(held) - 1)
-            free = held[at] != code
+            free = held[np.minimum(np.searchsorted(held, code), len(held) - 1)] != code
             pair, item, got = pair[free], item[free], got[free]
+        if not len(pair):
+            return
         k = ids.shape[1]
         touched = np.unique(pair)
         who = np.concatenate([np.repeat(touched, k), pair])
@@ -186,6 +205,20 @@ class Shard:
         ids[touched], scores[touched] = what[best], score[best]
 
 
+def _below(threshold: np.ndarray) -> np.ndarray:
+    """As single floats, none above the threshold."""
+    return (threshold - ROUNDING * np.abs(np.where(np.isfinite(threshold), threshold, 0.0)) - 1e-30).astype(np.float32)
+
+
+def _matrix(lists: pa.ListArray) -> np.ndarray:
+    """Lists of one length as the rows of a matrix."""
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
+def _lists(matrix: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1], pa.array(matrix.ravel()))
+
+
 def _spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """first, first + 1, ... for each run of a size."""
     return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
@@ -218,16 +251,20 @@ def top_items(user_factors: DataFrame, item_factors: DataFrame, owned: DataFrame
                          F.array_repeat(F.lit(-1).cast("long"), k).alias("ids"), F.array_repeat(F.lit(float("-inf")), k).alias("scores"), F.lit(0).cast("long").alias("products"))
     done = None
     for shard in shards:
-        own = spark.sparkContext.broadcast(Shard([r.asDict() for r in index.where(F.col("shard") == shard).collect()]))  # SHARD_ITEMS rows at most
+        # SHARD_ITEMS rows at most
+        own = spark.sparkContext.broadcast(Shard.of_table(index.where(F.col("shard") == shard).select("layer", "leaf", "product_id", "item").toArrow()))
         state = _kept(state.mapInArrow(_searched(own, users), state.schema), "running-best")
-        if shard != shards[-1]:
-            # the next layers' norms are at most the least of this shard
-            last = float(own.value.groups.norm[own.value.layers[-1]:].max())
-            length = F.sqrt(F.aggregate("user", F.lit(0.0), lambda t, x: t + x * x))
-            more = length * last * (1 + SLACK) >= F.greatest(F.element_at("scores", -1), "floor")
-            over = state.where(~more)
-            done = over if done is None else done.unionByName(over)
-            state = state.where(more)
+        if shard == shards[-1]:
+            break
+        # the next layers' norms are at most the least of this shard
+        last = float(own.value.groups.norm[own.value.layers[-1]:].max())
+        length = F.sqrt(F.aggregate("user", F.lit(0.0), lambda t, x: t + x * x))
+        more = length * last * (1 + SLACK) >= F.greatest(F.element_at("scores", -1), "floor")
+        over = state.where(~more)
+        done = over if done is None else done.unionByName(over)
+        state = state.where(more)
+        if state.isEmpty():  # nobody's list can change any more
+            break
     done = state if done is None else done.unionByName(state)
     ranked = done.select("user_id", "products", F.posexplode(F.arrays_zip("ids", "scores")).alias("place", "b"))
     return ranked.where("b.ids >= 0").select("user_id", F.col("b.ids").cast("int").alias("product_id"), F.col("b.scores").cast("float").alias("prediction"),
@@ -240,11 +277,11 @@ def _searched(shard, size: int):
             for a in range(0, batch.num_rows, size):
                 part = batch.slice(a, size)
                 columns = {n: part.column(n) for n in part.schema.names}
-                matrix = lambda n: np.array(columns[n].to_pylist())  # noqa: E731, B023
-                ids, scores = matrix("ids").astype(np.int64), matrix("scores").astype(np.float64)
-                owned = [np.array(o, np.int64) for o in columns["owned"].to_pylist()]
-                taken = shard.value.search(matrix("user").astype(np.float64), owned, ids, scores, columns["floor"].to_numpy(zero_copy_only=False))
-                columns["ids"], columns["scores"] = pa.array(list(ids), pa.list_(pa.int64())), pa.array(list(scores), pa.list_(pa.float64()))
+                ids, scores = _matrix(columns["ids"]).astype(np.int64), _matrix(columns["scores"]).astype(np.float64)
+                owned = columns["owned"]
+                held = shard.value.held(owned.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(owned).to_numpy(zero_copy_only=False))
+                taken = shard.value.search(_matrix(columns["user"]).astype(np.float64), held, ids, scores, columns["floor"].to_numpy(zero_copy_only=False))
+                columns["ids"], columns["scores"] = _lists(ids), _lists(scores)
                 columns["products"] = pa.array(columns["products"].to_numpy() + taken)
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 

@@ -8,8 +8,10 @@ model only where the store's current version was fitted on other data.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from postlens.operators import isolation
 from postlens.operators import models as ML
 from postlens.operators.common import union_all
 from postlens.operators.model_store import ModelStore, Package, digest
-from postlens.session import kept
+from postlens.session import ensure_checkpoint_dir, kept
 
 HORIZONS = (1, 7, 30)
 
@@ -55,13 +57,15 @@ def _fit_satisfaction(rows: DataFrame) -> Package:
 
 
 def _fit_ltv(rows: DataFrame) -> Package:
-    model = ML.ltv_model(rows)
-    return Package({"model": model}, ML.CUSTOMER_FEATURES, _first(ML.regression_scores(ML.score_ltv(model, rows), "spend_after")))
+    frame = ML.kept_customers(rows, ML.LTV_DAYS)
+    model = ML.ltv_model(frame)
+    return Package({"model": model}, ML.CUSTOMER_FEATURES, _first(ML.regression_scores(ML.score_ltv(model, frame), "spend_after")))
 
 
 def _fit_churn(rows: DataFrame) -> Package:
-    model = ML.churn_model(rows)
-    held_out = ML.score_churn(model, rows).where("is_test")
+    frame = ML.kept_customers(rows, ML.CHURN_DAYS)
+    model = ML.churn_model(frame)
+    held_out = ML.score_churn(model, frame).where("is_test")
     return Package({"model": model}, ML.CUSTOMER_FEATURES, _first(ML.classification_scores(held_out, "churned")))
 
 
@@ -86,14 +90,15 @@ def _fit_sentiment(rows: DataFrame) -> Package:
 
 
 def _fit_fraud(rows: DataFrame) -> Package:
-    model = ML.fraud_model(rows.sparkSession, rows)
+    model, views = ML.fit_fraud(rows.sparkSession, rows, stored=True)
     return Package({"axes": model.axes, "forest": isolation.as_table(rows.sparkSession, model.forest)}, ML.SHIPMENT_FEATURES,
-                   parameters={"components": model.components, **model.cuts})
+                   parameters={"components": model.components, **model.cuts}, views=views)
 
 
 def _score_fraud(p: Package, rows: DataFrame) -> DataFrame:
     cuts = {k: v for k, v in p.parameters.items() if k != "components"}
-    return ML.score_fraud(ML.FraudModel(p.parts["axes"], int(p.parameters["components"]), isolation.of_table(p.parts["forest"]), cuts), rows)
+    model = ML.FraudModel(p.parts["axes"], int(p.parameters["components"]), isolation.of_table(p.parts["forest"]), cuts)
+    return ML.score_fraud(model, rows) if p.views is None else ML.flagged(model, p.views)
 
 
 def scorers(ds: str) -> dict[str, Scorer]:
@@ -128,18 +133,23 @@ def score_all(spark: SparkSession, inputs: dict[str, DataFrame], store: ModelSto
     churn model's, satisfaction's the same steps of the probability of not
     being satisfied, a flagged shipment is high; models of amounts have no
     risk and the band ``none``."""
-    marks: dict[str, str] = {}
-    sources: dict[str, DataFrame] = {}
-    out = []
+    by_source: dict[str, dict[str, Scorer]] = {}
     for name, scorer in scorers(ds).items():
-        if scorer.source not in marks:  # joined and summed up once, for digest, fits and scores
-            sources[scorer.source] = kept(inputs[scorer.source], f"scored-{scorer.source.replace('_', '-')}")
-            marks[scorer.source] = digest(sources[scorer.source])
-        rows = sources[scorer.source]
-        package = store.load_or_fit(name, marks[scorer.source], lambda s=scorer, r=rows: s.fit(r))
-        out.append(scorer.score(package, rows))
-    scored = union_all(*out)
-    scored = kept(scored, "model_scores")  # read twice
+        by_source.setdefault(scorer.source, {})[name] = scorer
+
+    def of_source(source: str) -> list[DataFrame]:
+        rows = kept(inputs[source], f"scored-{source.replace('_', '-')}")  # joined and summed up once, for digest, fits and scores
+        mark, out = digest(rows), []
+        for name, scorer in by_source[source].items():
+            package = store.load_or_fit(name, mark, lambda s=scorer: s.fit(rows))
+            out.append(kept(scorer.score(package, rows), f"scores-{name.replace('_', '-')}"))  # read twice
+        return out
+
+    # models of different sources don't wait for each other: a fit's many short jobs run beside the long ones of others
+    ensure_checkpoint_dir(spark)
+    with ThreadPoolExecutor(len(by_source)) as pool:
+        found = [pool.submit(inheritable_thread_target(spark)(of_source), source) for source in by_source]
+        scored = union_all(*[frame for part in found for frame in part.result()])
     # at most a row for each of the nine models and four bands
     counts = scored.groupBy("model_type", "band").agg(F.count(F.lit(1)).alias("band_rows"))
     return scored.join(F.broadcast(counts), ["model_type", "band"]).select(*scored.columns, "band_rows")
