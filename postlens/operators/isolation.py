@@ -104,6 +104,7 @@ class Forest:
         number by its bits."""
         n, wide = x.shape
         total, holes = np.zeros(n), np.isnan(x)
+        at, length = np.empty(n, np.intp), np.empty(n)  # for all trees: new arrays of this size cost more than the look-ups
         ranks, some = [self._ranks(j, x[:, j]) for j in range(wide)], [holes[:, j].any() for j in range(wide)]
         for t, (lengths, top) in enumerate(self.walks):
             own = [np.where(holes[:, j], self._ranks(j, self.fill[t, j:j + 1]), ranks[j]) if some[j] else ranks[j] for j in range(wide)]
@@ -118,7 +119,8 @@ class Forest:
                 return np.bitwise_xor(mask, left, out=mask)
 
             code = np.min_scalar_type(len(lengths) - 1)
-            total += lengths.take(number(top)) if isinstance(top, tuple) else lengths[top]
+            at[:] = number(top) if isinstance(top, tuple) else top
+            total += lengths.take(at, out=length, mode="clip")
         return total / len(self.walks)
 
 
